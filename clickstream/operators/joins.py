@@ -1,0 +1,19 @@
+"""Join helpers shared by the operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# A side is broadcast only when it is proven to hold at most this many rows.
+BROADCAST_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check reads at most ``max_rows + 1`` rows, so it is cheap for a
+    dimension table and safe for a fact table (which then joins by shuffle).
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

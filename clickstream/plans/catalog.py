@@ -10,8 +10,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickstream.operators.joins import broadcast_if_small
+from clickstream.operators.quota import quota_filter
+from clickstream.operators.visitors import bitmap_visitors, running_visitors, unique_visitors
 from clickstream.operators.windows import top_n, window_count
-from clickstream.sources.tables import behaviour_events
+from clickstream.sources.access_log import format_access_line, parse_access_log
+from clickstream.sources.tables import behaviour_events, read_table
+
+# The reference's six marketing channel names, in its order.
+CHANNELS = ["AppStore", "XiaomiStore", "HuaweiStore", "weibo", "wechat", "tieba"]
+
+
+def _views(spark, sf_dir):
+    return behaviour_events(spark, sf_dir).where(F.col("event_type") == "view")
+
+
+def _rollup_by_day(ranked: DataFrame) -> DataFrame:
+    """Bound a per-window Top-N report's size: ranked rows and max count per day."""
+    return (ranked.groupBy(F.to_date("window_end").alias("day"))
+            .agg(F.count(F.lit(1)).alias("ranked_rows"), F.max("cnt").alias("max_cnt")))
 
 
 def hot_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +45,114 @@ def hot_items_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("window_end", "rank", "item_id", "cnt")
 
 
+def hot_urls_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 5 URLs per 10 min window sliding by 5 s, rolled up by day."""
+    hits = behaviour_events(spark, sf_dir).select(
+        "ts", F.concat(F.lit("/item/"), F.col("k").cast("string")).alias("url"))
+    counts = window_count(hits, "ts", "10 minutes", "5 seconds", keys=["url"])
+    return _rollup_by_day(top_n(counts, 5, by="window_end", key="url"))
+
+
+def hot_sale_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 3 books (k) by purchases per 600 s window sliding by 5 s, rolled up by day.
+
+    The reference windows on processing time; ``ts`` stands in for the ingest time.
+    """
+    sales = behaviour_events(spark, sf_dir).where(F.col("event_type") == "purchase").select(
+        F.col("ts").alias("ingest_ts"), F.col("k").alias("book"))
+    counts = window_count(sales, "ingest_ts", "600 seconds", "5 seconds", keys=["book"])
+    return _rollup_by_day(top_n(counts, 3, by="window_end", key="book"))
+
+
+def access_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every event as an access-log line and parse it back.
+
+    Failed logins (``error``) are written without a user (``-``); purchases and
+    signups are POSTs.
+    """
+    ev = behaviour_events(spark, sf_dir)
+    u = F.col("user_id")
+    ip = F.concat_ws(".", F.lit("10"), *[(F.floor(u / d) % 256).cast("string") for d in (65536, 256, 1)])
+    line = format_access_line(
+        ip, F.when(F.col("event_type") == "error", None).otherwise(u), F.col("ts"),
+        F.when(F.col("event_type").isin("purchase", "signup"), "POST").otherwise("GET"),
+        F.concat(F.lit("/item/"), F.col("k").cast("string")))
+    parsed = parse_access_log(ev.select(line.alias("value")))
+    return parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
+
+
+def page_views_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = window_count(_views(spark, sf_dir), "ts", "1 hour", count_col="pv")
+    return counts.select("window_end", "pv")
+
+
+def unique_visitors_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unique_visitors(_views(spark, sf_dir), "ts", "user_id", "1 hour").select("window_end", "uv")
+
+
+def unique_visitors_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmap_visitors(_views(spark, sf_dir), "ts", "user_id", "1 hour").select("window_end", "uv")
+
+
+def unique_visitors_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return running_visitors(_views(spark, sf_dir), "ts", "user_id", "event_id", "1 hour")
+
+
+def _marketing(spark, sf_dir):
+    ev = behaviour_events(spark, sf_dir)
+    names = F.array(*[F.lit(c) for c in CHANNELS])
+    return ev.select("ts", F.element_at(names, (F.col("k") % len(CHANNELS)) + 1).alias("channel"),
+                     F.col("event_type").alias("behavior"))
+
+
+def marketing_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per (channel, behaviour), 1 h sliding by 1 min; uninstalls (errors) excluded."""
+    m = _marketing(spark, sf_dir).where(~F.col("behavior").eqNullSafe("error"))
+    return window_count(m, "ts", "1 hour", "1 minute", keys=["channel", "behavior"]).select(
+        "window_start", "window_end", "channel", "behavior", "cnt")
+
+
+def marketing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events, 1 h sliding by 1 min, no key (the sweep spreads it over time chunks)."""
+    return window_count(_marketing(spark, sf_dir), "ts", "1 hour", "1 minute").select(
+        "window_start", "window_end", "cnt")
+
+
+AD_QUOTA = 3
+
+
+def _ad_quota(spark, sf_dir):
+    clicks = behaviour_events(spark, sf_dir).select("event_id", "ts", "user_id")
+    return quota_filter(clicks, ["user_id"], "ts", "event_id", max_count=AD_QUOTA)
+
+
+def ad_quota_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, day) pairs that went over 3 clicks in a day."""
+    return _ad_quota(spark, sf_dir).warnings.select("user_id", "day")
+
+
+def ad_clicks_by_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks within quota per province (nation of ``user_id % 25``), 1 h sliding by 5 min."""
+    kept = _ad_quota(spark, sf_dir).passed.withColumn("n_nationkey", (F.col("user_id") % 25).cast("int"))
+    nation = broadcast_if_small(read_table(spark, sf_dir, "nation").select(
+        "n_nationkey", F.col("n_name").alias("province")))
+    geo = kept.join(nation, "n_nationkey")
+    return window_count(geo, "ts", "1 hour", "5 minutes", keys=["province"]).select(
+        "window_end", "province", "cnt")
+
+
 QUERIES = {
     "hot_item_counts": hot_item_counts,
     "hot_items_topn": hot_items_topn,
+    "hot_urls_topn": hot_urls_topn,
+    "hot_sale_topn": hot_sale_topn,
+    "access_log_parse": access_log_parse,
+    "page_views_hourly": page_views_hourly,
+    "unique_visitors_hourly": unique_visitors_hourly,
+    "unique_visitors_bitmap": unique_visitors_bitmap,
+    "unique_visitors_running": unique_visitors_running,
+    "marketing_by_channel": marketing_by_channel,
+    "marketing_total": marketing_total,
+    "ad_quota_blacklist": ad_quota_blacklist,
+    "ad_clicks_by_geo": ad_clicks_by_geo,
 }

@@ -20,9 +20,64 @@ GROUP BY ALL"""
 HOT_ITEM_COUNTS = _sliding(f"SELECT k AS item_id, us FROM ({VIEWS_K}) WHERE event_type = 'view'",
                            "item_id", 3_600_000_000, 300_000_000)
 
+HASH28 = ("list_reduce(list_prepend(0::BIGINT, list_transform(string_split(CAST(user_id AS VARCHAR), ''), "
+          "lambda c: ascii(c)::BIGINT)), lambda a, x: (a * 61 + x) & 268435455)")
+
+VIEWS = f"SELECT * FROM ({VIEWS_K}) WHERE event_type = 'view'"
+
+HOUR = 3_600_000_000
+
+
+def _topn_by_day(counts: str, key: str, n: int) -> str:
+    return f"""SELECT CAST(window_end AS DATE) AS day, count(*)::BIGINT AS ranked_rows, max(cnt)::BIGINT AS max_cnt
+FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, {key}) AS rn FROM ({counts}))
+WHERE rn <= {n} GROUP BY ALL"""
+
+
+CHANNEL_OF_K = "['AppStore', 'XiaomiStore', 'HuaweiStore', 'weibo', 'wechat', 'tieba'][k % 6 + 1]"
+
+AD_KEPT = f"""SELECT * FROM (SELECT event_id, ts, user_id, us, CAST(ts AS DATE) AS day,
+       row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
+FROM ({VIEWS_K}))"""
+
+ACCESS_LINES = """SELECT concat_ws(' ',
+    '10.' || ((user_id // 65536) % 256) || '.' || ((user_id // 256) % 256) || '.' || (user_id % 256),
+    '-', CASE WHEN event_type = 'error' THEN '-' ELSE CAST(user_id AS VARCHAR) END,
+    strftime(ts, '%d/%m/%Y:%H:%M:%S'), '+0000',
+    CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END,
+    '/item/' || CAST(json_extract_string(props, '$.k') AS INTEGER)) AS line
+FROM events"""
+
 ORACLE_SQL = {
     "hot_item_counts": HOT_ITEM_COUNTS,
     "hot_items_topn": f"""SELECT window_end, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id)::BIGINT AS "rank",
        item_id, cnt
 FROM ({HOT_ITEM_COUNTS}) QUALIFY "rank" <= 3""",
+    "hot_urls_topn": _topn_by_day(_sliding(f"SELECT '/item/' || k AS url, us FROM ({VIEWS_K})", "url",
+                                           600_000_000, 5_000_000), "url", 5),
+    "hot_sale_topn": _topn_by_day(_sliding(f"SELECT k AS book, us FROM ({VIEWS_K}) WHERE event_type = 'purchase'",
+                                           "book", 600_000_000, 5_000_000), "book", 3),
+    "access_log_parse": f"""SELECT f[1] AS ip, TRY_CAST(NULLIF(f[3], '-') AS BIGINT) AS user_id,
+       strptime(f[4], '%d/%m/%Y:%H:%M:%S') AS ts, f[6] AS method, f[7] AS url
+FROM (SELECT string_split(line, ' ') AS f FROM ({ACCESS_LINES}))""",
+    "page_views_hourly": f"""SELECT make_timestamp((us // {HOUR} + 1) * {HOUR}) AS window_end, count(*)::BIGINT AS pv
+FROM ({VIEWS}) GROUP BY ALL""",
+    "unique_visitors_hourly": f"""SELECT make_timestamp((us // {HOUR} + 1) * {HOUR}) AS window_end,
+       count(DISTINCT user_id)::BIGINT AS uv
+FROM ({VIEWS}) GROUP BY ALL""",
+    "unique_visitors_bitmap": f"""SELECT make_timestamp((us // {HOUR} + 1) * {HOUR}) AS window_end,
+       count(DISTINCT {HASH28})::BIGINT AS uv
+FROM ({VIEWS}) GROUP BY ALL""",
+    "unique_visitors_running": f"""SELECT make_timestamp((b + 1) * {HOUR}) AS window_end, user_id,
+       row_number() OVER (PARTITION BY b ORDER BY us, event_id)::BIGINT AS uv_so_far
+FROM (SELECT us // {HOUR} AS b, user_id, us, event_id, {HASH28} AS h FROM ({VIEWS})
+      QUALIFY row_number() OVER (PARTITION BY b, h ORDER BY us, event_id) = 1)""",
+    "marketing_by_channel": f"""SELECT window_end - INTERVAL 1 HOUR AS window_start, * FROM (
+{_sliding(f"SELECT {CHANNEL_OF_K} AS channel, event_type AS behavior, us FROM ({VIEWS_K}) WHERE event_type IS DISTINCT FROM 'error'",
+          "channel, behavior", HOUR, 60_000_000)})""",
+    "marketing_total": f"""SELECT window_end - INTERVAL 1 HOUR AS window_start, * FROM (
+{_sliding(f"SELECT us FROM ({VIEWS_K})", "", HOUR, 60_000_000)})""",
+    "ad_quota_blacklist": f"SELECT user_id, day FROM ({AD_KEPT}) WHERE rn = 4",
+    "ad_clicks_by_geo": _sliding(f"""SELECT n.n_name AS province, a.us FROM ({AD_KEPT}) a
+JOIN nation n ON n.n_nationkey = a.user_id % 25 WHERE a.rn <= 3""", "province", HOUR, 300_000_000),
 }
