@@ -11,6 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstream.operators.joins import broadcast_if_small
+from clickstream.operators.matching import interval_join, outer_match, payment_timeout, window_join
+from clickstream.operators.sequence import (
+    blocks, burst, consecutive, follow_distinct, n_in_span, threshold_then_next,
+)
 from clickstream.operators.quota import quota_filter
 from clickstream.operators.visitors import bitmap_visitors, running_visitors, unique_visitors
 from clickstream.operators.windows import top_n, window_count
@@ -141,6 +145,116 @@ def ad_clicks_by_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
         "window_end", "province", "cnt")
 
 
+# ---------------------------------------------------------------- sequences
+
+def _logins(spark, sf_dir):
+    return behaviour_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value", "k")
+
+
+def _fail():
+    return F.col("event_type") == "error"
+
+
+def login_fail_consecutive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A failure right after a failure of the same user, less than 12 h apart."""
+    return consecutive(_logins(spark, sf_dir), "user_id", "ts", "event_id", _fail(), "12 hours")
+
+
+def seq_adjacent_fails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern ``fail next fail within 2 h`` (no skip: overlapping pairs)."""
+    return consecutive(_logins(spark, sf_dir), "user_id", "ts", "event_id", _fail(), "2 hours")
+
+
+def login_fail_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of at least 2 failures opened by a failure and spanning 24 h, inside unbroken runs."""
+    return burst(_logins(spark, sf_dir), "user_id", "ts", "event_id", _fail(), 2, "24 hours")
+
+
+def seq_n_in_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any 3 events of a user within 6 h (overlapping)."""
+    return n_in_span(_logins(spark, sf_dir), "user_id", "ts", "event_id", 3, "6 hours")
+
+
+def seq_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-overlapping blocks of 6 events of a user within 36 h."""
+    return blocks(_logins(spark, sf_dir), "user_id", "ts", "event_id", 6, "36 hours")
+
+
+def seq_threshold_then_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An event worth more than 100 points followed by the user's next event within 10 h."""
+    return threshold_then_next(_logins(spark, sf_dir), "user_id", "ts", "event_id", "value", 100, "10 hours")
+
+
+def _success():
+    return F.col("event_type") == "signup"
+
+
+def seq_multi_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per item k: a signup followed by 4 signups of other users than the first, within 5 days."""
+    m = follow_distinct(_logins(spark, sf_dir), "k", "ts", "event_id", "user_id", 4, "5 days",
+                        chain=False, cond=_success())
+    return m.withColumnRenamed("start_user_id", "start_user")
+
+
+def seq_account_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per item k: five signups, each by another user than the one before, within 5 days."""
+    m = follow_distinct(_logins(spark, sf_dir), "k", "ts", "event_id", "user_id", 4, "5 days",
+                        chain=True, cond=_success())
+    return m.withColumnRenamed("start_user_id", "start_user")
+
+
+# ---------------------------------------------------------------- two streams
+
+def _payments(spark, sf_dir):
+    ev = behaviour_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
+    return payment_timeout(ev.where(F.col("event_type") == "signup"), ev.where(F.col("event_type") == "purchase"),
+                           "user_id", "ts", "24 hours", keep=("event_id",))
+
+
+def order_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signups ("creates") paid by a purchase of the same user within 24 h."""
+    return _payments(spark, sf_dir).paid
+
+
+def order_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signups with no purchase within 24 h (open ones at the end of data included)."""
+    return _payments(spark, sf_dir).timed_out
+
+
+def _pay_receipt(spark, sf_dir):
+    ev = behaviour_events(spark, sf_dir)
+    pays = ev.where(F.col("event_type") == "view").select(
+        "user_id", F.col("event_id").alias("pay_id"), F.col("ts").alias("pay_ts"))
+    receipts = ev.where(F.col("event_type") == "click").select(
+        "user_id", F.col("event_id").alias("receipt_id"), F.col("ts").alias("receipt_ts"))
+    return pays, receipts
+
+
+def tx_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views ("pays") and clicks ("receipts") of a user with click.ts in [view.ts - 3 h, view.ts + 5 h]."""
+    pays, receipts = _pay_receipt(spark, sf_dir)
+    return interval_join(pays, receipts, "user_id", "pay_ts", "receipt_ts", -3 * 3600, 5 * 3600).select(
+        "user_id", "pay_id", "receipt_id", "pay_ts", "receipt_ts")
+
+
+def tx_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views and clicks of a user in the same 1 h tumbling window."""
+    pays, receipts = _pay_receipt(spark, sf_dir)
+    return window_join(pays, receipts, "user_id", "pay_ts", "receipt_ts", "1 hour").select(
+        "user_id", "pay_id", "receipt_id")
+
+
+def tx_match_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders vs their first shipment: matched when shipped within [-15 d, +20 d] of the order."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").alias("order_ts"))
+    ships = (read_table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("order_key"))
+             .agg(F.min("l_shipdate").alias("ship_ts")))
+    m = outer_match(orders, ships, "order_key", "order_ts", "ship_ts", -15 * 86400, 20 * 86400,
+                    left_only="unmatched_order", right_only="unmatched_shipment")
+    return m.withColumnRenamed("left_ts", "order_ts").withColumnRenamed("right_ts", "ship_ts")
+
+
 QUERIES = {
     "hot_item_counts": hot_item_counts,
     "hot_items_topn": hot_items_topn,
@@ -155,4 +269,17 @@ QUERIES = {
     "marketing_total": marketing_total,
     "ad_quota_blacklist": ad_quota_blacklist,
     "ad_clicks_by_geo": ad_clicks_by_geo,
+    "login_fail_consecutive": login_fail_consecutive,
+    "login_fail_burst": login_fail_burst,
+    "seq_adjacent_fails": seq_adjacent_fails,
+    "seq_n_in_span": seq_n_in_span,
+    "seq_blocks": seq_blocks,
+    "seq_threshold_then_next": seq_threshold_then_next,
+    "seq_multi_account": seq_multi_account,
+    "seq_account_chain": seq_account_chain,
+    "order_payment": order_payment,
+    "order_timeout": order_timeout,
+    "tx_interval_join": tx_interval_join,
+    "tx_match_outer": tx_match_outer,
+    "tx_window_join": tx_window_join,
 }

@@ -48,6 +48,88 @@ ACCESS_LINES = """SELECT concat_ws(' ',
     '/item/' || CAST(json_extract_string(props, '$.k') AS INTEGER)) AS line
 FROM events"""
 
+E = f"SELECT event_id, ts, us, user_id, event_type, value, k FROM ({VIEWS_K})"
+
+
+def _greedy(cands: str, key: str, cols: str) -> str:
+    """Skip-past-last-event selection by following successor pointers.
+
+    ``cands`` has ``key, s_us, s_id, e_us, e_id`` plus output columns.  Candidates
+    are numbered by (end, start); the first is taken, then repeatedly the first
+    whose start lies after the taken end.
+    """
+    return f"""WITH RECURSIVE c AS (
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY e_us, e_id, s_us, s_id) AS ci FROM ({cands})),
+nx AS (
+  SELECT a.{key}, a.ci, min(b.ci) AS nci FROM c a JOIN c b ON a.{key} = b.{key}
+    AND (b.s_us > a.e_us OR (b.s_us = a.e_us AND b.s_id > a.e_id))
+  GROUP BY a.{key}, a.ci),
+ch AS (
+  SELECT {key}, 1::BIGINT AS ci FROM c GROUP BY {key}
+  UNION ALL
+  SELECT nx.{key}, nx.nci FROM ch JOIN nx ON nx.{key} = ch.{key} AND nx.ci = ch.ci)
+SELECT {cols} FROM ch JOIN c USING ({key}, ci)"""
+
+
+def _leads(n: int) -> str:
+    return f"""SELECT *, lead(us, {n}) OVER w AS e_us, lead(event_id, {n}) OVER w AS e_id, lead(ts, {n}) OVER w AS e_ts
+FROM ({E}) WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)"""
+
+
+def _pair_fails(span_us: int) -> str:
+    return f"""SELECT user_id, ts AS first_ts, nts AS last_ts FROM (
+  SELECT *, lead(event_type) OVER w AS nt, lead(ts) OVER w AS nts, lead(us) OVER w AS nus
+  FROM ({E}) WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id))
+WHERE event_type = 'error' AND nt = 'error' AND nus - us < {span_us}"""
+
+
+DAY = 86_400_000_000
+
+BURST_CANDS = f"""SELECT user_id, us AS s_us, event_id AS s_id, ts AS first_ts,
+       last_value(us) OVER r AS e_us, last_value(event_id) OVER r AS e_id, last_value(ts) OVER r AS last_ts,
+       count(*) OVER r AS times
+FROM (SELECT *, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END)
+                  OVER (PARTITION BY user_id ORDER BY us, event_id) AS run
+      FROM ({E}))
+WHERE event_type = 'error'
+WINDOW r AS (PARTITION BY user_id, run ORDER BY us RANGE BETWEEN CURRENT ROW AND {24 * HOUR} FOLLOWING)"""
+
+SIG = f"SELECT k, user_id, us, ts, event_id FROM ({E}) WHERE event_type = 'signup'"
+
+MULTI_CANDS = f"""SELECT s.k, s.user_id AS start_user, s.us AS s_us, s.event_id AS s_id, s.ts AS first_ts,
+       e.us AS e_us, e.event_id AS e_id, e.ts AS last_ts
+FROM ({SIG}) s JOIN ({SIG}) e ON e.k = s.k
+  AND (e.us > s.us OR (e.us = s.us AND e.event_id > s.event_id))
+  AND e.us - s.us < {5 * DAY} AND e.user_id <> s.user_id
+QUALIFY row_number() OVER (PARTITION BY s.k, s.us, s.event_id ORDER BY e.us, e.event_id) = 4"""
+
+# first event after x (same k) by another user = first event of the next same-user run
+CHAIN_STEP = f"""WITH r AS (
+  SELECT *, sum(CASE WHEN user_id IS DISTINCT FROM pu THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY us, event_id) AS run
+  FROM (SELECT *, lag(user_id) OVER (PARTITION BY k ORDER BY us, event_id) AS pu FROM ({SIG}))),
+heads AS (SELECT k, run, us, event_id, ts, user_id FROM r QUALIFY row_number() OVER (PARTITION BY k, run ORDER BY us, event_id) = 1)
+SELECT r.k, r.event_id AS id, r.us, r.ts, r.user_id, h.event_id AS nid FROM r LEFT JOIN heads h ON h.k = r.k AND h.run = r.run + 1"""
+
+CHAIN_CANDS = f"""WITH st AS ({CHAIN_STEP})
+SELECT a.k, a.user_id AS start_user, a.us AS s_us, a.id AS s_id, a.ts AS first_ts,
+       e.us AS e_us, e.id AS e_id, e.ts AS last_ts
+FROM st a JOIN st b ON b.k = a.k AND b.id = a.nid JOIN st c ON c.k = a.k AND c.id = b.nid
+  JOIN st d ON d.k = a.k AND d.id = c.nid JOIN st e ON e.k = a.k AND e.id = d.nid
+WHERE e.us - a.us < {5 * DAY}"""
+
+PAY_VIEWS = f"SELECT user_id, event_id AS pay_id, ts AS pay_ts, us FROM ({E}) WHERE event_type = 'view'"
+PAY_CLICKS = f"SELECT user_id, event_id AS receipt_id, ts AS receipt_ts, us FROM ({E}) WHERE event_type = 'click'"
+
+
+def _payment(exists: bool) -> str:
+    neg = "" if exists else "NOT "
+    status = "success" if exists else "timeout"
+    return f"""SELECT c.user_id, c.event_id, '{status}' AS status FROM ({E}) c
+WHERE c.event_type = 'signup' AND {neg}EXISTS (
+  SELECT 1 FROM ({E}) p WHERE p.event_type = 'purchase' AND p.user_id = c.user_id
+    AND p.us >= c.us AND p.us < c.us + {DAY})"""
+
+
 ORACLE_SQL = {
     "hot_item_counts": HOT_ITEM_COUNTS,
     "hot_items_topn": f"""SELECT window_end, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id)::BIGINT AS "rank",
@@ -80,4 +162,29 @@ FROM (SELECT us // {HOUR} AS b, user_id, us, event_id, {HASH28} AS h FROM ({VIEW
     "ad_quota_blacklist": f"SELECT user_id, day FROM ({AD_KEPT}) WHERE rn = 4",
     "ad_clicks_by_geo": _sliding(f"""SELECT n.n_name AS province, a.us FROM ({AD_KEPT}) a
 JOIN nation n ON n.n_nationkey = a.user_id % 25 WHERE a.rn <= 3""", "province", HOUR, 300_000_000),
+    "login_fail_consecutive": _pair_fails(12 * HOUR),
+    "seq_adjacent_fails": _pair_fails(2 * HOUR),
+    "login_fail_burst": _greedy(BURST_CANDS, "user_id", "user_id, first_ts, last_ts, times") + " WHERE times >= 2",
+    "seq_n_in_span": f"SELECT user_id, ts AS first_ts, e_ts AS last_ts FROM ({_leads(2)}) WHERE e_us - us < {6 * HOUR}",
+    "seq_blocks": _greedy(f"""SELECT user_id, us AS s_us, event_id AS s_id, e_us, e_id, ts AS first_ts, e_ts AS last_ts
+FROM ({_leads(5)}) WHERE e_us - us < {36 * HOUR}""", "user_id", "user_id, first_ts, last_ts"),
+    "seq_threshold_then_next": _greedy(f"""SELECT user_id, us AS s_us, event_id AS s_id, e_us, e_id, ts AS first_ts, e_ts AS next_ts
+FROM ({_leads(1)}) WHERE value > 100 AND e_us - us < {10 * HOUR}""", "user_id", "user_id, first_ts, next_ts"),
+    "seq_multi_account": _greedy(MULTI_CANDS, "k", "k, start_user, first_ts, last_ts"),
+    "seq_account_chain": _greedy(CHAIN_CANDS, "k", "k, start_user, first_ts, last_ts"),
+    "order_payment": _payment(True),
+    "order_timeout": _payment(False),
+    "tx_interval_join": f"""SELECT v.user_id, v.pay_id, c.receipt_id, v.pay_ts, c.receipt_ts
+FROM ({PAY_VIEWS}) v JOIN ({PAY_CLICKS}) c ON v.user_id = c.user_id
+  AND c.us BETWEEN v.us - {3 * HOUR} AND v.us + {5 * HOUR}""",
+    "tx_window_join": f"""SELECT v.user_id, v.pay_id, c.receipt_id
+FROM ({PAY_VIEWS}) v JOIN ({PAY_CLICKS}) c ON v.user_id = c.user_id AND v.us // {HOUR} = c.us // {HOUR}""",
+    "tx_match_outer": """WITH o AS (SELECT o_orderkey AS order_key, o_orderdate AS order_ts FROM orders),
+s AS (SELECT l_orderkey AS order_key, min(l_shipdate) AS ship_ts FROM lineitem GROUP BY 1)
+SELECT coalesce(o.order_key, s.order_key) AS order_key,
+       CASE WHEN o.order_key IS NOT NULL AND s.order_key IS NOT NULL THEN 'matched'
+            WHEN o.order_key IS NOT NULL THEN 'unmatched_order' ELSE 'unmatched_shipment' END AS status,
+       o.order_ts, s.ship_ts
+FROM o FULL OUTER JOIN s ON o.order_key = s.order_key
+  AND s.ship_ts BETWEEN o.order_ts - INTERVAL 15 DAY AND o.order_ts + INTERVAL 20 DAY""",
 }
