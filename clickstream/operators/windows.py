@@ -88,7 +88,7 @@ def window_count(df: DataFrame, ts: str, size, slide=None, keys: Sequence[str] |
                 .select(*keys, F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + n)).alias("_e"), "_c")
                 .groupBy(*keys, "_e").agg(F.sum("_c").alias("_v")))
     else:
-        ends = _sweep(counts, keys, n, chunk_slides or max(2 * n, 512))
+        ends = _sweep(counts, keys, n, chunk_slides or max(8 * n, 4096))
     end_us = F.col("_e") * F.lit(slide_us)
     return ends.select(
         *keys,

@@ -49,6 +49,13 @@ def hot_items_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("window_end", "rank", "item_id", "cnt")
 
 
+def behaviour_counts_1h_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per behaviour in 1 h windows sliding by 10 s (360 windows per event)."""
+    ev = behaviour_events(spark, sf_dir)
+    return window_count(ev, "ts", "1 hour", "10 seconds", keys=["event_type"]).select(
+        "window_end", "event_type", "cnt")
+
+
 def hot_urls_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 5 URLs per 10 min window sliding by 5 s, rolled up by day."""
     hits = behaviour_events(spark, sf_dir).select(
@@ -258,6 +265,7 @@ def tx_match_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "hot_item_counts": hot_item_counts,
     "hot_items_topn": hot_items_topn,
+    "behaviour_counts_1h_10s": behaviour_counts_1h_10s,
     "hot_urls_topn": hot_urls_topn,
     "hot_sale_topn": hot_sale_topn,
     "access_log_parse": access_log_parse,

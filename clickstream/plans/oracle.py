@@ -135,6 +135,7 @@ ORACLE_SQL = {
     "hot_items_topn": f"""SELECT window_end, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id)::BIGINT AS "rank",
        item_id, cnt
 FROM ({HOT_ITEM_COUNTS}) QUALIFY "rank" <= 3""",
+    "behaviour_counts_1h_10s": _sliding(f"SELECT event_type, us FROM ({VIEWS_K})", "event_type", HOUR, 10_000_000),
     "hot_urls_topn": _topn_by_day(_sliding(f"SELECT '/item/' || k AS url, us FROM ({VIEWS_K})", "url",
                                            600_000_000, 5_000_000), "url", 5),
     "hot_sale_topn": _topn_by_day(_sliding(f"SELECT k AS book, us FROM ({VIEWS_K}) WHERE event_type = 'purchase'",
