@@ -1,7 +1,8 @@
 """Batch and streaming readers for the headerless CSV logs.
 
 Malformed lines do not stop the job (the reference throws on the first one):
-they land in a ``_corrupt`` column and :func:`split_corrupt` routes them apart.
+they keep their text in a ``_corrupt`` column and :func:`split_corrupt` routes
+them apart.
 Empty fields read as NULL (``tx_id`` on create events).  ``event_ts`` is the
 NTZ event time derived from epoch seconds (or milliseconds for marketing logs).
 """
@@ -14,10 +15,6 @@ from clickstream.functions.eventtime import millis_to_ts, seconds_to_ts
 from clickstream.sources.schemas import CORRUPT, LOG_SCHEMAS
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-
-
 def _finish(df: DataFrame, kind: str) -> DataFrame:
     if kind == "marketing":
         return df.withColumn("event_ts", millis_to_ts("ts_ms"))
@@ -27,23 +24,19 @@ def _finish(df: DataFrame, kind: str) -> DataFrame:
 def read_log(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Read a log of ``kind`` (see ``LOG_SCHEMAS``) as a batch DataFrame.
 
-    Adds ``seq``: the ingest order (file order within a read), used to break ties
-    between events with equal time.
+    Lines are read as text and parsed by :func:`parse_lines`, the same rule the
+    socket and Kafka paths use.  Adds ``seq``: the ingest order (file order
+    within a read), used to break ties between events with equal time.
     """
-    df = (spark.read.schema(_with_corrupt(LOG_SCHEMAS[kind]))
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .csv(path))
-    return _finish(df, kind).withColumn("seq", F.monotonically_increasing_id())
+    return parse_lines(spark.read.text(path), kind).withColumn("seq", F.monotonically_increasing_id())
 
 
 def read_log_stream(spark: SparkSession, path: str, kind: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming twin of :func:`read_log` (file source; a socket or Kafka source
-    gives the same rows through :func:`parse_lines`)."""
-    r = (spark.readStream.schema(_with_corrupt(LOG_SCHEMAS[kind]))
-         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
+    """Streaming twin of :func:`read_log` over a folder of log files."""
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _finish(r.csv(path), kind)
+    return parse_lines(r.text(path), kind)
 
 
 def parse_lines(lines: DataFrame, kind: str, col: str = "value") -> DataFrame:
