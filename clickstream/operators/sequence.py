@@ -37,6 +37,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from clickstream.functions.eventtime import duration_us, epoch_us
+from clickstream.session import checkpoint_dir
+from clickstream.operators.sorted_groups import group_starts, scan_sorted_groups
 from clickstream.operators.windows import floor_div
 
 DAY_US = 86_400_000_000
@@ -127,36 +129,186 @@ def n_in_span(df: DataFrame, keys, ts: str, seq: str, n: int, within, cond: Colu
 
 # --------------------------------------------------------------------------- greedy selection
 
-def greedy_select(iv: DataFrame, keys, start: str = "_startpos", end: str = "_endpos") -> DataFrame:
+_NONE = np.iinfo(np.int64).min
+
+
+def _after(su, sq, lu, lq):
+    """Position (su, sq) strictly after (lu, lq); works elementwise on arrays."""
+    return (su > lu) | ((su == lu) & (sq > lq))
+
+
+def _variant_exits(pdf: pd.DataFrame, chunk_us: int, key_names: list[str]) -> pd.DataFrame:
+    """Pass 1 over (key, chunk) groups: each chunk's exit state for every entry state.
+
+    Only intervals that started before the chunk start ("straddlers") can be
+    blocked by an earlier choice, and an entry state blocks exactly the
+    straddlers starting at or before it: variant ``p`` blocks the first ``p``
+    straddler starts.  All variants run together; variants that reach the same
+    state merge.  Emits runs ``[p_lo, p_hi] -> exit`` (exit NULL when the chunk
+    chooses nothing).  Rows arrive sorted by (key, chunk, end, start).
+    """
+    su, sq = pdf["s_us"].tolist(), pdf["s_seq"].tolist()
+    eu, eq = pdf["e_us"].tolist(), pdf["e_seq"].tolist()
+    gcs = pdf["_gc"].tolist()
+    starts = group_starts(pdf, key_names + ["_gc"]).tolist() + [len(pdf)]
+    out = {k: [] for k in key_names}
+    out.update({"_gc": [], "p_lo": [], "p_hi": [], "x_us": [], "x_seq": []})
+    keyvals = {k: pdf[k].tolist() for k in key_names}
+    for a, b in zip(starts[:-1], starts[1:]):
+        lo_pos = gcs[a] * chunk_us
+        strad = sorted({(su[i], sq[i]) for i in range(a, b) if su[i] < lo_pos})
+        # variant state: [L (tuple) or None, took]; variant p -> index into states
+        states = [[None, False]] + [[t, False] for t in strad]
+        owner = list(range(len(states)))
+        for i in range(a, b):
+            s_pos, e_pos = (su[i], sq[i]), (eu[i], eq[i])
+            merged = {}
+            for st in states:
+                if st[0] is None or s_pos > st[0]:
+                    st[0], st[1] = e_pos, True
+            if len(states) > 1:
+                for idx, st in enumerate(states):
+                    merged.setdefault((st[0], st[1]), idx)
+                if len(merged) < len(states):
+                    keep = sorted(merged.values())
+                    remap = {old: keep.index(merged[(states[old][0], states[old][1])]) for old in range(len(states))}
+                    owner = [remap[o] for o in owner]
+                    states = [states[k] for k in keep]
+        exits = [states[o][0] if states[o][1] else None for o in owner]
+        p = 0
+        while p < len(exits):
+            q = p
+            while q + 1 < len(exits) and exits[q + 1] == exits[p]:
+                q += 1
+            for k in key_names:
+                out[k].append(keyvals[k][a])
+            out["_gc"].append(gcs[a])
+            out["p_lo"].append(p)
+            out["p_hi"].append(q)
+            out["x_us"].append(None if exits[p] is None else exits[p][0])
+            out["x_seq"].append(None if exits[p] is None else exits[p][1])
+            p = q + 1
+    res = pd.DataFrame(out)
+    for c in ("x_us", "x_seq"):
+        res[c] = pd.array(res[c].tolist(), dtype="Int64")
+    return res
+
+
+def _chain(pdf: pd.DataFrame, key_names: list[str]) -> pd.DataFrame:
+    """Per key, walk the chunks in order and fix each chunk's true entry state.
+
+    Rows are the union of pass-1 runs (``kind = 0``: variant range -> exit) and
+    the variant map (``kind = 1``: an exit of chunk ``j - 1`` -> the variant it
+    selects in chunk ``j``), sorted by (key, chunk, kind).
+    """
+    out = {k: [] for k in key_names}
+    out.update({"_gc": [], "in_us": [], "in_seq": []})
+    kind, gcs = pdf["kind"].tolist(), pdf["_gc"].tolist()
+    plo, phi = pdf["p_lo"].tolist(), pdf["p_hi"].tolist()
+    xu, xq = pdf["x_us"].tolist(), pdf["x_seq"].tolist()
+    keyvals = {k: pdf[k].tolist() for k in key_names}
+    bounds = group_starts(pdf, key_names).tolist() + [len(pdf)]
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        prev_gc, exit_ = None, None
+        i = a
+        while i < b:
+            gc = gcs[i]
+            j = i
+            while j < b and gcs[j] == gc:
+                j += 1
+            runs = [(plo[r], phi[r], None if xu[r] == _NONE else (xu[r], xq[r])) for r in range(i, j) if kind[r] == 0]
+            pmap = {(xu[r], xq[r]): plo[r] for r in range(i, j) if kind[r] == 1}
+            if runs:
+                entry = exit_ if (prev_gc == gc - 1 and exit_ is not None) else None
+                p = pmap.get(entry, 0) if entry is not None else 0
+                for k in key_names:
+                    out[k].append(keyvals[k][a])
+                out["_gc"].append(gc)
+                out["in_us"].append(None if entry is None else entry[0])
+                out["in_seq"].append(None if entry is None else entry[1])
+                exit_ = next(r for r in runs if r[0] <= p <= r[1])[2]
+                prev_gc = gc
+            i = j
+    res = pd.DataFrame(out)
+    for c in ("in_us", "in_seq"):
+        res[c] = pd.array(res[c].tolist(), dtype="Int64")
+    return res
+
+
+def _final_greedy(pdf: pd.DataFrame, key_names: list[str]) -> pd.DataFrame:
+    """Pass 3 over (key, chunk) groups: the greedy choice from the known entry state."""
+    su, sq = pdf["s_us"].tolist(), pdf["s_seq"].tolist()
+    eu, eq = pdf["e_us"].tolist(), pdf["e_seq"].tolist()
+    iu, iq = pdf["in_us"].tolist(), pdf["in_seq"].tolist()
+    keep = [False] * len(pdf)
+    bounds = group_starts(pdf, key_names + ["_gc"]).tolist() + [len(pdf)]
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        last = None if iu[a] == _NONE else (iu[a], iq[a])
+        for i in range(a, b):
+            if last is None or (su[i], sq[i]) > last:
+                keep[i] = True
+                last = (eu[i], eq[i])
+    return pdf[keep]
+
+
+def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None) -> DataFrame:
     """Keep the intervals the skip-past-last-event strategy keeps.
 
-    Per key: repeatedly take the interval with the smallest ``(end, start)``
-    whose start lies after the last taken end.  Intervals are first cut into
-    connected components (an interval starting after every earlier interval has
-    ended opens a new one); the choice inside a component does not depend on any
-    other, so each is folded on its own, JVM-side, with ``aggregate``.
+    ``iv`` has ``keys`` plus flat ``s_us, s_seq, e_us, e_seq`` (start and end
+    positions; one interval per start; ``e_us - s_us <= span_us``) and any
+    payload.  Per key, in ``(end, start)`` order, an interval is taken when it
+    starts after the last taken end.
+
+    Distributed in three steps so no task holds more than one time chunk of a
+    key: (1) per (key, chunk of ends), the exit state for every entry state;
+    (2) per key, a walk over the chunks' small summaries fixes each chunk's
+    entry; (3) per (key, chunk), the choice from that entry.
     """
     keys = _keys(keys)
-    by_start = Window.partitionBy(*keys).orderBy(start)
-    opens = F.when(F.col(start) > F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, -1)), 1) \
-        .when(F.row_number().over(by_start) == 1, 1).otherwise(0)
-    comp = (iv.withColumn("_open", opens)
-            .withColumn("_comp", F.sum("_open").over(by_start.rowsBetween(Window.unboundedPreceding, 0))))
-    payload = [c for c in iv.columns if c not in keys]
-    items = F.array_sort(F.collect_list(F.struct(F.col(end).alias("_e"), F.col(start).alias("_s"),
-                                                 *[F.col(c) for c in payload])))
-    grouped = comp.groupBy(*keys, "_comp").agg(items.alias("_items"))
-    first = F.element_at("_items", 1)
-    init = F.struct(F.lit(False).alias("has"), first["_e"].alias("last"),
-                    F.slice("_items", 1, 0).alias("out"))
-
-    def step(acc, x):
-        take = ~acc["has"] | (x["_s"] > acc["last"])
-        return F.when(take, F.struct(F.lit(True).alias("has"), x["_e"].alias("last"),
-                                     F.array_append(acc["out"], x).alias("out"))).otherwise(acc)
-
-    chosen = grouped.select(*keys, F.explode(F.aggregate("_items", init, step, lambda acc: acc["out"])).alias("_x"))
-    return chosen.select(*keys, *[F.col("_x")[c].alias(c) for c in payload])
+    chunk_us = _chunk_us(span_us, chunk)
+    gk = keys or ["_gk"]
+    base = iv.withColumn("_gc", floor_div(F.col("e_us"), chunk_us))
+    if not keys:
+        base = base.withColumn("_gk", F.lit(0))
+    # the candidates feed three passes: write them once to the shared checkpoint
+    # folder (lineage cut, nothing recomputed after an executor loss)
+    checkpoint_dir(base.sparkSession)
+    base = base.checkpoint(eager=True)
+    kfields = [base.schema[k] for k in gk]
+    order = ["e_us", "e_seq", "s_us", "s_seq"]
+
+    runs_schema = T.StructType(kfields + [
+        T.StructField("_gc", T.LongType()), T.StructField("p_lo", T.LongType()), T.StructField("p_hi", T.LongType()),
+        T.StructField("x_us", T.LongType()), T.StructField("x_seq", T.LongType())])
+    slim = base.select(*gk, "_gc", "s_us", "s_seq", "e_us", "e_seq")
+    runs = scan_sorted_groups(slim, gk + ["_gc"], order, lambda pdf: _variant_exits(pdf, chunk_us, gk),
+                              runs_schema).checkpoint(eager=True)  # a few rows per chunk, read twice
+
+    # variant chosen in chunk j by each exit of chunk j-1: straddler starts at or before it
+    strad = slim.where(F.col("s_us") < F.col("_gc") * F.lit(chunk_us)).select(
+        *gk, "_gc", F.col("s_us").alias("pu"), F.col("s_seq").alias("pq"), F.lit(0).alias("tag"))
+    exits = runs.where(F.col("x_us").isNotNull()).select(
+        *gk, (F.col("_gc") + 1).alias("_gc"), F.col("x_us").alias("pu"), F.col("x_seq").alias("pq"),
+        F.lit(1).alias("tag")).dropDuplicates()
+    w = Window.partitionBy(*gk, "_gc").orderBy("pu", "pq", "tag").rowsBetween(Window.unboundedPreceding, 0)
+    pmap = (strad.unionByName(exits).withColumn("p", F.sum(1 - F.col("tag")).over(w))
+            .where(F.col("tag") == 1)
+            .select(*gk, "_gc", F.lit(1).alias("kind"), F.col("p").cast("long").alias("p_lo"),
+                    F.lit(None).cast("long").alias("p_hi"), F.col("pu").alias("x_us"), F.col("pq").alias("x_seq")))
+
+    entry_schema = T.StructType(kfields + [T.StructField("_gc", T.LongType()),
+                                           T.StructField("in_us", T.LongType()), T.StructField("in_seq", T.LongType())])
+    summary = (runs.select(*gk, "_gc", F.lit(0).alias("kind"), "p_lo", "p_hi", "x_us", "x_seq").unionByName(pmap)
+               .fillna(int(_NONE), ["p_hi", "x_us", "x_seq"]))  # NULL longs would reach pandas as floats
+    entries = scan_sorted_groups(summary, gk, ["_gc", "kind"], lambda pdf: _chain(pdf, gk), entry_schema)
+
+    joined = base.join(entries, gk + ["_gc"], "left").fillna(int(_NONE), ["in_us", "in_seq"])
+    chosen = scan_sorted_groups(joined, gk + ["_gc"], order, lambda pdf: _final_greedy(pdf, gk), joined.schema)
+    return chosen.drop("_gc", "in_us", "in_seq", *([] if keys else ["_gk"]))
+
+
+def _flat(prefix: str, pos: Column) -> list[Column]:
+    return [pos["us"].alias(f"{prefix}_us"), pos["seq"].alias(f"{prefix}_seq"), pos["ts"].alias(f"{prefix}_ts")]
 
 
 # --------------------------------------------------------------------------- tier 2
@@ -170,8 +322,9 @@ def blocks(df: DataFrame, keys, ts: str, seq: str, n: int, within, cond: Column
     result is greedy blocks of exactly ``n``.  Returns ``keys..., first_ts, last_ts``.
     """
     keys, c = _run_candidates(df, keys, ts, seq, n, within, cond, False, chunk)
-    return greedy_select(c, keys).select(*keys, F.col("_startpos.ts").alias("first_ts"),
-                                         F.col("_endpos.ts").alias("last_ts"))
+    flat = c.select(*keys, *_flat("s", F.col("_startpos")), *_flat("e", F.col("_endpos")))
+    return greedy_select(flat, keys, duration_us(within), chunk).select(
+        *keys, F.col("s_ts").alias("first_ts"), F.col("e_ts").alias("last_ts"))
 
 
 def threshold_then_next(df: DataFrame, keys, ts: str, seq: str, value: str, threshold: float,
@@ -190,9 +343,9 @@ def threshold_then_next(df: DataFrame, keys, ts: str, seq: str, value: str, thre
     c = (h.select(*keys, "_chunk", "_own", "_hot", "_us", _pos().alias("_startpos"),
                   (F.lead("_us").over(w) - F.col("_us")).alias("_dt"), F.lead(_pos()).over(w).alias("_endpos"))
          .where((F.col("_chunk") == F.col("_own")) & F.col("_hot") & (F.col("_dt") < F.lit(span)))
-         .select(*keys, "_startpos", "_endpos"))
-    return greedy_select(c, keys).select(*keys, F.col("_startpos.ts").alias("first_ts"),
-                                         F.col("_endpos.ts").alias("next_ts"))
+         .select(*keys, *_flat("s", F.col("_startpos")), *_flat("e", F.col("_endpos"))))
+    return greedy_select(c, keys, span, chunk).select(*keys, F.col("s_ts").alias("first_ts"),
+                                                      F.col("e_ts").alias("next_ts"))
 
 
 def burst(df: DataFrame, keys, ts: str, seq: str, is_fail: Column, min_count: int, span,
@@ -227,13 +380,13 @@ def burst(df: DataFrame, keys, ts: str, seq: str, is_fail: Column, min_count: in
     )
     cut = F.col("_nf_rn").isNotNull() & (F.col("_nf_rn") - 1 < F.col("_span_rn"))
     iv = (x.where((F.col("_chunk") == F.col("_own")) & F.col("_fail"))
-          .select(*keys, "_startpos",
-                  F.when(cut, F.col("_nf_prev")).otherwise(F.col("_span_pos")).alias("_endpos"),
+          .select(*keys, *_flat("s", F.col("_startpos")),
+                  *_flat("e", F.when(cut, F.col("_nf_prev")).otherwise(F.col("_span_pos"))),
                   (F.when(cut, F.col("_nf_rn") - 1).otherwise(F.col("_span_rn")) - F.col("_rn") + 1)
                   .alias("times")))
-    groups = greedy_select(iv, keys)
+    groups = greedy_select(iv, keys, span_us + 1, chunk)
     return groups.where(F.col("times") >= min_count).select(
-        *keys, F.col("_startpos.ts").alias("first_ts"), F.col("_endpos.ts").alias("last_ts"),
+        *keys, F.col("s_ts").alias("first_ts"), F.col("e_ts").alias("last_ts"),
         F.col("times").cast("long").alias("times"))
 
 
@@ -246,33 +399,33 @@ def _completions(pdf: pd.DataFrame, n_more: int, span_us: int, chain: bool) -> p
     ``who`` differs from the start's (``chain=False``) or from the last captured
     event's (``chain=True``), until ``n_more`` are captured; it dies once an
     event is ``span_us`` or more after ``s``.  Partial matches do not interact,
-    so each start is scanned on its own.
+    so each start is scanned on its own.  Rows arrive sorted by
+    (key, chunk, us, seq).
     """
-    pdf = pdf.sort_values(["_us", "_seq"], kind="mergesort").reset_index(drop=True)
-    us = pdf["_us"].to_numpy()
-    who = pdf["_who"].to_numpy()
-    owned = (pdf["_chunk"] == pdf["_own"]).to_numpy()
-    n = len(pdf)
-    starts, ends = [], []
-    for s in np.flatnonzero(owned):
-        limit = us[s] + span_us
-        ref, got, j = who[s], 0, s + 1
-        while j < n and us[j] < limit:
-            if who[j] != ref:
-                got += 1
-                if chain:
-                    ref = who[j]
-                if got == n_more:
-                    starts.append(s)
-                    ends.append(j)
-                    break
-            j += 1
-    si, ei = np.asarray(starts, dtype=np.int64), np.asarray(ends, dtype=np.int64)
+    us, seq, who = pdf["_us"].tolist(), pdf["_seq"].tolist(), pdf["_who"].tolist()
+    owned = (pdf["_chunk"] == pdf["_own"]).tolist()
+    si, ei = [], []
+    bounds = group_starts(pdf, ["_key", "_chunk"]).tolist() + [len(pdf)]
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        for st in range(a, b):
+            if not owned[st]:
+                continue
+            limit = us[st] + span_us
+            ref, got, j = who[st], 0, st + 1
+            while j < b and us[j] < limit:
+                if who[j] != ref:
+                    got += 1
+                    if chain:
+                        ref = who[j]
+                    if got == n_more:
+                        si.append(st)
+                        ei.append(j)
+                        break
+                j += 1
     return pd.DataFrame({
-        "_key": pdf["_key"].to_numpy()[si],
-        "start_who": who[si],
-        "_s_us": us[si], "_s_seq": pdf["_seq"].to_numpy()[si], "_s_ts": pdf["_ts"].to_numpy()[si],
-        "_e_us": us[ei], "_e_seq": pdf["_seq"].to_numpy()[ei], "_e_ts": pdf["_ts"].to_numpy()[ei],
+        "_key": pdf["_key"].to_numpy()[si], "start_who": pdf["_who"].to_numpy()[si],
+        "_s_us": pdf["_us"].to_numpy()[si], "_s_seq": pdf["_seq"].to_numpy()[si], "_s_ts": pdf["_ts"].to_numpy()[si],
+        "_e_us": pdf["_us"].to_numpy()[ei], "_e_seq": pdf["_seq"].to_numpy()[ei], "_e_ts": pdf["_ts"].to_numpy()[ei],
     })
 
 
@@ -301,12 +454,11 @@ def follow_distinct(df: DataFrame, key: str | None, ts: str, seq: str, who: str,
         T.StructField("_s_us", T.LongType()), T.StructField("_s_seq", T.LongType()), T.StructField("_s_ts", ts_type),
         T.StructField("_e_us", T.LongType()), T.StructField("_e_seq", T.LongType()), T.StructField("_e_ts", ts_type),
     ])
-    iv = (h.groupBy("_key", "_chunk")
-          .applyInPandas(lambda pdf: _completions(pdf, n_more, span, chain), out_schema)
-          .select("_key", "start_who",
-                  _pos("_s_us", "_s_seq", "_s_ts").alias("_startpos"),
-                  _pos("_e_us", "_e_seq", "_e_ts").alias("_endpos")))
-    chosen = greedy_select(iv, ["_key"])
+    iv = (scan_sorted_groups(h, ["_key", "_chunk"], ["_us", "_seq"],
+                             lambda pdf: _completions(pdf, n_more, span, chain), out_schema)
+          .select("_key", "start_who", *[F.col(f"_{c}").alias(c) for c in
+                                         ("s_us", "s_seq", "s_ts", "e_us", "e_seq", "e_ts")]))
+    chosen = greedy_select(iv, ["_key"], span, chunk)
     cols = [F.col("_key").alias(key)] if key else []
     return chosen.select(*cols, F.col("start_who").alias(f"start_{who}"),
-                         F.col("_startpos.ts").alias("first_ts"), F.col("_endpos.ts").alias("last_ts"))
+                         F.col("s_ts").alias("first_ts"), F.col("e_ts").alias("last_ts"))

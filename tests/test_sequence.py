@@ -126,3 +126,28 @@ def test_hot_key_split_by_chunks(spark):
     got2 = _tuples(burst(df, "user", "ts", "seq", F.col("kind") == "fail", 2, 7, chunk=8),
                    ["user", "first_ts", "last_ts", "times"])
     assert got2 == H.burst(rows, "user", lambda e: e["kind"] == "fail", 2, dt.timedelta(seconds=7))
+
+
+@pytest.mark.parametrize("seed", [5, 6, 7, 8])
+def test_greedy_select_matches_sequential_rule(spark, seed):
+    from clickstream.operators.sequence import greedy_select
+    rnd = random.Random(seed)
+    rows = []
+    for key in range(3):
+        for i in range(150):
+            s = rnd.randrange(0, 3000) * 1_000_000
+            e = s + rnd.randrange(0, 40) * 1_000_000
+            rows.append((key, s, i, e, 1000 + i))
+    df = spark.createDataFrame(rows, "k long, s_us long, s_seq long, e_us long, e_seq long")
+    want = []
+    for key in range(3):
+        last = None
+        for k, s, sq, e, eq in sorted((r for r in rows if r[0] == key), key=lambda r: (r[3], r[4], r[1], r[2])):
+            if last is None or (s, sq) > last:
+                want.append((k, s, sq))
+                last = (e, eq)
+    for chunk in (45, 100, None):
+        got = sorted((r.k, r.s_us, r.s_seq) for r in greedy_select(df, "k", 40_000_000, chunk=chunk).collect())
+        assert got == sorted(want), chunk
+    keyless = greedy_select(df.where("k = 0").drop("k"), [], 40_000_000, chunk=45)
+    assert sorted((0, r.s_us, r.s_seq) for r in keyless.collect()) == sorted(w for w in want if w[0] == 0)
