@@ -69,25 +69,47 @@ def _on(l, r, keys):
 
 def outer_match(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                 lower, upper, matched: str = "matched", left_only: str = "unmatched_left",
-                right_only: str = "unmatched_right") -> DataFrame:
+                right_only: str = "unmatched_right", unique_keys: bool = True) -> DataFrame:
     """Full outer equi + band join: the two-stream match with both unmatched outputs.
 
     In event-time order the reference's rule (a pay waits ``upper`` for its
     receipt, a receipt waits ``-lower`` for its pay, one slot per key) matches
     iff ``right.ts`` is in ``[left.ts + lower, left.ts + upper]``.  Returns
     ``key, status, left_ts, right_ts`` with ``status`` one of the three labels;
-    a key whose times do not fit yields one unmatched row per side.  Keys are
-    expected to be unique per side (transaction ids), so no bucket key is needed.
+    a key whose times do not fit yields one unmatched row per side.
+
+    ``unique_keys=True`` (transaction ids): one full outer join, one shuffle.
+    ``unique_keys=False``: keys may repeat or be hot, so matched pairs come from
+    the time-bucketed interval join and each unmatched side from a bucketed
+    anti join; no key ever pairs all its rows.
     """
     lo, hi = _signed_us(lower), _signed_us(upper)
     l = _prep(left.select(F.col(key).alias("_lk"), F.col(left_ts).alias("left_ts")), "left_ts", "_l")
     r = _prep(right.select(F.col(key).alias("_rk"), F.col(right_ts).alias("right_ts")), "right_ts", "_r")
-    cond = ((F.col("_lk") == F.col("_rk")) & (F.col("_r_us") >= F.col("_l_us") + F.lit(lo))
-            & (F.col("_r_us") <= F.col("_l_us") + F.lit(hi)))
-    j = l.join(r, cond, "full")
-    status = (F.when(F.col("_lk").isNotNull() & F.col("_rk").isNotNull(), F.lit(matched))
-              .when(F.col("_lk").isNotNull(), F.lit(left_only)).otherwise(F.lit(right_only)))
-    return j.select(F.coalesce("_lk", "_rk").alias(key), status.alias("status"), "left_ts", "right_ts")
+    band = (F.col("_r_us") >= F.col("_l_us") + F.lit(lo)) & (F.col("_r_us") <= F.col("_l_us") + F.lit(hi))
+    if unique_keys:
+        j = l.join(r, (F.col("_lk") == F.col("_rk")) & band, "full")
+        status = (F.when(F.col("_lk").isNotNull() & F.col("_rk").isNotNull(), F.lit(matched))
+                  .when(F.col("_lk").isNotNull(), F.lit(left_only)).otherwise(F.lit(right_only)))
+        return j.select(F.coalesce("_lk", "_rk").alias(key), status.alias("status"), "left_ts", "right_ts")
+    width = max(hi - lo + 1, 1)
+    # left row's band starts in bucket floor((l + lo) / width) and ends in that or the next
+    l_first = floor_div(F.col("_l_us") + F.lit(lo), width)
+    r_own = floor_div(F.col("_r_us"), width)
+    l1 = l.withColumn("_tb", l_first)
+    l2 = l.withColumn("_tb", F.explode(F.array_distinct(F.array(l_first, floor_div(F.col("_l_us") + F.lit(hi), width)))))
+    r1 = r.withColumn("_tb", r_own)
+    r2 = r.withColumn("_tb", F.explode(F.array_distinct(F.array(r_own, r_own - 1))))
+    on_l = lambda a, b: (a["_lk"] == b["_rk"]) & (a["_tb"] == b["_tb"]) & band
+    pairs = l2.join(r1, on_l(l2, r1), "inner").select(
+        F.col("_lk").alias(key), F.lit(matched).alias("status"), "left_ts", "right_ts")
+    lonely_l = l1.join(r2, on_l(l1, r2), "left_anti").select(
+        F.col("_lk").alias(key), F.lit(left_only).alias("status"), "left_ts",
+        F.lit(None).cast(right.schema[right_ts].dataType).alias("right_ts"))
+    lonely_r = r1.join(l2, on_l(l2, r1), "left_anti").select(
+        F.col("_rk").alias(key), F.lit(right_only).alias("status"),
+        F.lit(None).cast(left.schema[left_ts].dataType).alias("left_ts"), "right_ts")
+    return pairs.unionByName(lonely_l).unionByName(lonely_r)
 
 
 def window_join(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str, size) -> DataFrame:

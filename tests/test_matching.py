@@ -61,3 +61,17 @@ def test_payment_timeout(spark):
     res = payment_timeout(ev.where("kind = 'create'"), ev.where("kind = 'pay'"), "order", "ts", "15 minutes")
     assert sorted(r.order for r in res.paid.collect()) == [1, 3]
     assert sorted(r.order for r in res.timed_out.collect()) == [2, 5]
+
+
+def test_outer_match_repeated_keys_bucketed_equals_plain(spark):
+    import random
+    rnd = random.Random(4)
+    pays = spark.createDataFrame([("k%d" % rnd.randrange(3), T + dt.timedelta(seconds=rnd.randrange(200)))
+                                  for _ in range(120)], "tx string, ts timestamp_ntz")
+    recs = spark.createDataFrame([("k%d" % rnd.randrange(4), T + dt.timedelta(seconds=rnd.randrange(200)))
+                                  for _ in range(90)], "tx string, ts timestamp_ntz")
+    cols = ["tx", "status", "left_ts", "right_ts"]
+    plain = sorted(tuple(r[c] for c in cols) for r in outer_match(pays, recs, "tx", "ts", "ts", -3, 5).collect())
+    bucketed = sorted(tuple(r[c] for c in cols) for r in
+                      outer_match(pays, recs, "tx", "ts", "ts", -3, 5, unique_keys=False).collect())
+    assert bucketed == plain
