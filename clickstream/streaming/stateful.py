@@ -88,7 +88,19 @@ class _Buffered(StatefulProcessor):
 
     def as_state(self, r) -> tuple:
         """A buffered row as plain Python values (state encoders reject numpy scalars)."""
-        return tuple(int(v) if i < 2 else bool(v) for i, v in enumerate(r))
+        out = []
+        for f, v in zip(self.buf_schema.fields, r):
+            if v is None or (isinstance(v, float) and v != v):
+                out.append(None)
+            elif isinstance(f.dataType, T.LongType):
+                out.append(int(v))
+            elif isinstance(f.dataType, T.DoubleType):
+                out.append(float(v))
+            elif isinstance(f.dataType, T.BooleanType):
+                out.append(bool(v))
+            else:
+                out.append(str(v))
+        return tuple(out)
 
     def release(self, key, ready, timerValues):  # pragma: no cover - abstract
         raise NotImplementedError
@@ -197,3 +209,170 @@ def stream_consecutive(events: DataFrame, keys, ts: str, seq: str, cond, within,
         t = F.timestamp_micros(c)
         return t.cast("timestamp_ntz") if ntz else t
     return out.select(*keys, conv("cs_first").alias("first_ts"), conv("cs_last").alias("last_ts"))
+
+
+class SequenceProcessor(_Buffered):
+    """Skip-past-last-event rules over a key's released events.
+
+    State: the released events of the last ``span`` (possible starts) and the
+    end of the last emitted match.  For each newly released event, the
+    candidates completing exactly there are found; the earliest start after
+    the last emitted end wins (the pattern library's emission order).
+
+    ``rule``: ``blocks`` (``n`` events), ``threshold`` (event with value above
+    ``threshold`` then the adjacent event), ``follow`` (``n`` later events whose
+    ``who`` differs from the start's, or from the previous one with ``chain``).
+    """
+
+    def __init__(self, key_names, rule, span_us, n=2, threshold=0.0, chain=False):
+        self.key_names = list(key_names)
+        self.rule, self.span_us, self.n, self.threshold, self.chain = rule, span_us, n, threshold, chain
+        self.buf_schema = T.StructType([T.StructField("cs_us", T.LongType()), T.StructField("seq", T.LongType()),
+                                        T.StructField("cs_val", T.DoubleType()), T.StructField("cs_who", T.StringType())])
+
+    def init(self, handle):
+        super().init(handle)
+        self.hist = handle.getListState("hist", self.buf_schema)
+        self.last = handle.getValueState("last", T.StructType([T.StructField("us", T.LongType()),
+                                                               T.StructField("seq", T.LongType())]))
+
+    def _completes_at(self, ev, j):
+        """Start indexes whose partial match completes exactly at event ``j``."""
+        us = ev[j][0]
+        if self.rule == "blocks":
+            s = j - (self.n - 1)
+            return [s] if s >= 0 and us - ev[s][0] < self.span_us else []
+        if self.rule == "threshold":
+            s = j - 1
+            return [s] if s >= 0 and ev[s][2] is not None and ev[s][2] > self.threshold \
+                and us - ev[s][0] < self.span_us else []
+        out = []
+        for s in range(j - 1, -1, -1):
+            if us - ev[s][0] >= self.span_us:
+                break
+            ref, got = ev[s][3], 0
+            for t in range(s + 1, j + 1):
+                if ev[t][3] != ref:
+                    got += 1
+                    if self.chain:
+                        ref = ev[t][3]
+                    if got == self.n:
+                        break
+            if got == self.n and t == j:
+                out.append(s)
+        return sorted(out)
+
+    def release(self, key, ready, timerValues):
+        hist = list(self.hist.get())
+        ev = hist + ready
+        last = tuple(self.last.get()) if self.last.exists() else None
+        out = []
+        for j in range(len(hist), len(ev)):
+            for s in self._completes_at(ev, j):
+                if last is None or (ev[s][0], ev[s][1]) > last:
+                    out.append((*key, ev[s][0], ev[j][0], ev[s][3]))
+                    last = (ev[j][0], ev[j][1])
+                    break
+        if last is not None:
+            self.last.update(last)
+        newest = ev[-1][0] if ev else None
+        keep = [e for e in ev if newest is not None and newest - e[0] < self.span_us]
+        if self.rule == "blocks":
+            keep = ev[-max(len(keep), self.n - 1):] if self.n > 1 else keep
+        self.hist.put(keep)
+        return pd.DataFrame(out, columns=[*self.key_names, "cs_first", "cs_last", "cs_who"])
+
+
+def stream_sequence(events: DataFrame, keys, ts: str, seq: str, rule: str, within, n: int = 2,
+                    threshold: float = 0.0, value: str | None = None, who: str | None = None,
+                    chain: bool = False, cond=None, delay="0 seconds") -> DataFrame:
+    """Streaming twin of ``blocks`` / ``threshold_then_next`` / ``follow_distinct``.
+
+    Returns ``keys..., first_ts, last_ts`` (plus ``start_<who>`` for ``follow``).
+    Events not meeting ``cond`` are dropped first (relaxed contiguity rules).
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    src = events if cond is None else events.where(cond)
+    ev = _prepare(src, ts, delay)
+    val = F.col(value).cast("double") if value else F.lit(None).cast("double")
+    w = F.col(who).cast("string") if who else F.lit(None).cast("string")
+    fields = [ev.schema[k] for k in keys]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [
+        T.StructField("cs_first", T.LongType()), T.StructField("cs_last", T.LongType()),
+        T.StructField("cs_who", T.StringType())])
+    proc = SequenceProcessor(keys, rule, duration_us(within), n=n, threshold=threshold, chain=chain)
+    out = (ev.select(*keys, "cs_et", "cs_us", F.col(seq).cast("long").alias("seq"), val.alias("cs_val"),
+                     w.alias("cs_who"))
+           .groupBy(*keys).transformWithStateInPandas(proc, schema, "append", "EventTime"))
+    ntz = isinstance(events.schema[ts].dataType, T.TimestampNTZType)
+
+    def conv(c):
+        t = F.timestamp_micros(c)
+        return t.cast("timestamp_ntz") if ntz else t
+    cols = [*keys, conv("cs_first").alias("first_ts"), conv("cs_last").alias("last_ts")]
+    if rule == "follow" and who:
+        cols.append(F.col("cs_who").cast(events.schema[who].dataType).alias(f"start_{who}"))
+    return out.select(*cols)
+
+
+class BurstProcessor(_Buffered):
+    """Failure bursts: a group opened by a fail takes the run's fails within ``span``."""
+
+    def __init__(self, key_names, min_count, span_us):
+        self.key_names = list(key_names)
+        self.min_count, self.span_us = min_count, span_us
+        self.buf_schema = T.StructType([T.StructField("cs_us", T.LongType()), T.StructField("seq", T.LongType()),
+                                        T.StructField("cs_ok", T.BooleanType())])
+
+    def init(self, handle):
+        super().init(handle)
+        self.group = handle.getValueState("group", T.StructType([
+            T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
+            T.StructField("size", T.LongType())]))
+
+    def release(self, key, ready, timerValues):
+        g = list(self.group.get()) if self.group.exists() else None
+        out = []
+
+        def close():
+            if g is not None and g[2] >= self.min_count:
+                out.append((*key, g[0], g[1], g[2]))
+
+        for us, _seq, fail in ready:
+            if not fail:
+                close()
+                g = None
+            elif g is not None and us <= g[0] + self.span_us:
+                g = [g[0], us, g[2] + 1]
+            else:
+                close()
+                g = [us, us, 1]
+        if g is not None and timerValues.getCurrentWatermarkInMs() * 1000 > g[0] + self.span_us:
+            close()
+            g = None
+        if g is None:
+            self.group.clear()
+        else:
+            self.group.update(tuple(g))
+            self._arm(-(-(g[0] + self.span_us + 1) // 1000))  # the group can only grow until then
+        return pd.DataFrame(out, columns=[*self.key_names, "cs_first", "cs_last", "times"])
+
+
+def stream_burst(events: DataFrame, keys, ts: str, seq: str, is_fail, min_count: int, span,
+                 delay="0 seconds") -> DataFrame:
+    """Streaming twin of ``sequence.burst``: ``keys..., first_ts, last_ts, times``."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    ev = _prepare(events, ts, delay)
+    fields = [ev.schema[k] for k in keys]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [
+        T.StructField("cs_first", T.LongType()), T.StructField("cs_last", T.LongType()),
+        T.StructField("times", T.LongType())])
+    out = (ev.select(*keys, "cs_et", "cs_us", F.col(seq).cast("long").alias("seq"), is_fail.alias("cs_ok"))
+           .groupBy(*keys).transformWithStateInPandas(BurstProcessor(keys, min_count, duration_us(span)), schema,
+                                                      "append", "EventTime"))
+    ntz = isinstance(events.schema[ts].dataType, T.TimestampNTZType)
+
+    def conv(c):
+        t = F.timestamp_micros(c)
+        return t.cast("timestamp_ntz") if ntz else t
+    return out.select(*keys, conv("cs_first").alias("first_ts"), conv("cs_last").alias("last_ts"), "times")

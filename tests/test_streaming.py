@@ -167,3 +167,45 @@ def test_outer_match_twin(spark, tmp_path):
     want = outer_match(spark.createDataFrame(pays, "tx string, ts timestamp_ntz"),
                        spark.createDataFrame(recs, "tx string, ts timestamp_ntz"), "tx", "ts", "ts", -3, 5)
     assert _rows(got.where("tx != 'zz'"), ["tx", "status"]) == _rows(want.where("tx != 'zz'"), ["tx", "status"])
+
+
+@pytest.mark.parametrize("rule", ["blocks", "threshold", "follow", "chain"])
+def test_sequence_twins(spark, events, stream, rule):
+    from clickstream.operators.sequence import blocks, follow_distinct, threshold_then_next
+    from clickstream.streaming import stream_sequence
+    use_rocksdb(spark)
+    signup = F.col("event_type") == "signup"
+    if rule == "blocks":
+        s = stream_sequence(stream(), "user_id", "ts", "event_id", "blocks", "36 hours", n=6, delay=DELAY)
+        want = blocks(events, "user_id", "ts", "event_id", 6, "36 hours")
+        cols = ["user_id", "first_ts", "last_ts"]
+    elif rule == "threshold":
+        s = stream_sequence(stream(), "user_id", "ts", "event_id", "threshold", "10 hours", threshold=100,
+                            value="value", delay=DELAY)
+        want = threshold_then_next(events, "user_id", "ts", "event_id", "value", 100, "10 hours") \
+            .withColumnRenamed("next_ts", "last_ts")
+        cols = ["user_id", "first_ts", "last_ts"]
+    else:
+        chain = rule == "chain"
+        # sf0.001 has few signups per item: two followers within 15 days
+        s = stream_sequence(stream(), "k", "ts", "event_id", "follow", "15 days", n=2, who="user_id", chain=chain,
+                            cond=signup, delay=DELAY)
+        want = follow_distinct(events, "k", "ts", "event_id", "user_id", 2, "15 days", chain=chain, cond=signup)
+        cols = ["k", "start_user_id", "first_ts", "last_ts"]
+    got = run_available(s, _name(f"seq_{rule}"))
+    got = _before_sentinel(got, "first_ts")
+    assert _rows(got, cols) == _rows(want, cols)
+    assert len(_rows(want, cols)) > 0
+
+
+def test_burst_twin(spark, events, stream):
+    from clickstream.operators.sequence import burst
+    from clickstream.streaming import stream_burst
+    use_rocksdb(spark)
+    fail = F.col("event_type") == "error"
+    got = run_available(stream_burst(stream(), "user_id", "ts", "event_id", fail, 2, "24 hours", delay=DELAY),
+                        _name("burst"))
+    want = burst(events, "user_id", "ts", "event_id", fail, 2, "24 hours")
+    cols = ["user_id", "first_ts", "last_ts", "times"]
+    assert _rows(_before_sentinel(got, "first_ts"), cols) == _rows(want, cols)
+    assert len(_rows(want, cols)) > 0
