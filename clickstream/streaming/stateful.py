@@ -221,7 +221,8 @@ class SequenceProcessor(_Buffered):
 
     ``rule``: ``blocks`` (``n`` events), ``threshold`` (event with value above
     ``threshold`` then the adjacent event), ``follow`` (``n`` later events whose
-    ``who`` differs from the start's, or from the previous one with ``chain``).
+    ``who`` differs from the start's, or from the previous one with ``chain``),
+    ``span`` (``n`` events, no skip: every start is emitted, matches overlap).
     """
 
     def __init__(self, key_names, rule, span_us, n=2, threshold=0.0, chain=False):
@@ -239,7 +240,7 @@ class SequenceProcessor(_Buffered):
     def _completes_at(self, ev, j):
         """Start indexes whose partial match completes exactly at event ``j``."""
         us = ev[j][0]
-        if self.rule == "blocks":
+        if self.rule in ("blocks", "span"):
             s = j - (self.n - 1)
             return [s] if s >= 0 and us - ev[s][0] < self.span_us else []
         if self.rule == "threshold":
@@ -269,7 +270,9 @@ class SequenceProcessor(_Buffered):
         out = []
         for j in range(len(hist), len(ev)):
             for s in self._completes_at(ev, j):
-                if last is None or (ev[s][0], ev[s][1]) > last:
+                if self.rule == "span":  # no skip strategy: every match is emitted
+                    out.append((*key, ev[s][0], ev[j][0], ev[s][3]))
+                elif last is None or (ev[s][0], ev[s][1]) > last:
                     out.append((*key, ev[s][0], ev[j][0], ev[s][3]))
                     last = (ev[j][0], ev[j][1])
                     break
@@ -277,8 +280,6 @@ class SequenceProcessor(_Buffered):
             self.last.update(last)
         newest = ev[-1][0] if ev else None
         keep = [e for e in ev if newest is not None and newest - e[0] < self.span_us]
-        if self.rule == "blocks":
-            keep = ev[-max(len(keep), self.n - 1):] if self.n > 1 else keep
         self.hist.put(keep)
         return pd.DataFrame(out, columns=[*self.key_names, "cs_first", "cs_last", "cs_who"])
 

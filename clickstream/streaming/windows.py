@@ -59,6 +59,15 @@ def stream_window_count(events: DataFrame, ts: str, size, slide=None, keys=(), d
                       F.col("_c").cast("long").alias(count_col))
 
 
+def stream_processing_time_count(events: DataFrame, size, slide=None, keys=(), count_col: str = "cnt",
+                                 ingest_col: str = "ingest_ts") -> DataFrame:
+    """Processing-time windows (the reference's hot-sale program): each row is
+    stamped with its ingest time and windowed on it with a zero delay, so a
+    window is emitted as soon as the clock has passed its end."""
+    stamped = events.withColumn(ingest_col, F.current_timestamp())
+    return stream_window_count(stamped, ingest_col, size, slide, keys, delay="0 seconds", count_col=count_col)
+
+
 def top_n_per_batch(n: int, sink: Callable[[DataFrame, int], None], by: str = "window_end",
                     key: str | None = None, count_col: str = "cnt") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function ranking the windows each micro-batch completes.

@@ -169,7 +169,7 @@ def test_outer_match_twin(spark, tmp_path):
     assert _rows(got.where("tx != 'zz'"), ["tx", "status"]) == _rows(want.where("tx != 'zz'"), ["tx", "status"])
 
 
-@pytest.mark.parametrize("rule", ["blocks", "threshold", "follow", "chain"])
+@pytest.mark.parametrize("rule", ["blocks", "threshold", "follow", "chain", "span"])
 def test_sequence_twins(spark, events, stream, rule):
     from clickstream.operators.sequence import blocks, follow_distinct, threshold_then_next
     from clickstream.streaming import stream_sequence
@@ -179,6 +179,11 @@ def test_sequence_twins(spark, events, stream, rule):
         s = stream_sequence(stream(), "user_id", "ts", "event_id", "blocks", "36 hours", n=6, delay=DELAY)
         want = blocks(events, "user_id", "ts", "event_id", 6, "36 hours")
         cols = ["user_id", "first_ts", "last_ts"]
+    elif rule == "span":
+        from clickstream.operators.sequence import n_in_span
+        s = stream_sequence(stream(), "user_id", "ts", "event_id", "span", "6 hours", n=3, delay=DELAY)
+        want = n_in_span(events, "user_id", "ts", "event_id", 3, "6 hours")
+        cols = ["user_id", "first_ts", "last_ts"]
     elif rule == "threshold":
         s = stream_sequence(stream(), "user_id", "ts", "event_id", "threshold", "10 hours", threshold=100,
                             value="value", delay=DELAY)
@@ -209,3 +214,10 @@ def test_burst_twin(spark, events, stream):
     cols = ["user_id", "first_ts", "last_ts", "times"]
     assert _rows(_before_sentinel(got, "first_ts"), cols) == _rows(want, cols)
     assert len(_rows(want, cols)) > 0
+
+
+def test_processing_time_windows_count_everything(spark, events):
+    from clickstream.streaming import stream_processing_time_count
+    # on a static frame current_timestamp() is one instant: every row is in two 10 s / 5 s windows
+    out = stream_processing_time_count(events, "10 seconds", "5 seconds").collect()
+    assert len(out) == 2 and sum(r.cnt for r in out) == 2 * events.count()
