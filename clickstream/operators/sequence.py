@@ -327,16 +327,44 @@ def blocks(df: DataFrame, keys, ts: str, seq: str, n: int, within, cond: Column
         *keys, F.col("s_ts").alias("first_ts"), F.col("e_ts").alias("last_ts"))
 
 
+def trailing_sum(df: DataFrame, keys, ts: str, seq: str, value: str, span, out: str = "trailing",
+                 chunk=None) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the key's rows in ``(ts - span, ts]``.
+
+    Runs over time chunks with a trailing halo (rows of a chunk's last ``span``
+    are copied into the next chunk), so a hot key is summed by many tasks.
+    """
+    keys = _keys(keys)
+    span_us = duration_us(span)
+    chunk_us = _chunk_us(span_us, chunk)
+    us = epoch_us(df, ts)
+    own = floor_div(us, chunk_us)
+    tail = (own + 1) * F.lit(chunk_us) - us <= F.lit(span_us)
+    h = (df.withColumn("_us", us).withColumn("_own", own)
+         .withColumn("_chunk", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own)))))
+    w = (Window.partitionBy(*keys, "_chunk").orderBy("_us")
+         .rangeBetween(-(span_us - 1), 0))
+    return (h.withColumn(out, F.sum(value).over(w)).where(F.col("_chunk") == F.col("_own"))
+            .drop("_us", "_own", "_chunk"))
+
+
 def threshold_then_next(df: DataFrame, keys, ts: str, seq: str, value: str, threshold: float,
-                        within, chunk=None) -> DataFrame:
+                        within, chunk=None, mode: str = "strict") -> DataFrame:
     """An event with ``value > threshold`` immediately followed by any event, within the span.
 
-    The reference sums the points of the single start event only, so the rule is
-    per event; matches do not overlap (skip past last event).
+    ``mode="strict"`` (the reference's behaviour): the rule sums the points of
+    the single start event only.  ``mode="cumulative"`` (its evident intent):
+    the start qualifies when the key's points in ``(ts - within, ts]`` sum to
+    more than ``threshold``.  Matches do not overlap (skip past last event).
     Returns ``keys..., first_ts, next_ts``.
     """
     keys = _keys(keys)
     span = duration_us(within)
+    if mode == "cumulative":
+        df = trailing_sum(df, keys, ts, seq, value, within, out="_points", chunk=chunk)
+        value = "_points"
+    elif mode != "strict":
+        raise ValueError("mode must be 'strict' or 'cumulative'")
     base = _base(df, keys, ts, seq, [(F.col(value) > F.lit(threshold)).alias("_hot")])
     h = with_halo(base, "_us", span, _chunk_us(span, chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy("_us", "_seq")

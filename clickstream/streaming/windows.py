@@ -32,14 +32,17 @@ def _out_ts(c, ntz: bool):
 
 
 def stream_window_count(events: DataFrame, ts: str, size, slide=None, keys=(), delay="0 seconds",
-                        count_col: str = "cnt") -> DataFrame:
+                        count_col: str = "cnt", lateness="0 seconds") -> DataFrame:
     """Append-mode twin of :func:`clickstream.operators.windows.window_count`.
 
     Counts per slide-wide tumbling bucket first (one state row per key and
     bucket), then re-windows the bucket counts into the sliding windows, so the
     ``size / slide`` expansion applies to buckets, not events.  A window is
-    emitted once, when the watermark passes its end.
+    emitted once, when the watermark passes its end.  ``lateness`` (the
+    reference's allowed lateness) is added to the watermark delay: late rows
+    still count, and each window is emitted once, complete.
     """
+    delay = duration_us(delay) / 1e6 + duration_us(lateness) / 1e6
     keys = [keys] if isinstance(keys, str) else list(keys)
     size_us = duration_us(size)
     slide_us = duration_us(slide) if slide is not None else size_us

@@ -151,3 +151,23 @@ def test_greedy_select_matches_sequential_rule(spark, seed):
         assert got == sorted(want), chunk
     keyless = greedy_select(df.where("k = 0").drop("k"), [], 40_000_000, chunk=45)
     assert sorted((0, r.s_us, r.s_seq) for r in keyless.collect()) == sorted(w for w in want if w[0] == 0)
+
+
+def test_threshold_cumulative_mode(spark):
+    from clickstream.operators.sequence import trailing_sum
+    t0 = H.ts(0)
+    rows = [(1, t0 + dt.timedelta(seconds=s), i, "x", float(p), 0)
+            for i, (p, s) in enumerate([(300, 0), (200, 4), (150, 8), (10, 9), (500, 30), (5, 45)])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    sums = {r.seq: r.trailing for r in trailing_sum(df, "user", "ts", "seq", "value", 10, chunk=10).collect()}
+    assert sums == {0: 300, 1: 500, 2: 650, 3: 660, 4: 500, 5: 5}
+    got = _tuples(threshold_then_next(df, "user", "ts", "seq", "value", 600, 10, mode="cumulative"),
+                  ["user", "first_ts", "next_ts"])
+    # seq 2 (650 over the last 10 s) then seq 3 one second later; seq 3 is consumed by that match
+    assert got == [(1, t0 + dt.timedelta(seconds=8), t0 + dt.timedelta(seconds=9))]
+
+
+def test_static_asset_filter(spark):
+    from clickstream.functions import is_static_asset
+    df = spark.createDataFrame([("/a.css",), ("/b.js",), ("/c.json",), ("/d.css/x",)], "url string")
+    assert sorted(r.url for r in df.where(~is_static_asset("url")).collect()) == ["/c.json", "/d.css/x"]
