@@ -50,11 +50,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset (a
-    local test session) a fresh private folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset and
+    the session is local (tests, a laptop) a fresh private folder is created
+    and registered; on a cluster an unset value is an error, never a
+    machine-local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="clickstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
