@@ -77,3 +77,18 @@ def test_top_n_plan_limits_before_shuffle(spark, capsys):
     plan = capsys.readouterr().out
     # partial limit under the exchange, final limit above it
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_window_agg_matches_window_count_and_sums(spark):
+    from clickstream.operators.windows import window_agg
+    rnd = random.Random(21)
+    rows = [(rnd.choice("ab"), ts(rnd.randrange(0, 500)), float(rnd.randrange(10))) for _ in range(200)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
+    agg = window_agg(df, "ts", 60, 20, keys="k", aggs={"cnt": F.count("*"), "total": F.sum("v"),
+                                                        "top": F.max("v")})
+    counts = {(r.k, r.window_end): r.cnt for r in window_count(df, "ts", 60, 20, keys="k").collect()}
+    got = {(r.k, r.window_end): r.cnt for r in agg.collect()}
+    assert got == counts
+    for r in agg.collect():
+        members = [v for k, t, v in rows if k == r.k and r.window_start <= t < r.window_end]
+        assert r.total == sum(members) and r.top == max(members)
