@@ -53,6 +53,12 @@ def stream_dir(spark, events):
     for i, p in enumerate(parts):
         rnd.shuffle(p)
         spark.createDataFrame(p, events.schema).coalesce(1).write.parquet(os.path.join(d, f"part{i}"))
+    # far too late: older than the last file's watermark by much more than the delay -> dropped
+    late_ts = rows[0].ts
+    late = spark.createDataFrame([(10**8 + i, late_ts + dt.timedelta(seconds=i), 999_999, t, 500.0, '{"k": 1}', 1)
+                                  for i, t in enumerate(("view", "click", "error", "error", "signup", "purchase"))],
+                                 events.schema)
+    late.coalesce(1).write.parquet(os.path.join(d, "part5"))
     sentinel = spark.createDataFrame([(10**9, SENTINEL_TS, 10**9, t, 0.0, '{"k": 0}', 0)
                                       for t in ("view", "click", "signup", "purchase", "error")], events.schema)
     sentinel.coalesce(1).write.parquet(os.path.join(d, "part9"))
