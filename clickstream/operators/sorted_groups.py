@@ -16,6 +16,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, types as T
 
+from clickstream.session import ship_package
+
 
 def group_starts(pdf: pd.DataFrame, group_cols: Sequence[str]) -> np.ndarray:
     """Row indexes where a new group starts (pdf sorted by ``group_cols``)."""
@@ -54,6 +56,7 @@ def scan_sorted_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     ``fn`` receives a pandas frame holding one or more whole groups and returns
     rows of ``schema``; use :func:`group_starts` to walk its groups.
     """
+    ship_package(df.sparkSession)
     ordered = df.repartition(*group_cols).sortWithinPartitions(*group_cols, *order_cols)
 
     def run(batches):

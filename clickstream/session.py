@@ -8,6 +8,7 @@ folder is read from ``spark.checkpoint.dir`` and only set when it is unset
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -68,3 +69,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for one written table."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``clickstream`` importable in the Python workers, once per application.
+
+    Pandas UDFs reference this package's functions, so executors must import
+    it.  Installed clusters already can; otherwise the package is zipped on the
+    driver and distributed with ``SparkContext.addPyFile``.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="clickstream-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "clickstream"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from clickstream.functions.eventtime import duration_us
+from clickstream.session import ship_package
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 86_400_000
@@ -30,6 +31,11 @@ def use_rocksdb(spark) -> None:
 
 
 def _prepare(df: DataFrame, ts: str, delay) -> DataFrame:
+    ship_package(df.sparkSession)
+    return _prepare_cols(df, ts, delay)
+
+
+def _prepare_cols(df: DataFrame, ts: str, delay) -> DataFrame:
     """Watermarked ``cs_et`` plus ``cs_us`` (epoch micros) used by the processors.
 
     (Columns handed to a pandas processor must not start with ``_``: such names
