@@ -383,3 +383,59 @@ def stream_burst(events: DataFrame, keys, ts: str, seq: str, is_fail, min_count:
         t = F.timestamp_micros(c)
         return t.cast("timestamp_ntz") if ntz else t
     return out.select(*keys, conv("cs_first").alias("first_ts"), conv("cs_last").alias("last_ts"), "times")
+
+
+class RunningVisitorsProcessor(_Buffered):
+    """Per window: one row per first visit of a hash position, with the count so far.
+
+    The map state of seen positions plays the reference's per-window bitmap;
+    it is dropped once the watermark passes the window end (no row can come).
+    """
+
+    def __init__(self, size_us):
+        self.size_us = size_us
+        self.buf_schema = T.StructType([T.StructField("cs_us", T.LongType()), T.StructField("seq", T.LongType()),
+                                        T.StructField("cs_h", T.LongType()), T.StructField("cs_user", T.StringType())])
+
+    def init(self, handle):
+        super().init(handle)
+        self.seen = handle.getMapState("seen", T.StructType([T.StructField("h", T.LongType())]),
+                                       T.StructType([T.StructField("x", T.BooleanType())]))
+        self.count = handle.getValueState("count", T.StructType([T.StructField("n", T.LongType())]))
+
+    def release(self, key, ready, timerValues):
+        n = self.count.get()[0] if self.count.exists() else 0
+        out = []
+        for us, _seq, h, user in ready:
+            if not self.seen.containsKey((h,)):
+                self.seen.updateValue((h,), (True,))
+                n += 1
+                out.append((key[0], user, n))
+        end_us = int(key[0])
+        if timerValues.getCurrentWatermarkInMs() * 1000 >= end_us and not list(self.buf.get()):
+            self.seen.clear()
+            self.count.clear()
+        else:
+            self.count.update((n,))
+            self._arm(-(-end_us // 1000))
+        return pd.DataFrame(out, columns=["cs_end", "cs_user", "uv_so_far"])
+
+
+def stream_running_visitors(events: DataFrame, ts: str, user: str, seq: str, size="1 hour",
+                            delay="0 seconds") -> DataFrame:
+    """Streaming twin of ``running_visitors``: ``window_end, <user>, uv_so_far``."""
+    from clickstream.functions.hashing import hash28
+    size_us = duration_us(size)
+    ev = _prepare(events, ts, delay)
+    ev = ev.select("cs_et", "cs_us", F.col(seq).cast("long").alias("seq"),
+                   hash28(user).cast("long").alias("cs_h"), F.col(user).cast("string").alias("cs_user"),
+                   ((F.floor(F.col("cs_us") / size_us) + 1) * size_us).cast("long").alias("cs_end"))
+    schema = T.StructType([T.StructField("cs_end", T.LongType()), T.StructField("cs_user", T.StringType()),
+                           T.StructField("uv_so_far", T.LongType())])
+    out = ev.groupBy("cs_end").transformWithStateInPandas(RunningVisitorsProcessor(size_us), schema, "append",
+                                                          "EventTime")
+    ntz = isinstance(events.schema[ts].dataType, T.TimestampNTZType)
+    end = F.timestamp_micros("cs_end")
+    return out.select((end.cast("timestamp_ntz") if ntz else end).alias("window_end"),
+                      F.col("cs_user").cast(events.schema[user].dataType).alias(user),
+                      F.col("uv_so_far"))

@@ -227,3 +227,15 @@ def test_processing_time_windows_count_everything(spark, events):
     # on a static frame current_timestamp() is one instant: every row is in two 10 s / 5 s windows
     out = stream_processing_time_count(events, "10 seconds", "5 seconds").collect()
     assert len(out) == 2 and sum(r.cnt for r in out) == 2 * events.count()
+
+
+def test_running_visitors_twin(spark, events, stream):
+    from clickstream.operators.visitors import running_visitors
+    from clickstream.streaming import stream_running_visitors
+    use_rocksdb(spark)
+    views = stream().where("event_type = 'view'")
+    got = run_available(stream_running_visitors(views, "ts", "user_id", "event_id", "1 hour", delay=DELAY),
+                        _name("ruv"))
+    want = running_visitors(events.where("event_type = 'view'"), "ts", "user_id", "event_id", "1 hour")
+    cols = ["window_end", "user_id", "uv_so_far"]
+    assert _rows(_before_sentinel(got, "window_end"), cols) == _rows(want, cols)
