@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from clickstream.functions.eventtime import duration_us, epoch_us
-from clickstream.session import checkpoint_dir
+from clickstream.session import materialize
 from clickstream.operators.sorted_groups import group_starts, scan_sorted_groups
 from clickstream.operators.windows import floor_div
 
@@ -272,8 +272,7 @@ def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None) -> DataFrame:
         base = base.withColumn("_gk", F.lit(0))
     # the candidates feed three passes: write them once to the shared checkpoint
     # folder (lineage cut, nothing recomputed after an executor loss)
-    checkpoint_dir(base.sparkSession)
-    base = base.checkpoint(eager=True)
+    base = materialize(base, "greedy-candidates")
     kfields = [base.schema[k] for k in gk]
     order = ["e_us", "e_seq", "s_us", "s_seq"]
 
@@ -281,8 +280,9 @@ def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None) -> DataFrame:
         T.StructField("_gc", T.LongType()), T.StructField("p_lo", T.LongType()), T.StructField("p_hi", T.LongType()),
         T.StructField("x_us", T.LongType()), T.StructField("x_seq", T.LongType())])
     slim = base.select(*gk, "_gc", "s_us", "s_seq", "e_us", "e_seq")
-    runs = scan_sorted_groups(slim, gk + ["_gc"], order, lambda pdf: _variant_exits(pdf, chunk_us, gk),
-                              runs_schema).checkpoint(eager=True)  # a few rows per chunk, read twice
+    runs = materialize(scan_sorted_groups(slim, gk + ["_gc"], order,
+                                          lambda pdf: _variant_exits(pdf, chunk_us, gk), runs_schema),
+                       "greedy-runs")  # a few rows per chunk, read twice
 
     # variant chosen in chunk j by each exit of chunk j-1: straddler starts at or before it
     strad = slim.where(F.col("s_us") < F.col("_gc") * F.lit(chunk_us)).select(

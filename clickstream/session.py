@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -66,6 +67,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (an executor loss re-reads the table instead of recomputing
+    the plan), computes the input exactly once (an eager ``checkpoint`` evaluates
+    it twice), stores it columnar and compressed, and gives later stages file
+    statistics.  Costs a fixed write-and-list overhead on tiny inputs.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for one written table."""
     return os.path.join(checkpoint_dir(spark), name)
