@@ -32,21 +32,32 @@ def group_starts(pdf: pd.DataFrame, group_cols: Sequence[str]) -> np.ndarray:
     return np.flatnonzero(change)
 
 
+def _same_group(a: pd.DataFrame, b: pd.DataFrame, group_cols: Sequence[str]) -> bool:
+    """Whether the last row of ``a`` and the first row of ``b`` share a group."""
+    return all(a[g].iloc[-1] == b[g].iloc[0] for g in group_cols)
+
+
 def _complete_groups(batches: Iterator[pd.DataFrame], group_cols: Sequence[str]) -> Iterator[pd.DataFrame]:
-    carry = None
+    """Re-cut sorted Arrow batches into frames of whole groups.
+
+    The unfinished last group is kept as a list of pieces and concatenated once
+    it completes, so a group spanning many batches is copied once.
+    """
+    pending: list[pd.DataFrame] = []
     for pdf in batches:
-        if carry is not None and len(carry):
-            pdf = pd.concat([carry, pdf], ignore_index=True)
-        else:
-            pdf = pdf.reset_index(drop=True)
         if not len(pdf):
             continue
+        pdf = pdf.reset_index(drop=True)
         last = int(group_starts(pdf, group_cols)[-1])
-        carry = pdf.iloc[last:]
-        if last:
-            yield pdf.iloc[:last].reset_index(drop=True)
-    if carry is not None and len(carry):
-        yield carry.reset_index(drop=True)
+        if last == 0 and pending and _same_group(pending[-1], pdf, group_cols):
+            pending.append(pdf)  # the whole batch continues the unfinished group
+            continue
+        done = pending + ([pdf.iloc[:last]] if last else [])
+        if done:
+            yield pd.concat(done, ignore_index=True)
+        pending = [pdf.iloc[last:]]
+    if pending:
+        yield pd.concat(pending, ignore_index=True)
 
 
 def scan_sorted_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],

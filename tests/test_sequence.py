@@ -171,3 +171,17 @@ def test_static_asset_filter(spark):
     from clickstream.functions import is_static_asset
     df = spark.createDataFrame([("/a.css",), ("/b.js",), ("/c.json",), ("/d.css/x",)], "url string")
     assert sorted(r.url for r in df.where(~is_static_asset("url")).collect()) == ["/c.json", "/d.css/x"]
+
+
+def test_complete_groups_across_batches():
+    import pandas as pd
+    from clickstream.operators.sorted_groups import _complete_groups
+    rows = [("a", i) for i in range(5)] + [("b", i) for i in range(7)] + [("c", 0)]
+    df = pd.DataFrame(rows, columns=["g", "v"])
+    for size in (1, 2, 3, 5, 13):
+        batches = [df.iloc[i:i + size] for i in range(0, len(df), size)]
+        parts = list(_complete_groups(iter(batches), ["g"]))
+        assert pd.concat(parts, ignore_index=True).equals(df)
+        for p in parts:  # no group is split across parts
+            for g in p["g"].unique():
+                assert (p["g"] == g).sum() == (df["g"] == g).sum()
