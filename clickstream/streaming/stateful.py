@@ -242,6 +242,41 @@ class SequenceProcessor(_Buffered):
         self.hist = handle.getListState("hist", self.buf_schema)
         self.last = handle.getValueState("last", T.StructType([T.StructField("us", T.LongType()),
                                                                T.StructField("seq", T.LongType())]))
+        # open partial matches of the follow rule: start position, start who, who to differ from, captured
+        self.partials = handle.getListState("partials", T.StructType([
+            T.StructField("s_us", T.LongType()), T.StructField("s_seq", T.LongType()),
+            T.StructField("s_who", T.StringType()), T.StructField("ref", T.StringType()),
+            T.StructField("got", T.LongType())]))
+
+    def _release_follow(self, key, ready):
+        """Advance every open partial match by each released event (linear per event)."""
+        partials = [tuple(p) for p in self.partials.get()]
+        out = []
+        for us, seq, _val, who in ready:
+            alive, done = [], []
+            for su, sq, sw, ref, got in partials:
+                if us - su >= self.span_us:
+                    continue  # timed out
+                if who != ref:
+                    got += 1
+                    if self.chain:
+                        ref = who
+                    if got == self.n:
+                        done.append((su, sq, sw))
+                        continue
+                alive.append((su, sq, sw, ref, got))
+            partials = alive
+            if done:
+                su, sq, sw = min(done)  # earliest start wins
+                out.append((*key, su, us, sw))
+                partials = []  # skip past last event: every open partial started before it
+            else:
+                partials.append((us, seq, who, who, 0))
+        if partials:
+            self.partials.put(partials)
+        else:
+            self.partials.clear()
+        return pd.DataFrame(out, columns=[*self.key_names, "cs_first", "cs_last", "cs_who"])
 
     def _completes_at(self, ev, j):
         """Start indexes whose partial match completes exactly at event ``j``."""
@@ -253,23 +288,11 @@ class SequenceProcessor(_Buffered):
             s = j - 1
             return [s] if s >= 0 and ev[s][2] is not None and ev[s][2] > self.threshold \
                 and us - ev[s][0] < self.span_us else []
-        out = []
-        for s in range(j - 1, -1, -1):
-            if us - ev[s][0] >= self.span_us:
-                break
-            ref, got = ev[s][3], 0
-            for t in range(s + 1, j + 1):
-                if ev[t][3] != ref:
-                    got += 1
-                    if self.chain:
-                        ref = ev[t][3]
-                    if got == self.n:
-                        break
-            if got == self.n and t == j:
-                out.append(s)
-        return sorted(out)
+        raise ValueError(f"unknown rule {self.rule}")
 
     def release(self, key, ready, timerValues):
+        if self.rule == "follow":
+            return self._release_follow(key, ready)
         hist = list(self.hist.get())
         ev = hist + ready
         last = tuple(self.last.get()) if self.last.exists() else None
