@@ -22,9 +22,9 @@ from clickstream.functions.hashing import hash28
 from clickstream.operators.windows import floor_div
 
 
-def _window_cols(df: DataFrame, ts: str, size_us: int):
-    b = floor_div(epoch_us(df, ts), size_us)
-    return b
+def _bucket(df: DataFrame, ts: str, size_us: int):
+    """Tumbling window number of ``ts`` (window end = (bucket + 1) * size)."""
+    return floor_div(epoch_us(df, ts), size_us)
 
 
 def _ends(size_us: int, ntz: bool, b: str = "_b"):
@@ -37,7 +37,7 @@ def unique_visitors(df: DataFrame, ts: str, user: str, size="1 hour", out: str =
     """Exact distinct ``user`` per tumbling window -> ``window_start, window_end, uv``."""
     size_us = duration_us(size)
     ntz = is_ntz(df, ts)
-    return (df.select(_window_cols(df, ts, size_us).alias("_b"), F.col(user).alias("_u"))
+    return (df.select(_bucket(df, ts, size_us).alias("_b"), F.col(user).alias("_u"))
             .groupBy("_b").agg(F.count_distinct("_u").alias(out))
             .select(*_ends(size_us, ntz), F.col(out).cast("long").alias(out)))
 
@@ -46,7 +46,7 @@ def bitmap_visitors(df: DataFrame, ts: str, user: str, size="1 hour", out: str =
     """Set bits of the hash28 bitmap per tumbling window -> ``window_start, window_end, uv``."""
     size_us = duration_us(size)
     ntz = is_ntz(df, ts)
-    pos = df.select(_window_cols(df, ts, size_us).alias("_b"), hash28(user).alias("_h"))
+    pos = df.select(_bucket(df, ts, size_us).alias("_b"), hash28(user).alias("_h"))
     chunks = (pos.groupBy("_b", F.bitmap_bucket_number("_h").alias("_chunk"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_h")).alias("_bm")))
     return (chunks.groupBy("_b").agg(F.sum(F.bitmap_count("_bm")).alias(out))

@@ -36,3 +36,11 @@ def test_access_log_round_trip(spark):
         ("83.149.9.216", None, t, "GET", "/presentations/", None)]
     bad = parse_access_log(spark.createDataFrame([("1.2.3.4 - - notatime +0000 GET /",), ("short line",)], "value string"))
     assert bad.where("_corrupt IS NOT NULL").count() == 2
+
+
+def test_marketing_log_epoch_millis(spark, tmp_path):
+    p = tmp_path / "marketing.csv"
+    p.write_text("u-1,CLICK,weibo,1558430842123\nu-2,UNINSTALL,tieba,1558430843000\n")
+    rows = sorted(read_log(spark, str(p), "marketing").collect(), key=lambda r: r.seq)
+    assert [(r.user_id, r.behavior, r.channel) for r in rows] == [("u-1", "CLICK", "weibo"), ("u-2", "UNINSTALL", "tieba")]
+    assert rows[0].event_ts == dt.datetime(2019, 5, 21, 9, 27, 22, 123000)
