@@ -8,7 +8,9 @@ event's date, so replays give the same answer.
 Plan: ``row_number() <= max_count + 1`` over (keys, day).  Catalyst turns the
 limit into a partial ``WindowGroupLimit`` before the shuffle, so a hot key (one
 clicking bot) ships at most ``max_count + 1`` rows per map task; its dropped
-clicks never cross the network.
+clicks never cross the network.  Catalyst does this while ``max_count + 1`` is
+at most ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000); raise
+that setting for larger quotas.
 """
 
 from __future__ import annotations
