@@ -290,8 +290,13 @@ def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None) -> DataFrame:
     exits = runs.where(F.col("x_us").isNotNull()).select(
         *gk, (F.col("_gc") + 1).alias("_gc"), F.col("x_us").alias("pu"), F.col("x_seq").alias("pq"),
         F.lit(1).alias("tag")).dropDuplicates()
-    w = Window.partitionBy(*gk, "_gc").orderBy("pu", "pq", "tag").rowsBetween(Window.unboundedPreceding, 0)
-    pmap = (strad.unionByName(exits).withColumn("p", F.sum(1 - F.col("tag")).over(w))
+    order_w = Window.partitionBy(*gk, "_gc").orderBy("pu", "pq", "tag")
+    w = order_w.rowsBetween(Window.unboundedPreceding, 0)
+    # count distinct straddler starts (variants are defined over distinct start positions)
+    new_pos = ((F.col("tag") == 0) & F.coalesce((F.lag("pu").over(order_w) != F.col("pu"))
+                                                | (F.lag("pq").over(order_w) != F.col("pq")), F.lit(True)))
+    pmap = (strad.unionByName(exits).withColumn("_new", new_pos.cast("int"))
+            .withColumn("p", F.sum("_new").over(w))
             .where(F.col("tag") == 1)
             .select(*gk, "_gc", F.lit(1).alias("kind"), F.col("p").cast("long").alias("p_lo"),
                     F.lit(None).cast("long").alias("p_hi"), F.col("pu").alias("x_us"), F.col("pq").alias("x_seq")))

@@ -185,3 +185,21 @@ def test_complete_groups_across_batches():
         for p in parts:  # no group is split across parts
             for g in p["g"].unique():
                 assert (p["g"] == g).sum() == (df["g"] == g).sum()
+
+
+def test_greedy_select_tolerates_shared_starts(spark):
+    from clickstream.operators.sequence import greedy_select
+    rnd = random.Random(12)
+    rows = []
+    for i in range(120):
+        s = rnd.randrange(0, 800) * 1_000_000
+        e = s + rnd.randrange(0, 30) * 1_000_000
+        rows.append((1, s, i // 2, e, 1000 + i))  # pairs of intervals share a start position
+    df = spark.createDataFrame(rows, "k long, s_us long, s_seq long, e_us long, e_seq long")
+    want, last = [], None
+    for k, s, sq, e, eq in sorted(rows, key=lambda r: (r[3], r[4], r[1], r[2])):
+        if last is None or (s, sq) > last:
+            want.append((s, sq, e, eq))
+            last = (e, eq)
+    got = sorted((r.s_us, r.s_seq, r.e_us, r.e_seq) for r in greedy_select(df, "k", 30_000_000, chunk=35).collect())
+    assert got == sorted(want)
