@@ -17,7 +17,7 @@ from clickstream.operators.sequence import (
 )
 from clickstream.operators.quota import quota_filter
 from clickstream.operators.visitors import bitmap_visitors, running_visitors, unique_visitors
-from clickstream.operators.windows import top_n, window_count
+from clickstream.operators.windows import window_count, window_top_n
 from clickstream.sources.access_log import format_access_line, parse_access_log
 from clickstream.sources.tables import behaviour_events, read_table
 
@@ -45,7 +45,8 @@ def hot_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hot_items_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 3 items per window of :func:`hot_item_counts` (the flagship query)."""
-    ranked = top_n(hot_item_counts(spark, sf_dir), 3, by="window_end", key="item_id")
+    views = behaviour_events(spark, sf_dir).where(F.col("event_type") == "view").withColumnRenamed("k", "item_id")
+    ranked = window_top_n(views, "ts", "1 hour", "5 minutes", keys=["item_id"], n=3)
     return ranked.select("window_end", "rank", "item_id", "cnt")
 
 
@@ -60,8 +61,7 @@ def hot_urls_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 5 URLs per 10 min window sliding by 5 s, rolled up by day."""
     hits = behaviour_events(spark, sf_dir).select(
         "ts", F.concat(F.lit("/item/"), F.col("k").cast("string")).alias("url"))
-    counts = window_count(hits, "ts", "10 minutes", "5 seconds", keys=["url"])
-    return _rollup_by_day(top_n(counts, 5, by="window_end", key="url"))
+    return _rollup_by_day(window_top_n(hits, "ts", "10 minutes", "5 seconds", keys=["url"], n=5))
 
 
 def hot_sale_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,8 +71,7 @@ def hot_sale_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     sales = behaviour_events(spark, sf_dir).where(F.col("event_type") == "purchase").select(
         F.col("ts").alias("ingest_ts"), F.col("k").alias("book"))
-    counts = window_count(sales, "ingest_ts", "600 seconds", "5 seconds", keys=["book"])
-    return _rollup_by_day(top_n(counts, 3, by="window_end", key="book"))
+    return _rollup_by_day(window_top_n(sales, "ingest_ts", "600 seconds", "5 seconds", keys=["book"], n=3))
 
 
 def access_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:

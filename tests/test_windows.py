@@ -92,3 +92,17 @@ def test_window_agg_matches_window_count_and_sums(spark):
     for r in agg.collect():
         members = [v for k, t, v in rows if k == r.k and r.window_start <= t < r.window_end]
         assert r.total == sum(members) and r.top == max(members)
+
+
+def test_window_top_n_equals_count_then_rank(spark):
+    from clickstream.operators.windows import window_top_n
+    rnd = random.Random(8)
+    rows = [{"k": rnd.choice("abcdefg"), "ts": ts(rnd.randrange(0, 1500)), "seq": i} for i in range(400)]
+    df = _events(spark, rows)
+    cols = ["k", "window_start", "window_end", "cnt", "rank"]
+    fused = sorted(tuple(r[c] for c in cols) for r in window_top_n(df, "ts", 120, 10, keys="k", n=2).collect())
+    plain = sorted(tuple(r[c] for c in cols) for r in
+                   top_n(window_count(df, "ts", 120, 10, keys="k"), 2, key="k").collect())
+    assert fused == plain
+    odd = window_top_n(df, "ts", 25, 10, keys="k", n=2)  # size not a multiple of slide
+    assert odd.count() == top_n(window_count(df, "ts", 25, 10, keys="k"), 2, key="k").count()
