@@ -20,4 +20,30 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLE_SQL = {"op5_line_dedup": op5_line_dedup}
+_WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+op3_benchmark_decontamination = f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[k:k + 9], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM items WHERE len(w) > 0)),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+places AS (
+  SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k
+        FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT DISTINCT doc_id, item_id, k, p.n FROM places p JOIN windows i ON p.s = i.s AND p.n = i.n),
+covered AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS pos FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+ORACLE_SQL = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_line_dedup": op5_line_dedup,
+}

@@ -4,10 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstream.llm.common import prepare, read
+import os
+
+import public_tokenizers
+
+from clickstream.llm import toxicity
+from clickstream.llm.common import held_out, prepare, read
+from clickstream.llm.decontam import contamination
 from clickstream.llm.line_dedup import build_state, clean
+from clickstream.llm.sentencepiece_viterbi import decode_column, encode_column
 from clickstream.llm.simhash import near_duplicates
 
+#: Folder of the public tokenizer files (the same on every machine).
+TOKENIZER_DIR = os.path.dirname(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def tokenizer_file(name: str, folder: str | None = None) -> str:
+    return os.path.join(folder or TOKENIZER_DIR, name)
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10-word windows of ``benchmark`` items inside all documents."""
+    prepare(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, read(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "leak.n_words", "leak.n_hit", F.size("leak.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"), "leak.contaminated")
+
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: 4-word shingles, up to 4 differing bits."""
@@ -23,7 +47,33 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "lines.n_lines", "lines.n_dropped", "lines.kept_sha256")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded with the 32k piece model and decoded again."""
+    prepare(spark)
+    path = tokenizer_file("piece_bpe_32k.model")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = docs.select("doc_id", "text", encode_column(F.col("text"), path).alias("ids"))
+    back = ids.select("doc_id", "text", "ids", decode_column(F.col("ids"), path).alias("back"))
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"),
+        (F.coalesce("text", F.lit("")) == F.col("back")).alias("round_trip"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels outside the held-out fold."""
+    prepare(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), usable=~held_out(F.col("doc_id")))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                         toxicity.toxicity_score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {f.__name__: f for f in (
+    op3_benchmark_decontamination,
     op4_simhash_near_dedup,
     op5_line_dedup,
+    op6_sentencepiece,
+    op9_toxicity,
 )}
