@@ -8,7 +8,7 @@ import os
 
 import public_tokenizers
 
-from clickstream.llm import toxicity
+from clickstream.llm import language_id, quality_rules, secret_scan, toxicity
 from clickstream.llm.common import held_out, prepare, read
 from clickstream.llm.decontam import contamination
 from clickstream.llm.line_dedup import build_state, clean
@@ -23,6 +23,25 @@ def tokenizer_file(name: str, folder: str | None = None) -> str:
     return os.path.join(folder or TOKENIZER_DIR, name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from the others' languages outside the held-out fold."""
+    prepare(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs, usable=~held_out(F.col("doc_id")))
+    guessed = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                          language_id.predict(F.col("text"), model).alias("guess"))
+    return guessed.select("doc_id", "held_out", "guess.lang_pred", "guess.score")
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: base patterns, and random-looking tokens at a false-discovery rate of 1 %."""
+    prepare(spark)
+    found = secret_scan.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), fdr=0.01)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.written(F.col("found")).alias("spans"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10-word windows of ``benchmark`` items inside all documents."""
     prepare(spark)
@@ -60,6 +79,14 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.coalesce("text", F.lit("")) == F.col("back")).alias("round_trip"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdict of all documents against the languages' histograms."""
+    prepare(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality_rules.quality(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from labels outside the held-out fold."""
     prepare(spark)
@@ -71,9 +98,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_language_id,
+    op2_secret_scan,
     op3_benchmark_decontamination,
     op4_simhash_near_dedup,
     op5_line_dedup,
     op6_sentencepiece,
+    op8_quality_rules,
     op9_toxicity,
 )}

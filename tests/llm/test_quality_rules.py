@@ -1,0 +1,105 @@
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+from clickstream.llm import quality_rules as Q
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    w = WORD.findall(text)
+    at = defaultdict(list)
+    for i in range(len(w) - 4):
+        at[tuple(w[i:i + 5])].append(i)
+    rep = {j for v in at.values() if len(v) > 1 for i in v for j in range(i, i + 5)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(rep)
+
+
+def rows():
+    rnd = random.Random(1)
+    out = [None, "", " \n\t", "a", "a b c d e a b c d e", "x " * 12, "one two three four five six", "é ñ ü\x0bß\x0c" * 9,
+           "l\nl\n l\nl\n\n\n", "#*$%&|<>" * 10, "w" * 300_000, "ab cd " * 40_000]
+    vocab = ["the", "of", "and", "Uno", "naïve", "x1", "$5", "q,"]
+    for _ in range(120):
+        w = [rnd.choice(vocab) + str(rnd.randint(0, 9) if rnd.random() < 0.5 else "") for _ in range(rnd.randint(0, 70))]
+        if rnd.random() < 0.5 and w:
+            a = rnd.randrange(len(w))
+            w += w[a:a + rnd.randint(3, 12)]
+        out.append("".join(x + rnd.choice([" ", "  ", "\n", "\t"]) for x in w))
+    return [(i % 100, t, rnd.choice(["en", "de", None, "xx"])) for i, t in enumerate(out)]
+
+
+def test_counts_match_brute_force(llm):
+    data = rows()
+    docs = llm.createDataFrame([(*r, 5) for r in data], "doc_id long, text string, lang string, n_words int")
+    got = Q.quality(docs).collect()
+    own = sorted((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got)
+    assert own == sorted((i, *brute(t)) for i, t, _ in data)
+    for r in got:
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        assert not (r.kept and r.base_failed)
+
+
+def jsd(p, q):
+    keys = set(p) | set(q)
+    total = 0.0
+    for k in keys:
+        a, b = p.get(k, 0.0), q.get(k, 0.0)
+        m = (a + b) / 2
+        total += sum(x * math.log2(x / m) for x in (a, b) if x > 0) / 2
+    return math.sqrt(max(0.0, total))
+
+
+def classes(text):
+    c = Counter()
+    for ch in text:
+        c["space" if ch in Q.WS_CHARS else "upper" if "A" <= ch <= "Z" else "digit" if "0" <= ch <= "9"
+          else "stop" if ch in ".,;:!?'\"()-" else "symbol" if ch in "#*$%&|<>@^~_=+/{}[]\\`"
+          else "other" if ord(ch) > 127 else "rest"] += 1
+    return c
+
+
+def test_distances_match_brute_force(llm):
+    rnd = random.Random(7)
+    docs = []
+    for lang, words in Q.COMMON_WORDS.items():
+        for _ in range(30):
+            docs.append((len(docs), " ".join(rnd.choice(words + ["Zebra", "x-ray", "ñu,", "k[9]"] * 5)
+                                             for _ in range(rnd.randint(60, 200))), lang))
+    docs.append((len(docs), "### $$$ %%% " * 200 + "a b c d e f g h i j", "en"))
+    docs.append((len(docs), " ".join(f"zq{k}" for k in range(400)), "en"))
+    docs.append((len(docs), " ".join(f"zq{k}" for k in range(400)), "xx"))
+    refs = {}
+    for lang in Q.COMMON_WORDS:
+        mine = [t for _, t, x in docs if x == lang]
+        c, w = Counter(), Counter()
+        for t in mine:
+            c.update(classes(t))
+            w.update(x.lower() if x.lower() in Q.COMMON_WORDS[lang] else None for x in t.split())
+        refs[lang] = ({k: v / sum(c.values()) for k, v in c.items()}, {k: v / sum(w.values()) for k, v in w.items()})
+    got = {r.doc_id: r for r in Q.quality(llm.createDataFrame(docs, "doc_id long, text string, lang string")).collect()}
+    for i, t, lang in docs:
+        c = classes(t)
+        p = {k: v / sum(c.values()) for k, v in c.items()}
+        best_c = min(jsd(p, r[0]) for r in refs.values())
+        best_w = 9.0
+        for x, r in refs.items():
+            w = Counter(y.lower() if y.lower() in Q.COMMON_WORDS[x] else None for y in t.split())
+            best_w = min(best_w, jsd({k: v / sum(w.values()) for k, v in w.items()}, r[1]))
+        assert math.isclose(got[i].class_distance, best_c, abs_tol=1e-6)
+        assert math.isclose(got[i].word_distance, best_w, abs_tol=1e-6)
+    assert not got[len(docs) - 2].kept and got[len(docs) - 1].kept and not got[len(docs) - 3].kept
+    assert sum(got[i].kept for i in range(120)) >= 118
+
+
+def test_empty_table(llm):
+    docs = llm.createDataFrame([], "doc_id long, text string, lang string")
+    assert Q.quality(docs).count() == 0
