@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import os
+import uuid
 
 import public_tokenizers
 
-from clickstream.llm import language_id, quality_rules, secret_scan, toxicity
+from clickstream.llm import language_id, quality_classifier, quality_rules, secret_scan, token_files, toxicity
 from clickstream.llm.common import held_out, prepare, read
 from clickstream.llm.decontam import contamination
 from clickstream.llm.line_dedup import build_state, clean
 from clickstream.llm.sentencepiece_viterbi import decode_column, encode_column
 from clickstream.llm.simhash import near_duplicates
+from clickstream.session import scratch_path
 
 #: Folder of the public tokenizer files (the same on every machine).
 TOKENIZER_DIR = os.path.dirname(public_tokenizers.path("piece_bpe_32k.model"))
@@ -79,6 +81,15 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.coalesce("text", F.lit("")) == F.col("back")).alias("round_trip"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token-id files in doc_id order, and read back from them."""
+    prepare(spark)
+    path = scratch_path(spark, f"token-files-{uuid.uuid4().hex}")
+    token_files.write_token_files(read(spark, sf_dir, "documents").select("doc_id", "text"), path,
+                                  tokenizer_file("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2)
+    return token_files.read_token_files(spark, path)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdict of all documents against the languages' histograms."""
     prepare(spark)
@@ -97,6 +108,19 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; the site is that of the document's page, or else its source."""
+    prepare(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    paged = quality_classifier.page_sites(read(spark, sf_dir, "pages"))
+    rest = (docs.select("doc_id", F.col("source").alias("host"), F.lit(None).cast("string").alias("path"))
+            .join(paged, "doc_id", "left_anti"))
+    got = quality_classifier.classify(docs, read(spark, sf_dir, "labels"), paged.unionByName(rest),
+                                      usable=~held_out(F.col("doc_id")))
+    return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "host_rate", "path_rate", "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id,
     op2_secret_scan,
@@ -104,6 +128,8 @@ QUERIES = {f.__name__: f for f in (
     op4_simhash_near_dedup,
     op5_line_dedup,
     op6_sentencepiece,
+    op7_token_files,
     op8_quality_rules,
     op9_toxicity,
+    op10_quality_classifier,
 )}
