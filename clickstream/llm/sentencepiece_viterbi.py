@@ -28,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+from clickstream.llm.common import by_size, flat
+
 SPACE = "▁"
 #: Stands for a U+2581 of the text while it is segmented: a lone surrogate, which no valid text holds.
 _LITERAL = "\ud800"
@@ -38,6 +40,8 @@ UNKNOWN_PENALTY = 10.0
 #: Distinct words remembered by a worker, and characters segmented in one step.
 MEMORY_WORDS = 400_000
 STEP_CHARS = 1 << 19
+#: Characters of text encoded together (longer texts alone).
+STEP_TEXT = 1 << 21
 
 
 class PieceModel:
@@ -98,8 +102,8 @@ class PieceModel:
 
     # ------------------------------------------------------------ words of one length
 
-    def segment(self, words: list[str]) -> list[list[int]]:
-        """Piece ids of words that all have the same length."""
+    def segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids, in a row, of words that all have the same length; and how many each word has."""
         m, n = len(words), len(words[0])
         codes = _codes(words, n)
         hashes = _prefix_hashes(codes)
@@ -131,21 +135,32 @@ class PieceModel:
                 size[hit] = k
                 ids[hit] = self.ids[k][at]
             best[end] = score
-        out: list[list[int]] = [[] for _ in range(m)]
-        place = np.full(m, n)
-        live = np.arange(m)
+        return self._walk_back(words, back_len, back_id)
+
+    def _walk_back(self, words, back_len, back_id) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each word has, from the backpointers."""
+        who, got, at = [], [], []
+        place = np.full(len(words), len(words[0]))
+        live = np.arange(len(words))
         while len(live):
-            ids = back_id[place[live], live]
-            for w, i, p in zip(live.tolist(), ids.tolist(), place[live].tolist()):
-                if i >= 0:
-                    out[w].append(i)
-                else:  # the bytes of the character, last first
-                    out[w].extend(self._bytes(words[w][p - 1]))
-            place[live] -= back_len[place[live], live]
+            here = place[live]
+            who.append(live)
+            got.append(back_id[here, live])
+            at.append(here)
+            place[live] = here - back_len[here, live]
             live = live[place[live] > 0]
-        for ids in out:
-            ids.reverse()
-        return out
+        who, got, at = np.concatenate(who), np.concatenate(got), np.concatenate(at)
+        order = np.lexsort((at, who))
+        who, got, at = who[order], got[order], at[order]
+        bare = np.flatnonzero(got < 0)
+        if len(bare):  # uncovered characters become their bytes
+            raw = [self._bytes(words[w][p - 1])[::-1] for w, p in zip(who[bare].tolist(), at[bare].tolist())]
+            times = np.ones(len(got), np.int64)
+            times[bare] = [len(b) for b in raw]
+            who, fill = np.repeat(who, times), np.repeat(got < 0, times)
+            got = np.repeat(got, times)
+            got[fill] = [x for b in raw for x in b]
+        return got, np.bincount(who, minlength=len(words))
 
     def segment_long(self, word: str) -> list[int]:
         """One long word: all matches per length at once, then one walk over them (same rule, same ties)."""
@@ -214,52 +229,82 @@ def _prefix_hashes(codes: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts with one model, remembering the words it has segmented."""
+    """Encodes texts with one model, remembering the words it has segmented.
+
+    The ids of remembered words lie one after the other in ``pool``; a text's ids are
+    gathered from there by its words' numbers.
+    """
 
     #: Longer words take the walk of their own.
     LONG = 64
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.memory: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.pool = np.empty(1 << 16, np.int32)
+        self.first = np.zeros(1 << 14, np.int64)
+        self.size = np.zeros(1 << 14, np.int64)
+        self.filled = 0
 
     def words(self, text: str) -> list[str]:
         return _WORDS.findall(SPACE + text.replace(SPACE, _LITERAL).replace(" ", SPACE))
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text; null and empty texts have none."""
+    def _learn(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        n, k = len(self.number), len(words)
+        while n + k > len(self.first):
+            self.first = np.concatenate((self.first, np.zeros_like(self.first)))
+            self.size = np.concatenate((self.size, np.zeros_like(self.size)))
+        while self.filled + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.empty_like(self.pool)))
+        self.pool[self.filled:self.filled + len(ids)] = ids
+        self.first[n:n + k] = self.filled + np.cumsum(counts) - counts
+        self.size[n:n + k] = counts
+        self.filled += len(ids)
+        self.number.update(zip(words, range(n, n + k)))
+
+    def flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each text); null and empty texts have none."""
         cut = [self.words(t) if t else [] for t in texts]
-        memory = self.memory
-        new = {w for ws in cut for w in ws if w not in memory}
-        if len(memory) + len(new) > MEMORY_WORDS:
-            memory.clear()
-            new = {w for ws in cut for w in ws}
+        every = set().union(*cut) if cut else set()
+        new = every - self.number.keys()
+        if len(self.number) + len(new) > MEMORY_WORDS:
+            self._forget()
+            new = every
         by_len: dict[int, list[str]] = {}
         for w in new:
             by_len.setdefault(len(w), []).append(w)
         for n, group in by_len.items():
             if n > self.LONG:
                 for w in group:
-                    memory[w] = self.model.segment_long(w)
+                    ids = self.model.segment_long(w)
+                    self._learn([w], np.array(ids, np.int32), np.array([len(ids)]))
                 continue
             step = max(1, STEP_CHARS // (n * 8))
             for a in range(0, len(group), step):
-                memory.update(zip(group[a:a + step], self.model.segment(group[a:a + step])))
-        out = []
-        for ws in cut:
-            ids: list[int] = []
-            for w in ws:
-                ids += memory[w]
-            out.append(np.array(ids, np.int32))
-        for w in [w for w in new if len(w) > self.LONG]:  # long words are not worth remembering
-            memory.pop(w, None)
-        return out
+                self._learn(group[a:a + step], *self.model.segment(group[a:a + step]))
+        n_words = np.array([len(ws) for ws in cut], np.int64)
+        at = np.fromiter((k for ws in cut for k in map(self.number.__getitem__, ws)), np.int64, int(n_words.sum()))
+        sizes = self.size[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.pool[np.repeat(self.first[at] - (ends - sizes), sizes) + np.arange(total)]
+        ends = np.concatenate(([0], ends))
+        stops = np.concatenate(([0], np.cumsum(n_words)))
+        return ids, np.diff(ends[stops])
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text."""
+        ids, counts = self.flat(texts)
+        return np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
 
 
 def decode(model: PieceModel, ids) -> str:
     """The text of a sequence of ids (the inverse of ``Encoder.encode``)."""
     raw = model.raw
-    got = b"".join([raw[i] for i in ids])
+    got = b"".join(map(raw.__getitem__, ids))
     return (got[1:] if got[:1] == b" " else got).decode("utf-8", "replace")
 
 
@@ -273,7 +318,7 @@ def load(path: str) -> PieceModel:
     return _MODELS[path]
 
 
-def encode_column(text: Column, path: str, texts_per_step: int = 64) -> Column:
+def encode_column(text: Column, path: str) -> Column:
     """Ids (``array<int>``) of a text column; null and empty texts give an empty array.
 
     ``path``: the model file, at the same place on every machine (as an installed package is).
@@ -283,12 +328,11 @@ def encode_column(text: Column, path: str, texts_per_step: int = 64) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(load(path))
         for arr in batches:
-            got = []
-            for a in range(0, len(arr), texts_per_step):
-                got.extend(encoder.encode(arr.slice(a, texts_per_step).to_pylist()))
-            ends = np.cumsum([0] + [len(x) for x in got]).astype(np.int32)
-            flat = np.concatenate(got) if got else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+            texts = arr.to_pylist()
+            got = [encoder.flat(texts[a:b]) for a, b in by_size(texts, STEP_TEXT)]
+            counts = flat((c for _, c in got), np.int64)
+            ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat((x for x, _ in got), np.int32)))
 
     return encode(text)
 
@@ -300,6 +344,10 @@ def decode_column(ids: Column, path: str) -> Column:
     def back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load(path)
         for arr in batches:
-            yield pa.array([None if x is None else decode(model, x) for x in arr.to_pylist()], pa.string())
+            values = arr.flatten().to_numpy(zero_copy_only=False)
+            sizes = arr.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            stop = np.cumsum(sizes).tolist()
+            yield pa.array([None if gone else decode(model, values[b - n:b].tolist()) for gone, n, b in
+                            zip(arr.is_null().to_pylist(), sizes.tolist(), stop)], pa.string())
 
     return back(ids)
