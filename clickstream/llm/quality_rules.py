@@ -170,8 +170,8 @@ def word_distance(ref: dict) -> Column:
                                       + F.greatest(F.lit(0.0), F.lit(sum(words.values())) - acc["q"]) / 2)))
 
 
-def judge(counts: DataFrame, refs: dict[str, dict], max_class: float = 0.25, max_word: float = 0.31,
-          min_chars: int = 200, min_words: int = 100) -> DataFrame:
+def judge(counts: DataFrame, refs: dict[str, dict], max_class: float = 0.25, max_word: float = 0.32,
+          min_chars: int = 200, min_words: int = 150) -> DataFrame:
     """``counts`` with ``base_failed``, ``class_distance``, ``word_distance``, ``kept``.
 
     Distances are the smallest over the reference languages, null without any reference; a
