@@ -15,9 +15,9 @@ Three tiers, one plan shape:
    ``threshold_then_next``, ``burst``): every possible match is an interval
    ``[start, end]`` found by window functions; :func:`greedy_select` keeps the
    ones the skip strategy keeps.
-3. **General matcher** - conditions that look at captured events
-   (``follow_distinct``: the multi-account rules): a pandas scan per time chunk
-   finds each start's completion event, then the same greedy selection.
+3. **Conditions on captured events** (``follow_distinct``: the multi-account
+   rules): counting window functions give the row number at which a start's
+   match completes, an equi-join fetches that row, then the same greedy selection.
 
 Scaling: all per-event work runs over **time chunks with a halo**.  A key's
 timeline is cut into chunks of ``chunk`` length; rows in the first ``within`` of
@@ -33,7 +33,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from clickstream.functions.eventtime import duration_us, epoch_us
@@ -41,7 +41,8 @@ from clickstream.session import materialize
 from clickstream.operators.sorted_groups import group_starts, scan_sorted_groups
 from clickstream.operators.windows import floor_div
 
-DAY_US = 86_400_000_000
+#: Shortest automatic chunk: a hot key is cut at least every hour.
+MIN_CHUNK_US = 3_600_000_000
 
 
 def _keys(keys) -> list[str]:
@@ -56,7 +57,7 @@ def _chunk_us(span_us: int, chunk=None) -> int:
         if c < span_us:
             raise ValueError("chunk must be at least the pattern span")
         return c
-    return max(8 * span_us, DAY_US)
+    return max(8 * span_us, MIN_CHUNK_US)
 
 
 def with_halo(df: DataFrame, us: str, span_us: int, chunk_us: int) -> DataFrame:
@@ -132,123 +133,117 @@ def n_in_span(df: DataFrame, keys, ts: str, seq: str, n: int, within, cond: Colu
 _NONE = np.iinfo(np.int64).min
 
 
-def _after(su, sq, lu, lq):
-    """Position (su, sq) strictly after (lu, lq); works elementwise on arrays."""
-    return (su > lu) | ((su == lu) & (sq > lq))
+def _ranks(su, sq, eu, eq) -> tuple[np.ndarray, np.ndarray]:
+    """Dense comparable ranks of the start and end positions (us, seq) of a group."""
+    us, seq = np.concatenate((su, eu)), np.concatenate((sq, eq))
+    order = np.lexsort((seq, us))
+    new = np.ones(len(us), bool)
+    new[1:] = (us[order][1:] != us[order][:-1]) | (seq[order][1:] != seq[order][:-1])
+    rank = np.empty(len(us), np.int64)
+    rank[order] = np.cumsum(new)
+    return rank[:len(su)], rank[len(su):]
 
 
-def _variant_exits(pdf: pd.DataFrame, chunk_us: int, key_names: list[str]) -> pd.DataFrame:
+def _exits(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(last, sorted starts, first)`` for intervals in (end, start) order.
+
+    The interval taken after an end ``x`` is the first in order that starts after
+    ``x``: ``first[searchsorted(sorted starts, x, "right")]`` (``n`` when there is
+    none).  It does not depend on how ``x`` was reached, so ``last[i]``, the last
+    interval taken once ``i`` is, follows in one walk from the back.
+    """
+    n = len(start)
+    by_start = np.argsort(start, kind="stable")
+    starts = start[by_start]
+    first = np.minimum.accumulate(np.append(by_start, n)[::-1])[::-1]
+    after = first[np.searchsorted(starts, end, side="right")].tolist()
+    last = list(range(n + 1))
+    for i in range(n - 1, -1, -1):
+        if after[i] < n:
+            last[i] = last[after[i]]
+    return np.array(last), starts, first
+
+
+def _variant_exits(table: pa.Table, chunk_us: int) -> pa.Table:
     """Pass 1 over (key, chunk) groups: each chunk's exit state for every entry state.
 
     Only intervals that started before the chunk start ("straddlers") can be
     blocked by an earlier choice, and an entry state blocks exactly the
     straddlers starting at or before it: variant ``p`` blocks the first ``p``
-    straddler starts.  All variants run together; variants that reach the same
-    state merge.  Emits runs ``[p_lo, p_hi] -> exit`` (exit NULL when the chunk
-    chooses nothing).  Rows arrive sorted by (key, chunk, end, start).
+    distinct straddler starts.  Emits runs ``[p_lo, p_hi] -> exit``.  Rows arrive
+    sorted by (key, chunk, end, start); the work is n log n.
     """
-    su, sq = pdf["s_us"].tolist(), pdf["s_seq"].tolist()
-    eu, eq = pdf["e_us"].tolist(), pdf["e_seq"].tolist()
-    gcs = pdf["_gc"].tolist()
-    starts = group_starts(pdf, key_names + ["_gc"]).tolist() + [len(pdf)]
-    out = {k: [] for k in key_names}
-    out.update({"_gc": [], "p_lo": [], "p_hi": [], "x_us": [], "x_seq": []})
-    keyvals = {k: pdf[k].tolist() for k in key_names}
-    for a, b in zip(starts[:-1], starts[1:]):
-        lo_pos = gcs[a] * chunk_us
-        strad = sorted({(su[i], sq[i]) for i in range(a, b) if su[i] < lo_pos})
-        # variant state: [L (tuple) or None, took]; variant p -> index into states
-        states = [[None, False]] + [[t, False] for t in strad]
-        owner = list(range(len(states)))
-        for i in range(a, b):
-            s_pos, e_pos = (su[i], sq[i]), (eu[i], eq[i])
-            merged = {}
-            for st in states:
-                if st[0] is None or s_pos > st[0]:
-                    st[0], st[1] = e_pos, True
-            if len(states) > 1:
-                for idx, st in enumerate(states):
-                    merged.setdefault((st[0], st[1]), idx)
-                if len(merged) < len(states):
-                    keep = sorted(merged.values())
-                    remap = {old: keep.index(merged[(states[old][0], states[old][1])]) for old in range(len(states))}
-                    owner = [remap[o] for o in owner]
-                    states = [states[k] for k in keep]
-        exits = [states[o][0] if states[o][1] else None for o in owner]
-        p = 0
-        while p < len(exits):
-            q = p
-            while q + 1 < len(exits) and exits[q + 1] == exits[p]:
-                q += 1
-            for k in key_names:
-                out[k].append(keyvals[k][a])
-            out["_gc"].append(gcs[a])
-            out["p_lo"].append(p)
-            out["p_hi"].append(q)
-            out["x_us"].append(None if exits[p] is None else exits[p][0])
-            out["x_seq"].append(None if exits[p] is None else exits[p][1])
-            p = q + 1
-    res = pd.DataFrame(out)
-    for c in ("x_us", "x_seq"):
-        res[c] = pd.array(res[c].tolist(), dtype="Int64")
-    return res
-
-
-def _chain(pdf: pd.DataFrame, key_names: list[str]) -> pd.DataFrame:
-    """Per key, walk the chunks in order and fix each chunk's true entry state.
+    su, sq, eu, eq, gc = (table[c].to_numpy() for c in ("s_us", "s_seq", "e_us", "e_seq", "_gc"))
+    bounds = group_starts(table, ["_gk", "_gc"]).tolist() + [table.num_rows]
+    at, lo, hi, xu, xq = [], [], [], [], []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        start, end = _ranks(su[a:b], sq[a:b], eu[a:b], eq[a:b])
+        last, starts, first = _exits(start, end)
+        blocked = np.unique(start[su[a:b] < gc[a] * chunk_us])
+        taken = first[np.searchsorted(starts, np.concatenate(([-1], blocked)), side="right")]
+        exits = np.where(taken < b - a, last[taken], -1)
+        cut = np.flatnonzero(np.concatenate(([True], exits[1:] != exits[:-1])))
+        stop = np.append(cut[1:], len(exits)) - 1
+        x = exits[cut]
+        at += [a] * len(cut)
+        lo += cut.tolist()
+        hi += stop.tolist()
+        xu += np.where(x < 0, _NONE, eu[a:b][x]).tolist()
+        xq += np.where(x < 0, _NONE, eq[a:b][x]).tolist()
+    out = table.select(["_gk", "_gc"]).take(pa.array(at, pa.int64()))
+    for name, col in (("p_lo", lo), ("p_hi", hi), ("x_us", xu), ("x_seq", xq)):
+        out = out.append_column(name, pa.array(col, pa.int64()))
+    return out
+
+
+def _chain(table: pa.Table) -> pa.Table:
+    """Walk a run of chunks in order and fix each chunk's true entry state.
 
     Rows are the union of pass-1 runs (``kind = 0``: variant range -> exit) and
     the variant map (``kind = 1``: an exit of chunk ``j - 1`` -> the variant it
-    selects in chunk ``j``), sorted by (key, chunk, kind).
+    selects in chunk ``j``), sorted by (key, run, chunk, kind).  A run starts at a
+    chunk without straddlers (or after a gap), whose entry state does not matter.
     """
-    out = {k: [] for k in key_names}
-    out.update({"_gc": [], "in_us": [], "in_seq": []})
-    kind, gcs = pdf["kind"].tolist(), pdf["_gc"].tolist()
-    plo, phi = pdf["p_lo"].tolist(), pdf["p_hi"].tolist()
-    xu, xq = pdf["x_us"].tolist(), pdf["x_seq"].tolist()
-    keyvals = {k: pdf[k].tolist() for k in key_names}
-    bounds = group_starts(pdf, key_names).tolist() + [len(pdf)]
+    kind, gcs, plo, phi, xu, xq = (table[c].to_pylist() for c in ("kind", "_gc", "p_lo", "p_hi", "x_us", "x_seq"))
+    bounds = group_starts(table, ["_gk", "_run"]).tolist() + [table.num_rows]
+    at, in_us, in_seq = [], [], []
     for a, b in zip(bounds[:-1], bounds[1:]):
         prev_gc, exit_ = None, None
         i = a
         while i < b:
-            gc = gcs[i]
-            j = i
+            gc, j = gcs[i], i
             while j < b and gcs[j] == gc:
                 j += 1
-            runs = [(plo[r], phi[r], None if xu[r] == _NONE else (xu[r], xq[r])) for r in range(i, j) if kind[r] == 0]
+            own = [r for r in range(i, j) if kind[r] == 0]
             pmap = {(xu[r], xq[r]): plo[r] for r in range(i, j) if kind[r] == 1}
-            if runs:
-                entry = exit_ if (prev_gc == gc - 1 and exit_ is not None) else None
+            if own:
+                entry = exit_ if prev_gc == gc - 1 else None
                 p = pmap.get(entry, 0) if entry is not None else 0
-                for k in key_names:
-                    out[k].append(keyvals[k][a])
-                out["_gc"].append(gc)
-                out["in_us"].append(None if entry is None else entry[0])
-                out["in_seq"].append(None if entry is None else entry[1])
-                exit_ = next(r for r in runs if r[0] <= p <= r[1])[2]
+                at.append(own[0])
+                in_us.append(_NONE if entry is None else entry[0])
+                in_seq.append(_NONE if entry is None else entry[1])
+                r = next(r for r in own if plo[r] <= p <= phi[r])
+                exit_ = None if xu[r] == _NONE else (xu[r], xq[r])
                 prev_gc = gc
             i = j
-    res = pd.DataFrame(out)
-    for c in ("in_us", "in_seq"):
-        res[c] = pd.array(res[c].tolist(), dtype="Int64")
-    return res
+    out = table.select(["_gk", "_gc"]).take(pa.array(at, pa.int64()))
+    for name, col in (("in_us", in_us), ("in_seq", in_seq)):
+        out = out.append_column(name, pa.array(col, pa.int64()))
+    return out
 
 
-def _final_greedy(pdf: pd.DataFrame, key_names: list[str]) -> pd.DataFrame:
+def _final_greedy(table: pa.Table) -> pa.Table:
     """Pass 3 over (key, chunk) groups: the greedy choice from the known entry state."""
-    su, sq = pdf["s_us"].tolist(), pdf["s_seq"].tolist()
-    eu, eq = pdf["e_us"].tolist(), pdf["e_seq"].tolist()
-    iu, iq = pdf["in_us"].tolist(), pdf["in_seq"].tolist()
-    keep = [False] * len(pdf)
-    bounds = group_starts(pdf, key_names + ["_gc"]).tolist() + [len(pdf)]
+    su, sq, eu, eq, iu, iq = (table[c].to_pylist() for c in ("s_us", "s_seq", "e_us", "e_seq", "in_us", "in_seq"))
+    keep = [False] * table.num_rows
+    bounds = group_starts(table, ["_gk", "_gc"]).tolist() + [table.num_rows]
     for a, b in zip(bounds[:-1], bounds[1:]):
-        last = None if iu[a] == _NONE else (iu[a], iq[a])
+        last = (iu[a], iq[a])  # _NONE is before every position
         for i in range(a, b):
-            if last is None or (su[i], sq[i]) > last:
+            if (su[i], sq[i]) > last:
                 keep[i] = True
                 last = (eu[i], eq[i])
-    return pdf[keep]
+    return table.filter(pa.array(keep, pa.bool_()))
 
 
 def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None) -> DataFrame:
@@ -256,41 +251,41 @@ def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None) -> DataFrame:
 
     ``iv`` has ``keys`` plus flat ``s_us, s_seq, e_us, e_seq`` (start and end
     positions; one interval per start; ``e_us - s_us <= span_us``) and any
-    payload.  Per key, in ``(end, start)`` order, an interval is taken when it
-    starts after the last taken end.
+    payload.  Per key (NULL is a key like any other), in ``(end, start)`` order,
+    an interval is taken when it starts after the last taken end.
 
     Distributed in three steps so no task holds more than one time chunk of a
     key: (1) per (key, chunk of ends), the exit state for every entry state;
-    (2) per key, a walk over the chunks' small summaries fixes each chunk's
-    entry; (3) per (key, chunk), the choice from that entry.
+    (2) per key and run of chunks that intervals tie together, a walk over the
+    chunks' summaries fixes each chunk's entry; (3) per (key, chunk), the choice
+    from that entry.
     """
     keys = _keys(keys)
     chunk_us = _chunk_us(span_us, chunk)
-    gk = keys or ["_gk"]
-    base = iv.withColumn("_gc", floor_div(F.col("e_us"), chunk_us))
-    if not keys:
-        base = base.withColumn("_gk", F.lit(0))
+    # one text key that is never NULL: groups and joins treat NULL keys like others
+    key = F.to_json(F.struct(*keys)) if keys else F.lit("")
+    base = iv.withColumn("_gc", floor_div(F.col("e_us"), chunk_us)).withColumn("_gk", key)
     # the candidates feed three passes: write them once to the shared checkpoint
     # folder (lineage cut, nothing recomputed after an executor loss)
     base = materialize(base, "greedy-candidates")
-    kfields = [base.schema[k] for k in gk]
+    group = ["_gk", "_gc"]
     order = ["e_us", "e_seq", "s_us", "s_seq"]
+    longs = lambda *names: [T.StructField(n, T.LongType()) for n in names]
+    kfields = [T.StructField("_gk", T.StringType()), T.StructField("_gc", T.LongType())]
 
-    runs_schema = T.StructType(kfields + [
-        T.StructField("_gc", T.LongType()), T.StructField("p_lo", T.LongType()), T.StructField("p_hi", T.LongType()),
-        T.StructField("x_us", T.LongType()), T.StructField("x_seq", T.LongType())])
-    slim = base.select(*gk, "_gc", "s_us", "s_seq", "e_us", "e_seq")
-    runs = materialize(scan_sorted_groups(slim, gk + ["_gc"], order,
-                                          lambda pdf: _variant_exits(pdf, chunk_us, gk), runs_schema),
-                       "greedy-runs")  # a few rows per chunk, read twice
+    slim = base.select(*group, F.col("s_us").cast("long"), F.col("s_seq").cast("long"), F.col("e_us").cast("long"),
+                       F.col("e_seq").cast("long"))
+    runs = materialize(scan_sorted_groups(slim, group, order, lambda t: _variant_exits(t, chunk_us),
+                                          T.StructType(kfields + longs("p_lo", "p_hi", "x_us", "x_seq"))),
+                       "greedy-runs")  # read twice
 
     # variant chosen in chunk j by each exit of chunk j-1: straddler starts at or before it
     strad = slim.where(F.col("s_us") < F.col("_gc") * F.lit(chunk_us)).select(
-        *gk, "_gc", F.col("s_us").alias("pu"), F.col("s_seq").alias("pq"), F.lit(0).alias("tag"))
-    exits = runs.where(F.col("x_us").isNotNull()).select(
-        *gk, (F.col("_gc") + 1).alias("_gc"), F.col("x_us").alias("pu"), F.col("x_seq").alias("pq"),
+        *group, F.col("s_us").alias("pu"), F.col("s_seq").alias("pq"), F.lit(0).alias("tag"))
+    exits = runs.where(F.col("x_us") != F.lit(int(_NONE))).select(
+        "_gk", (F.col("_gc") + 1).alias("_gc"), F.col("x_us").alias("pu"), F.col("x_seq").alias("pq"),
         F.lit(1).alias("tag")).dropDuplicates()
-    order_w = Window.partitionBy(*gk, "_gc").orderBy("pu", "pq", "tag")
+    order_w = Window.partitionBy(*group).orderBy("pu", "pq", "tag")
     w = order_w.rowsBetween(Window.unboundedPreceding, 0)
     # count distinct straddler starts (variants are defined over distinct start positions)
     new_pos = ((F.col("tag") == 0) & F.coalesce((F.lag("pu").over(order_w) != F.col("pu"))
@@ -298,18 +293,24 @@ def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None) -> DataFrame:
     pmap = (strad.unionByName(exits).withColumn("_new", new_pos.cast("int"))
             .withColumn("p", F.sum("_new").over(w))
             .where(F.col("tag") == 1)
-            .select(*gk, "_gc", F.lit(1).alias("kind"), F.col("p").cast("long").alias("p_lo"),
-                    F.lit(None).cast("long").alias("p_hi"), F.col("pu").alias("x_us"), F.col("pq").alias("x_seq")))
-
-    entry_schema = T.StructType(kfields + [T.StructField("_gc", T.LongType()),
-                                           T.StructField("in_us", T.LongType()), T.StructField("in_seq", T.LongType())])
-    summary = (runs.select(*gk, "_gc", F.lit(0).alias("kind"), "p_lo", "p_hi", "x_us", "x_seq").unionByName(pmap)
-               .fillna(int(_NONE), ["p_hi", "x_us", "x_seq"]))  # NULL longs would reach pandas as floats
-    entries = scan_sorted_groups(summary, gk, ["_gc", "kind"], lambda pdf: _chain(pdf, gk), entry_schema)
-
-    joined = base.join(entries, gk + ["_gc"], "left").fillna(int(_NONE), ["in_us", "in_seq"])
-    chosen = scan_sorted_groups(joined, gk + ["_gc"], order, lambda pdf: _final_greedy(pdf, gk), joined.schema)
-    return chosen.drop("_gc", "in_us", "in_seq", *([] if keys else ["_gk"]))
+            .select(*group, F.lit(1).alias("kind"), F.col("p").cast("long").alias("p_lo"),
+                    F.lit(int(_NONE)).alias("p_hi"), F.col("pu").alias("x_us"), F.col("pq").alias("x_seq")))
+
+    # runs of chunks: a chunk without straddlers (one variant) starts a new one; one row per chunk here
+    chunks = runs.groupBy(*group).agg(F.max("p_hi").alias("top"))
+    by_key = Window.partitionBy("_gk").orderBy("_gc")
+    cut = (F.col("top") == 0) | F.coalesce(F.lag("_gc").over(by_key) != F.col("_gc") - 1, F.lit(True))
+    chunks = (chunks.withColumn("cut", cut.cast("long"))
+              .select(*group, F.sum("cut").over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias("_run")))
+    summary = (runs.select(*group, F.lit(0).alias("kind"), "p_lo", "p_hi", "x_us", "x_seq").unionByName(pmap)
+               .join(chunks, group))
+    entries = scan_sorted_groups(summary, ["_gk", "_run"], ["_gc", "kind"], _chain,
+                                 T.StructType(kfields + longs("in_us", "in_seq")))
+
+    joined = base.join(entries, group, "left").fillna(int(_NONE), ["in_us", "in_seq"]).select(
+        *base.columns, "in_us", "in_seq")
+    chosen = scan_sorted_groups(joined, group, order, _final_greedy, joined.schema)
+    return chosen.drop("_gc", "_gk", "in_us", "in_seq")
 
 
 def _flat(prefix: str, pos: Column) -> list[Column]:
@@ -347,10 +348,22 @@ def trailing_sum(df: DataFrame, keys, ts: str, seq: str, value: str, span, out:
     tail = (own + 1) * F.lit(chunk_us) - us <= F.lit(span_us)
     h = (df.withColumn("_us", us).withColumn("_own", own)
          .withColumn("_chunk", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own)))))
-    w = (Window.partitionBy(*keys, "_chunk").orderBy("_us")
-         .rangeBetween(-(span_us - 1), 0))
-    return (h.withColumn(out, F.sum(value).over(w)).where(F.col("_chunk") == F.col("_own"))
-            .drop("_us", "_own", "_chunk"))
+    # difference of two growing sums: the sum up to a row's time, less the sum up to its time - span
+    # (found as the running value carried by a marker row at time + span)
+    total = F.sum(F.col("_v")).over(Window.partitionBy(*keys, "_chunk").orderBy("_us")
+                                    .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    body = h.withColumn("_v", F.coalesce(F.col(value).cast("decimal(38,9)"), F.lit(0).cast("decimal(38,9)")))
+    rows = body.select(F.struct("*").alias("_row"), *keys, "_chunk", "_us", "_v", F.lit(None).cast("decimal(38,9)").alias("_old"))
+    marks = (body.select(*keys, "_chunk", "_us", "_v").groupBy(*keys, "_chunk", "_us").agg(F.sum("_v").alias("_v"))
+             .select(*keys, "_chunk", (F.col("_us") + F.lit(span_us)).alias("_us"),
+                     F.lit(0).cast("decimal(38,9)").alias("_v"), F.col("_v").cast("decimal(38,9)").alias("_old")))
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    gone = F.sum(F.coalesce("_old", F.lit(0).cast("decimal(38,9)"))).over(
+        Window.partitionBy(*keys, "_chunk").orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    out_type = df.select(F.sum(value).alias("x")).schema["x"].dataType
+    done = both.withColumn("_sum", (total - gone).cast(out_type)).where(F.col("_row").isNotNull())
+    return (done.where(F.col("_row._chunk") == F.col("_row._own"))
+            .select(*[F.col(f"_row.`{c}`") for c in df.columns], F.col("_sum").alias(out)))
 
 
 def threshold_then_next(df: DataFrame, keys, ts: str, seq: str, value: str, threshold: float,
@@ -392,13 +405,14 @@ def burst(df: DataFrame, keys, ts: str, seq: str, is_fail: Column, min_count: in
     """
     keys = _keys(keys)
     span_us = duration_us(span)
-    base = _base(df, keys, ts, seq, [is_fail.alias("_fail")])
+    base = _base(df, keys, ts, seq, [F.coalesce(is_fail, F.lit(False)).alias("_fail")])  # an unknown type is no failure
     h = with_halo(base, "_us", span_us + 1, _chunk_us(span_us + 1, chunk))
     part = Window.partitionBy(*keys, "_chunk")
     asc = part.orderBy("_us", "_seq")
     desc_run = part.orderBy(F.col("_us").desc(), F.col("_seq").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = part.orderBy("_us").rangeBetween(0, span_us)
+    # row numbers rise with time, so the last row of [us, us + span] is the last up to us + span
+    ahead = part.orderBy("_us").rangeBetween(Window.unboundedPreceding, span_us)
     x = (h.withColumn("_rn", F.row_number().over(asc))
          .withColumn("_prev", F.lag(_pos()).over(asc)))
     nonfail = ~F.col("_fail")
@@ -425,43 +439,6 @@ def burst(df: DataFrame, keys, ts: str, seq: str, is_fail: Column, min_count: in
 
 # --------------------------------------------------------------------------- tier 3
 
-def _completions(pdf: pd.DataFrame, n_more: int, span_us: int, chain: bool) -> pd.DataFrame:
-    """For every owned start, the event that completes its match (or none).
-
-    A partial match from start ``s`` takes, in order, the next event whose
-    ``who`` differs from the start's (``chain=False``) or from the last captured
-    event's (``chain=True``), until ``n_more`` are captured; it dies once an
-    event is ``span_us`` or more after ``s``.  Partial matches do not interact,
-    so each start is scanned on its own.  Rows arrive sorted by
-    (key, chunk, us, seq).
-    """
-    us, seq, who = pdf["_us"].tolist(), pdf["_seq"].tolist(), pdf["_who"].tolist()
-    owned = (pdf["_chunk"] == pdf["_own"]).tolist()
-    si, ei = [], []
-    bounds = group_starts(pdf, ["_key", "_chunk"]).tolist() + [len(pdf)]
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        for st in range(a, b):
-            if not owned[st]:
-                continue
-            limit = us[st] + span_us
-            ref, got, j = who[st], 0, st + 1
-            while j < b and us[j] < limit:
-                if who[j] != ref:
-                    got += 1
-                    if chain:
-                        ref = who[j]
-                    if got == n_more:
-                        si.append(st)
-                        ei.append(j)
-                        break
-                j += 1
-    return pd.DataFrame({
-        "_key": pdf["_key"].to_numpy()[si], "start_who": pdf["_who"].to_numpy()[si],
-        "_s_us": pdf["_us"].to_numpy()[si], "_s_seq": pdf["_seq"].to_numpy()[si], "_s_ts": pdf["_ts"].to_numpy()[si],
-        "_e_us": pdf["_us"].to_numpy()[ei], "_e_seq": pdf["_seq"].to_numpy()[ei], "_e_ts": pdf["_ts"].to_numpy()[ei],
-    })
-
-
 def follow_distinct(df: DataFrame, key: str | None, ts: str, seq: str, who: str, n_more: int, within,
                     chain: bool = False, cond: Column | None = None, chunk=None) -> DataFrame:
     """Start event followed by ``n_more`` events whose ``who`` differs, within the span.
@@ -479,18 +456,35 @@ def follow_distinct(df: DataFrame, key: str | None, ts: str, seq: str, who: str,
     base = src.select(key_col.alias("_key"), F.col(ts).alias("_ts"), F.col(seq).cast("long").alias("_seq"),
                       epoch_us(src, ts).alias("_us"), F.col(who).alias("_who"))
     h = with_halo(base, "_us", span, _chunk_us(span, chunk))
-    key_type = base.schema["_key"].dataType
-    who_type = base.schema["_who"].dataType
-    ts_type = base.schema["_ts"].dataType
-    out_schema = T.StructType([
-        T.StructField("_key", key_type), T.StructField("start_who", who_type),
-        T.StructField("_s_us", T.LongType()), T.StructField("_s_seq", T.LongType()), T.StructField("_s_ts", ts_type),
-        T.StructField("_e_us", T.LongType()), T.StructField("_e_seq", T.LongType()), T.StructField("_e_ts", ts_type),
-    ])
-    iv = (scan_sorted_groups(h, ["_key", "_chunk"], ["_us", "_seq"],
-                             lambda pdf: _completions(pdf, n_more, span, chain), out_schema)
-          .select("_key", "start_who", *[F.col(f"_{c}").alias(c) for c in
-                                         ("s_us", "s_seq", "s_ts", "e_us", "e_seq", "e_ts")]))
+    part = Window.partitionBy("_key", "_chunk")
+    asc = part.orderBy("_us", "_seq")
+    rn = F.row_number().over(asc).cast("long")
+    if chain:
+        # the completion is the head of the n-th following run of equal accounts
+        head = ~F.coalesce(F.lag("_who").over(asc).eqNullSafe(F.col("_who")) & (rn > 1), F.lit(False))
+        rows = h.withColumn("_head", head).withColumn(
+            "_at", F.sum(F.col("_head").cast("long")).over(asc.rowsBetween(Window.unboundedPreceding, 0)))
+        target = F.col("_at") + n_more
+        ends = rows.where("_head")
+    else:
+        # d: rows of other accounts so far.  The n-th other row after a start is number d + n among
+        # the others; the start's own rows before it are those with at most d + n - 1 others before them
+        own = F.row_number().over(Window.partitionBy("_key", "_chunk", "_who").orderBy("_us", "_seq"))
+        rows = h.withColumn("_at", rn).withColumn("_d", F.col("_at") - own)
+        same = (Window.partitionBy("_key", "_chunk", "_who").orderBy("_d")
+                .rangeBetween(Window.unboundedPreceding, n_more - 1))
+        rows = rows.withColumn("_target", F.col("_d") + n_more + F.count(F.lit(1)).over(same))
+        target = F.col("_target")
+        ends = rows
+    starts = rows.where(F.col("_chunk") == F.col("_own")).select(
+        "_key", "_chunk", F.col("_who").alias("start_who"), target.alias("_to"),
+        F.col("_us").alias("s_us"), F.col("_seq").alias("s_seq"), F.col("_ts").alias("s_ts"))
+    ends = ends.select(F.col("_key").alias("_k2"), F.col("_chunk").alias("_c2"), F.col("_at").alias("_to2"),
+                       F.col("_us").alias("e_us"), F.col("_seq").alias("e_seq"), F.col("_ts").alias("e_ts"))
+    iv = (starts.join(ends, F.col("_key").eqNullSafe(F.col("_k2")) & (F.col("_chunk") == F.col("_c2"))
+                      & (F.col("_to") == F.col("_to2")))
+          .where(F.col("e_us") - F.col("s_us") < F.lit(span))
+          .select("_key", "start_who", "s_us", "s_seq", "s_ts", "e_us", "e_seq", "e_ts"))
     chosen = greedy_select(iv, ["_key"], span, chunk)
     cols = [F.col("_key").alias(key)] if key else []
     return chosen.select(*cols, F.col("start_who").alias(f"start_{who}"),

@@ -1,11 +1,12 @@
 """Sequential per-group scans over partitions sorted by (group, order).
 
 The secondary-sort idiom: ``repartition`` by the group columns, sort each
-partition by (group, order) and stream the partition through ``mapInPandas``.
+partition by (group, order) and stream the partition through ``mapInArrow``.
 Arrow batches are cut into runs of complete groups (the last, possibly
 unfinished group is carried into the next batch), so a task holds one batch
 plus one group, and there is no per-group call overhead: many small groups
-are scanned in one Python loop.
+are scanned in one Python loop.  Tables stay Arrow: 64-bit ids and NULLs pass
+through exactly.  Group columns must not be NULL.
 """
 
 from __future__ import annotations
@@ -13,59 +14,62 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
 from clickstream.session import ship_package
 
 
-def group_starts(pdf: pd.DataFrame, group_cols: Sequence[str]) -> np.ndarray:
-    """Row indexes where a new group starts (pdf sorted by ``group_cols``)."""
-    n = len(pdf)
+def group_starts(table: pa.Table, group_cols: Sequence[str]) -> np.ndarray:
+    """Row indexes where a new group starts (table sorted by ``group_cols``)."""
+    n = table.num_rows
     if n == 0:
         return np.zeros(0, dtype=np.int64)
     change = np.zeros(n, dtype=bool)
     change[0] = True
     for g in group_cols:
-        v = pdf[g].to_numpy()
-        change[1:] |= v[1:] != v[:-1]
+        v = table[g].combine_chunks()
+        change[1:] |= pc.not_equal(v[1:], v[:-1]).to_numpy(zero_copy_only=False)
     return np.flatnonzero(change)
 
 
-def _same_group(a: pd.DataFrame, b: pd.DataFrame, group_cols: Sequence[str]) -> bool:
+def _same_group(a: pa.Table, b: pa.Table, group_cols: Sequence[str]) -> bool:
     """Whether the last row of ``a`` and the first row of ``b`` share a group."""
-    return all(a[g].iloc[-1] == b[g].iloc[0] for g in group_cols)
+    return all(a[g][-1].as_py() == b[g][0].as_py() for g in group_cols)
 
 
-def _complete_groups(batches: Iterator[pd.DataFrame], group_cols: Sequence[str]) -> Iterator[pd.DataFrame]:
-    """Re-cut sorted Arrow batches into frames of whole groups.
+def _complete_groups(batches: Iterator[pa.RecordBatch], group_cols: Sequence[str]) -> Iterator[pa.Table]:
+    """Re-cut sorted Arrow batches into tables of whole groups.
 
     The unfinished last group is kept as a list of pieces and concatenated once
     it completes, so a group spanning many batches is copied once.
     """
-    pending: list[pd.DataFrame] = []
-    for pdf in batches:
-        if not len(pdf):
+    pending: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        pdf = pdf.reset_index(drop=True)
-        last = int(group_starts(pdf, group_cols)[-1])
-        if last == 0 and pending and _same_group(pending[-1], pdf, group_cols):
-            pending.append(pdf)  # the whole batch continues the unfinished group
+        table = pa.Table.from_batches([batch])
+        last = int(group_starts(table, group_cols)[-1])
+        if last == 0 and pending and _same_group(pending[-1], table, group_cols):
+            pending.append(table)  # the whole batch continues the unfinished group
             continue
-        done = pending + ([pdf.iloc[:last]] if last else [])
+        done = pending + ([table.slice(0, last)] if last else [])
         if done:
-            yield pd.concat(done, ignore_index=True)
-        pending = [pdf.iloc[last:]]
+            yield pa.concat_tables(done).combine_chunks()
+        pending = [table.slice(last)]
     if pending:
-        yield pd.concat(pending, ignore_index=True)
+        yield pa.concat_tables(pending).combine_chunks()
 
 
 def scan_sorted_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                       fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType) -> DataFrame:
-    """Apply ``fn`` to frames of complete groups, each sorted by (group, order).
+                       fn: Callable[[pa.Table], pa.Table], schema: T.StructType) -> DataFrame:
+    """Apply ``fn`` to tables of complete groups, each sorted by (group, order).
 
-    ``fn`` receives a pandas frame holding one or more whole groups and returns
-    rows of ``schema``; use :func:`group_starts` to walk its groups.
+    ``fn`` receives an Arrow table holding one or more whole groups and returns
+    rows of ``schema``; use :func:`group_starts` to walk its groups.  This is the
+    escape hatch for rules that window functions cannot express (a user's own
+    process-window function): rows of a group arrive together and in order.
     """
     ship_package(df.sparkSession)
     ordered = df.repartition(*group_cols).sortWithinPartitions(*group_cols, *order_cols)
@@ -73,6 +77,6 @@ def scan_sorted_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     def run(batches):
         for part in _complete_groups(batches, list(group_cols)):
             out = fn(part)
-            if out is not None and len(out):
-                yield out
-    return ordered.mapInPandas(run, schema)
+            if out is not None and out.num_rows:
+                yield from out.to_batches()
+    return ordered.mapInArrow(run, schema)
