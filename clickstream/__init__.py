@@ -6,22 +6,22 @@ ingest sequence column"); the streaming twins in :mod:`clickstream.streaming`
 produce the same rows once the watermark has passed.
 """
 
-from clickstream.session import build_session, checkpoint_dir, ship_package
-from clickstream.operators.windows import top_n, window_agg, window_count, window_top_n
+from clickstream.session import build_session, checkpoint_dir, drop_scratch, ship_package
+from clickstream.operators.windows import top_n, window_agg, window_count, window_measures, window_top_n
 from clickstream.operators.visitors import bitmap_visitors, running_visitors, unique_visitors
 from clickstream.operators.quota import quota_filter
 from clickstream.operators.sequence import (
     blocks, burst, consecutive, follow_distinct, greedy_select, n_in_span, threshold_then_next, trailing_sum,
 )
-from clickstream.operators.matching import interval_join, outer_match, payment_timeout, window_join
-from clickstream.operators.joins import broadcast_if_small
+from clickstream.operators.matching import interval_join, one_slot_match, outer_match, payment_timeout, window_join
+from clickstream.operators.sorted_groups import scan_sorted_groups
 
 __all__ = [
     "build_session", "checkpoint_dir", "ship_package",
-    "window_count", "window_top_n", "window_agg", "top_n",
+    "window_count", "window_top_n", "window_agg", "window_measures", "top_n",
     "unique_visitors", "bitmap_visitors", "running_visitors",
     "quota_filter",
     "consecutive", "n_in_span", "blocks", "threshold_then_next", "trailing_sum", "burst", "follow_distinct",
     "greedy_select",
-    "interval_join", "outer_match", "window_join", "payment_timeout", "broadcast_if_small",
+    "interval_join", "outer_match", "window_join", "payment_timeout", "one_slot_match", "scan_sorted_groups", "drop_scratch",
 ]

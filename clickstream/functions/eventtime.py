@@ -76,6 +76,10 @@ def is_ntz(df: DataFrame, ts: str) -> bool:
     return isinstance(_dtype(df, ts), T.TimestampNTZType)
 
 
+def ts_is_timestamp(df: DataFrame, ts: str) -> bool:
+    return isinstance(_dtype(df, ts), (T.TimestampType, T.TimestampNTZType))
+
+
 def seconds_to_ts(col: str | Column) -> Column:
     """Epoch seconds (long) to an NTZ event time, as the reference's ``ts * 1000``."""
     c = F.col(col) if isinstance(col, str) else col

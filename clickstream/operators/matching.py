@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from clickstream.functions.eventtime import duration_us, epoch_us
+from clickstream.functions.eventtime import duration_us, epoch_us, from_epoch_us, is_ntz
+from clickstream.operators.sorted_groups import group_starts, scan_sorted_groups
 from clickstream.operators.windows import floor_div
 
 
@@ -39,6 +41,8 @@ def interval_join(left: DataFrame, right: DataFrame, keys, left_ts: str, right_t
     lo, hi = _signed_us(lower), _signed_us(upper)
     if hi < lo:
         raise ValueError("upper bound below lower bound")
+    if how != "inner" and bucket is not None:
+        raise ValueError("the bucketed join is inner; for unmatched rows use outer_match, or bucket=None")
     l = _prep(left, left_ts, "_l")
     r = _prep(right, right_ts, "_r")
     band = (F.col("_r_us") >= F.col("_l_us") + F.lit(lo)) & (F.col("_r_us") <= F.col("_l_us") + F.lit(hi))
@@ -76,7 +80,8 @@ def outer_match(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
     receipt, a receipt waits ``-lower`` for its pay, one slot per key) matches
     iff ``right.ts`` is in ``[left.ts + lower, left.ts + upper]``.  Returns
     ``key, status, left_ts, right_ts`` with ``status`` one of the three labels;
-    a key whose times do not fit yields one unmatched row per side.
+    a key whose times do not fit yields one unmatched row per side; NULL keys match
+    nothing and are unmatched rows of their side.
 
     ``unique_keys=True`` (transaction ids): one full outer join, one shuffle.
     ``unique_keys=False``: keys may repeat or be hot, so matched pairs come from
@@ -84,13 +89,14 @@ def outer_match(left: DataFrame, right: DataFrame, key: str, left_ts: str, right
     anti join; no key ever pairs all its rows.
     """
     lo, hi = _signed_us(lower), _signed_us(upper)
-    l = _prep(left.select(F.col(key).alias("_lk"), F.col(left_ts).alias("left_ts")), "left_ts", "_l")
-    r = _prep(right.select(F.col(key).alias("_rk"), F.col(right_ts).alias("right_ts")), "right_ts", "_r")
+    # markers say which side a row has: a NULL key or time does not make it the other side's
+    l = _prep(left.select(F.col(key).alias("_lk"), F.col(left_ts).alias("left_ts"), F.lit(True).alias("_is_l")), "left_ts", "_l")
+    r = _prep(right.select(F.col(key).alias("_rk"), F.col(right_ts).alias("right_ts"), F.lit(True).alias("_is_r")), "right_ts", "_r")
     band = (F.col("_r_us") >= F.col("_l_us") + F.lit(lo)) & (F.col("_r_us") <= F.col("_l_us") + F.lit(hi))
     if unique_keys:
         j = l.join(r, (F.col("_lk") == F.col("_rk")) & band, "full")
-        status = (F.when(F.col("_lk").isNotNull() & F.col("_rk").isNotNull(), F.lit(matched))
-                  .when(F.col("_lk").isNotNull(), F.lit(left_only)).otherwise(F.lit(right_only)))
+        status = (F.when(F.col("_is_l").isNotNull() & F.col("_is_r").isNotNull(), F.lit(matched))
+                  .when(F.col("_is_l").isNotNull(), F.lit(left_only)).otherwise(F.lit(right_only)))
         return j.select(F.coalesce("_lk", "_rk").alias(key), status.alias("status"), "left_ts", "right_ts")
     width = max(hi - lo + 1, 1)
     # left row's band starts in bucket floor((l + lo) / width) and ends in that or the next
@@ -131,20 +137,111 @@ def payment_timeout(creates: DataFrame, pays: DataFrame, key: str, ts: str, with
     """``create`` followed by ``pay`` (same key) with ``0 <= pay.ts - create.ts < within``.
 
     The reference's order-timeout pattern: a match is a success, a create whose
-    window passes is a timeout, a pay without a create yields nothing.  Written
-    as a left-semi / left-anti join on (key, time bucket): pays are copied into
-    their own and the previous bucket, creates sit in one, so each create meets
-    only the pays of two buckets of its key and the semi join stops at the first.
+    window passes is a timeout, a pay without a create yields nothing.  Creates
+    without a key or a time are timeouts.
+
+    Both sides go through one shuffle: rows are tagged, unioned and cut into time
+    chunks (the first ``within`` of a chunk is also copied to the end of the one
+    before), and each create takes the next pay time of its key, the last one seen
+    going back in time.  No create is ever paired with a pay, and a hot key is
+    spread over its chunks.  ``paid`` also has ``pay_ts``, the captured pay's time.
     """
     span = duration_us(within)
-    c = creates.select(F.col(key).alias("_k"), *keep, F.col(ts).alias("_cts"))
-    c = c.withColumn("_cus", epoch_us(c, "_cts")).withColumn("_tb", floor_div(F.col("_cus"), span))
-    p = pays.select(F.col(key).alias("_k"), epoch_us(pays, ts).alias("_pus"))
-    p = p.withColumn("_tb", F.explode(F.array(floor_div(F.col("_pus"), span),
-                                              floor_div(F.col("_pus"), span) - 1)))
-    on = ((c["_k"] == p["_k"]) & (c["_tb"] == p["_tb"]) & (p["_pus"] >= c["_cus"])
-          & (p["_pus"] < c["_cus"] + F.lit(span)))
-    out = [F.col("_k").alias(key), *keep]
-    paid = c.join(p, on, "left_semi").select(*out, F.lit("success").alias("status"))
-    timed = c.join(p, on, "left_anti").select(*out, F.lit("timeout").alias("status"))
+    chunk = max(8 * span, 3_600_000_000)
+    c = creates.select(F.col(key).alias("_k"), F.struct(*keep).alias("_keep"), epoch_us(creates, ts).alias("_us"),
+                       F.lit(False).alias("_pay"))
+    p = (pays.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+         .select(F.col(key).alias("_k"), F.lit(None).cast(c.schema["_keep"].dataType).alias("_keep"),
+                 epoch_us(pays, ts).alias("_us"), F.lit(True).alias("_pay")))
+    both = c.unionByName(p)
+    own = floor_div(F.col("_us"), chunk)
+    halo = F.col("_pay") & (F.col("_us") - own * F.lit(chunk) < F.lit(span))
+    both = both.withColumn("_chunk", F.explode(F.when(halo, F.array(own, own - 1)).otherwise(F.array(own))))
+    # going back in time; pays before creates of the same time, so that 0 is inside
+    back = (Window.partitionBy("_k", "_chunk").orderBy(F.col("_us").desc(), F.col("_pay").desc())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    nxt = F.last(F.when(F.col("_pay"), F.col("_us")), ignorenulls=True).over(back)
+    ok = F.coalesce(F.col("_k").isNotNull() & (F.col("_next") < F.col("_us") + F.lit(span)), F.lit(False))
+    done = both.withColumn("_next", nxt).where(~F.col("_pay")).withColumn("_ok", ok)
+    out = [F.col("_k").alias(key), *[F.col(f"_keep.`{k}`") for k in keep]]
+    ntz = is_ntz(pays, ts)
+    paid = done.where("_ok").select(*out, F.lit("success").alias("status"), from_epoch_us(F.col("_next"), ntz).alias("pay_ts"))
+    timed = done.where(~F.col("_ok")).select(*out, F.lit("timeout").alias("status"))
     return PaymentResult(paid, timed)
+
+
+def one_slot_match(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str, seq: str, lower, upper,
+                   matched: str = "matched", left_only: str = "unmatched_left",
+                   right_only: str = "unmatched_right") -> DataFrame:
+    """Two-stream match with one slot per key and side, as the reference keeps it.
+
+    In event order (left before right at equal times, then ``seq``) a key holds at most one
+    waiting left and one waiting right row.  A row meets the other side's waiting row if
+    that has not timed out (a left row waits ``upper``, a right row ``-lower``,
+    inclusive): both are matched and both slots are empty again.  Otherwise the row
+    takes its own slot; a row that was waiting there is overwritten and comes out
+    unmatched.  Returns ``keys..., status, left_seq, right_seq``.  Rows without a key
+    or a time are unmatched.
+
+    A row can only wait while the next row of its key comes within the wait, so a key's
+    timeline is cut wherever it is silent for longer: what stands before a cut is
+    settled.  Each piece is walked in order by one task; pieces of a hot key are
+    spread.
+    """
+    keys = _keys(keys)
+    lo, hi = _signed_us(lower), _signed_us(upper)
+    if lo > 0 or hi < 0:
+        raise ValueError("the band must hold 0: a row waits for the other side")
+    side = lambda df, ts, is_left: df.select(
+        F.when(F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)) | F.col(ts).isNull(), F.lit(None))
+        .otherwise(F.to_json(F.struct(*keys))).alias("_gk"), F.struct(*keys).alias("_keys"),
+        epoch_us(df, ts).alias("_us"), F.col(seq).cast("long").alias("_seq"), F.lit(is_left).alias("_left"))
+    both = side(left, left_ts, True).unionByName(side(right, right_ts, False))
+    lone = both.where("_gk is null")
+    whole = both.where("_gk is not null")
+    order = Window.partitionBy("_gk").orderBy("_us", F.col("_left").desc(), "_seq")
+    gap = F.coalesce(F.col("_us") - F.lag("_us").over(order) > F.lit(max(hi, -lo)), F.lit(True))
+    whole = whole.withColumn("_piece", F.sum(gap.cast("long")).over(order))
+    schema = T.StructType([whole.schema["_keys"], T.StructField("status", T.StringType()),
+                           T.StructField("left_seq", T.LongType()), T.StructField("right_seq", T.LongType())])
+
+    def walk(table: pa.Table) -> pa.Table:
+        us, sq, is_left = (table[c].to_pylist() for c in ("_us", "_seq", "_left"))
+        bounds = group_starts(table, ["_gk", "_piece"]).tolist() + [table.num_rows]
+        at, status, ls, rs = [], [], [], []
+
+        def put(row, what, a, b):
+            at.append(row)
+            status.append(what)
+            ls.append(None if a is None else sq[a])
+            rs.append(None if b is None else sq[b])
+
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            slot: dict[bool, int | None] = {True: None, False: None}
+            for i in range(a, b):
+                for mine, limit in ((True, hi), (False, -lo)):  # timed out slots come out first
+                    j = slot[mine]
+                    if j is not None and us[i] - us[j] > limit:
+                        put(j, left_only if mine else right_only, *((j, None) if mine else (None, j)))
+                        slot[mine] = None
+                me = is_left[i]
+                j = slot[not me]
+                if j is not None:
+                    put(i, matched, *((i, j) if me else (j, i)))
+                    slot[not me] = None
+                else:
+                    if slot[me] is not None:
+                        put(slot[me], left_only if me else right_only, *((slot[me], None) if me else (None, slot[me])))
+                    slot[me] = i
+            for mine, j in slot.items():
+                if j is not None:
+                    put(j, left_only if mine else right_only, *((j, None) if mine else (None, j)))
+        return pa.table({"_keys": table["_keys"].take(pa.array(at, pa.int64())), "status": pa.array(status, pa.string()),
+                         "left_seq": pa.array(ls, pa.int64()), "right_seq": pa.array(rs, pa.int64())})
+
+    walked = scan_sorted_groups(whole.withColumn("_first", (~F.col("_left")).cast("int")), ["_gk", "_piece"],
+                                ["_us", "_first", "_seq"], walk, schema)
+    rest = lone.select("_keys", F.when(F.col("_left"), F.lit(left_only)).otherwise(F.lit(right_only)).alias("status"),
+                       F.when(F.col("_left"), F.col("_seq")).alias("left_seq"),
+                       F.when(~F.col("_left"), F.col("_seq")).alias("right_seq"))
+    return walked.unionByName(rest).select(*[F.col(f"_keys.`{k}`") for k in keys], "status", "left_seq", "right_seq")

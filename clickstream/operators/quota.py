@@ -5,12 +5,12 @@ pass; later rows are dropped; the first dropped row yields one warning.  The
 reference resets counters at processing-time midnight; here the day is the
 event's date, so replays give the same answer.
 
-Plan: ``row_number() <= max_count + 1`` over (keys, day).  Catalyst turns the
-limit into a partial ``WindowGroupLimit`` before the shuffle, so a hot key (one
-clicking bot) ships at most ``max_count + 1`` rows per map task; its dropped
-clicks never cross the network.  Catalyst does this while ``max_count + 1`` is
-at most ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000); raise
-that setting for larger quotas.
+Plan, the same for every ``max_count``: rows are counted per (keys, day, time
+slice) with partial aggregation, a running sum over a key's slices of the day
+(at most ``day / slice`` rows) says how many came before each slice, and only
+slices that begin within the quota are numbered, one window group per slice.  A
+hot key (one clicking bot) is spread over its slices, and its slices beyond the
+quota are dropped by the join without being sorted.
 """
 
 from __future__ import annotations
@@ -19,6 +19,11 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from clickstream.functions.eventtime import duration_us, epoch_us
+from clickstream.operators.windows import floor_div
+
+_DAY_US = 86_400_000_000
+
 
 class QuotaResult(NamedTuple):
     passed: DataFrame     # input rows within the quota, plus ``day``
@@ -26,14 +31,32 @@ class QuotaResult(NamedTuple):
 
 
 def quota_filter(df: DataFrame, keys, ts: str, seq: str, max_count: int = 100,
-                 day_col: str = "day") -> QuotaResult:
+                 day_col: str = "day", slice_="5 minutes") -> QuotaResult:
+    """Rows within the quota, and a warning per (keys, day) over it.
+
+    ``ts`` is a timestamp or a long of epoch seconds.  Rows without a time belong to
+    no day and are in neither output; NULL keys are a key like any other.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    w = Window.partitionBy(*keys, day_col).orderBy(F.col(ts), F.col(seq))
-    ranked = (df.withColumn(day_col, F.to_date(F.col(ts)))
-              .withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") <= max_count + 1))
-    passed = ranked.where(F.col("_rn") <= max_count).drop("_rn")
+    slice_us = duration_us(slice_)
+    us = epoch_us(df, ts)
+    rows = df.where(F.col(ts).isNotNull()).select(
+        F.struct("*").alias("_row"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        us.alias("_us"), F.col(seq).alias("_seq"),
+        floor_div(us, _DAY_US).alias("_day"), floor_div(us, slice_us).alias("_slice"))
+    group = [f"_k{i}" for i in range(len(keys))] + ["_day"]
+    counts = rows.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*group).orderBy("_slice")) - F.col("_n")
+    early = counts.withColumn("_before", before).where(F.col("_before") <= max_count)
+    early = early.select(*[F.col(c).alias(f"{c}_") for c in [*group, "_slice"]], "_before")
+    on = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in [*group, "_slice"]]
+    in_slice = Window.partitionBy(*group, "_slice").orderBy("_us", "_seq")
+    ranked = (rows.join(early, on).withColumn("_rn", F.col("_before") + F.row_number().over(in_slice))
+              .where(F.col("_rn") <= max_count + 1)
+              .withColumn("_date", F.date_add(F.lit("1970-01-01").cast("date"), F.col("_day").cast("int"))))
+    plain = [F.col(f"_row.`{c}`") for c in df.columns if c != day_col]
+    passed = ranked.where(F.col("_rn") <= max_count).select(*plain, F.col("_date").alias(day_col))
     warnings = ranked.where(F.col("_rn") == max_count + 1).select(
-        *keys, day_col, F.col(ts).alias("blocked_ts"),
+        *[F.col(f"_row.`{k}`") for k in keys], F.col("_date").alias(day_col), F.col(f"_row.`{ts}`").alias("blocked_ts"),
         F.lit(f"over {max_count} per day").alias("msg"))
     return QuotaResult(passed, warnings)

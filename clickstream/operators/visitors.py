@@ -37,7 +37,7 @@ def unique_visitors(df: DataFrame, ts: str, user: str, size="1 hour", out: str =
     """Exact distinct ``user`` per tumbling window -> ``window_start, window_end, uv``."""
     size_us = duration_us(size)
     ntz = is_ntz(df, ts)
-    return (df.select(_bucket(df, ts, size_us).alias("_b"), F.col(user).alias("_u"))
+    return (df.where(F.col(ts).isNotNull()).select(_bucket(df, ts, size_us).alias("_b"), F.col(user).alias("_u"))
             .groupBy("_b").agg(F.count_distinct("_u").alias(out))
             .select(*_ends(size_us, ntz), F.col(out).cast("long").alias(out)))
 
@@ -46,7 +46,7 @@ def bitmap_visitors(df: DataFrame, ts: str, user: str, size="1 hour", out: str =
     """Set bits of the hash28 bitmap per tumbling window -> ``window_start, window_end, uv``."""
     size_us = duration_us(size)
     ntz = is_ntz(df, ts)
-    pos = df.select(_bucket(df, ts, size_us).alias("_b"), hash28(user).alias("_h"))
+    pos = df.where(F.col(ts).isNotNull()).select(_bucket(df, ts, size_us).alias("_b"), hash28(user).alias("_h"))
     chunks = (pos.groupBy("_b", F.bitmap_bucket_number("_h").alias("_chunk"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_h")).alias("_bm")))
     return (chunks.groupBy("_b").agg(F.sum(F.bitmap_count("_bm")).alias(out))
@@ -64,7 +64,8 @@ def running_visitors(df: DataFrame, ts: str, user: str, seq: str, size="1 hour",
     ntz = is_ntz(df, ts)
     us = epoch_us(df, ts)
     # first visit per (window, position): a min over a struct, aggregated map-side
-    firsts = (df.select(floor_div(us, size_us).alias("_b"), hash28(user).alias("_h"),
+    known = df.where(F.col(ts).isNotNull() & F.col(user).isNotNull())  # no user is no visitor, as in unique_visitors
+    firsts = (known.select(floor_div(us, size_us).alias("_b"), hash28(user).alias("_h"),
                         F.struct(us.alias("us"), F.col(seq).alias("seq"), F.col(user).alias("u")).alias("_f"))
               .groupBy("_b", "_h").agg(F.min("_f").alias("_f"))
               .select("_b", F.col("_f.us").alias("_us"), F.col("_f.seq").alias("_seq"),

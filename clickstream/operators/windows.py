@@ -32,12 +32,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickstream.functions.eventtime import duration_us, epoch_us, from_epoch_us, is_ntz
+from clickstream.functions.eventtime import duration_us, epoch_us, from_epoch_us, is_ntz, ts_is_timestamp
 
 
 def floor_div(c: Column, n: int) -> Column:
     """Exact floor division of a long column by a positive constant."""
-    return ((c - F.pmod(c, F.lit(n))) / F.lit(n)).cast("long")
+    # integer division truncates; the remainder is taken out first (no doubles, exact for every long)
+    return F.call_function("div", c - F.pmod(c, F.lit(n)), F.lit(n))
 
 
 def _keys(keys) -> list[str]:
@@ -50,7 +51,8 @@ def _keys(keys) -> list[str]:
 
 def bucketed(df: DataFrame, ts: str, width_us: int, keys: Sequence[str] = (), name: str = "_b") -> DataFrame:
     """Project ``keys`` plus the epoch bucket number of ``ts`` for a bucket of ``width_us`` microseconds."""
-    return df.select(*_keys(keys), floor_div(epoch_us(df, ts), width_us).alias(name))
+    return (df.where(F.col(ts).isNotNull())  # an event without a time is in no window
+            .select(*_keys(keys), floor_div(epoch_us(df, ts), width_us).alias(name)))
 
 
 def window_count(df: DataFrame, ts: str, size, slide=None, keys: Sequence[str] | str = (),
@@ -162,8 +164,8 @@ def _sweep(counts: DataFrame, keys: list[str], n: int, chunk: int) -> DataFrame:
 
 def _window_plan(df: DataFrame, ts: str, size_us: int, slide_us: int, keys: list[str],
                  count_col: str) -> DataFrame:
-    win = F.window(F.col(ts), f"{size_us} microseconds", f"{slide_us} microseconds")
-    return (df.groupBy(*keys, win.alias("_w")).agg(F.count(F.lit(1)).alias(count_col))
+    win = F.window(_time(df, ts), f"{size_us} microseconds", f"{slide_us} microseconds")
+    return (df.where(F.col(ts).isNotNull()).groupBy(*keys, win.alias("_w")).agg(F.count(F.lit(1)).alias(count_col))
             .select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                     F.col(count_col).cast("long").alias(count_col)))
 
@@ -187,10 +189,60 @@ def top_n(df: DataFrame, n: int, by: str | Sequence[str] = "window_end",
     return ranked.where(F.col(rank_col) <= n).withColumn(rank_col, F.col(rank_col).cast("long"))
 
 
+def _time(df: DataFrame, ts: str) -> Column:
+    """``ts`` as a timestamp (long epoch seconds are turned into one)."""
+    return F.col(ts) if ts_is_timestamp(df, ts) else from_epoch_us(epoch_us(df, ts), False)
+
+
+#: Measures that merge over slide buckets: partial aggregates per bucket, and how buckets combine.
+_MERGE = {
+    "sum": (lambda c: [F.sum(c)], lambda p: F.sum(p[0])),
+    "count": (lambda c: [F.count(c)], lambda p: F.sum(p[0])),
+    "min": (lambda c: [F.min(c)], lambda p: F.min(p[0])),
+    "max": (lambda c: [F.max(c)], lambda p: F.max(p[0])),
+    "avg": (lambda c: [F.sum(c), F.count(c)], lambda p: F.sum(p[0]) / F.when(F.sum(p[1]) > 0, F.sum(p[1]))),
+}
+
+
+def window_measures(df: DataFrame, ts: str, size, slide=None, keys: Sequence[str] | str = (),
+                    measures: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Sums, counts, minima, maxima and averages per (keys, window), through slide buckets.
+
+    ``measures`` maps output names to ``(kind, column)``: ``{"amount": ("sum",
+    "value")}`` with kind ``sum``, ``count``, ``min``, ``max`` or ``avg``.  Events
+    are aggregated per (keys, slide bucket) first (partial aggregation before the
+    shuffle); only the buckets are copied into their windows, so the work grows with
+    buckets and not with ``events x size / slide``.  ``size`` must be a multiple of
+    ``slide``.  Returns ``keys..., window_start, window_end, <measures>``.
+    """
+    keys = _keys(keys)
+    if not measures or any(kind not in _MERGE for kind, _ in measures.values()):
+        raise ValueError(f"give measures of kind {sorted(_MERGE)}")
+    size_us = duration_us(size)
+    slide_us = duration_us(slide) if slide is not None else size_us
+    if size_us <= 0 or slide_us <= 0 or size_us % slide_us:
+        raise ValueError("window size must be a positive multiple of the slide")
+    n = size_us // slide_us
+    rows = df.where(F.col(ts).isNotNull()).withColumn("_b", floor_div(epoch_us(df, ts), slide_us))
+    parts = {name: [(f"_{name}_{i}", c) for i, c in enumerate(_MERGE[kind][0](F.col(col)))]
+             for name, (kind, col) in measures.items()}
+    buckets = rows.groupBy(*keys, "_b").agg(*[c.alias(a) for own in parts.values() for a, c in own])
+    names = [a for own in parts.values() for a, _ in own]
+    copied = buckets.select(*keys, *names, F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + n)).alias("_e"))
+    merged = copied.groupBy(*keys, "_e").agg(*[
+        _MERGE[kind][1]([F.col(a) for a, _ in parts[name]]).alias(name) for name, (kind, _) in measures.items()])
+    return _with_bounds(merged, keys, size_us, slide_us, is_ntz(df, ts)).select(
+        *keys, "window_start", "window_end", *measures)
+
+
 def window_agg(df: DataFrame, ts: str, size, slide=None, keys: Sequence[str] | str = (),
                aggs: dict[str, Column] | None = None) -> DataFrame:
     """Any built-in aggregates per (keys, window): the user-aggregate extension point.
 
+    For aggregates that do not merge from buckets (distinct counts, percentiles); sums,
+    counts, minima, maxima and averages go through :func:`window_measures`, which does
+    not copy events.
+
     ``aggs`` maps output names to aggregate Columns (``{"amount": F.sum("value"),
     "users": F.count_distinct("user_id")}``).  Rows are assigned to their
     windows by ``F.window`` (``size / slide`` copies per row) and aggregated
@@ -203,7 +255,7 @@ def window_agg(df: DataFrame, ts: str, size, slide=None, keys: Sequence[str] | s
         raise ValueError("give at least one aggregate")
     size_us = duration_us(size)
     slide_us = duration_us(slide) if slide is not None else size_us
-    win = F.window(F.col(ts), f"{size_us} microseconds", f"{slide_us} microseconds")
-    out = df.groupBy(*keys, win.alias("_w")).agg(*[c.alias(n) for n, c in aggs.items()])
+    win = F.window(_time(df, ts), f"{size_us} microseconds", f"{slide_us} microseconds")
+    out = df.where(F.col(ts).isNotNull()).groupBy(*keys, win.alias("_w")).agg(*[c.alias(n) for n, c in aggs.items()])
     return out.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                       *aggs.keys())

@@ -52,21 +52,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset and
-    the session is local (tests, a laptop) a fresh private folder is created
-    and registered; on a cluster an unset value is an error, never a
-    machine-local folder.
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a folder
+    below the warehouse is used and registered: like the folder itself, the
+    warehouse is shared by the driver and all executors.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        d = tempfile.mkdtemp(prefix="clickstream-ckpt-")
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+_SCRATCH: list[str] = []
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process has written; returns how many.
+
+    Results that still read them must have been written or collected first.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
 
@@ -77,6 +90,7 @@ def materialize(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -34,7 +34,7 @@ def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:
     bad = (F.size(parts) < 7) | ts.isNull()
     return lines.select(
         F.get(parts, 0).alias("ip"),
-        F.when(user == "-", None).otherwise(user).try_cast("long").alias("user_id"),
+        F.when(user == "-", None).otherwise(user).alias("user_id"),  # any text: logs hold names too
         ts.alias("ts"),
         F.get(parts, 5).alias("method"),
         F.get(parts, 6).alias("url"),

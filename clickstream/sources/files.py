@@ -9,11 +9,16 @@ NTZ event time derived from epoch seconds (or milliseconds for marketing logs).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import re
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from clickstream.functions.eventtime import millis_to_ts, seconds_to_ts
 from clickstream.sources.schemas import CORRUPT, LOG_SCHEMAS
 
+#: Fields that may be empty in a good line.
+OPTIONAL = {"tx_id"}
+
 
 def _finish(df: DataFrame, kind: str) -> DataFrame:
     if kind == "marketing":
@@ -25,10 +30,20 @@ def read_log(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Read a log of ``kind`` (see ``LOG_SCHEMAS``) as a batch DataFrame.
 
     Lines are read as text and parsed by :func:`parse_lines`, the same rule the
-    socket and Kafka paths use.  Adds ``seq``: the ingest order (file order
-    within a read), used to break ties between events with equal time.
+    socket and Kafka paths use.  Adds ``seq``: the ingest order (files by path,
+    lines as they stand), used to break ties between events with equal time.
     """
-    return parse_lines(spark.read.text(path), kind).withColumn("seq", F.monotonically_increasing_id())
+    lines = spark.read.text(path)
+    # the listing and the file metadata write a scheme's slashes differently
+    names = sorted(re.sub("^([a-zA-Z0-9]+):/+", r"\1:/", p) for p in lines.inputFiles())
+    files = spark.createDataFrame([(p, i) for i, p in enumerate(names)], "_path string, _file long")
+    lines = lines.select("value", F.regexp_replace("_metadata.file_path", "^([a-zA-Z0-9]+):/+", "$1:/").alias("_path"),
+                         F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    # blocks are numbered by their first byte, and a block has fewer lines than bytes
+    in_block = F.row_number().over(Window.partitionBy("_path", "_block").orderBy("_at")) - 1
+    lines = lines.withColumn("_row", in_block).join(files, "_path")
+    seq = F.col("_file") * F.lit(1 << 42) + F.col("_block") + F.col("_row")
+    return parse_lines(lines.withColumn("seq", seq), kind, keep=("seq",))
 
 
 def read_log_stream(spark: SparkSession, path: str, kind: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -39,11 +54,12 @@ def read_log_stream(spark: SparkSession, path: str, kind: str, max_files_per_tri
     return parse_lines(r.text(path), kind)
 
 
-def parse_lines(lines: DataFrame, kind: str, col: str = "value") -> DataFrame:
+def parse_lines(lines: DataFrame, kind: str, col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse comma-separated text lines (socket / Kafka values) into a log schema.
 
-    Lines with a wrong field count or an uncastable field keep their text in
-    ``_corrupt``; ``try_cast`` keeps ANSI mode from failing the job.
+    Lines with a wrong field count, an uncastable field or an empty field (only
+    ``tx_id`` may be empty) keep their text in ``_corrupt``; ``try_cast`` keeps
+    ANSI mode from failing the job.  Columns in ``keep`` stay.
     """
     schema = LOG_SCHEMAS[kind]
     parts = F.split(F.col(col), ",")
@@ -52,9 +68,9 @@ def parse_lines(lines: DataFrame, kind: str, col: str = "value") -> DataFrame:
         raw = F.trim(F.get(parts, i))
         raw = F.when(raw == "", None).otherwise(raw)
         v = raw.try_cast(f.dataType) if not isinstance(f.dataType, T.StringType) else raw
-        bad = bad | (raw.isNotNull() & v.isNull())
+        bad = bad | ((raw.isNotNull() if f.name in OPTIONAL else F.lit(True)) & v.isNull())
         cols.append(v.alias(f.name))
-    out = lines.select(*cols, F.when(bad, F.col(col)).alias(CORRUPT))
+    out = lines.select(*cols, F.when(bad, F.col(col)).alias(CORRUPT), *keep)
     return _finish(out, kind)
 
 

@@ -20,7 +20,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def item_key(props: str = "props") -> F.Column:
     """``props.$.k`` as int: the item / ad / url / book key of an event."""
-    return F.get_json_object(F.col(props), "$.k").cast("int")
+    return F.get_json_object(F.col(props), "$.k").try_cast("int")
 
 
 def behaviour_events(spark: SparkSession, sf_dir: str) -> DataFrame:
