@@ -8,14 +8,15 @@ timestamps (``withWatermark`` rejects ``timestamp_ntz``); run the session in UTC
 from clickstream.streaming.windows import (
     stream_processing_time_count, stream_unique_visitors, stream_window_count, top_n_per_batch,
 )
-from clickstream.streaming.joins import stream_interval_join, stream_outer_match, stream_payment_timeout
+from clickstream.streaming.joins import stream_interval_join, stream_outer_match
 from clickstream.streaming.stateful import (
-    stream_burst, stream_consecutive, stream_quota_filter, stream_running_visitors, stream_sequence,
+    stream_burst, stream_consecutive, stream_payment_timeout, stream_quota_filter, stream_running_visitors, stream_sequence,
 )
-from clickstream.streaming.runner import run_available, sentinel_rows
+from clickstream.streaming.runner import run_available, sentinel_rows, split_to_sinks
 
 __all__ = [
     "stream_window_count", "stream_processing_time_count", "top_n_per_batch", "stream_unique_visitors",
     "stream_interval_join", "stream_outer_match", "stream_payment_timeout",
     "stream_quota_filter", "stream_consecutive", "stream_sequence", "stream_burst", "stream_running_visitors", "run_available", "sentinel_rows",
+    "split_to_sinks",
 ]

@@ -1,4 +1,4 @@
-"""Stream-stream joins with watermarks: interval, payment timeout, outer match.
+"""Stream-stream joins with watermarks: interval and outer match.
 
 Spark keeps each side's rows in state until the other side's watermark proves
 no partner can still arrive, then drops them (and, for outer joins, emits the
@@ -38,34 +38,14 @@ def stream_interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: s
     return l.join(r, cond, "inner").withColumnRenamed("_lk", key).drop("_rk", "_let", "_ret")
 
 
-def stream_payment_timeout(creates: DataFrame, pays: DataFrame, key: str, ts: str, within, id_col: str,
-                           delay="0 seconds") -> DataFrame:
-    """Twin of ``payment_timeout``: one row per create with ``status`` success / timeout.
-
-    A left outer join with the band ``[create.ts, create.ts + within)``; the
-    unmatched create is emitted once the watermark passes its band.  A create
-    paid several times is reported once (dedup on its id).
-    """
-    span_us = duration_us(within)
-    c = _wm(creates.select(F.col(key).alias("_ck"), F.col(id_col).alias(id_col), F.col(ts).alias("_cts")),
-            "_cts", "_cet", delay)
-    p = _wm(pays.select(F.col(key).alias("_pk"), F.col(ts).alias("_pts")), "_pts", "_pet", delay)
-    cond = ((F.col("_ck") == F.col("_pk")) & (F.col("_pet") >= F.col("_cet"))
-            & (F.col("_pet") < F.col("_cet") + _iv(span_us)))
-    j = c.join(p, cond, "leftOuter")
-    out = j.select(F.col("_ck").alias(key), id_col, "_cet",
-                   F.when(F.col("_pk").isNull(), "timeout").otherwise("success").alias("status"))
-    return out.dropDuplicatesWithinWatermark([id_col]).drop("_cet")
-
-
 def stream_outer_match(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                        lower, upper, delay="0 seconds", matched: str = "matched",
                        left_only: str = "unmatched_left", right_only: str = "unmatched_right") -> DataFrame:
     """Twin of ``outer_match``: full outer equi + band join with a status column."""
-    l = _wm(left.select(F.col(key).alias("_lk"), F.col(left_ts).alias("left_ts")), "left_ts", "_let", delay)
-    r = _wm(right.select(F.col(key).alias("_rk"), F.col(right_ts).alias("right_ts")), "right_ts", "_ret", delay)
+    l = _wm(left.select(F.col(key).alias("_lk"), F.col(left_ts).alias("left_ts"), F.lit(True).alias("_is_l")), "left_ts", "_let", delay)
+    r = _wm(right.select(F.col(key).alias("_rk"), F.col(right_ts).alias("right_ts"), F.lit(True).alias("_is_r")), "right_ts", "_ret", delay)
     cond = (F.col("_lk") == F.col("_rk")) & _band("_let", "_ret", _signed_us(lower), _signed_us(upper))
     j = l.join(r, cond, "fullOuter")
-    status = (F.when(F.col("_lk").isNotNull() & F.col("_rk").isNotNull(), F.lit(matched))
-              .when(F.col("_lk").isNotNull(), F.lit(left_only)).otherwise(F.lit(right_only)))
+    status = (F.when(F.col("_is_l").isNotNull() & F.col("_is_r").isNotNull(), F.lit(matched))
+              .when(F.col("_is_l").isNotNull(), F.lit(left_only)).otherwise(F.lit(right_only)))
     return j.select(F.coalesce("_lk", "_rk").alias(key), status.alias("status"), "left_ts", "right_ts")

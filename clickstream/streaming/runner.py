@@ -8,8 +8,10 @@ in the future (in every input stream) moves the watermark past everything.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from clickstream.session import scratch_path
 
@@ -24,22 +26,41 @@ def sentinel_rows(df: DataFrame, ts: str, **values) -> DataFrame:
     return spark.createDataFrame([tuple(row[f.name] for f in df.schema.fields)], df.schema)
 
 
-def run_available(df: DataFrame, name: str, output_mode: str = "append", foreach_batch=None) -> DataFrame:
+def run_available(df: DataFrame, name: str, foreach_batch=None) -> DataFrame | None:
     """Process everything available (``availableNow``) and return the result table.
 
-    The checkpoint lives under the session's shared ``spark.checkpoint.dir``;
-    the result goes to an in-memory table named ``name`` unless a
-    ``foreach_batch`` function is given (then its sink holds the result).
+    The checkpoint and the result live under the session's shared
+    ``spark.checkpoint.dir``: appended rows go to a Parquet table there, unless a
+    ``foreach_batch`` function is given (then its sink holds the result and None is
+    returned).  Nothing is gathered in the driver.
     """
     spark = df.sparkSession
-    w = (df.writeStream.outputMode(output_mode)
+    w = (df.writeStream.outputMode("append")
          .option("checkpointLocation", scratch_path(spark, f"stream-{name}"))
          .trigger(availableNow=True))
+    path = scratch_path(spark, f"stream-out-{name}-{uuid.uuid4().hex}")
     if foreach_batch is not None:
         q = w.foreachBatch(foreach_batch).start()
     else:
-        q = w.format("memory").queryName(name).start()
+        q = w.format("parquet").option("path", path).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.table(name) if foreach_batch is None else None
+    return spark.read.schema(df.schema).parquet(path) if foreach_batch is None else None
+
+
+def split_to_sinks(sinks: dict[str, Callable[[DataFrame, int], None]], col: str = "status") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that sends each label's rows of ``col`` to its own sink.
+
+    The named side outputs of a program: the micro-batch is computed once and kept
+    while its outputs are written, so two outputs do not run the plan twice.  Rows
+    with a label that has no sink are dropped.
+    """
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            for label, sink in sinks.items():
+                sink(kept.where(F.col(col) == label), epoch_id)
+        finally:
+            kept.unpersist()
+    return run

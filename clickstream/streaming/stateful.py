@@ -47,7 +47,10 @@ def _prepare_cols(df: DataFrame, ts: str, delay) -> DataFrame:
 
 
 class _Buffered(StatefulProcessor):
-    """Buffer rows; release those at or before the watermark in (us, seq) order."""
+    """Buffer rows; release those at or before the watermark in (us, seq) order.
+
+    ``release`` also runs, with nothing ready, when a timer it armed for clearing idle state expires.
+    """
 
     buf_schema: T.StructType
 
@@ -193,7 +196,14 @@ class ConsecutiveProcessor(_Buffered):
                 continue  # fully inside the old tail: already judged
             if all(r[2] for r in run) and run[-1][0] - run[0][0] < self.span_us:
                 out.append((*key, run[0][0], run[-1][0]))
-        self.tail.put(seq_rows[-(self.n - 1):] if self.n > 1 else [])
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        # rows from which a match can still start: within the span of what may still come
+        keep = [r for r in seq_rows[-(self.n - 1):] if r[0] + self.span_us > wm_us] if self.n > 1 else []
+        if keep:
+            self.tail.put(keep)
+            self._arm(-(-(keep[-1][0] + self.span_us) // 1000))
+        else:
+            self.tail.clear()
         return pd.DataFrame(out, columns=[*self.key_names, "cs_first", "cs_last"])
 
 
@@ -248,7 +258,7 @@ class SequenceProcessor(_Buffered):
             T.StructField("s_who", T.StringType()), T.StructField("ref", T.StringType()),
             T.StructField("got", T.LongType())]))
 
-    def _release_follow(self, key, ready):
+    def _release_follow(self, key, ready, wm_us):
         """Advance every open partial match by each released event (linear per event)."""
         partials = [tuple(p) for p in self.partials.get()]
         out = []
@@ -272,8 +282,10 @@ class SequenceProcessor(_Buffered):
                 partials = []  # skip past last event: every open partial started before it
             else:
                 partials.append((us, seq, who, who, 0))
+        partials = [p for p in partials if p[0] + self.span_us > wm_us]
         if partials:
             self.partials.put(partials)
+            self._arm(-(-(partials[-1][0] + self.span_us) // 1000))
         else:
             self.partials.clear()
         return pd.DataFrame(out, columns=[*self.key_names, "cs_first", "cs_last", "cs_who"])
@@ -292,7 +304,7 @@ class SequenceProcessor(_Buffered):
 
     def release(self, key, ready, timerValues):
         if self.rule == "follow":
-            return self._release_follow(key, ready)
+            return self._release_follow(key, ready, timerValues.getCurrentWatermarkInMs() * 1000)
         hist = list(self.hist.get())
         ev = hist + ready
         last = tuple(self.last.get()) if self.last.exists() else None
@@ -305,11 +317,17 @@ class SequenceProcessor(_Buffered):
                     out.append((*key, ev[s][0], ev[j][0], ev[s][3]))
                     last = (ev[j][0], ev[j][1])
                     break
-        if last is not None:
-            self.last.update(last)
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         newest = ev[-1][0] if ev else None
-        keep = [e for e in ev if newest is not None and newest - e[0] < self.span_us]
-        self.hist.put(keep)
+        keep = [e for e in ev if newest - e[0] < self.span_us and e[0] + self.span_us > wm_us]
+        if keep:
+            self.hist.put(keep)
+            if last is not None:
+                self.last.update(last)
+            self._arm(-(-(keep[-1][0] + self.span_us) // 1000))
+        else:  # no start can complete any more, and later starts lie after the last match
+            self.hist.clear()
+            self.last.clear()
         return pd.DataFrame(out, columns=[*self.key_names, "cs_first", "cs_last", "cs_who"])
 
 
@@ -397,7 +415,7 @@ def stream_burst(events: DataFrame, keys, ts: str, seq: str, is_fail, min_count:
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [
         T.StructField("cs_first", T.LongType()), T.StructField("cs_last", T.LongType()),
         T.StructField("times", T.LongType())])
-    out = (ev.select(*keys, "cs_et", "cs_us", F.col(seq).cast("long").alias("seq"), is_fail.alias("cs_ok"))
+    out = (ev.select(*keys, "cs_et", "cs_us", F.col(seq).cast("long").alias("seq"), F.coalesce(is_fail, F.lit(False)).alias("cs_ok"))
            .groupBy(*keys).transformWithStateInPandas(BurstProcessor(keys, min_count, duration_us(span)), schema,
                                                       "append", "EventTime"))
     ntz = isinstance(events.schema[ts].dataType, T.TimestampNTZType)
@@ -408,10 +426,61 @@ def stream_burst(events: DataFrame, keys, ts: str, seq: str, is_fail, min_count:
     return out.select(*keys, conv("cs_first").alias("first_ts"), conv("cs_last").alias("last_ts"), "times")
 
 
+class PaymentProcessor(_Buffered):
+    """Creates wait for the next pay of their key; state is the open creates, never a pair."""
+
+    def __init__(self, key_names, span_us):
+        self.key_names, self.span_us = list(key_names), span_us
+        self.buf_schema = T.StructType([T.StructField("cs_us", T.LongType()), T.StructField("cs_id", T.StringType()),
+                                        T.StructField("cs_pay", T.BooleanType())])
+
+    def init(self, handle):
+        super().init(handle)
+        self.open = handle.getListState("open", T.StructType([T.StructField("us", T.LongType()),
+                                                              T.StructField("id", T.StringType())]))
+
+    def release(self, key, ready, timerValues):
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = [tuple(x) for x in self.open.get()]
+        out = []
+        for us, id_, pay in sorted(ready, key=lambda r: (r[0], r[2])):  # a create first at equal times
+            if not pay:
+                waiting.append((us, id_))
+                continue
+            out += [(*key, i, "success" if us - u < self.span_us else "timeout") for u, i in waiting]
+            waiting = []
+        out += [(*key, i, "timeout") for u, i in waiting if u + self.span_us <= wm_us]
+        waiting = [x for x in waiting if x[0] + self.span_us > wm_us]
+        if waiting:
+            self.open.put(waiting)
+            self._arm(-(-(waiting[0][0] + self.span_us) // 1000))
+        else:
+            self.open.clear()
+        return pd.DataFrame(out, columns=[*self.key_names, "cs_id", "status"])
+
+
+def stream_payment_timeout(creates: DataFrame, pays: DataFrame, key: str, ts: str, within, id_col: str,
+                           delay="0 seconds") -> DataFrame:
+    """Twin of ``payment_timeout``: ``key, <id_col>, status`` (``success`` / ``timeout``), one row per create.
+
+    A create is reported as soon as its pay is released, or once the watermark passes its
+    span.  The watermark is the slower input's.
+    """
+    c = _prepare(creates, ts, delay).select(key, "cs_et", "cs_us", F.col(id_col).cast("string").alias("cs_id"),
+                                            F.lit(False).alias("cs_pay"))
+    p = _prepare(pays, ts, delay).select(key, "cs_et", "cs_us", F.lit("").alias("cs_id"), F.lit(True).alias("cs_pay"))
+    schema = T.StructType([T.StructField(key, creates.schema[key].dataType), T.StructField("cs_id", T.StringType()),
+                           T.StructField("status", T.StringType())])
+    out = (c.unionByName(p).where(F.col(key).isNotNull()).groupBy(key)
+           .transformWithStateInPandas(PaymentProcessor([key], duration_us(within)), schema, "append", "EventTime"))
+    return out.select(key, F.col("cs_id").cast(creates.schema[id_col].dataType).alias(id_col), "status")
+
+
 class RunningVisitorsProcessor(_Buffered):
     """Per window: one row per first visit of a hash position, with the count so far.
 
-    The map state of seen positions plays the reference's per-window bitmap;
+    The count is sequential within a window, as in the reference, so a window is
+    one task; only different windows run in parallel.  The map state of seen positions plays the reference's per-window bitmap;
     it is dropped once the watermark passes the window end (no row can come).
     """
 
@@ -449,7 +518,7 @@ def stream_running_visitors(events: DataFrame, ts: str, user: str, seq: str, siz
     """Streaming twin of ``running_visitors``: ``window_end, <user>, uv_so_far``."""
     from clickstream.functions.hashing import hash28
     size_us = duration_us(size)
-    ev = _prepare(events, ts, delay)
+    ev = _prepare(events.where(F.col(user).isNotNull()), ts, delay)
     ev = ev.select("cs_et", "cs_us", F.col(seq).cast("long").alias("seq"),
                    hash28(user).cast("long").alias("cs_h"), F.col(user).cast("string").alias("cs_user"),
                    ((F.floor(F.col("cs_us") / size_us) + 1) * size_us).cast("long").alias("cs_end"))
