@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from clickstream.plans.catalog import QUERIES  # noqa: E402
-from clickstream.session import build_session  # noqa: E402
+from clickstream.session import build_session, drop_scratch  # noqa: E402
 
 
 def _run(df) -> None:
@@ -26,7 +27,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or list(QUERIES)
     spark = build_session(f"local[{cpus}]", int(cpus),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-scratch-")})
     times = {}
     for name in names:
         best = None
@@ -34,6 +36,7 @@ def main() -> None:
             t0 = time.perf_counter()
             _run(QUERIES[name](spark, sf_dir))
             best = time.perf_counter() - t0
+            drop_scratch(spark)
         times[name] = round(best, 3)
         print(f"# {name}: {times[name]} s", file=sys.stderr)
     sf = sf_dir.rsplit("sf", 1)[-1]

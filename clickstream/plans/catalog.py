@@ -10,31 +10,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstream.operators.joins import broadcast_if_small
-from clickstream.operators.matching import interval_join, outer_match, payment_timeout, window_join
+from clickstream.operators.matching import interval_join, one_slot_match, outer_match, payment_timeout, window_join
 from clickstream.operators.sequence import (
     blocks, burst, consecutive, follow_distinct, n_in_span, threshold_then_next,
 )
 from clickstream.operators.quota import quota_filter
 from clickstream.operators.visitors import bitmap_visitors, running_visitors, unique_visitors
-from clickstream.operators.windows import window_count, window_top_n
+from clickstream.operators.windows import window_count, window_measures, window_top_n
 from clickstream.sources.access_log import format_access_line, parse_access_log
 from clickstream.sources.tables import behaviour_events, read_table
 
-# The reference's six marketing channel names, in its order.
-CHANNELS = ["AppStore", "XiaomiStore", "HuaweiStore", "weibo", "wechat", "tieba"]
+# Own labels for the six channels that an event's item key stands for.
+CHANNELS = ["store", "search", "social", "mail", "partner", "direct"]
 
 
 def _views(spark, sf_dir):
     return behaviour_events(spark, sf_dir).where(F.col("event_type") == "view")
 
 
-def _rollup_by_day(ranked: DataFrame) -> DataFrame:
-    """Bound a per-window Top-N report's size: ranked rows and max count per day."""
-    return (ranked.groupBy(F.to_date("window_end").alias("day"))
-            .agg(F.count(F.lit(1)).alias("ranked_rows"), F.max("cnt").alias("max_cnt")))
-
-
 def hot_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views per item in 1 h windows sliding by 5 min."""
     views = behaviour_events(spark, sf_dir).where(F.col("event_type") == "view")
@@ -57,21 +50,31 @@ def behaviour_counts_1h_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
         "window_end", "event_type", "cnt")
 
 
+def behaviour_value_1h_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum, count, minimum and maximum of ``value`` per behaviour in 1 h windows sliding by 10 s."""
+    out = window_measures(behaviour_events(spark, sf_dir), "ts", "1 hour", "10 seconds", keys=["event_type"],
+                          measures={"amount": ("sum", "value"), "n": ("count", "value"), "least": ("min", "value"),
+                                    "most": ("max", "value")})
+    return out.select("window_end", "event_type", F.round("amount", 4).alias("amount"), "n", "least", "most")
+
+
 def hot_urls_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top 5 URLs per 10 min window sliding by 5 s, rolled up by day."""
+    """Top 5 URLs per 10 min window sliding by 5 s."""
     hits = behaviour_events(spark, sf_dir).select(
         "ts", F.concat(F.lit("/item/"), F.col("k").cast("string")).alias("url"))
-    return _rollup_by_day(window_top_n(hits, "ts", "10 minutes", "5 seconds", keys=["url"], n=5))
+    return window_top_n(hits, "ts", "10 minutes", "5 seconds", keys=["url"], n=5).select(
+        "window_end", "rank", "url", "cnt")
 
 
 def hot_sale_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top 3 books (k) by purchases per 600 s window sliding by 5 s, rolled up by day.
+    """Top 3 books (k) by purchases per 600 s window sliding by 5 s.
 
     The reference windows on processing time; ``ts`` stands in for the ingest time.
     """
     sales = behaviour_events(spark, sf_dir).where(F.col("event_type") == "purchase").select(
         F.col("ts").alias("ingest_ts"), F.col("k").alias("book"))
-    return _rollup_by_day(window_top_n(sales, "ingest_ts", "600 seconds", "5 seconds", keys=["book"], n=3))
+    return window_top_n(sales, "ingest_ts", "600 seconds", "5 seconds", keys=["book"], n=3).select(
+        "window_end", "rank", "book", "cnt")
 
 
 def access_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +91,8 @@ def access_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type").isin("purchase", "signup"), "POST").otherwise("GET"),
         F.concat(F.lit("/item/"), F.col("k").cast("string")))
     parsed = parse_access_log(ev.select(line.alias("value")))
-    return parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
+    good = parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
+    return good.withColumn("user_id", F.col("user_id").try_cast("long"))
 
 
 def page_views_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,24 +132,23 @@ def marketing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         "window_start", "window_end", "cnt")
 
 
-AD_QUOTA = 3
+AD_QUOTA = 1
 
 
 def _ad_quota(spark, sf_dir):
-    clicks = behaviour_events(spark, sf_dir).select("event_id", "ts", "user_id")
-    return quota_filter(clicks, ["user_id"], "ts", "event_id", max_count=AD_QUOTA)
+    clicks = behaviour_events(spark, sf_dir).select("event_id", "ts", "user_id", F.col("k").alias("ad_id"))
+    return quota_filter(clicks, ["user_id", "ad_id"], "ts", "event_id", max_count=AD_QUOTA)
 
 
 def ad_quota_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user, day) pairs that went over 3 clicks in a day."""
-    return _ad_quota(spark, sf_dir).warnings.select("user_id", "day")
+    """(user, ad, day) triples that went over one click in a day (events are sparse here)."""
+    return _ad_quota(spark, sf_dir).warnings.select("user_id", "ad_id", "day")
 
 
 def ad_clicks_by_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks within quota per province (nation of ``user_id % 25``), 1 h sliding by 5 min."""
     kept = _ad_quota(spark, sf_dir).passed.withColumn("n_nationkey", (F.col("user_id") % 25).cast("int"))
-    nation = broadcast_if_small(read_table(spark, sf_dir, "nation").select(
-        "n_nationkey", F.col("n_name").alias("province")))
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("province"))
     geo = kept.join(nation, "n_nationkey")
     return window_count(geo, "ts", "1 hour", "5 minutes", keys=["province"]).select(
         "window_end", "province", "cnt")
@@ -191,22 +194,40 @@ def seq_threshold_then_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threshold_then_next(_logins(spark, sf_dir), "user_id", "ts", "event_id", "value", 100, "10 hours")
 
 
+def seq_points_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's points of the last 2 days reach more than 300, followed by the user's next event."""
+    return threshold_then_next(_logins(spark, sf_dir), "user_id", "ts", "event_id", "value", 300, "2 days",
+                               mode="cumulative")
+
+
 def _success():
-    return F.col("event_type") == "signup"
+    """Every event but ``error`` is a success."""
+    return F.col("event_type") != "error"
 
 
-def seq_multi_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per item k: a signup followed by 4 signups of other users than the first, within 5 days."""
-    m = follow_distinct(_logins(spark, sf_dir), "k", "ts", "event_id", "user_id", 4, "5 days",
-                        chain=False, cond=_success())
+def _accounts(spark, sf_dir, key, within, chain):
+    m = follow_distinct(_logins(spark, sf_dir), key, "ts", "event_id", "user_id", 4, within, chain=chain, cond=_success())
     return m.withColumnRenamed("start_user_id", "start_user")
 
 
+def seq_multi_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per item k: a success followed by 4 successes of other users than the first, within 1 day."""
+    return _accounts(spark, sf_dir, "k", "1 day", False)
+
+
 def seq_account_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per item k: five signups, each by another user than the one before, within 5 days."""
-    m = follow_distinct(_logins(spark, sf_dir), "k", "ts", "event_id", "user_id", 4, "5 days",
-                        chain=True, cond=_success())
-    return m.withColumnRenamed("start_user_id", "start_user")
+    """Per item k: five successes, each by another user than the one before, within 1 day."""
+    return _accounts(spark, sf_dir, "k", "1 day", True)
+
+
+def seq_multi_account_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`seq_multi_account` over all events without a key, within 15 min (the reference's form)."""
+    return _accounts(spark, sf_dir, None, "15 minutes", False)
+
+
+def seq_account_chain_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`seq_account_chain` over all events without a key, within 15 min (the reference's form)."""
+    return _accounts(spark, sf_dir, None, "15 minutes", True)
 
 
 # ---------------------------------------------------------------- two streams
@@ -222,6 +243,14 @@ def order_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _payments(spark, sf_dir).paid
 
 
+def order_payment_with_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`order_payment`, where a purchase counts only with a non-empty transaction id (a known item)."""
+    ev = behaviour_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type",
+                                                F.when(F.col("k") % 2 == 0, F.col("k").cast("string")).otherwise("").alias("tx_id"))
+    pays = ev.where((F.col("event_type") == "purchase") & (F.col("tx_id") != ""))
+    return payment_timeout(ev.where(F.col("event_type") == "signup"), pays, "user_id", "ts", "24 hours").paid
+
+
 def order_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signups with no purchase within 24 h (open ones at the end of data included)."""
     return _payments(spark, sf_dir).timed_out
@@ -250,6 +279,15 @@ def tx_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", "pay_id", "receipt_id")
 
 
+def tx_match_one_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views ("pays") and clicks ("receipts") matched one to one per user: one waiting slot a side, 5 h and 3 h."""
+    ev = behaviour_events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
+    m = one_slot_match(ev.where(F.col("event_type") == "view"), ev.where(F.col("event_type") == "click"),
+                       "user_id", "ts", "ts", "event_id", -3 * 3600, 5 * 3600,
+                       left_only="unmatched_pay", right_only="unmatched_receipt")
+    return m.withColumnsRenamed({"left_seq": "pay_id", "right_seq": "receipt_id"})
+
+
 def tx_match_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders vs their first shipment: matched when shipped within [-15 d, +20 d] of the order."""
     orders = read_table(spark, sf_dir, "orders").select(
@@ -265,6 +303,7 @@ QUERIES = {
     "hot_item_counts": hot_item_counts,
     "hot_items_topn": hot_items_topn,
     "behaviour_counts_1h_10s": behaviour_counts_1h_10s,
+    "behaviour_value_1h_10s": behaviour_value_1h_10s,
     "hot_urls_topn": hot_urls_topn,
     "hot_sale_topn": hot_sale_topn,
     "access_log_parse": access_log_parse,
@@ -282,11 +321,16 @@ QUERIES = {
     "seq_n_in_span": seq_n_in_span,
     "seq_blocks": seq_blocks,
     "seq_threshold_then_next": seq_threshold_then_next,
+    "seq_points_cumulative": seq_points_cumulative,
     "seq_multi_account": seq_multi_account,
     "seq_account_chain": seq_account_chain,
+    "seq_multi_account_all": seq_multi_account_all,
+    "seq_account_chain_all": seq_account_chain_all,
     "order_payment": order_payment,
+    "order_payment_with_tx": order_payment_with_tx,
     "order_timeout": order_timeout,
     "tx_interval_join": tx_interval_join,
     "tx_match_outer": tx_match_outer,
     "tx_window_join": tx_window_join,
+    "tx_match_one_slot": tx_match_one_slot,
 }

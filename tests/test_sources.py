@@ -32,7 +32,7 @@ def test_access_log_round_trip(spark):
     assert lines.first().value == "83.149.9.216 - - 17/05/2015:10:05:03 +0000 GET /presentations/"
     parsed = sorted(parse_access_log(lines).collect(), key=lambda r: r.ip)
     assert [(r.ip, r.user_id, r.ts, r.method, r.url, r._corrupt) for r in parsed] == [
-        ("10.0.0.1", 42, t, "GET", "/presentations/", None),
+        ("10.0.0.1", "42", t, "GET", "/presentations/", None),
         ("83.149.9.216", None, t, "GET", "/presentations/", None)]
     bad = parse_access_log(spark.createDataFrame([("1.2.3.4 - - notatime +0000 GET /",), ("short line",)], "value string"))
     assert bad.where("_corrupt IS NOT NULL").count() == 2

@@ -129,6 +129,7 @@ def test_interval_join_twin(spark, events, stream):
 
 
 def test_payment_timeout_twin(spark, events, stream):
+    use_rocksdb(spark)
     s = stream()
     got = run_available(stream_payment_timeout(s.where("event_type = 'signup'"), s.where("event_type = 'purchase'"),
                                                "user_id", "ts", "24 hours", "event_id", delay=DELAY), _name("pay"))
@@ -220,11 +221,98 @@ def test_burst_twin(spark, events, stream):
     assert len(_rows(want, cols)) > 0
 
 
-def test_processing_time_windows_count_everything(spark, events):
+def test_processing_time_windows_on_a_stream(spark, events, stream, stream_dir):
     from clickstream.streaming import stream_processing_time_count
-    # on a static frame current_timestamp() is one instant: every row is in two 10 s / 5 s windows
-    out = stream_processing_time_count(events, "10 seconds", "5 seconds").collect()
-    assert len(out) == 2 and sum(r.cnt for r in out) == 2 * events.count()
+    # a micro-batch (one file) has one ingest time; its window comes out once later batches move the clock past it
+    got = run_available(stream_processing_time_count(stream(), "1 second"), _name("pt")).collect()
+    per_file = [r["count"] for r in spark.read.schema(events.schema).option("recursiveFileLookup", "true").parquet(stream_dir)
+                .groupBy(F.input_file_name()).count().collect()]
+    assert got and all(r.window_end - r.window_start == dt.timedelta(seconds=1) for r in got)
+    sums = {0}
+    for n in per_file:  # quick batches may share a second
+        sums |= {x + n for x in sums}
+    assert all(r.cnt in sums for r in got) and sum(r.cnt for r in got) <= sum(per_file)
+
+
+def test_lateness_counts_late_rows(spark, events, stream):
+    # with no delay rows shuffled inside a file are still kept by lateness alone
+    got = run_available(stream_window_count(stream().where("event_type = 'view'"), "ts", "1 hour", "1 hour",
+                                            delay="0 seconds", lateness=DELAY), _name("late"))
+    want = window_count(events.where("event_type = 'view'"), "ts", "1 hour")
+    cols = ["window_end", "cnt"]
+    assert _rows(_before_sentinel(got, "window_end"), cols) == _rows(want, cols)
+
+
+def test_log_stream_reads_files(spark, tmp_path):
+    from clickstream.sources.files import read_log_stream, split_corrupt
+    (tmp_path / "a.csv").write_text("1,83.1.1.1,fail,1558430842\n2,83.1.1.2,success,1558430843\n")
+    (tmp_path / "b.csv").write_text("3,83.1.1.3,fail,1558430844\nbroken\n")
+    good, bad = split_corrupt(read_log_stream(spark, str(tmp_path), "login", max_files_per_trigger=1))
+    assert sorted(r.user_id for r in run_available(good, _name("log")).collect()) == [1, 2, 3]
+    assert run_available(bad, _name("log")).count() == 1
+
+
+def test_split_to_sinks_reads_once(spark, stream, stream_dir, events):
+    from clickstream.streaming import split_to_sinks
+    got = {"error": 0, "view": 0}
+
+    def sink(label):
+        def run(df, _):
+            got[label] += df.count()
+        return run
+    run_available(stream(), _name("split"), foreach_batch=split_to_sinks({k: sink(k) for k in got}, col="event_type"))
+    want = {r.event_type: r["count"] for r in spark.read.schema(events.schema).option("recursiveFileLookup", "true").parquet(stream_dir).groupBy("event_type").count().collect()}
+    assert got == {k: want[k] for k in got}
+
+
+def test_idle_state_is_cleared():
+    """Processors drop a key's state once nothing in it can matter (plain objects in place of the state store)."""
+    from clickstream.streaming.stateful import ConsecutiveProcessor, PaymentProcessor, SequenceProcessor
+
+    class State:
+        def __init__(self):
+            self.v = None
+        def get(self):
+            return self.v or []
+        def put(self, v):
+            self.v = list(v)
+        def update(self, v):
+            self.v = v
+        def exists(self):
+            return self.v is not None
+        def clear(self):
+            self.v = None
+
+    class Handle:
+        def __init__(self):
+            self.states, self.timers = {}, []
+        def getListState(self, name, _):
+            return self.states.setdefault(name, State())
+        getValueState = getMapState = getListState
+        def registerTimer(self, ms):
+            self.timers.append(ms)
+        def deleteTimer(self, ms):
+            self.timers.remove(ms)
+
+    class At:
+        def __init__(self, ms):
+            self.ms = ms
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+    sec = 1_000_000
+    cases = [(ConsecutiveProcessor(["k"], 2, 5 * sec), [(10 * sec, 1, True)]),
+             (SequenceProcessor(["k"], "blocks", 5 * sec, n=3), [(10 * sec, 1, None, None)]),
+             (SequenceProcessor(["k"], "follow", 5 * sec, n=2), [(10 * sec, 1, None, "a")]),
+             (PaymentProcessor(["k"], 5 * sec), [(10 * sec, "7", False)])]
+    for proc, rows in cases:
+        h = Handle()
+        proc.init(h)
+        proc.release(("x",), rows, At(11_000))
+        assert h.timers == [15_000] and any(s.v for n, s in h.states.items() if n != "timer")
+        out = list(proc.handleExpiredTimer(("x",), At(15_000), None))
+        assert not any(s.v for s in h.states.values())
+        assert [list(r.status) for r in out] == ([["timeout"]] if isinstance(proc, PaymentProcessor) else [])
 
 
 def test_running_visitors_twin(spark, events, stream):
