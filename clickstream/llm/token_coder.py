@@ -8,15 +8,15 @@ A lane's model predicts the next id from three orders:
 
 * order 2 - the id that last followed these two ids (hashed), with a confidence;
 * order 1 - the id that last followed this id (hashed), with a confidence;
-* order 0 - adaptive frequencies of the id's two high nibbles (the second given the first),
-  mixed with frequencies given the id before.
+* order 0 - adaptive frequencies of the id's two high nibbles; for the first they are mixed
+  with its frequencies given the id before, the second is given the first.
 
-An id is coded as decisions: is it the order-2 prediction; if not, is it the order-1
-prediction; if not, its two high nibbles and its low byte.  The probability of a decision is
-a logistic mix of three adaptive estimates (by order-2 confidence, by order-1 confidence, by
-recent hits) whose weights follow the coding error; the nibbles' two distributions are mixed
-with a weight that follows the better one.  All model arithmetic is on integers, so encoder
-and decoder agree on every machine.
+An id is coded as decisions: is it the predicted id (order 2 where that has confidence, else
+order 1); if not, its two high nibbles and its low byte.  The probability of a hit is a
+logistic mix of three adaptive estimates (by order-2 confidence, by order-1 confidence and
+agreement, by recent hits) whose weights follow the coding error; the first nibble's two
+distributions are mixed with a weight that follows the better one.  All model arithmetic is
+on integers, so encoder and decoder agree on every machine.
 
 The range coder keeps 48 bits, puts out 16 at a time and carries into digits already put out.
 """
@@ -30,7 +30,7 @@ import numpy as np
 
 BLOCK = 4096
 #: Lanes that run side by side; about 14 kB of model each.
-LANES = 4096
+LANES = 2048
 MAX_ID = 1 << 16
 _SLOTS = 2048
 _TOP = np.uint64(1 << 48)
@@ -48,6 +48,7 @@ _TARGET = np.array([[i * _FLOOR + ((1 << _BITS) - 16 * _FLOOR if i > s else 0) f
 
 class _Encoder:
     def __init__(self, lanes: int, cap: int):
+        """``cap``: digits of a lane to begin with; :meth:`room` makes more."""
         self.every = np.arange(lanes)
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, _TOP - np.uint64(1), np.uint64)
@@ -90,7 +91,13 @@ class _Encoder:
         self._narrow(who, r * want.astype(np.uint64), r)
         return want
 
+    def room(self, digits: int) -> None:
+        """Make sure that every lane can put out so many more digits."""
+        if int(self.at.max(initial=0)) + digits > self.out.shape[1]:
+            self.out = np.concatenate((self.out, np.zeros((len(self.out), max(digits, self.out.shape[1] // 4)), np.uint32)), axis=1)
+
     def finish(self) -> list[bytes]:
+        self.room(3)
         for k in range(3):
             self.out[self.every, self.at] = (self.low >> np.uint64(32 - 16 * k)) & np.uint64(0xFFFF)
             self.at += 1
@@ -115,6 +122,9 @@ class _Decoder:
         self.range = np.full(len(payloads), _TOP - np.uint64(1), np.uint64)
         self.at = np.full(len(payloads), 3)
 
+    def room(self, digits: int) -> None:
+        """Decoding puts nothing out."""
+
     def _narrow(self, who, start, width):
         value = self.value[who] - start
         less = np.flatnonzero(width < _LOW)
@@ -176,69 +186,88 @@ class _Decision:
 
 
 class _Nibble:
-    """One nibble's two adaptive distributions, by two contexts, in every lane."""
+    """One nibble's adaptive distribution by a context, in every lane."""
 
-    def __init__(self, lanes: int, near: int, far: int):
+    def __init__(self, lanes: int, contexts: int):
         flat = np.arange(16, dtype=np.int16) << (_BITS - 4)
-        self.table = np.tile(flat, (lanes * (near + far), 1))
-        self.n_near, self.n_far, self.first = near, far, lanes * near
-        self.weight = np.full(lanes, 128, np.int32)
+        self.table = np.tile(flat, (lanes * contexts, 1))
+        self.contexts = contexts
 
-    def code(self, coder, who, lane, near, far, want):
-        at = np.stack((lane * self.n_near + near, self.first + lane * self.n_far + far))
+    def code(self, coder, who, lane, context, want):
+        at = lane * self.contexts + context
         rows = self.table[at]
-        x, y, w = rows[0].astype(np.int32), rows[1].astype(np.int32), self.weight[who]
+        got = coder.nibble(who, rows.astype(np.int32), want)
+        self.table[at] = rows + ((_TARGET[got] - rows) >> 4)
+        return got
+
+
+class _MixedNibble:
+    """One nibble's distributions given a context, and without it, mixed in every lane."""
+
+    def __init__(self, lanes: int, contexts: int):
+        self.near, self.far = _Nibble(lanes, contexts), _Nibble(lanes, 1)
+        self.weight = np.full(lanes, 128, np.int32)
+
+    def code(self, coder, who, lane, context, want):
+        at = lane * self.near.contexts + context
+        near, far = self.near.table[at], self.far.table[lane]
+        x, y, w = near.astype(np.int32), far.astype(np.int32), self.weight[who]
         got = coder.nibble(who, y + (((x - y) * w[:, None]) >> 8), want)
         row, nxt = coder.every[:len(got)], np.minimum(got + 1, 15)
-        last = (x[row, nxt] - x[row, got]) - (y[row, nxt] - y[row, got])
-        better = np.where(got == 15, y[:, 15] - x[:, 15], last)
+        better = np.where(got == 15, y[:, 15] - x[:, 15], (x[row, nxt] - x[row, got]) - (y[row, nxt] - y[row, got]))
         self.weight[who] = np.minimum(np.maximum(w + np.sign(better) * 4, 16), 240)
-        self.table[at] = rows + ((_TARGET[got] - rows) >> 4)
+        goal = _TARGET[got]
+        self.near.table[at] = near + ((goal - near) >> 4)
+        self.far.table[lane] = far + ((goal - far) >> 4)
         return got
 
 
+def _learned(got, slot, guess, sure):
+    """A slot after its id: surer when it was right, else half as sure, and the new id once it is not sure at all."""
+    right = slot + (sure < 15)
+    wrong = np.where(sure == 0, got << 4, slot - sure + (sure >> 1))
+    return np.where(got == guess, right, wrong)
+
+
 def _run(coder, sizes: np.ndarray, ids: np.ndarray, known: bool) -> None:
     """Code the lanes of ``ids[step, lane]``; with ``known`` false they are filled in.  ``sizes`` fall."""
     lanes = len(sizes)
-    first = np.zeros(lanes * _SLOTS, np.uint16)
-    second = np.zeros(lanes * _SLOTS, np.uint16)
-    sure1 = np.zeros(lanes * _SLOTS, np.int8)
-    sure2 = np.zeros(lanes * _SLOTS, np.int8)
-    hit2, hit1 = _Decision(lanes, (16, 32, 8)), _Decision(lanes, (16, 16, 8))
-    high, mid = _Nibble(lanes, 16, 1), _Nibble(lanes, 16, 16)
+    # a slot holds the predicted id and, in the low four bits, how sure it is
+    first = np.zeros(lanes * _SLOTS, np.int32)
+    second = np.zeros(lanes * _SLOTS, np.int32)
+    hit = _Decision(lanes, (32, 32, 8))
+    high, mid = _MixedNibble(lanes, 16), _Nibble(lanes, 16)
     one, two, recent = (np.zeros(lanes, np.int32) for _ in range(3))
     every = np.arange(lanes)
     active = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if lanes else 0), side="left")
     for t, n in enumerate(active.tolist()):
         lane, who = every[:n], slice(0, n)
+        if t % 64 == 0:
+            coder.room(4 * 64)  # a step puts out four digits at most
         want = ids[t, :n].astype(np.int32) if known else None
         p1, p2 = one[:n], two[:n]
         at1 = lane * _SLOTS + ((p1 * 2531) & (_SLOTS - 1))
         at2 = lane * _SLOTS + (((p1 * 12043 + p2 * 7989) >> 3) & (_SLOTS - 1))
-        c1, c2, s1, s2 = first[at1].astype(np.int32), second[at2].astype(np.int32), sure1[at1], sure2[at2]
+        x1, x2 = first[at1], second[at2]
+        c1, c2, s1, s2 = x1 >> 4, x2 >> 4, x1 & 15, x2 & 15
         same = c1 == c2
-        yes2 = hit2.code(coder, who, lane, np.stack((s2, s1 * 2 + same, recent[:n])), want == c2 if known else None)
-        got = np.where(yes2, c2, -1)
-        ask = np.flatnonzero(~yes2 & ~same)
-        yes1 = np.zeros(n, bool)
-        if len(ask):
-            yes1[ask] = hit1.code(coder, ask, ask, np.stack((s1[ask], s2[ask], recent[ask])), want[ask] == c1[ask] if known else None)
-            got = np.where(yes1, c1, got)
+        from2 = s2 > 0
+        guess = np.where(from2, c2, c1)
+        yes = hit.code(coder, who, lane, np.stack((s2 * 2 + same, s1 * 2 + from2, recent[:n])),
+                       want == guess if known else None)
+        got = np.where(yes, guess, -1)
         rest = np.flatnonzero(got < 0)
         if len(rest):
             w, q = (want[rest] if known else None), p1[rest]
-            a = high.code(coder, rest, rest, q >> 12, 0, w >> 12 if known else None)
-            b = mid.code(coder, rest, rest, a, q >> 12, (w >> 8) & 15 if known else None)
+            a = high.code(coder, rest, rest, q >> 12, w >> 12 if known else None)
+            b = mid.code(coder, rest, rest, a, (w >> 8) & 15 if known else None)
             c = coder.byte(rest, w & 255 if known else None)
             got[rest] = (a << 12) | (b << 8) | c
         if not known:
             ids[t, :n] = got
-        ok1, ok2 = got == c1, got == c2
-        first[at1] = np.where(~ok1 & (s1 == 0), got, c1)
-        second[at2] = np.where(~ok2 & (s2 == 0), got, c2)
-        sure1[at1] = np.where(ok1, np.minimum(s1 + 1, 15), s1 >> 1)
-        sure2[at2] = np.where(ok2, np.minimum(s2 + 1, 15), s2 >> 1)
-        recent[:n] = ((recent[:n] << 1) | (yes2 | yes1)) & 7
+        first[at1] = _learned(got, x1, c1, s1)
+        second[at2] = _learned(got, x2, c2, s2)
+        recent[:n] = ((recent[:n] << 1) | yes) & 7
         two[:n] = p1
         one[:n] = got
 
@@ -254,7 +283,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[tuple[bytes, int]]:
             if len(blocks[i]) and (blocks[i].min() < 0 or blocks[i].max() >= MAX_ID):
                 raise ValueError("ids must be 0 to 65535")
             ids[:len(blocks[i]), j] = blocks[i]
-        coder = _Encoder(len(order), 2 * int(sizes[0]) + 8)
+        coder = _Encoder(len(order), int(sizes[0]) * 3 // 4 + 8)
         _run(coder, sizes, ids, True)
         for i, payload in zip(order, coder.finish()):
             out[i] = (payload, zlib.crc32(blocks[i].astype("<u4").tobytes()))

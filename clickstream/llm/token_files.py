@@ -34,7 +34,7 @@ from clickstream.llm.common import by_size, flat
 from clickstream.llm.token_coder import BLOCK, LANES, decode_blocks, encode_blocks
 
 #: Bytes of text in a shard, about.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 20 << 20
 MEMORY_CUTS = 400_000
 _STEP_TEXT = 1 << 21
 BLOCK_SCHEMA = ("shard int, block int, n_ids int, payload binary, checksum long, doc_ids array<bigint>, "
