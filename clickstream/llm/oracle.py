@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from clickstream.llm.quality_rules import COMMON_WORDS
+
 #: Characters of the key's ends: space and 0x09-0x0D.
 _WS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -43,7 +45,59 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coale
 FROM docs d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+# Fixed values, as in the operator: common words and character classes.
+_COMMON = ", ".join(f"('{lang}', '{w}')" for lang, ws in COMMON_WORDS.items() for w in ws)
+_CLASS_SQL = ["[\\x20\\x09-\\x0D]", "[A-Z]", "[0-9]", "[.,;:!?''\"()\\-]", "[#*$%&|<>@^~_=+/{}\\[\\]\\\\`]", "[^\\x00-\\x7F]"]
+_COUNTS = ", ".join(f"length(t) - length(regexp_replace(t, '{c}', '', 'g'))" for c in _CLASS_SQL)
+
+
+def _half(p: str, q: str) -> str:
+    part = lambda x: f"CASE WHEN {x} > 0 THEN {x} * log2({x} / (({p} + {q}) / 2)) ELSE 0 END"
+    return f"(({part(p)} + {part(q)}) / 2)"
+
+
+op8_quality_rules = f"""
+WITH base AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+split AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM base),
+windows AS (SELECT rid, k, array_to_string(w[k:k + 4], ' ') AS s
+            FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS k FROM split WHERE len(w) >= 5)),
+repeats AS (SELECT rid, count(DISTINCT pos) AS n
+            FROM (SELECT rid, unnest(range(k, k + 5)) AS pos
+                  FROM (SELECT *, count(*) OVER (PARTITION BY rid, s) AS c FROM windows) WHERE c > 1) GROUP BY rid),
+counts AS (SELECT rid, doc_id, lang, len(w)::BIGINT AS n_words, length(t)::BIGINT AS n_chars,
+                  coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, [{_COUNTS}] AS c6 FROM split),
+classes AS (SELECT rid, lang, i, c::DOUBLE AS c, n_chars FROM (
+              SELECT rid, lang, n_chars, unnest(list_append(c6, n_chars - list_sum(c6))) AS c, unnest(range(1, 8)) AS i FROM counts)),
+common(lang, word) AS (VALUES {_COMMON}),
+found AS (SELECT rid, word, count(*)::DOUBLE AS n FROM (SELECT rid, lower(unnest(w)) AS word FROM split)
+          WHERE word IN (SELECT word FROM common) GROUP BY rid, word),
+langs AS (SELECT lang, sum(n_words) AS words, sum(n_chars) AS chars FROM counts
+          WHERE lang IN (SELECT lang FROM common) GROUP BY lang HAVING sum(n_words) > 0),
+ref_class AS (SELECT lang, i, sum(c) / any_value(chars) AS q FROM classes JOIN langs USING (lang) GROUP BY lang, i),
+ref_word AS (SELECT l.lang, f.word, sum(f.n) / any_value(l.words) AS q
+             FROM found f JOIN counts USING (rid) JOIN langs l USING (lang) JOIN common m ON m.lang = l.lang AND m.word = f.word
+             GROUP BY l.lang, f.word),
+by_class AS (SELECT rid, lang, sqrt(greatest(0, sum({_half('p', 'q')}))) AS d
+             FROM (SELECT c.rid, r.lang, c.c / greatest(c.n_chars, 1) AS p, r.q FROM classes c JOIN ref_class r USING (i)) GROUP BY rid, lang),
+by_word AS (SELECT rid, lang, sqrt(greatest(0, any_value(parts) + {_half('any_value(1 - ps)', 'any_value(1 - qs)')})) AS d
+            FROM (SELECT c.rid, r.lang, sum({_half('coalesce(f.n, 0) / greatest(c.n_words, 1)', 'r.q')}) AS parts,
+                         sum(coalesce(f.n, 0) / greatest(c.n_words, 1)) AS ps, sum(r.q) AS qs
+                  FROM counts c CROSS JOIN ref_word r LEFT JOIN found f ON f.rid = c.rid AND f.word = r.word GROUP BY c.rid, r.lang)
+            GROUP BY rid, lang),
+nearest AS (SELECT rid, min(a.d) AS class_d, min(b.d) AS word_d FROM by_class a JOIN by_word b USING (rid) GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+       n_words < 10 OR 100 * coalesce(r.n, 0) > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * coalesce(r.n, 0) > 20 * n_words)
+         AND NOT ((lang IS NULL OR lang IN (SELECT lang FROM langs))
+                  AND coalesce((n_chars >= 200 AND class_d > 0.25) OR (n_words >= 150 AND word_d > 0.32), false)) AS kept
+FROM counts LEFT JOIN repeats r USING (rid) LEFT JOIN nearest USING (rid)
+"""
+
 ORACLE_SQL = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_line_dedup": op5_line_dedup,
+    "op8_quality_rules": op8_quality_rules,
 }
