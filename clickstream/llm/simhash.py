@@ -35,6 +35,8 @@ from clickstream.session import materialize
 _UNPACK = 1 << 15
 #: (row, word block) pairs compared at a time.
 _COMBOS = 1 << 14
+#: Links that one task of a component round writes.
+LINKS_PER_FILE = 500_000
 
 
 def simhash(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
@@ -301,7 +303,8 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).where("u != v").distinct())
-        edges = materialize(small, "simhash-links")
+        # a round never has more links than the one before; few of them need few files
+        edges = materialize(small.coalesce(max(1, -(-before[0] // LINKS_PER_FILE))), "simhash-links")
         after = mark(edges)
         if after == before:
             break
