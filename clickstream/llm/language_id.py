@@ -5,6 +5,9 @@ knows uses the words' relative frequencies; any other word falls back to charact
 of the word between word marks, first the longest, then shorter ones, until some n-gram of
 that length is known: the known n-grams of that length give the mean log probability.
 
+All languages are smoothed over one vocabulary per order, that of all of them together, so a
+language with few words does not give an unseen word more than the languages that have it.
+
 Fitting counts words and n-grams per language with Spark over a bounded sample of labelled
 texts (``max_fit_rows``, by a hash of the id; whole texts), keeps at most ``max_words`` words
 and ``max_grams`` n-grams, and sends these to the workers.  Scoring reads every whole text.
@@ -47,6 +50,8 @@ class LanguageModel(NamedTuple):
     words: dict[str, list[float]]
     grams: dict[str, list[float]]
     unseen: list[float]
+    #: Per order (0 for words): what brings each language's own smoothing to the vocabulary of all languages.
+    shared: dict[int, list[float]] = {}
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -101,8 +106,15 @@ def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", t
     languages = tuple(sorted({r.lang for r in rows if r.kind == 0}))
     size = {(r.lang, r.kind): (r.n, r.terms) for r in rows}
 
+    known = F.col("lang").isin(list(languages) or [""])
+    vocabulary = {r.kind: r.terms for r in counts.where(known).groupBy("kind").agg(F.countDistinct("term").alias("terms")).collect()}
+    shared = {}
+    for kind, terms in vocabulary.items():
+        own = [(n, SMOOTH * t) if n else (0, 1) for n, t in (size.get((x, kind), (0, 0)) for x in languages)]
+        shared[kind] = [math.log((n + mass) / (n + SMOOTH * terms)) for n, mass in own]
+
     def table(kinds: Column, most: int) -> dict[str, list[float]]:
-        best = (counts.where(kinds & F.col("lang").isin(list(languages) or [""])).groupBy("kind", "term")
+        best = (counts.where(kinds & known).groupBy("kind", "term")
                 .agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
                 .where(F.col("total") >= min_count).orderBy(F.desc("total"), "term").limit(most).collect())
         out = {}
@@ -113,7 +125,7 @@ def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", t
         return out
 
     return LanguageModel(languages, table(F.col("kind") == 0, max_words), table(F.col("kind") > 0, max_grams),
-                         [0.0] * len(languages))
+                         [0.0] * len(languages), shared)
 
 
 # ------------------------------------------------------------------ scoring
@@ -122,13 +134,15 @@ def word_vector(word: str, model: LanguageModel) -> list[float]:
     """Log probability of a word in each language."""
     if len(word) > LONGEST:
         return model.unseen
+    none = [0.0] * len(model.languages)
     got = model.words.get(word)
     if got is not None:
-        return got
+        return [x + y for x, y in zip(got, model.shared.get(0, none))]
     for step, n in enumerate(ORDERS, 1):
         known = [g for g in map(model.grams.get, grams_of(word, n)) if g is not None]
         if known:
-            return [sum(x) / len(known) - BACKOFF * step for x in zip(*known)]
+            shared = model.shared.get(n, none)
+            return [sum(x) / len(known) + y - BACKOFF * step for x, y in zip(zip(*known), shared)]
     return model.unseen
 
 

@@ -91,3 +91,14 @@ def test_undetermined_and_empty(llm):
 def test_bounded_sample(llm):
     model = L.fit(frame(llm, rows()), max_fit_rows=100, max_words=20, max_grams=30)
     assert len(model.words) <= 20 and len(model.grams) <= 30
+
+
+def test_language_with_one_short_document_takes_no_other(llm):
+    data = rows()
+    for n in (5, 100):
+        docs = frame(llm, data + [(10_000, " ".join(["kivu", "ampo", "zari", "wobe", "lumi"] * (n // 5)), "xx")])
+        model = L.fit(docs, usable=~held_out(F.col("doc_id")) | (F.col("doc_id") == 10_000))
+        assert "xx" in model.languages
+        got = (docs.where(held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.col("lang") != "xx"))
+               .select("lang", L.predict(F.col("text"), model).alias("g")).collect())
+        assert len(got) > 40 and sum(r.g.lang_pred == r.lang for r in got) >= 0.97 * len(got)
