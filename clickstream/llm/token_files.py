@@ -14,8 +14,9 @@ Parquet files, so any file system that Spark writes to will do; a row is a block
 ``read_token_files`` decodes the blocks, checks them, and gives one row per document.
 
 Tokenization is the library's.  As its pieces never go across the pre-tokenizer's cuts, a
-worker gives it every distinct cut once and remembers the ids; the strings of special tokens
-are ordinary text.
+worker gives it every distinct cut once and remembers the ids.  The strings of the file's
+added tokens (as ``<|endoftext|>``) get their own ids, as in the library's default call; with
+``special_text`` they are ordinary text.
 """
 
 from __future__ import annotations
@@ -44,14 +45,20 @@ BLOCK_SCHEMA = ("shard int, block int, n_ids int, payload binary, checksum long,
 class Tokenizer:
     """One tokenizer file with the ids of the cuts met so far (``pool`` holds them one after the other)."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, special_text: bool = True):
+        """``special_text``: the strings of special tokens are ordinary text, else they get their ids."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(path)
-        self.library.encode_special_tokens = True
-        self.cut = regex.compile(pattern).findall
+        self.library.encode_special_tokens = special_text
+        self.findall = regex.compile(pattern).findall
+        added = [t for t in self.library.get_added_tokens_decoder().values() if t.content and not (special_text and t.special)]
+        #: Added tokens found as they stand; where some look at their surroundings, the library gets those texts whole.
+        self.plain = self.library.normalizer is None and not any(t.lstrip or t.rstrip or t.single_word for t in added)
+        names = sorted((t.content for t in added), key=len, reverse=True)
+        self.added = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self._forget()
 
     def _forget(self) -> None:
@@ -61,6 +68,17 @@ class Tokenizer:
         self.first = np.zeros(1 << 14, np.int64)
         self.size = np.zeros(1 << 14, np.int64)
 
+    def cut(self, text: str | None) -> list[str]:
+        """Pieces that can be encoded one by one: added tokens, and the pre-tokenizer's cuts of what is between."""
+        if not text:
+            return []
+        if self.added is None or not self.added.search(text):
+            return self.findall(text)
+        if not self.plain:
+            return [text]
+        parts = self.added.split(text)  # every second part is an added token
+        return [x for k, part in enumerate(parts) for x in ([part] if k % 2 else self.findall(part))]
+
     def _learn(self, cuts: list[str]) -> None:
         got = [e.ids for e in self.library.encode_batch(cuts, add_special_tokens=False)]
         counts = np.array([len(x) for x in got], np.int64)
@@ -79,7 +97,7 @@ class Tokenizer:
 
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each with ``end_id`` after it; number of ids of each text)."""
-        cuts = [self.cut(t) if t else [] for t in texts]
+        cuts = [self.cut(t) for t in texts]
         every = set().union(*cuts) if cuts else set()
         new = every - self.number.keys()
         if len(self.number) + len(new) > MEMORY_CUTS:
@@ -145,9 +163,12 @@ class _ShardWriter:
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int, id_col: str = "doc_id",
-                      text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> None:
+                      text_col: str = "text", shard_bytes: int = SHARD_BYTES, special_text: bool = False) -> None:
     """Write the ids of every text (null counts as empty) in ascending id order, null ids first.
 
+    The ids are those of the library's default call: added tokens in a text get their ids
+    (``special_text``: those of special tokens are ordinary text instead).
+
     Rows that share an id follow each other by text.  ``tokenizer``: a tokenizer file, at the
     same place on every machine; ``pattern``: its pre-tokenizer's regular expression.
     """
@@ -157,7 +178,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, pattern: str,
             .repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = Tokenizer(tokenizer, pattern)
+        tok = Tokenizer(tokenizer, pattern, special_text)
         out = _ShardWriter(TaskContext.get().partitionId())
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

@@ -88,3 +88,19 @@ def test_empty_table(llm):
     TF.write_token_files(llm.createDataFrame([], "doc_id long, text string"), path, PATH, public_tokenizers.PATTERN, 2)
     assert TF.read_token_files(llm, path).count() == 0
     assert os.path.isdir(path)
+
+
+def test_added_tokens_get_the_ids_of_the_default_call(llm):
+    lib = Tokenizer.from_file(PATH)
+    texts = ["a b <|endoftext|> x", "<|endoftext|>", "<|endoftext|><|endoftext|>  \n", "x  <|endoftext|>", "<|endoftext |> a",
+             "plain  words\n\n", "a <|endoftext|>\n\n<|endoftext|>'s  b ", ""]
+    want = [e.ids + [2] for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [64, 275, 220, 50256, 2124, 2]
+    ids, counts = TF.Tokenizer(PATH, public_tokenizers.PATTERN, special_text=False).encode(texts, 2)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+    path = scratch_path(llm, f"token-test-{uuid.uuid4().hex}")
+    TF.write_token_files(llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, PATH,
+                         public_tokenizers.PATTERN, 2)
+    got = sorted(tuple(r) for r in TF.read_token_files(llm, path).collect())
+    starts = np.cumsum([0, *map(len, want)]).tolist()
+    assert got == [(i, starts[i], len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(want)]
