@@ -16,7 +16,9 @@ score is a logistic curve over its clauses' scores.
 
 Targets, negations, speech verbs and threats are closed word lists.  Insults are open
 vocabulary and learned: whole words and word beginnings that labelled toxic documents hold
-far more often than clean ones, weighted by the log odds.  The fit reads a bounded sample of
+far more often than clean ones, weighted by the log odds.  Threats weigh on the same scale:
+their log odds where labelled documents hold aimed threats, else the median insult's, and
+then enough for one plain aimed threat to decide a document.  The fit reads a bounded sample of
 labelled rows (``max_fit_rows``, by a hash of the id); scoring reads every whole text.
 """
 
@@ -48,6 +50,10 @@ NEGATION_SCOPE = 2
 #: Lengths in letters of the word beginnings that can be insults.
 STEMS = (4, 5, 6, 7, 8)
 THREAT_WEIGHT = 1.0
+#: How far above the curve's midpoint one plain aimed threat lies at least.
+THREAT_MARGIN = 1.05
+#: Curve without labels.
+PRIOR_SLOPE, PRIOR_OFFSET = 1.0, -4.0
 #: Factors of the product transducer.
 WITH_TARGET, NEGATED, REPORTED = 1.5, 0.5, 0.6
 
@@ -90,7 +96,8 @@ GRAMMAR = compose(compose(_negation(), _latch(REPORT, REPORTED)), _latch(TARGET,
 class Lexicon:
     """Kind and weight of a word; insults by whole word first, then by the longest known beginning."""
 
-    def __init__(self, insults: dict[str, float]):
+    def __init__(self, insults: dict[str, float], threat: float = THREAT_WEIGHT):
+        self.threat = threat
         self.words = {w[1:]: v for w, v in insults.items() if w[0] == "="}
         self.stems = {w[1:]: v for w, v in insults.items() if w[0] == "^"}
         self.closed = {w: k for k, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS))
@@ -110,7 +117,7 @@ class Lexicon:
             return INSULT, self.words[word]
         if word in self.closed:
             k = self.closed[word]
-            return k, THREAT_WEIGHT if k == THREAT else 0.0
+            return k, self.threat if k == THREAT else 0.0
         for n in sorted(STEMS, reverse=True):
             if len(word) >= n and word[:n] in self.stems:
                 return INSULT, self.stems[word[:n]]
@@ -149,10 +156,26 @@ class ToxicityModel(NamedTuple):
     insults: dict[str, float]
     slope: float
     offset: float
+    threat: float = THREAT_WEIGHT
+
+
+def has_aimed_threat(text: str | None) -> bool:
+    """Whether some clause holds a threat and a target, neither negated nor reported."""
+    return max(clause_scores(text, _PLAIN_THREATS), default=0.0) >= 1
+
+
+_PLAIN_THREATS = Lexicon({}, 1.0)
 
 
 # ------------------------------------------------------------------ fit
 
+def _threat_weight(weight: float, odds: float | None, min_odds: float, slope: float, offset: float) -> float:
+    """``weight`` raised so that one plain aimed threat decides, unless labels deny it (``odds`` below ``min_odds``)."""
+    if slope <= 0 or (odds is not None and odds < min_odds):
+        return weight
+    return max(weight, THREAT_MARGIN * -offset / slope)
+
+
 def _terms(text: str) -> set[str]:
     words = set(_WORD.findall(text.lower()))
     return {"=" + w for w in words} | {"^" + w[:n] for w in words for n in STEMS if len(w) >= n}
@@ -197,7 +220,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col
     sample = texts.where(chosen).join(mine, "doc_id")  # the texts are cut by the same hash before the join
     n1, n0 = (r := sample.agg(F.sum("y"), F.sum(1 - F.col("y"))).first())[0] or 0, r[1] or 0
     if not n1:
-        return ToxicityModel({}, 1.0, -4.0)
+        return ToxicityModel({}, PRIOR_SLOPE, PRIOR_OFFSET,
+                             _threat_weight(THREAT_WEIGHT, None, min_odds, PRIOR_SLOPE, PRIOR_OFFSET))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +239,16 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col
             .where(F.col("toxic") >= min_docs).withColumn("odds", odds).where(F.col("odds") >= min_odds)
             .orderBy(F.desc("odds"), "term").limit(max_terms).collect())
     insults = {r.term: float(r.odds) for r in best}
-    lexicon = Lexicon(insults)
+
+    @F.arrow_udf("boolean")
+    def aimed(arr: pa.Array) -> pa.Array:
+        return pa.array([has_aimed_threat(t) for t in arr.to_pylist()], pa.bool_())
+
+    held = dict(sample.where(aimed("text")).groupBy((F.col("y") > 0).alias("toxic")).count().collect())
+    t1, t0 = held.get(True, 0), held.get(False, 0)
+    seen = None if t1 + t0 < min_docs else math.log((t1 + 0.5) / (n1 + 1)) - math.log((t0 + 0.5) / (n0 + 1))
+    threat = max(0.0, seen) if seen is not None else float(np.median(list(insults.values()))) if insults else THREAT_WEIGHT
+    lexicon = Lexicon(insults, threat)
 
     @F.arrow_udf("double")
     def signal(arr: pa.Array) -> pa.Array:
@@ -223,7 +256,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_col
 
     points = sample.select("y", signal("text").alias("x")).toPandas()  # two numbers a row, max_fit_rows rows
     slope, offset = _logistic(points["x"].to_numpy(float), (points["y"].to_numpy() > 0).astype(float))
-    return ToxicityModel(insults, slope, offset)
+    if not points["x"].any():  # nothing to learn a slope from
+        slope = PRIOR_SLOPE
+    return ToxicityModel(insults, slope, offset, _threat_weight(threat, seen, min_odds, slope, offset))
 
 
 # ------------------------------------------------------------------ scoring
@@ -233,7 +268,7 @@ def toxicity_score(text: Column, model: ToxicityModel) -> Column:
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lexicon = Lexicon(model.insults)
+        lexicon = Lexicon(model.insults, model.threat)
         for arr in batches:
             x = np.array([document_signal(t, lexicon) for t in arr.to_pylist()], float)
             yield pa.array(1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -700, 700))))

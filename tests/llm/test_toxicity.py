@@ -93,3 +93,24 @@ def test_odd_texts_and_empty_tables(llm):
     assert T.drop_toxic(docs.where("false"), model).count() == 0
     trained = T.ToxicityModel({"=scum": 5.0}, 1.0, -4.0)
     assert T.drop_toxic(docs, trained).count() == 3
+
+
+def test_one_aimed_threat_decides(llm):
+    rows, labels = _rows()
+    texts = ["I will kill you", "We will kill you and murder your people", "Ich werde dich töten", "They will kill you. We destroy them.",
+             "kill the process", "I will not kill you", "he said he will kill you", "a quiet day"]
+    learn = llm.createDataFrame(rows, "doc_id long, text string")
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for lab in (labels, []):
+        model = T.fit(learn, llm.createDataFrame(lab, "doc_id long, toxic int"))
+        got = [r.s for r in docs.orderBy("doc_id").select(T.toxicity_score(F.col("text"), model).alias("s")).collect()]
+        assert all(s >= 0.5 for s in got[:4]) and all(s < 0.5 for s in got[4:]), got
+
+
+def test_labels_overrule_the_threat_prior(llm):
+    rows, labels = _rows()
+    rows += [(5000 + i, "we beat them all again") for i in range(40)]
+    model = T.fit(llm.createDataFrame(rows, "doc_id long, text string"),
+                  llm.createDataFrame(labels + [(5000 + i, 0) for i in range(40)], "doc_id long, toxic int"))
+    docs = llm.createDataFrame([(1, "we beat them all again")], "doc_id long, text string")
+    assert docs.select(T.toxicity_score(F.col("text"), model).alias("s")).first().s < 0.5
