@@ -5,12 +5,10 @@ pass; later rows are dropped; the first dropped row yields one warning.  The
 reference resets counters at processing-time midnight; here the day is the
 event's date, so replays give the same answer.
 
-Plan, the same for every ``max_count``: rows are counted per (keys, day, time
-slice) with partial aggregation, a running sum over a key's slices of the day
-(at most ``day / slice`` rows) says how many came before each slice, and only
-slices that begin within the quota are numbered, one window group per slice.  A
-hot key (one clicking bot) is spread over its slices, and its slices beyond the
-quota are dropped by the join without being sorted.
+Plan, the same for every ``max_count``: rows are numbered per (keys, day, time slice) and
+cut at ``max_count + 1``, then what is left is numbered per (keys, day) and cut again.
+The input is read once and nothing is joined.  A hot key (one clicking bot) is spread
+over its slices, and the second numbering gets at most ``max_count + 1`` rows of each.
 """
 
 from __future__ import annotations
@@ -45,14 +43,13 @@ def quota_filter(df: DataFrame, keys, ts: str, seq: str, max_count: int = 100,
         us.alias("_us"), F.col(seq).alias("_seq"),
         floor_div(us, _DAY_US).alias("_day"), floor_div(us, slice_us).alias("_slice"))
     group = [f"_k{i}" for i in range(len(keys))] + ["_day"]
-    counts = rows.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*group).orderBy("_slice")) - F.col("_n")
-    early = counts.withColumn("_before", before).where(F.col("_before") <= max_count)
-    early = early.select(*[F.col(c).alias(f"{c}_") for c in [*group, "_slice"]], "_before")
-    on = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in [*group, "_slice"]]
-    in_slice = Window.partitionBy(*group, "_slice").orderBy("_us", "_seq")
-    ranked = (rows.join(early, on).withColumn("_rn", F.col("_before") + F.row_number().over(in_slice))
-              .where(F.col("_rn") <= max_count + 1)
+    order = ["_us", "_seq"]
+    # a plain comparison would get a limit before the shuffle for small quotas only: one plan for all
+    within = lambda c: F.greatest(F.col(c), F.lit(1)) <= max_count + 1
+    early = (rows.withColumn("_n", F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order)))
+             .where(within("_n")))
+    ranked = (early.withColumn("_rn", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+              .where(within("_rn"))
               .withColumn("_date", F.date_add(F.lit("1970-01-01").cast("date"), F.col("_day").cast("int"))))
     plain = [F.col(f"_row.`{c}`") for c in df.columns if c != day_col]
     passed = ranked.where(F.col("_rn") <= max_count).select(*plain, F.col("_date").alias(day_col))

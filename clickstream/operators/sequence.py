@@ -337,32 +337,31 @@ def trailing_sum(df: DataFrame, keys, ts: str, seq: str, value: str, span, out:
                  chunk=None) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the key's rows in ``(ts - span, ts]``.
 
-    Runs over time chunks with a trailing halo (rows of a chunk's last ``span``
-    are copied into the next chunk), so a hot key is summed by many tasks.
+    The column's own arithmetic is kept: integers and decimals add exactly, doubles as
+    doubles (a NaN or an infinity is in the sums of its span and no longer), NULL adds
+    nothing.
+
+    Time is cut into blocks as long as the span, so ``(ts - span, ts]`` is the start of the
+    row's own block and the end of the block before: two growing sums, one going on in time
+    and one going back, added.  Nothing is subtracted, a row is copied once, and a hot key
+    is spread over its blocks (``chunk`` is accepted as elsewhere, but not needed).
     """
     keys = _keys(keys)
     span_us = duration_us(span)
-    chunk_us = _chunk_us(span_us, chunk)
     us = epoch_us(df, ts)
-    own = floor_div(us, chunk_us)
-    tail = (own + 1) * F.lit(chunk_us) - us <= F.lit(span_us)
-    h = (df.withColumn("_us", us).withColumn("_own", own)
-         .withColumn("_chunk", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own)))))
-    # difference of two growing sums: the sum up to a row's time, less the sum up to its time - span
-    # (found as the running value carried by a marker row at time + span)
-    total = F.sum(F.col("_v")).over(Window.partitionBy(*keys, "_chunk").orderBy("_us")
-                                    .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    body = h.withColumn("_v", F.coalesce(F.col(value).cast("decimal(38,9)"), F.lit(0).cast("decimal(38,9)")))
-    rows = body.select(F.struct("*").alias("_row"), *keys, "_chunk", "_us", "_v", F.lit(None).cast("decimal(38,9)").alias("_old"))
-    marks = (body.select(*keys, "_chunk", "_us", "_v").groupBy(*keys, "_chunk", "_us").agg(F.sum("_v").alias("_v"))
-             .select(*keys, "_chunk", (F.col("_us") + F.lit(span_us)).alias("_us"),
-                     F.lit(0).cast("decimal(38,9)").alias("_v"), F.col("_v").cast("decimal(38,9)").alias("_old")))
-    both = rows.unionByName(marks, allowMissingColumns=True)
-    gone = F.sum(F.coalesce("_old", F.lit(0).cast("decimal(38,9)"))).over(
-        Window.partitionBy(*keys, "_chunk").orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    block = floor_div(us, span_us)
+    zero = F.lit(0)
+    rows = df.select(F.struct("*").alias("_row"), *keys, block.alias("_block"), us.alias("_pos"),
+                     F.col(value).alias("_new"), F.lit(None).cast(df.schema[value].dataType).alias("_old"))
+    # a row of the block before counts until its time plus the span
+    left = df.select(*keys, (block + 1).alias("_block"), (us + F.lit(span_us)).alias("_pos"), F.col(value).alias("_old"))
+    both = rows.unionByName(left, allowMissingColumns=True)
+    part = Window.partitionBy(*keys, "_block")
+    up_to = part.orderBy("_pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    still = part.orderBy(F.col("_pos").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    total = F.coalesce(F.sum("_new").over(up_to), zero) + F.coalesce(F.sum("_old").over(still), zero)
     out_type = df.select(F.sum(value).alias("x")).schema["x"].dataType
-    done = both.withColumn("_sum", (total - gone).cast(out_type)).where(F.col("_row").isNotNull())
-    return (done.where(F.col("_row._chunk") == F.col("_row._own"))
+    return (both.withColumn("_sum", total.cast(out_type)).where(F.col("_row").isNotNull())
             .select(*[F.col(f"_row.`{c}`") for c in df.columns], F.col("_sum").alias(out)))
 
 

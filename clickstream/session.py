@@ -8,6 +8,7 @@ folder is read from ``spark.checkpoint.dir`` and only set when it is unset
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -53,12 +54,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a folder
-    below the warehouse is used and registered: like the folder itself, the
-    warehouse is shared by the driver and all executors.
+    below the warehouse is used and registered.  A warehouse on the local disk is
+    seen by one machine only, so with more than one (a master other than
+    ``local[...]``) it is refused.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        sc = spark.sparkContext
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            path = sc._jvm.org.apache.hadoop.fs.Path(d)
+            if path.getFileSystem(sc._jsc.hadoopConfiguration()).getUri().getScheme() == "file":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share; "
+                                   f"the warehouse folder {d} is local to each machine")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d

@@ -16,6 +16,3 @@ def spark():
     yield s
     s.stop()
 
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"

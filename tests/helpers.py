@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+#: The smallest of the given table folders.
+SF_SMALL = "/root/testdata/sf0.001"
+
 T0 = dt.datetime(2024, 1, 1)
 
 

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from clickstream.plans.catalog import QUERIES
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 TABLES = ["nation", "orders", "lineitem", "events"]
 

@@ -227,3 +227,49 @@ def test_scratch_tables_can_be_dropped(spark, tmp_path):
 
 def test_duration_parsing():
     assert duration_us("2 days") == 2 * 86_400_000_000
+
+
+def test_trailing_sum_keeps_the_columns_own_values(spark):
+    from clickstream.operators.sequence import trailing_sum
+    nan, inf = float("nan"), float("inf")
+    vals = [4e-10, 1e30, None, nan, 2.0, inf, 1.5, -3.0, 0.25]
+    rows = [("u", T + 10 * i * S, i, v) for i, v in enumerate(vals)] + [(None, T, 50, 1.0), (None, T, 51, 2.0)]
+    df = spark.createDataFrame(rows, "u string, ts timestamp_ntz, seq long, p double")
+    got = {r.seq: r.trailing for r in trailing_sum(df, "u", "ts", "seq", "p", 15).collect()}
+    want = [4e-10, 1e30, 1e30, nan, nan, inf, inf, -1.5, -2.75]
+    assert str([got[i] for i in range(9)]) == str(want) and got[50] == got[51] == 3.0
+    big = spark.createDataFrame([("u", T, 0, 2**62), ("u", T + S, 1, -(2**62) + 1)], "u string, ts timestamp_ntz, seq long, p long")
+    assert sorted(r.trailing for r in trailing_sum(big, "u", "ts", "seq", "p", 15).collect()) == [1, 2**62]
+    cents = big.select("u", "ts", "seq", F.lit("0.1").cast("decimal(20,2)").alias("p"))
+    assert str(max(r.trailing for r in trailing_sum(cents, "u", "ts", "seq", "p", 15).collect())) == "0.20"
+
+
+def test_quota_cuts_hot_slices_before_the_second_shuffle(spark, capsys):
+    ev = spark.range(2000).select(F.lit(1).alias("u"), (F.lit(1_714_564_800) + F.col("id") % 3000).alias("ts"), "id")
+    got = quota_filter(ev, "u", "ts", "id", max_count=7)
+    got.passed.explain()
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+    assert sorted(r.id for r in got.passed.collect()) == list(range(7)) and got.warnings.count() == 1
+
+
+def test_sink_without_a_label_is_an_error(spark):
+    from clickstream.streaming.runner import split_to_sinks
+    seen = []
+    run = split_to_sinks({"a": lambda df, _: seen.append(df.count())})
+    run(spark.createDataFrame([("a",), ("a",)], "status string"), 0)
+    for other in ("b", None):
+        with pytest.raises(ValueError):
+            run(spark.createDataFrame([("a",), (other,)], "status string"), 1)
+    assert seen == [2]
+
+
+def test_scratch_folder_of_a_local_run(spark):
+    from clickstream.session import checkpoint_dir
+    kept = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        assert checkpoint_dir(spark).endswith("/_scratch")
+    finally:
+        spark.conf.set("spark.checkpoint.dir", kept)
+        checkpoint_dir(spark)

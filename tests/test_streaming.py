@@ -20,7 +20,7 @@ from clickstream.streaming import (
 )
 from clickstream.streaming.runner import SENTINEL_TS
 from clickstream.streaming.stateful import use_rocksdb
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 DELAY = "2 hours"
 _n = [0]
