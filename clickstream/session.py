@@ -54,7 +54,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a folder
-    below the warehouse is used and registered.  A warehouse on the local disk is
+    below the warehouse is used.  A warehouse on the local disk is
     seen by one machine only, so with more than one (a master other than
     ``local[...]``) it is refused.
     """
@@ -67,7 +67,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
             if path.getFileSystem(sc._jsc.hadoopConfiguration()).getUri().getScheme() == "file":
                 raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share; "
                                    f"the warehouse folder {d} is local to each machine")
-        spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 

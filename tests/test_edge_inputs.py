@@ -264,12 +264,22 @@ def test_sink_without_a_label_is_an_error(spark):
     assert seen == [2]
 
 
-def test_scratch_folder_of_a_local_run(spark):
+def test_scratch_folder_without_a_setting():
+    from types import SimpleNamespace as N
+
     from clickstream.session import checkpoint_dir
-    kept = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        assert checkpoint_dir(spark).endswith("/_scratch")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", kept)
-        checkpoint_dir(spark)
+    chosen = []
+
+    def session(master, scheme):
+        path = N(getFileSystem=lambda conf: N(getUri=lambda: N(getScheme=lambda: scheme)))
+        jvm = N(org=N(apache=N(hadoop=N(fs=N(Path=lambda d: path)))))
+        sc = N(master=master, _jvm=jvm, _jsc=N(hadoopConfiguration=lambda: None), setCheckpointDir=chosen.append)
+        conf = {"spark.sql.warehouse.dir": "/w"}
+        return N(conf=N(get=lambda k, *d: conf.get(k, *d)), sparkContext=sc)
+
+    for master, scheme in (("local[4]", "file"), ("local", "file"), ("yarn", "hdfs")):
+        assert checkpoint_dir(session(master, scheme)) == "/w/_scratch"
+    for master in ("yarn", "spark://host:1", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            checkpoint_dir(session(master, "file"))
+    assert len(chosen) == 3
