@@ -1,6 +1,8 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 from clickstream.llm.quality_rules import COMMON_WORDS
+from clickstream.llm.queries import URL_RULES
+from clickstream.llm.url_filter import UNIT
 
 #: Characters of the key's ends: space and 0x09-0x0D.
 _WS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -96,8 +98,91 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(r.n, 0) AS
 FROM counts LEFT JOIN repeats r USING (rid) LEFT JOIN nearest USING (rid)
 """
 
+_URL = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
+_LINK = """'(?i)\\b(?:href|src)\\s*=\\s*["'']?\\s*(?:https?:)?//([^/?#"''<>\\s]+)'"""
+_RULES = ", ".join(f"('{r}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{v}')" for r, v in URL_RULES)
+_ROUNDS = 10
+
+
+def _round(k: int) -> str:
+    return f"""s{k} AS MATERIALIZED (
+  SELECT z.kind, z.host, z.seed, ((z.seed * 15 + coalesce(g.got, 0) * 85) // 100)::BIGINT AS score FROM s{k - 1} z LEFT JOIN (
+    SELECT f.kind, f.dst, sum(p.score // f.degree)::BIGINT AS got FROM s{k - 1} p JOIN flow f ON f.kind = p.kind AND f.src = p.host
+    GROUP BY f.kind, f.dst) g ON g.kind = z.kind AND g.dst = z.host)"""
+
+
+op13_url_filter = f"""
+WITH base AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, page_id, html,
+         {_LOWER.format(f"regexp_extract(coalesce(url, ''), {_URL}, 1)")} AS host, regexp_extract(coalesce(url, ''), {_URL}, 2) AS path FROM pages),
+rules(rule, rhost, rpath, verdict) AS (VALUES {_RULES}),
+hit AS MATERIALIZED (
+  SELECT b.rid, b.host, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS verdict
+  FROM base b LEFT JOIN rules r ON b.host <> '' AND (b.host = r.rhost OR ends_with(b.host, '.' || r.rhost)) AND starts_with(b.path, r.rpath)
+  GROUP BY b.rid, b.host),
+hosts AS MATERIALIZED (
+  SELECT host, CASE WHEN 2 * count(*) FILTER (WHERE verdict = 'allow') > count(*) THEN count(*) ELSE 0 END AS good,
+         CASE WHEN 2 * count(*) FILTER (WHERE verdict = 'block') > count(*) THEN count(*) ELSE 0 END AS bad
+  FROM hit WHERE host <> '' GROUP BY host),
+named AS (SELECT DISTINCT host AS src, unnest(regexp_extract_all(html, {_LINK}, 1)) AS link FROM base WHERE host <> ''),
+links AS (SELECT src, {_LOWER.format("regexp_replace(string_split(link, '@')[-1], ':[0-9]*$', '')")} AS dst FROM named),
+above AS (SELECT a.host AS src, arg_max(b.host, length(b.host)) AS dst FROM hosts a JOIN hosts b ON ends_with(a.host, '.' || b.host) GROUP BY a.host),
+edges AS MATERIALIZED (
+  SELECT src, dst FROM links WHERE src <> dst AND dst IN (SELECT host FROM hosts)
+  UNION SELECT src, dst FROM above UNION SELECT dst, src FROM above),
+pairs AS (SELECT 0 AS kind, src, dst FROM edges UNION ALL SELECT 1, dst, src FROM edges),
+flow AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY kind, src) AS degree FROM pairs),
+s0 AS MATERIALIZED (
+  SELECT kind, host, seed, seed AS score FROM (
+    SELECT 0 AS kind, host, (good * ({UNIT} // greatest(1, (SELECT sum(good) FROM hosts))))::BIGINT AS seed FROM hosts
+    UNION ALL SELECT 1, host, (bad * ({UNIT} // greatest(1, (SELECT sum(bad) FROM hosts))))::BIGINT FROM hosts)),
+{", ".join(_round(k) for k in range(1, _ROUNDS + 1))},
+final AS (SELECT host, sum(score) FILTER (WHERE kind = 0) AS t, sum(score) FILTER (WHERE kind = 1) AS d FROM s{_ROUNDS} GROUP BY host)
+SELECT b.page_id, b.host, b.path, h.rule,
+       coalesce(h.verdict, CASE WHEN f.d * 100 > (f.t + f.d) * 50 THEN 'block' ELSE 'allow' END) AS verdict
+FROM base b JOIN hit h USING (rid) LEFT JOIN final f ON f.host = b.host
+"""
+
+_TERMS = f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+op12_lexical_search = f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents),
+total AS MATERIALIZED (SELECT count(*) FILTER (WHERE len(w) > 0)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs),
+tf AS MATERIALIZED (SELECT rid, doc_id, term, count(*)::BIGINT AS tf, any_value(n)::BIGINT AS n
+                    FROM (SELECT rid, doc_id, len(w) AS n, unnest(w) AS term FROM docs) GROUP BY rid, doc_id, term),
+item AS (SELECT iid, item_id, term, count(*)::BIGINT AS times
+         FROM (SELECT row_number() OVER () AS iid, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY iid, item_id, term),
+weight AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+           FROM tf, total WHERE term IN (SELECT term FROM item) GROUP BY term, n_docs),
+part AS (SELECT rid, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))) AS part
+         FROM tf JOIN weight USING (term), total),
+scored AS (SELECT iid, item_id, rid, doc_id, sum(times * part)::BIGINT AS score FROM item JOIN part USING (term) GROUP BY iid, item_id, rid, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 20
+"""
+
+op11_hard_negatives = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+pos AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM pos p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
 ORACLE_SQL = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_line_dedup": op5_line_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_url_filter": op13_url_filter,
 }

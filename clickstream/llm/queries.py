@@ -9,7 +9,9 @@ import uuid
 
 import public_tokenizers
 
-from clickstream.llm import language_id, quality_classifier, quality_rules, secret_scan, token_files, toxicity
+from clickstream.llm import (
+    hard_negatives, language_id, lexical_search, quality_classifier, quality_rules, secret_scan, token_files, toxicity, url_filter,
+)
 from clickstream.llm.common import held_out, prepare, read
 from clickstream.llm.decontam import contamination
 from clickstream.llm.line_dedup import build_state, clean
@@ -121,6 +123,33 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each 50th vector and its 5 best rows of its label: the 3 best rows of other labels between half and 95 % of that score."""
+    prepare(spark)
+    vectors = read(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"), "embedding")
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95,
+                               vector_col="embedding", scale=256.0)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item by ranked terms."""
+    prepare(spark)
+    return lexical_search.search(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"), top=20)
+
+
+#: The url rules of :func:`op13_url_filter`: host and path prefix, verdict.
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page url: by rule, or by trust and distrust over the host links."""
+    prepare(spark)
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    judged = url_filter.judge(pages, url_filter.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id,
     op2_secret_scan,
@@ -132,4 +161,7 @@ QUERIES = {f.__name__: f for f in (
     op8_quality_rules,
     op9_toxicity,
     op10_quality_classifier,
+    op11_hard_negatives,
+    op12_lexical_search,
+    op13_url_filter,
 )}

@@ -71,28 +71,29 @@ def test_every_stage_takes_odd_documents(llm, tmp_path):
 
 
 def test_registered_queries(llm):
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     have = [q for q in entry.queries() if q.startswith("op")]
-    assert [sum(q.startswith(n) for q in have) for n in names] == [1] * 10 and "pipeline" in entry.queries()
+    assert [sum(q.startswith(n) for q in have) for n in names] == [1] * 13 and "pipeline" in entry.queries()
     n = llm.read.parquet(f"{SF}/documents.parquet").count()
     for q in have:
-        assert entry.queries()[q](llm, SF).count() == n, q
+        if not q.startswith(("op11_", "op12_", "op13_")):  # of other tables, held against their SQL below
+            assert entry.queries()[q](llm, SF).count() == n, q
 
 
 @pytest.mark.parametrize("name", sorted(k for k in entry.oracle_sql() if k.startswith("op")))
 def test_queries_match_their_sql(llm, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "pages"):
+    for t in ("documents", "benchmark", "labels", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(entry.oracle_sql()[name])
     cols = [c[0] for c in want.description]
     got = entry.queries()[name](llm, SF)
     assert sorted(got.columns) == sorted(cols)
-    assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == sorted(want.fetchall())
+    assert sorted((tuple(r[c] for c in cols) for r in got.collect()), key=str) == sorted(want.fetchall(), key=str)
 
 
 def test_native_operators_run_no_python(llm):
-    for q in ("op2_secret_scan", "op8_quality_rules"):
+    for q in ("op2_secret_scan", "op8_quality_rules", "op13_url_filter"):
         plan = Q.QUERIES[q](llm, SF)._jdf.queryExecution().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow")), q
 
