@@ -116,46 +116,67 @@ class Best:
         self.worst[g[last]] = s[last]
 
 
+def survivors(a: Rows, b: Rows, alive: np.ndarray, floor: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of ``alive`` whose score can be in ``[floor, high]`` of their anchor, by level after level.
+
+    While many pairs are left a level is one matrix product, then it is computed pair by pair.
+    """
+    for level in range(len(LEVELS)):
+        left = np.count_nonzero(alive)
+        if not left:
+            break
+        if left > 0.1 * alive.size:
+            least, most = bounds(a, b, level)
+            alive &= (most >= floor[:, None]) & (least <= high[:, None])
+        else:
+            x, y = np.nonzero(alive)
+            least, most = pair_bounds_in_slices(a, b, level, x, y)
+            alive[x, y] = (most >= floor[x]) & (least <= high[x])
+    return np.nonzero(alive)
+
+
 def add_positives(best: Best, a: Rows, a_id, a_label, b: Rows, b_id, b_label) -> None:
     """Offer the rows of ``b`` to the anchors of the same label."""
     for label in np.intersect1d(a_label, b_label):
         ai, bi = np.flatnonzero(a_label == label), np.flatnonzero(b_label == label)
-        for s in range(0, len(ai), max(1, _CELLS // max(1, len(bi)))):
-            part = ai[s:s + max(1, _CELLS // max(1, len(bi)))]
-            i, j = np.meshgrid(part, bi, indexing="ij")
-            sub_a, sub_b = _take(a, part), _take(b, bi)
-            _, high = bounds(sub_a, sub_b, 0)
-            alive = (high >= best.worst[part][:, None]) & (a_id[i] != b_id[j])
-            x, y = np.nonzero(alive)
-            for level in range(1, len(LEVELS)):
-                _, high = pair_bounds_in_slices(sub_a, sub_b, level, x, y)
-                left = high >= best.worst[part][x]
-                x, y = x[left], y[left]
-            best.add(part[x], exact(sub_a, sub_b, x, y), b_id[bi][y])
+        sub_b = _take(b, bi)
+        step = max(1, _CELLS // max(1, len(bi)))
+        for s in range(0, len(ai), step):
+            part = ai[s:s + step]
+            sub_a = _take(a, part)
+            floor = best.worst[part]
+            x, y = survivors(sub_a, sub_b, a_id[part][:, None] != b_id[bi][None, :], floor, np.full(len(part), np.inf))
+            score = exact(sub_a, sub_b, x, y)
+            good = score >= floor[x]
+            best.add(part[x[good]], score[good], b_id[bi[y[good]]])
 
 
 def add_negatives(best: Best, band: dict[str, np.ndarray], a: Rows, a_id, a_label, b: Rows, b_id, b_label) -> None:
     """Offer the rows of ``b`` to the bands of the anchors of other labels.
 
-    ``band`` has one entry per band: its anchor ``at``, its lowest and highest score.
+    ``band`` has one entry per band: its anchor ``at`` (ascending), its lowest and highest
+    score.  A pair is bounded and scored once for all bands of its anchor.
     """
     step = max(1, _CELLS // max(1, len(b_id)))
-    for s in range(0, len(band["at"]), step):
-        at, low, high = (band[c][s:s + step] for c in ("at", "low", "high"))
-        own, back = np.unique(at, return_inverse=True)
+    need = np.maximum(band["low"], best.worst)
+    for s in range(0, len(a_id), step):
+        first, stop = np.searchsorted(band["at"], [s, s + step])
+        if first == stop:
+            continue
+        own, start, count = np.unique(band["at"][first:stop], return_index=True, return_counts=True)
         sub = _take(a, own)
-        least, most = bounds(sub, b, 0)
-        floor = np.maximum(low, best.worst[s:s + step])
         other = (a_label[own][:, None] != b_label[None, :]) & (a_id[own][:, None] != b_id[None, :])
-        alive = (most[back] >= floor[:, None]) & (least[back] <= high[:, None]) & other[back]
-        x, y = np.nonzero(alive)
-        for level in range(1, len(LEVELS)):
-            least, most = pair_bounds_in_slices(sub, b, level, back[x], y)
-            left = (most >= floor[x]) & (least <= high[x])
-            x, y = x[left], y[left]
-        score = exact(sub, b, back[x], y)
-        inside = (score >= low[x]) & (score <= high[x])
-        best.add(s + x[inside], score[inside], b_id[y[inside]])
+        floor = np.minimum.reduceat(need[first:stop], start)
+        high = np.maximum.reduceat(band["high"][first:stop], start).astype(float)
+        x, y = survivors(sub, b, other, floor, high)
+        score = exact(sub, b, x, y)
+        inside = (score >= floor[x]) & (score <= high[x])
+        x, y, score = x[inside], y[inside], score[inside]
+        for k in range(int(count.max())):  # the k-th band of each anchor
+            has = count[x] > k
+            at = first + start[x[has]] + k
+            fits = (score[has] >= need[at]) & (score[has] <= band["high"][at])
+            best.add(at[fits], score[has][fits], b_id[y[has][fits]])
 
 
 def pair_bounds_in_slices(a: Rows, b: Rows, level: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
