@@ -19,7 +19,8 @@ along a link (a host without links) is lost.
 
 Pages are only read: per page a regular expression finds host and path, and links are
 reduced to distinct host pairs before the shuffle ends.  The propagation works on host
-edges; its state is written every few rounds.
+edges; its state is written every few rounds.  Pages of hosts that hold over a thousandth of
+all pages meet their host's row in a broadcast join, so that a hot host is not one task.
 """
 
 from __future__ import annotations
@@ -132,12 +133,15 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", html_col: st
     Every row is judged by itself, repeated or not; other columns stay, whatever their names.
     Empty tables give no rows, or (no rules) no seeds: then everything is allowed.
     """
-    base = pages.select(F.struct("*").alias("row"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    cols = [f"c{i}" for i in range(len(pages.columns))]  # own names: unread columns are pruned, none clashes
+    base = pages.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(pages.columns, cols)],
+                        host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     seen = base.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     own = materialize(seen.join(_host_rules(seen, rules), "host", "left"), "host-rules")
+    n_pages = own.agg(F.sum("pages")).first()[0] or 0
     # the longest rule whose path fits
     hit = F.get(F.filter(F.col("own"), lambda r: F.startswith(F.col("path"), r["path"])), F.lit(0))
-    ruled = base.join(own.select("host", "own"), "host", "left").withColumn("hit", hit)
+    ruled = _with_host(base.select("host", "path"), own, n_pages).withColumn("hit", hit)
     n = lambda v: F.sum((F.col("hit.verdict") == v).cast("long"))
     by_host = (ruled.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.coalesce(n("allow"), F.lit(0)).alias("allowed"),
                                          F.coalesce(n("block"), F.lit(0)).alias("stopped")))
@@ -146,15 +150,28 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", html_col: st
         F.when(F.col("stopped") * 2 > F.col("pages"), F.col("pages")).otherwise(0).alias("blocked")), "host-seed-pages")
     linked = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     scores = propagate(seeds, host_edges(linked, "html", seeds.select("host")), rounds, damping)
-    judged = own.join(scores, "host", "left").select(
-        "host", "own", F.coalesce("trust", F.lit(0)).alias("trust"), F.coalesce("distrust", F.lit(0)).alias("distrust"))
+    judged = materialize(own.join(scores, "host", "left").select(
+        "host", "own", "pages", F.coalesce("trust", F.lit(0)).alias("trust"), F.coalesce("distrust", F.lit(0)).alias("distrust")),
+        "host-verdicts")
     bad = F.col("distrust") * 100 > (F.col("trust") + F.col("distrust")) * threshold
     verdict = F.coalesce(F.col("hit.verdict"), F.when(bad, F.lit("block")).otherwise(F.lit("allow")))
-    done = base.join(judged, "host", "left").withColumn("hit", hit)
-    return done.select(*[F.col(f"row.`{c}`") for c in pages.columns], F.struct(
+    done = _with_host(base, judged, n_pages).withColumn("hit", hit)
+    return done.select(*[F.col(n).alias(c) for c, n in zip(pages.columns, cols)], F.struct(
         "host", "path", F.col("hit.rule").alias("rule"), verdict.alias("verdict"), "trust", "distrust").alias(out))
 
 
+def _with_host(base: DataFrame, table: DataFrame, n_pages: int) -> DataFrame:
+    """``base`` with its host's row of ``table``, which has every host once and its number of ``pages``.
+
+    Hosts with over a thousandth of the pages, fewer than a thousand, are broadcast, so their
+    pages are not shuffled; the others meet in a join by host.
+    """
+    hot = F.col("pages") * 1000 > n_pages
+    often = table.where(hot).drop("pages")
+    rest = base.join(F.broadcast(often.select("host")), "host", "left_anti")
+    return (base.join(F.broadcast(often), "host").unionByName(rest.join(table.where(~hot).drop("pages"), "host")))
+
+
 def keep_allowed(pages: DataFrame, rules: DataFrame, **options) -> DataFrame:
     """The rows of ``pages`` that are allowed; columns unchanged."""
     out = "__judged"
