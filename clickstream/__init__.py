@@ -7,7 +7,7 @@ produce the same rows once the watermark has passed.
 """
 
 from clickstream.session import build_session, checkpoint_dir, drop_scratch, ship_package
-from clickstream.operators.windows import top_n, window_agg, window_count, window_measures, window_top_n
+from clickstream.operators.windows import top_n, window_agg, window_count, window_measures, window_top_n, window_unique
 from clickstream.operators.visitors import bitmap_visitors, running_visitors, unique_visitors
 from clickstream.operators.quota import quota_filter
 from clickstream.operators.sequence import (
@@ -18,7 +18,7 @@ from clickstream.operators.sorted_groups import scan_sorted_groups
 
 __all__ = [
     "build_session", "checkpoint_dir", "ship_package",
-    "window_count", "window_top_n", "window_agg", "window_measures", "top_n",
+    "window_count", "window_top_n", "window_agg", "window_measures", "window_unique", "top_n",
     "unique_visitors", "bitmap_visitors", "running_visitors",
     "quota_filter",
     "consecutive", "n_in_span", "blocks", "threshold_then_next", "trailing_sum", "burst", "follow_distinct",

@@ -16,7 +16,7 @@ from clickstream.operators.sequence import (
 )
 from clickstream.operators.quota import quota_filter
 from clickstream.operators.visitors import bitmap_visitors, running_visitors, unique_visitors
-from clickstream.operators.windows import window_count, window_measures, window_top_n
+from clickstream.operators.windows import window_count, window_measures, window_top_n, window_unique
 from clickstream.sources.access_log import format_access_line, parse_access_log
 from clickstream.sources.tables import behaviour_events, read_table
 
@@ -104,6 +104,11 @@ def unique_visitors_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unique_visitors(_views(spark, sf_dir), "ts", "user_id", "1 hour").select("window_end", "uv")
 
 
+def unique_visitors_1h_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct users of page views per 1 h window sliding by 10 s."""
+    return window_unique(_views(spark, sf_dir), "ts", "user_id", "1 hour", "10 seconds").select("window_end", "uv")
+
+
 def unique_visitors_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitmap_visitors(_views(spark, sf_dir), "ts", "user_id", "1 hour").select("window_end", "uv")
 
@@ -309,6 +314,7 @@ QUERIES = {
     "access_log_parse": access_log_parse,
     "page_views_hourly": page_views_hourly,
     "unique_visitors_hourly": unique_visitors_hourly,
+    "unique_visitors_1h_10s": unique_visitors_1h_10s,
     "unique_visitors_bitmap": unique_visitors_bitmap,
     "unique_visitors_running": unique_visitors_running,
     "marketing_by_channel": marketing_by_channel,

@@ -188,6 +188,8 @@ FROM ({VIEWS}) GROUP BY ALL""",
     "unique_visitors_hourly": f"""SELECT make_timestamp((us // {HOUR} + 1) * {HOUR}) AS window_end,
        count(DISTINCT user_id)::BIGINT AS uv
 FROM ({VIEWS}) GROUP BY ALL""",
+    "unique_visitors_1h_10s": f"""SELECT make_timestamp(e * 10000000) AS window_end, count(DISTINCT user_id)::BIGINT AS uv
+FROM (SELECT user_id, unnest(generate_series(us // 10000000 + 1, us // 10000000 + 360)) AS e FROM ({VIEWS})) GROUP BY ALL""",
     "unique_visitors_bitmap": f"""SELECT make_timestamp((us // {HOUR} + 1) * {HOUR}) AS window_end,
        count(DISTINCT {HASH28})::BIGINT AS uv
 FROM ({VIEWS}) GROUP BY ALL""",

@@ -106,3 +106,55 @@ def test_window_top_n_equals_count_then_rank(spark):
     assert fused == plain
     odd = window_top_n(df, "ts", 25, 10, keys="k", n=2)  # size not a multiple of slide
     assert odd.count() == top_n(window_count(df, "ts", 25, 10, keys="k"), 2, key="k").count()
+
+
+@pytest.mark.parametrize("chunk", [12, 13, 40, None])
+def test_sliding_distinct_users_match_brute_force(spark, chunk):
+    from clickstream.operators.windows import window_unique
+    rnd = random.Random(31)
+    rows = [{"k": rnd.choice(["a", "b", None]), "ts": ts(rnd.randrange(0, 3000) + rnd.random()), "u": rnd.choice([1, 1, 1, 2, 3, None])}
+            for _ in range(250)]
+    df = spark.createDataFrame([(r["k"], r["ts"], r["u"]) for r in rows] + [("a", None, 9)], "k string, ts timestamp_ntz, u long")
+    want = {}
+    for r in rows:
+        if r["u"] is not None:
+            t = (r["ts"] - EPOCH).total_seconds()
+            for e in range(int(t // 30) + 1, int(t // 30) + 13):
+                want.setdefault((r["k"], e * 30), set()).add(r["u"])
+    got = {(r.k, int((r.window_end - EPOCH).total_seconds())): r.uv
+           for r in window_unique(df, "ts", "u", 360, 30, keys="k", chunk_slides=chunk).collect()}
+    assert got == {k: len(v) for k, v in want.items()}
+    keyless = window_unique(df, "ts", "u", 360, 30, chunk_slides=chunk).agg(F.sum("uv")).first()[0]
+    assert keyless == sum(len(set().union(*(v for (k, e), v in want.items() if e == end))) for end in {e for _, e in want})
+
+
+def test_sliding_measures_do_not_copy_buckets_into_windows(spark, capsys):
+    from clickstream.operators.windows import window_agg, window_measures
+    rnd = random.Random(5)
+    nan = float("nan")
+    rows = [(rnd.choice(["a", "b", None]), ts(rnd.randrange(0, 6000)), rnd.choice([None, nan, 1e30, 0.5, -2.0])) for _ in range(150)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
+    kinds = {"s": ("sum", "v"), "c": ("count", "v"), "lo": ("min", "v"), "hi": ("max", "v"), "m": ("avg", "v")}
+    for size, slide in ((600, 30), (90, 90), (60, 20)):
+        got = window_measures(df, "ts", size, slide, keys="k", measures=kinds)
+        want = window_agg(df, "ts", size, slide, keys="k", aggs={
+            "s": F.sum("v"), "c": F.count("v"), "lo": F.min("v"), "hi": F.max("v"), "m": F.avg("v")})
+        text = [sorted(tuple(f"{x:.9g}" if isinstance(x, float) else str(x) for x in r) for r in d.collect()) for d in (got, want)]
+        assert text[0] == text[1], (size, slide)
+    keyless = window_measures(df, "ts", 600, 30, measures={"c": ("count", "v")}).agg(F.sum("c")).first()[0]
+    assert keyless == 20 * sum(v is not None for *_, v in rows)
+
+
+def test_segments_rank_fewer_rows_than_windows(spark):
+    from clickstream.operators.windows import _deltas, _intervals, bucketed, window_top_n
+    rnd = random.Random(9)
+    rows = [{"k": rnd.choice("abcdefghij"), "ts": ts(rnd.randrange(0, 40_000)), "seq": i} for i in range(300)]
+    df = _events(spark, rows)
+    cols = ["k", "window_end", "cnt", "rank"]
+    for chunk in (130, 200, None):
+        got = sorted(tuple(r[c] for c in cols) for r in window_top_n(df, "ts", 600, 5, keys="k", n=2, chunk_slides=chunk).collect())
+        want = sorted(tuple(r[c] for c in cols) for r in top_n(window_count(df, "ts", 600, 5, keys="k"), 2, key="k").collect())
+        assert got == want, chunk
+    counts = bucketed(df, "ts", 5_000_000, ["k"]).groupBy("k", "_b").agg(F.count("*").alias("_c"))
+    points = _deltas(_intervals(counts, 120), ["k"], 4096).select("_k", "e").distinct().count()
+    assert points < 0.1 * 40_600 / 5  # segments, against window ends of the time line
