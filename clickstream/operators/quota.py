@@ -45,15 +45,15 @@ def quota_filter(df: DataFrame, keys, ts: str, seq: str, max_count: int = 100,
     group = [f"_k{i}" for i in range(len(keys))] + ["_day"]
     order = ["_us", "_seq"]
     # a plain comparison would get a limit before the shuffle for small quotas only: one plan for all
-    within = lambda c: F.greatest(F.col(c), F.lit(1)) <= max_count + 1
+    plain_rn = lambda c: F.greatest(F.col(c), F.lit(1))
     early = (rows.withColumn("_n", F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order)))
-             .where(within("_n")))
+             .where(plain_rn("_n") <= max_count + 1))
     ranked = (early.withColumn("_rn", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-              .where(within("_rn"))
+              .where(plain_rn("_rn") <= max_count + 1)
               .withColumn("_date", F.date_add(F.lit("1970-01-01").cast("date"), F.col("_day").cast("int"))))
     plain = [F.col(f"_row.`{c}`") for c in df.columns if c != day_col]
-    passed = ranked.where(F.col("_rn") <= max_count).select(*plain, F.col("_date").alias(day_col))
-    warnings = ranked.where(F.col("_rn") == max_count + 1).select(
+    passed = ranked.where(plain_rn("_rn") <= max_count).select(*plain, F.col("_date").alias(day_col))
+    warnings = ranked.where(plain_rn("_rn") == max_count + 1).select(
         *[F.col(f"_row.`{k}`") for k in keys], F.col("_date").alias(day_col), F.col(f"_row.`{ts}`").alias("blocked_ts"),
         F.lit(f"over {max_count} per day").alias("msg"))
     return QuotaResult(passed, warnings)
