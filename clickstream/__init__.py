@@ -13,6 +13,7 @@ from clickstream.operators.quota import quota_filter
 from clickstream.operators.sequence import (
     blocks, burst, consecutive, follow_distinct, greedy_select, n_in_span, threshold_then_next, trailing_sum,
 )
+from clickstream.operators.pattern import Step, match_sequence
 from clickstream.operators.matching import interval_join, one_slot_match, outer_match, payment_timeout, window_join
 from clickstream.operators.sorted_groups import scan_sorted_groups
 
@@ -22,6 +23,6 @@ __all__ = [
     "unique_visitors", "bitmap_visitors", "running_visitors",
     "quota_filter",
     "consecutive", "n_in_span", "blocks", "threshold_then_next", "trailing_sum", "burst", "follow_distinct",
-    "greedy_select",
+    "greedy_select", "Step", "match_sequence",
     "interval_join", "outer_match", "window_join", "payment_timeout", "one_slot_match", "scan_sorted_groups", "drop_scratch",
 ]

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstream.operators.matching import interval_join, one_slot_match, outer_match, payment_timeout, window_join
+from clickstream.operators.pattern import Step, match_sequence
 from clickstream.operators.sequence import (
     blocks, burst, consecutive, follow_distinct, n_in_span, threshold_then_next,
 )
@@ -235,6 +236,16 @@ def seq_account_chain_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _accounts(spark, sf_dir, None, "15 minutes", True)
 
 
+def seq_pattern_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view, the user's next click worth more than that view, then a purchase of another item than the click, within 3 days."""
+    kind = lambda k: F.col("event_type") == k
+    steps = [Step("view", kind("view")), Step("click", kind("click"), where=[("value", ">", "view", "value")]),
+             Step("purchase", kind("purchase"), where=[("k", "!=", "click", "k")])]
+    return match_sequence(_logins(spark, sf_dir), "user_id", "ts", "event_id", steps, "3 days", {
+        "view_id": ("view", "event_id"), "click_id": ("click", "event_id"), "purchase_id": ("purchase", "event_id"),
+        "view_value": ("view", "value"), "click_value": ("click", "value"), "bought": ("purchase", "k")})
+
+
 # ---------------------------------------------------------------- two streams
 
 def _payments(spark, sf_dir):
@@ -332,6 +343,7 @@ QUERIES = {
     "seq_account_chain": seq_account_chain,
     "seq_multi_account_all": seq_multi_account_all,
     "seq_account_chain_all": seq_account_chain_all,
+    "seq_pattern_funnel": seq_pattern_funnel,
     "order_payment": order_payment,
     "order_payment_with_tx": order_payment_with_tx,
     "order_timeout": order_timeout,

@@ -219,6 +219,16 @@ FROM ({CUMULATIVE}) WHERE points > 300 AND e_us - us < {2 * DAY}""", "user_id",
     "seq_account_chain": _greedy(_chain(SIG, DAY), "k", "k, start_user, first_ts, last_ts"),
     "seq_multi_account_all": _greedy(_multi(ALL_SIG, HOUR // 4), "k", "start_user, first_ts, last_ts"),
     "seq_account_chain_all": _greedy(_chain(ALL_SIG, HOUR // 4), "k", "start_user, first_ts, last_ts"),
+    "seq_pattern_funnel": f"""WITH e AS MATERIALIZED ({E}),
+clicked AS (
+  SELECT v.user_id, v.us, v.event_id AS view_id, v.value AS view_value, arg_min(c, (c.us, c.event_id)) AS c
+  FROM e v JOIN e c ON c.user_id = v.user_id AND (c.us, c.event_id) > (v.us, v.event_id) AND c.value > v.value
+    AND c.us - v.us < {3 * DAY} WHERE v.event_type = 'view' AND c.event_type = 'click' GROUP BY ALL)
+SELECT f.user_id, f.view_id, any_value(f.c.event_id) AS click_id, arg_min(p.event_id, (p.us, p.event_id)) AS purchase_id,
+       any_value(f.view_value) AS view_value, any_value(f.c.value) AS click_value, arg_min(p.k, (p.us, p.event_id)) AS bought
+FROM clicked f JOIN e p ON p.user_id = f.user_id AND p.event_type = 'purchase' AND (p.us, p.event_id) > (f.c.us, f.c.event_id)
+  AND p.k IS DISTINCT FROM f.c.k AND p.us - f.us < {3 * DAY}
+GROUP BY f.user_id, f.view_id""",
     "tx_match_one_slot": ONE_SLOT,
     "behaviour_value_1h_10s": f"""SELECT make_timestamp(e * 10000000) AS window_end, event_type, round(sum(v), 4) AS amount,
        sum(c)::BIGINT AS n, min(lo) AS least, max(hi) AS most
