@@ -4,46 +4,53 @@ Ids are cut into blocks of ``BLOCK`` ids.  Every block starts from the same fres
 can be decoded alone; many blocks run side by side as lanes of numpy arrays, one id of each
 lane a step.
 
-A lane's model predicts the next id from three orders:
+A block begins with its alphabet: its distinct ids in order, as gaps in a Rice code.  Then each
+id is coded by its rank there, in one step, under a mix of three orders' predictions:
 
-* order 2 - the id that last followed these two ids (hashed), with a confidence;
-* order 1 - the id that last followed this id (hashed), with a confidence;
-* order 0 - adaptive frequencies of the id's two high nibbles; for the first they are mixed
-  with its frequencies given the id before, the second is given the first.
+* order 0 - the counts of all ranks so far in the block (every rank begins with one);
+* order 1 - the rank that last followed this rank, with a confidence;
+* order 2 - the rank that last followed these two ranks (hashed), with a confidence.
 
-An id is coded as decisions: is it the predicted id (order 2 where that has confidence, else
-order 1); if not, its two high nibbles and its low byte.  The probability of a hit is a
-logistic mix of three adaptive estimates (by order-2 confidence, by order-1 confidence and
-agreement, by recent hits) whose weights follow the coding error; the first nibble's two
-distributions are mixed with a weight that follows the better one.  All model arithmetic is
-on integers, so encoder and decoder agree on every machine.
+The weights of orders 1 and 2 are adaptive hit rates by confidence (order 2's also by whether
+order 1 agrees); the rest is order 0's.  Every rank's probability is the weighted sum of the
+three, so all orders take part in every id.  All model arithmetic is on integers, so encoder
+and decoder agree on every machine.
 
 The range coder keeps 48 bits, puts out 16 at a time and carries into digits already put out.
 """
 
 from __future__ import annotations
 
-import math
+import struct
 import zlib
 
 import numpy as np
 
 BLOCK = 4096
-#: Lanes that run side by side; about 14 kB of model each.
+#: Lanes that run side by side; some 10 kB of model each.
 LANES = 2048
-MAX_ID = 1 << 16
-_SLOTS = 2048
+MAX_ID = 1 << 32
 _TOP = np.uint64(1 << 48)
 _MASK = np.uint64((1 << 48) - 1)
 _LOW = np.uint64(1 << 32)
-_U0, _U8, _U12, _U16, _U32 = (np.uint64(x) for x in (0, 8, 12, 16, 32))
-_STRETCH = np.array([round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], np.int32)
-_SQUASH = np.array([min(4064, max(32, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2200, 2201)], np.int32)
-_BITS = 15  # of the nibble distributions
-_UBITS = np.uint64(_BITS)
-_FLOOR = 64
-_YES, _NO = np.int32(4095), np.int32(0)
-_TARGET = np.array([[i * _FLOOR + ((1 << _BITS) - 16 * _FLOOR if i > s else 0) for i in range(16)] for s in range(16)], np.int16)
+_U16, _U32 = np.uint64(16), np.uint64(32)
+_GROW = 3          # what an occurrence adds to a rank's count
+_SLOTS = 2048      # of order 2
+_EMPTY = 15        # confidence of a slot that predicts nothing
+_ONE = 4096        # weights are parts of this
+_CAP = 3968        # largest hit rate: every order keeps some weight
+_BEYOND = 20000    # begins the sum of a group without ranks: larger than any sum, and stays below 2^15
+_PART = np.uint64(0xFFFF)
+_ONES, _HIGH = np.uint64(0x0001000100010001), np.uint64(0x8000800080008000)
+_SHIFT = np.array([0, 16, 32, 48], np.uint64)
+#: What an occurrence of a group's k-th rank adds to the sums before its four ranks.
+_ADD = np.array([sum(_GROW << 16 * j for j in range(k + 1, 4)) for k in range(4)], np.uint64)
+# A slot's confidence after a miss (0-15) and a hit (16-31): one more, or half; a slot that was
+# empty or not sure at all takes the new rank.
+_NEXT = np.array([s >> 1 for s in range(16)] + [min(s + 1, _EMPTY - 1) for s in range(16)], np.int64)
+_NEW = np.array([s in (0, _EMPTY) for s in range(16)] + [s == _EMPTY for s in range(16)])
+_KEEPS = np.array([-1] * _EMPTY + [0], np.int64)  # an empty slot's hit rate stays 0
+_HEAD = struct.Struct("<HBH")
 
 
 class _Encoder:
@@ -55,41 +62,21 @@ class _Encoder:
         self.out = np.zeros((lanes, cap), np.uint32)
         self.at = np.zeros(lanes, np.int64)
 
-    def _narrow(self, who, start, width):
-        """Take the part ``[start, start + width)`` of the lanes' ranges."""
-        low = self.low[who] + start
+    def narrow(self, n: int, start: np.ndarray, width: np.ndarray) -> None:
+        """Take the part ``[start, start + width)`` of the first ``n`` lanes' ranges."""
+        low = self.low[:n] + start
         over = np.flatnonzero(low >= _TOP)
         if len(over):
-            w = self.every[who][over]
-            self.out[w, self.at[w] - 1] += np.uint32(1)
+            self.out[over, self.at[over] - 1] += np.uint32(1)
             low[over] &= _MASK
         less = np.flatnonzero(width < _LOW)
-        if len(less):
-            w = self.every[who][less]
-            self.out[w, self.at[w]] = low[less] >> _U32
-            self.at[w] += 1
+        while len(less):
+            self.out[less, self.at[less]] = low[less] >> _U32
+            self.at[less] += 1
             low[less] = (low[less] << _U16) & _MASK
             width[less] <<= _U16
-        self.low[who], self.range[who] = low, width
-
-    def bit(self, who, p, want):
-        r = self.range[who] >> _U12
-        one = r * p.astype(np.uint64)
-        self._narrow(who, np.where(want, _U0, one), np.where(want, one, (r << _U12) - one))
-        return want
-
-    def nibble(self, who, cdf, want):
-        r = self.range[who] >> _UBITS
-        row = self.every[:len(want)]
-        c = cdf[row, want]
-        f = np.where(want < 15, cdf[row, np.minimum(want + 1, 15)], 1 << _BITS) - c
-        self._narrow(who, r * c.astype(np.uint64), r * f.astype(np.uint64))
-        return want
-
-    def byte(self, who, want):
-        r = self.range[who] >> _U8
-        self._narrow(who, r * want.astype(np.uint64), r)
-        return want
+            less = less[width[less] < _LOW]
+        self.low[:n], self.range[:n] = low, width
 
     def room(self, digits: int) -> None:
         """Make sure that every lane can put out so many more digits."""
@@ -111,8 +98,7 @@ class _Encoder:
 
 class _Decoder:
     def __init__(self, payloads: list[bytes]):
-        longest = max(len(x) for x in payloads) // 2 + 4
-        self.every = np.arange(len(payloads))
+        longest = max((len(x) for x in payloads), default=0) // 2 + 4
         self.digits = np.zeros((len(payloads), longest), np.uint16)
         for k, x in enumerate(payloads):
             d = np.frombuffer(x, "<u2")
@@ -125,181 +111,210 @@ class _Decoder:
     def room(self, digits: int) -> None:
         """Decoding puts nothing out."""
 
-    def _narrow(self, who, start, width):
-        value = self.value[who] - start
+    def narrow(self, n: int, start: np.ndarray, width: np.ndarray) -> None:
+        value = self.value[:n] - start
         less = np.flatnonzero(width < _LOW)
-        if len(less):
-            w = self.every[who][less]
-            at = np.minimum(self.at[w], self.digits.shape[1] - 1)
-            value[less] = (value[less] << _U16) | self.digits[w, at]
-            self.at[w] += 1
+        while len(less):
+            at = np.minimum(self.at[less], self.digits.shape[1] - 1)
+            value[less] = (value[less] << _U16) | self.digits[less, at]
+            self.at[less] += 1
             width[less] <<= _U16
-        self.value[who], self.range[who] = value, width
-
-    def bit(self, who, p, want):
-        r = self.range[who] >> _U12
-        one = r * p.astype(np.uint64)
-        got = self.value[who] < one
-        self._narrow(who, np.where(got, _U0, one), np.where(got, one, (r << _U12) - one))
-        return got
-
-    def nibble(self, who, cdf, want):
-        r = self.range[who] >> _UBITS
-        place = np.minimum(self.value[who] // r, np.uint64((1 << _BITS) - 1)).astype(np.int32)
-        below = np.bitwise_count((cdf <= place[:, None]).view(np.uint64))  # 16 truth bytes are two words
-        got = (below[:, 0] + below[:, 1]).astype(np.int64) - 1
-        row = self.every[:len(got)]
-        c = cdf[row, got]
-        f = np.where(got < 15, cdf[row, np.minimum(got + 1, 15)], 1 << _BITS) - c
-        self._narrow(who, r * c.astype(np.uint64), r * f.astype(np.uint64))
-        return got
-
-    def byte(self, who, want):
-        r = self.range[who] >> _U8
-        got = np.minimum(self.value[who] // r, np.uint64(255))
-        self._narrow(who, r * got, r)
-        return got.astype(np.int64)
-
-
-class _Decision:
-    """One yes/no decision's estimates and mixing weights in every lane."""
-
-    def __init__(self, lanes: int, sizes: tuple[int, ...]):
-        self.estimates = np.full(lanes * sum(sizes), 2048, np.int32)
-        self.sizes = np.array(sizes)[:, None]
-        self.first = lanes * (np.cumsum([0, *sizes[:-1]]))[:, None]
-        self.weights = np.full((len(sizes), lanes), 1 << 15, np.int32)
-
-    def code(self, coder, who, lane, contexts, want):
-        at = self.first + lane * self.sizes + contexts
-        p = self.estimates[at]
-        stretched = _STRETCH[p]
-        weights = self.weights[:, who]
-        dot = (stretched * weights).sum(axis=0, dtype=np.int32) >> 16
-        mixed = _SQUASH[np.minimum(np.maximum(dot, -2200), 2200) + 2200]
-        got = coder.bit(who, mixed, want)
-        goal = np.where(got, _YES, _NO)
-        new = weights + ((stretched * (goal - mixed)) >> 8)
-        self.weights[:, who] = np.minimum(np.maximum(new, -(1 << 17)), 1 << 17)
-        self.estimates[at] = p + ((goal - p) >> 5)
-        return got
-
-
-class _Nibble:
-    """One nibble's adaptive distribution by a context, in every lane."""
-
-    def __init__(self, lanes: int, contexts: int):
-        flat = np.arange(16, dtype=np.int16) << (_BITS - 4)
-        self.table = np.tile(flat, (lanes * contexts, 1))
-        self.contexts = contexts
-
-    def code(self, coder, who, lane, context, want):
-        at = lane * self.contexts + context
-        rows = self.table[at]
-        got = coder.nibble(who, rows.astype(np.int32), want)
-        self.table[at] = rows + ((_TARGET[got] - rows) >> 4)
-        return got
-
-
-class _MixedNibble:
-    """One nibble's distributions given a context, and without it, mixed in every lane."""
-
-    def __init__(self, lanes: int, contexts: int):
-        self.near, self.far = _Nibble(lanes, contexts), _Nibble(lanes, 1)
-        self.weight = np.full(lanes, 128, np.int32)
-
-    def code(self, coder, who, lane, context, want):
-        at = lane * self.near.contexts + context
-        near, far = self.near.table[at], self.far.table[lane]
-        x, y, w = near.astype(np.int32), far.astype(np.int32), self.weight[who]
-        got = coder.nibble(who, y + (((x - y) * w[:, None]) >> 8), want)
-        row, nxt = coder.every[:len(got)], np.minimum(got + 1, 15)
-        better = np.where(got == 15, y[:, 15] - x[:, 15], (x[row, nxt] - x[row, got]) - (y[row, nxt] - y[row, got]))
-        self.weight[who] = np.minimum(np.maximum(w + np.sign(better) * 4, 16), 240)
-        goal = _TARGET[got]
-        self.near.table[at] = near + ((goal - near) >> 4)
-        self.far.table[lane] = far + ((goal - far) >> 4)
-        return got
-
-
-def _learned(got, slot, guess, sure):
-    """A slot after its id: surer when it was right, else half as sure, and the new id once it is not sure at all."""
-    right = slot + (sure < 15)
-    wrong = np.where(sure == 0, got << 4, slot - sure + (sure >> 1))
-    return np.where(got == guess, right, wrong)
-
-
-def _run(coder, sizes: np.ndarray, ids: np.ndarray, known: bool) -> None:
-    """Code the lanes of ``ids[step, lane]``; with ``known`` false they are filled in.  ``sizes`` fall."""
+            less = less[width[less] < _LOW]
+        self.value[:n], self.range[:n] = value, width
+
+
+class _Counts:
+    """Order 0: adaptive counts of each lane's ranks, with their running sums on two levels.
+
+    ``coarse``: the sum before each group of four ranks.  ``fine``: the sums before the four
+    ranks inside their group, as four 16-bit parts of one word, so that a word is one number
+    to add to and to compare with.
+    """
+
+    def __init__(self, letters: np.ndarray):
+        lanes, most = len(letters), int(letters.max(initial=1))
+        self.width = w = 8 * (most // 32 + 1)
+        self.size = 4 * w
+        below = np.minimum(np.arange(self.size + 1)[None, :], letters[:, None]).astype(np.int16)
+        self.count = np.diff(below, axis=1).ravel()
+        self.coarse = np.ascontiguousarray(below[:, :-1:4])
+        self.coarse[:, 1:][self.coarse[:, 1:] == letters[:, None]] = _BEYOND  # groups without ranks
+        inside = (below[:, :-1].reshape(lanes, w, 4) - below[:, :-1:4, None]).astype(np.uint64)
+        self.fine = (inside << (16 * np.arange(4, dtype=np.uint64))).sum(axis=2, dtype=np.uint64).ravel()
+        self.flat = self.coarse.reshape(-1)
+        self.after = (np.arange(w)[None, :] > np.arange(w)[:, None]).astype(np.int16) * _GROW
+        self.group0, self.rank0 = np.arange(lanes) * w, np.arange(lanes) * self.size
+
+    def before(self, n: int, rank: np.ndarray) -> np.ndarray:
+        """Sum of the counts of smaller ranks."""
+        at = self.group0[:n] + (rank >> 2)
+        return self.flat.take(at) + (self.fine.take(at) >> _SHIFT.take(rank & 3) & _PART).astype(np.int64)
+
+    def of(self, n: int, rank: np.ndarray) -> np.ndarray:
+        return self.count.take(self.rank0[:n] + rank)
+
+    def find(self, n: int, place: np.ndarray) -> np.ndarray:
+        """The rank whose part of the counts holds ``place``."""
+        group = (self.coarse[:n] <= place.astype(np.int16)[:, None]).argmin(axis=1) - 1
+        group[group < 0] = self.width - 1  # all are
+        at = self.group0[:n] + group
+        rest = (place - self.flat.take(at)).astype(np.uint64)
+        # per 16-bit part: the high bit stays where the sum before that rank is at most the rest
+        return group * 4 + np.bitwise_count((rest * _ONES + _HIGH - self.fine.take(at)) & _HIGH) - 1
+
+    def add(self, n: int, rank: np.ndarray) -> None:
+        group = rank >> 2
+        self.coarse[:n] += self.after.take(group, axis=0)
+        at = self.group0[:n] + group
+        self.fine[at] = self.fine.take(at) + _ADD.take(rank & 3)
+        at = self.rank0[:n] + rank
+        self.count[at] = self.count.take(at) + _GROW
+
+
+def _run(coder, sizes: np.ndarray, letters: np.ndarray, ranks: np.ndarray, known: bool) -> None:
+    """Code the lanes of ``ranks[step, lane]``; with ``known`` false they are filled in.  ``sizes`` fall."""
     lanes = len(sizes)
-    # a slot holds the predicted id and, in the low four bits, how sure it is
-    first = np.zeros(lanes * _SLOTS, np.int32)
-    second = np.zeros(lanes * _SLOTS, np.int32)
-    hit = _Decision(lanes, (32, 32, 8))
-    high, mid = _MixedNibble(lanes, 16), _Nibble(lanes, 16)
-    one, two, recent = (np.zeros(lanes, np.int32) for _ in range(3))
-    every = np.arange(lanes)
+    counts = _Counts(letters)
+    # orders 1 and 2 in one array each, as two rows of every step: slots (the rank, and in four
+    # bits how sure it is) and hit rates
+    slots = np.full(lanes * (counts.size + _SLOTS), _EMPTY, np.uint16)
+    rates = np.concatenate((np.full(lanes * 32, 1200, np.int16), np.full(lanes * 32, 2000, np.int16)))
+    rates.reshape(-1, 32)[:, 2 * _EMPTY:] = 0
+    slot0 = np.stack((np.arange(lanes) * counts.size, lanes * counts.size + np.arange(lanes) * _SLOTS))
+    rate0 = np.stack((np.arange(lanes), lanes + np.arange(lanes))) * 32
+    one, two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    letters = letters.astype(np.int64)
     active = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if lanes else 0), side="left")
     for t, n in enumerate(active.tolist()):
-        lane, who = every[:n], slice(0, n)
+        p1 = one[:n]
         if t % 64 == 0:
-            coder.room(4 * 64)  # a step puts out four digits at most
-        want = ids[t, :n].astype(np.int32) if known else None
-        p1, p2 = one[:n], two[:n]
-        at1 = lane * _SLOTS + ((p1 * 2531) & (_SLOTS - 1))
-        at2 = lane * _SLOTS + (((p1 * 12043 + p2 * 7989) >> 3) & (_SLOTS - 1))
-        x1, x2 = first[at1], second[at2]
-        c1, c2, s1, s2 = x1 >> 4, x2 >> 4, x1 & 15, x2 & 15
-        same = c1 == c2
-        from2 = s2 > 0
-        guess = np.where(from2, c2, c1)
-        yes = hit.code(coder, who, lane, np.stack((s2 * 2 + same, s1 * 2 + from2, recent[:n])),
-                       want == guess if known else None)
-        got = np.where(yes, guess, -1)
-        rest = np.flatnonzero(got < 0)
-        if len(rest):
-            w, q = (want[rest] if known else None), p1[rest]
-            a = high.code(coder, rest, rest, q >> 12, w >> 12 if known else None)
-            b = mid.code(coder, rest, rest, a, (w >> 8) & 15 if known else None)
-            c = coder.byte(rest, w & 255 if known else None)
-            got[rest] = (a << 12) | (b << 8) | c
-        if not known:
-            ids[t, :n] = got
-        first[at1] = _learned(got, x1, c1, s1)
-        second[at2] = _learned(got, x2, c2, s2)
-        recent[:n] = ((recent[:n] << 1) | yes) & 7
+            coder.room(3 * 64)  # a step puts out two digits at most
+        at = slot0[:, :n].copy()
+        at[0] += p1
+        at[1] += (p1 * 12043 + two[:n] * 7989) >> 3 & (_SLOTS - 1)
+        x = slots.take(at).astype(np.int64)
+        guess, sure = x >> 4, x & 15
+        e = rate0[:, :n] + sure * 2
+        e[1] += guess[0] == guess[1]
+        rate = rates.take(e).astype(np.int64)
+        weight = rate.copy()
+        weight[0] = (_ONE - rate[1]) * rate[0] >> 12
+        w0 = _ONE - weight[0] - weight[1]
+        total = letters[:n] + _GROW * t
+        unit = coder.range[:n] // (total << 12).astype(np.uint64)
+        push = weight * total
+        if known:
+            got = ranks[t, :n].astype(np.int64)
+        else:
+            place = np.minimum(coder.value[:n] // unit, ((total << 12) - 1).astype(np.uint64)).astype(np.int64)
+            got = _resolve(counts, n, place, w0, guess, push)
+            ranks[t, :n] = got
+        hit = guess == got
+        start = w0 * counts.before(n, got) + (push * (guess < got)).sum(axis=0)
+        width = w0 * counts.of(n, got) + (push * hit).sum(axis=0)
+        coder.narrow(n, unit * start.astype(np.uint64), unit * width.astype(np.uint64))
+        counts.add(n, got)
+        state = sure + 16 * hit
+        rates[e] = rate + (((hit * _CAP - rate) >> 4) & _KEEPS.take(sure))
+        slots[at] = np.where(_NEW.take(state), got << 4, (guess << 4) + _NEXT.take(state))
         two[:n] = p1
         one[:n] = got
 
 
+def _resolve(counts: _Counts, n: int, place, w0, guess, push) -> np.ndarray:
+    """The rank at ``place`` of the mixed running sums.
+
+    Order 0's sums, scaled, are pushed up after the two guessed ranks: ``place`` lies at one of
+    them or, what was pushed taken off, at a rank of order 0.
+    """
+    swap = guess[0] > guess[1]
+    a, b = np.minimum(guess[0], guess[1]), np.maximum(guess[0], guess[1])
+    push_a = np.where(swap, push[1], push[0])
+    push_b = push[0] + push[1] - push_a
+    start_a, start_b = counts.before(n, a), counts.before(n, b)
+    after_a = place >= w0 * (start_a + counts.of(n, a)) + push_a
+    at_a = ~after_a & (place >= w0 * start_a)
+    place = place - push_a * after_a
+    after_b = after_a & (place >= w0 * (start_b + counts.of(n, b)) + push_b)
+    at_b = after_a & ~after_b & (place >= w0 * start_b)
+    got = counts.find(n, (place - push_b * after_b) // w0)
+    return np.where(at_a, a, np.where(at_b, b, got))
+
+
+def _pack_alphabet(ids: np.ndarray) -> bytes:
+    """Sorted distinct ids: their number, and the gaps less one in a Rice code."""
+    if not len(ids):
+        return _HEAD.pack(0, 0, 0)
+    gaps = np.diff(ids, prepend=-1).astype(np.int64) - 1
+    k = max(0, int(np.log2(max(1.0, 0.7 * float(gaps.mean())))))
+    while int((gaps >> k).sum()) > 8 * len(gaps) + 64 and k < 31:
+        k += 1
+    q = gaps >> k
+    step = q + 1 + k
+    end = np.cumsum(step)
+    bits = np.zeros(int(end[-1]), np.uint8)
+    bits[end - k - 1] = 1  # after q zeros
+    for j in range(k):
+        bits[end - k + j] = (gaps >> (k - 1 - j)) & 1
+    packed = np.packbits(bits).tobytes()
+    return _HEAD.pack(len(ids), k, len(packed)) + packed
+
+
+def _unpack_alphabet(data: bytes) -> tuple[np.ndarray, bytes]:
+    """(ids, what follows them)."""
+    n, k, size = _HEAD.unpack_from(data)
+    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, _HEAD.size))
+    stop, ones = np.empty(n, np.int64), np.flatnonzero(bits)
+    where = np.searchsorted(ones, np.arange(len(bits) + 1)).tolist()
+    ones, at = ones.tolist(), 0
+    for i in range(n):  # the next one ends a quotient, k bits follow it
+        stop[i] = ones[where[at]]
+        at = int(stop[i]) + 1 + k
+    q = np.diff(stop + 1 + k, prepend=0) - 1 - k
+    low = np.zeros(n, np.int64)
+    for j in range(k):
+        low = low << 1 | bits[stop + 1 + j]
+    return np.cumsum((q << k | low) + 1) - 1, data[_HEAD.size + size:]
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[tuple[bytes, int]]:
-    """``(payload, checksum)`` of each block; the checksum is the CRC-32 of the ids as little-endian 32-bit."""
+    """``(payload, checksum)`` of each block of at most ``BLOCK`` ids; the checksum is the CRC-32 of the ids as little-endian 32-bit."""
     out: list = [None] * len(blocks)
-    for k in range(0, len(blocks), LANES):
-        order = sorted(range(k, min(k + LANES, len(blocks))), key=lambda i: -len(blocks[i]))
+    parts = []
+    for b in blocks:
+        b = np.asarray(b, np.int64)
+        if len(b) > BLOCK or (len(b) and (b.min() < 0 or b.max() >= MAX_ID)):
+            raise ValueError(f"a block has at most {BLOCK} ids of 0 to {MAX_ID - 1}")
+        parts.append(np.unique(b, return_inverse=True))
+    for order in _batches([len(a) for a, _ in parts], [len(b) for b in blocks]):
         sizes = np.array([len(blocks[i]) for i in order], np.int64)
-        ids = np.zeros((int(sizes[0]), len(order)), np.uint16)
+        ranks = np.zeros((int(sizes[0]), len(order)), np.uint16)
         for j, i in enumerate(order):
-            if len(blocks[i]) and (blocks[i].min() < 0 or blocks[i].max() >= MAX_ID):
-                raise ValueError("ids must be 0 to 65535")
-            ids[:len(blocks[i]), j] = blocks[i]
-        coder = _Encoder(len(order), int(sizes[0]) * 3 // 4 + 8)
-        _run(coder, sizes, ids, True)
+            ranks[:sizes[j], j] = parts[i][1]
+        coder = _Encoder(len(order), int(sizes[0]) * 5 // 8 + 8)
+        _run(coder, sizes, np.array([len(parts[i][0]) for i in order], np.int64), ranks, True)
         for i, payload in zip(order, coder.finish()):
-            out[i] = (payload, zlib.crc32(blocks[i].astype("<u4").tobytes()))
+            out[i] = (_pack_alphabet(parts[i][0]) + payload, zlib.crc32(np.asarray(blocks[i]).astype("<u4").tobytes()))
     return out
 
 
+def _batches(letters: list[int], sizes: list[int]) -> list[list[int]]:
+    """Blocks that run together, longest first: those with alphabets of about the same size."""
+    near = sorted(range(len(sizes)), key=lambda i: letters[i])
+    return [sorted(near[k:k + LANES], key=lambda i: -sizes[i]) for k in range(0, len(near), LANES)]
+
+
 def decode_blocks(payloads: list[bytes], sizes: list[int], checksums: list[int]) -> list[np.ndarray]:
     """Ids of each block; a block that does not match its checksum raises ``ValueError``."""
     out: list = [None] * len(payloads)
-    for k in range(0, len(payloads), LANES):
-        order = sorted(range(k, min(k + LANES, len(payloads))), key=lambda i: -sizes[i])
+    heads = [_unpack_alphabet(x) for x in payloads]
+    for order in _batches([len(a) for a, _ in heads], sizes):
         n = np.array([sizes[i] for i in order], np.int64)
-        ids = np.zeros((int(n[0]), len(order)), np.uint16)
-        _run(_Decoder([payloads[i] for i in order]), n, ids, False)
+        ranks = np.zeros((int(n[0]), len(order)), np.uint16)
+        _run(_Decoder([heads[i][1] for i in order]), n, np.array([len(heads[i][0]) for i in order], np.int64), ranks, False)
         for j, i in enumerate(order):
-            out[i] = ids[:sizes[i], j].astype("<u4")
+            letters = heads[i][0]
+            out[i] = letters[np.minimum(ranks[:sizes[i], j], max(0, len(letters) - 1))].astype("<u4") if sizes[i] else np.empty(0, "<u4")
             if zlib.crc32(out[i].tobytes()) != checksums[i]:
                 raise ValueError("a block does not match its checksum")
     return out

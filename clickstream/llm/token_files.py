@@ -45,7 +45,7 @@ BLOCK_SCHEMA = ("shard int, block int, n_ids int, payload binary, checksum long,
 class Tokenizer:
     """One tokenizer file with the ids of the cuts met so far (``pool`` holds them one after the other)."""
 
-    def __init__(self, path: str, pattern: str, special_text: bool = True):
+    def __init__(self, path: str, pattern: str, special_text: bool = False):
         """``special_text``: the strings of special tokens are ordinary text, else they get their ids."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
