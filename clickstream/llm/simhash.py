@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickstream.llm.common import fresh, text_bytes
 from clickstream.session import materialize
@@ -65,8 +65,8 @@ def simhash(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = 4) -> DataFrame:
-    """``(doc_id, fp)`` of every row; ``fp`` is the fingerprint as a signed long."""
+                 shingle: int = 4, also: Column | None = None) -> DataFrame:
+    """``(doc_id, fp)`` of every row, and ``also``; ``fp`` is the fingerprint as a signed long."""
 
     @F.arrow_udf("long")
     def fp(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             got = np.array([simhash(t, shingle) for t in text_bytes(arr)], np.uint64)
             yield pa.array(got.view(np.int64))
 
-    return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col)).alias("fp"))
+    return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col)).alias("fp"), *([] if also is None else [also]))
 
 
 # ------------------------------------------------------------ bit-sliced comparison
@@ -323,24 +323,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links like any other.  Rows that share an id each get their row; null ids are never the
     smallest (a group of null ids alone has a null component).  An empty table gives none.
     """
-    fp = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
+    fp, by_fp = _grouped(fingerprints(docs, id_col, text_col, shingle), radius)
+    out = fp.join(by_fp, "fp")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _grouped(fps: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(``fps`` as a written table, ``(fp, component_id)`` of its distinct fingerprints)."""
+    fp = materialize(fps, "simhash-fp")
     distinct = materialize(fp.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     root = components(near_links(distinct, radius))
     named = (distinct.join(root, "fp", "left")
              .select("fp", F.coalesce("root", "fp").alias("root"), "least"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(least, "root").select("fp", "component_id")
-    out = fp.join(by_fp, "fp")
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return fp, named.join(least, "root").select("fp", "component_id")
+
+
+def _text_key(text: Column) -> Column:
+    """128 bits that stand for a text next to its id (null is a text of its own)."""
+    return F.struct(F.xxhash64(text, F.lit(1)).alias("a"), F.xxhash64(text, F.lit(2), F.length(text)).alias("b"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
              radius: int = 4) -> DataFrame:
-    """``docs`` without the documents whose group has one with a smaller id; columns unchanged.
+    """``docs`` with one row of every group: one of those with the group's smallest id; columns unchanged.
 
-    Rows with a null id stay (they cannot be told apart by id).
+    Rows are told apart by id and text, not by id alone: rows that share an id may be in
+    different groups, and each group keeps its own.  Of several rows with a group's smallest id
+    one stays (with the smallest text key; if the texts are equal too, any).  Rows with a null id stay.
     """
-    gone = fresh(docs, "gone")
-    copies = (near_duplicates(docs, id_col, text_col, shingle, radius)
-              .where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(gone)))
-    return docs.join(copies, F.col(id_col) == F.col(gone), "left_anti")
+    key, gone = fresh(docs, "text_key"), fresh(docs, "gone")
+    keyed = docs.withColumn(key, _text_key(F.col(text_col)))
+    marked = fingerprints(docs, id_col, text_col, shingle, also=_text_key(F.col(text_col)).alias("text_key"))
+    fp, by_fp = _grouped(marked, radius)
+    rows = materialize(fp.where("doc_id is not null").join(by_fp, "fp").groupBy("doc_id", "component_id", "text_key")
+                       .agg(F.count(F.lit(1)).alias("n")), "simhash-rows")
+    first = rows.where("doc_id = component_id").groupBy("component_id").agg(
+        F.min("text_key").alias("first"), F.count(F.lit(1)).alias("texts"))
+    # texts to drop: those of larger ids, and of the smallest id all but the first text
+    lost = (rows.join(first.where("texts > 1").select("component_id", "first"), "component_id", "left")
+            .where("component_id < doc_id or text_key > first"))
+    on = lambda df: df.select(F.col("doc_id").alias(gone), F.col("text_key").alias(f"{gone}_key"))
+    same = (F.col(id_col) == F.col(gone)) & (F.col(key) == F.col(f"{gone}_key"))
+    kept = keyed.join(on(lost), same, "left_anti")
+    again = on(rows.where("doc_id = component_id and n > 1"))
+    once = kept.join(again, same, "left_anti")
+    # rows that stay and are there several times: one each, reduced before the shuffle
+    several = (kept.join(again, same, "left_semi").groupBy(id_col, key).agg(F.any_value(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(gone))
+               .select(*[F.col(f"{gone}.`{c}`") for c in docs.columns]))
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(several)

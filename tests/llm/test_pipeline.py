@@ -37,7 +37,7 @@ def test_pipeline_matches_plain_stages(llm):
     docs = llm.read.parquet(f"{SF}/documents.parquet")
     assert out.columns == [*docs.columns, "ids"]
     model = tox.fit(docs, llm.read.parquet(f"{SF}/labels.parquet"), usable=~held_out(F.col("doc_id")))
-    lex = tox.Lexicon(model.insults)
+    lex = tox.Lexicon(model.insults, model.threat)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     rows = [(i, t) for i, t in rows if model.slope * tox.document_signal(t, lex) + model.offset < 0]
     rows = sorted(plain_lines(rows))

@@ -138,13 +138,21 @@ def test_documents_match_brute_force(llm):
     assert sorted((tuple(r) for r in got.collect()), key=str) == _brute_docs(rows)
     kept = keep_one(docs)
     assert kept.columns == docs.columns
-    want = [i for i, _, c in _brute_docs(rows) if i is None or c is None or c == i]
-    # rows with an id of which any row is a later copy go together
-    later = {i for i, _, c in _brute_docs(rows) if i is not None and c < i}
-    want = sorted((i for i, _ in rows if i is None or i not in later), key=str)
+    # one row of every group with an id: the groups of a repeated id are kept apart
+    of = {c for _, _, c in _brute_docs(rows) if c is not None}
+    want = sorted([*of, *(i for i, _ in rows if i is None)], key=str)
     assert sorted((r.doc_id for r in kept.collect()), key=str) == want
 
 
+def test_keep_one_tells_rows_of_one_id_apart(llm):
+    a, b = "one two three four five six seven eight nine ten", "a text of another kind that nobody else has at all"
+    rows = [(3, a, 1), (7, a, 2), (7, b, 3), (9, b, 4), (9, "z", 5), (9, "z", 6), (9, "Z ", 7), (None, a, 8), (None, a, 9), (11, None, 10), (11, "", 11)]
+    kept = keep_one(llm.createDataFrame(rows, "doc_id long, text string, text_key int"))
+    got = sorted(((r.doc_id, r.text, r.text_key) for r in kept.collect()), key=str)
+    assert [(i, (t or "").strip().lower()) for i, t, _ in got] == [(11, ""), (3, a), (7, b), (9, "z"), (None, a), (None, a)]
+    assert {k for i, _, k in got if i is None} == {8, 9}
+
+
 def test_empty_table(llm):
     docs = llm.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(docs).count() == 0 and keep_one(docs).count() == 0
