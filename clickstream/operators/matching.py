@@ -12,12 +12,14 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from clickstream.functions.eventtime import duration_us, epoch_us, from_epoch_us, is_ntz
 from clickstream.operators.sorted_groups import group_starts, scan_sorted_groups
 from clickstream.operators.windows import floor_div
+from clickstream.session import materialize
 
 
 def _keys(keys):
@@ -172,7 +174,7 @@ def payment_timeout(creates: DataFrame, pays: DataFrame, key: str, ts: str, with
 
 def one_slot_match(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str, seq: str, lower, upper,
                    matched: str = "matched", left_only: str = "unmatched_left",
-                   right_only: str = "unmatched_right") -> DataFrame:
+                   right_only: str = "unmatched_right", chunk=None) -> DataFrame:
     """Two-stream match with one slot per key and side, as the reference keeps it.
 
     In event order (left before right at equal times, then ``seq``) a key holds at most one
@@ -183,65 +185,127 @@ def one_slot_match(left: DataFrame, right: DataFrame, keys, left_ts: str, right_
     unmatched.  Returns ``keys..., status, left_seq, right_seq``.  Rows without a key
     or a time are unmatched.
 
-    A row can only wait while the next row of its key comes within the wait, so a key's
-    timeline is cut wherever it is silent for longer: what stands before a cut is
-    settled.  Each piece is walked in order by one task; pieces of a hot key are
-    spread.
+    A key's time line is cut into chunks.  Only one row can wait when a chunk begins (a row of
+    the other side would have met it), and the chunk's first row settles it: it meets that
+    row, or the row times out or is overwritten.  So a chunk behaves in one of two ways, its
+    first row free or used up, and is summarised by the row that waits at its end in either
+    case: a map from the previous chunk's way to its own.  The maps of a key's chunks are
+    composed by a prefix scan (one row per chunk), and each chunk is then walked with its
+    known entry.  A hot key is spread over its chunks.
     """
     keys = _keys(keys)
     lo, hi = _signed_us(lower), _signed_us(upper)
     if lo > 0 or hi < 0:
         raise ValueError("the band must hold 0: a row waits for the other side")
+    chunk_us = duration_us(chunk) if chunk is not None else max(8 * max(hi, -lo), 3_600_000_000)
     side = lambda df, ts, is_left: df.select(
         F.when(F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)) | F.col(ts).isNull(), F.lit(None))
         .otherwise(F.to_json(F.struct(*keys))).alias("_gk"), F.struct(*keys).alias("_keys"),
         epoch_us(df, ts).alias("_us"), F.col(seq).cast("long").alias("_seq"), F.lit(is_left).alias("_left"))
     both = side(left, left_ts, True).unionByName(side(right, right_ts, False))
     lone = both.where("_gk is null")
-    whole = both.where("_gk is not null")
-    order = Window.partitionBy("_gk").orderBy("_us", F.col("_left").desc(), "_seq")
-    gap = F.coalesce(F.col("_us") - F.lag("_us").over(order) > F.lit(max(hi, -lo)), F.lit(True))
-    whole = whole.withColumn("_piece", F.sum(gap.cast("long")).over(order))
-    schema = T.StructType([whole.schema["_keys"], T.StructField("status", T.StringType()),
-                           T.StructField("left_seq", T.LongType()), T.StructField("right_seq", T.LongType())])
-
-    def walk(table: pa.Table) -> pa.Table:
-        us, sq, is_left = (table[c].to_pylist() for c in ("_us", "_seq", "_left"))
-        bounds = group_starts(table, ["_gk", "_piece"]).tolist() + [table.num_rows]
-        at, status, ls, rs = [], [], [], []
-
-        def put(row, what, a, b):
-            at.append(row)
-            status.append(what)
-            ls.append(None if a is None else sq[a])
-            rs.append(None if b is None else sq[b])
-
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            slot: dict[bool, int | None] = {True: None, False: None}
-            for i in range(a, b):
-                for mine, limit in ((True, hi), (False, -lo)):  # timed out slots come out first
-                    j = slot[mine]
-                    if j is not None and us[i] - us[j] > limit:
-                        put(j, left_only if mine else right_only, *((j, None) if mine else (None, j)))
-                        slot[mine] = None
-                me = is_left[i]
-                j = slot[not me]
-                if j is not None:
-                    put(i, matched, *((i, j) if me else (j, i)))
-                    slot[not me] = None
-                else:
-                    if slot[me] is not None:
-                        put(slot[me], left_only if me else right_only, *((slot[me], None) if me else (None, slot[me])))
-                    slot[me] = i
-            for mine, j in slot.items():
-                if j is not None:
-                    put(j, left_only if mine else right_only, *((j, None) if mine else (None, j)))
-        return pa.table({"_keys": table["_keys"].take(pa.array(at, pa.int64())), "status": pa.array(status, pa.string()),
-                         "left_seq": pa.array(ls, pa.int64()), "right_seq": pa.array(rs, pa.int64())})
-
-    walked = scan_sorted_groups(whole.withColumn("_first", (~F.col("_left")).cast("int")), ["_gk", "_piece"],
-                                ["_us", "_first", "_seq"], walk, schema)
+    whole = materialize(both.where("_gk is not null").withColumn("_gc", floor_div(F.col("_us"), chunk_us)), "slot-rows")  # read twice
+    group, order = ["_gk", "_gc"], ["_us", "_first", "_seq"]
+    limits = {True: hi, False: -lo}
+    names = [T.StructField("_gk", T.StringType()), T.StructField("_gc", T.LongType())]
+    longs = lambda *cols: [T.StructField(c, T.LongType()) for c in cols]
+    slim = whole.select(*group, "_us", "_seq", "_left", (~F.col("_left")).cast("int").alias("_first"))
+    ends = scan_sorted_groups(slim, group, order, lambda t: _slot_ends(t, limits),
+                              T.StructType(names + longs("f_us", "f_left", "us_0", "left_0", "seq_0", "us_1", "left_1", "seq_1")))
+    entries = scan_sorted_groups(ends, ["_gk"], ["_gc"], lambda t: _slot_entries(t, limits),
+                                 T.StructType(names + longs("in_us", "in_left", "in_seq", "is_last")))
+    schema = T.StructType([whole.schema["_keys"], T.StructField("status", T.StringType()), *longs("left_seq", "right_seq")])
+    labels = {True: left_only, False: right_only}
+    joined = whole.withColumn("_first", (~F.col("_left")).cast("int")).join(entries, group)
+    walked = scan_sorted_groups(joined, group, order, lambda t: _slot_rows(t, limits, matched, labels), schema)
     rest = lone.select("_keys", F.when(F.col("_left"), F.lit(left_only)).otherwise(F.lit(right_only)).alias("status"),
                        F.when(F.col("_left"), F.col("_seq")).alias("left_seq"),
                        F.when(~F.col("_left"), F.col("_seq")).alias("right_seq"))
     return walked.unionByName(rest).select(*[F.col(f"_keys.`{k}`") for k in keys], "status", "left_seq", "right_seq")
+
+
+def _slot_walk(rows: list[tuple], waiting: tuple | None, limits: dict, put) -> tuple | None:
+    """Walk ``(us, left, seq)`` rows in order; ``put(a, b)`` gets settled rows (``b`` None: alone).  Returns the row still waiting.
+
+    One slot is enough: a row that meets the other side's waiting row empties it, so the two
+    sides never wait together.
+    """
+    for row in rows:
+        if waiting is None:
+            waiting = row
+        elif waiting[1] != row[1] and row[0] - waiting[0] <= limits[waiting[1]]:
+            put(waiting, row)
+            waiting = None
+        else:  # timed out or overwritten
+            put(waiting, None)
+            waiting = row
+    return waiting
+
+
+def _slot_groups(table: pa.Table):
+    """(first row number, rows) of each (key, chunk) group."""
+    us, left, seq = (table[c].to_pylist() for c in ("_us", "_left", "_seq"))
+    bounds = group_starts(table, ["_gk", "_gc"]).tolist() + [table.num_rows]
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        yield a, list(zip(us[a:b], left[a:b], seq[a:b]))
+
+
+def _slot_ends(table: pa.Table, limits: dict) -> pa.Table:
+    """Per chunk its first row, and the row that waits at its end if the first row is free (0) or used up (1)."""
+    at, out = [], []
+    for a, rows in _slot_groups(table):
+        at.append(a)
+        ends = [_slot_walk(rows[k:], None, limits, lambda x, y: None) or (None, None, None) for k in (0, 1)]
+        out.append((rows[0][0], int(rows[0][1]), *(x if x is None else int(x) for end in ends for x in end)))
+    cols = list(zip(*out)) or [[]] * 8
+    res = table.select(["_gk", "_gc"]).take(pa.array(at, pa.int64()))
+    for name, col in zip(("f_us", "f_left", "us_0", "left_0", "seq_0", "us_1", "left_1", "seq_1"), cols):
+        res = res.append_column(name, pa.array(col, pa.int64()))
+    return res
+
+
+def _slot_entries(table: pa.Table, limits: dict) -> pa.Table:
+    """The row that waits when each chunk begins, by composing the chunks' maps."""
+    n = table.num_rows
+    head = np.zeros(n, bool)
+    head[group_starts(table, ["_gk"])] = True
+    num = lambda c: table[c].fill_null(0).to_numpy()
+    f_us, f_left = num("f_us"), num("f_left")
+    ends = [(table[f"us_{v}"].is_valid().to_numpy(), num(f"us_{v}"), num(f"left_{v}"), num(f"seq_{v}")) for v in (0, 1)]
+    way = np.zeros((n, 2), np.int64)  # a chunk's way (1: its first row is used up) by the way of the one before
+    for v, (some, us, left, _) in enumerate(ends):
+        wait = np.where(left[:-1] == 1, limits[True], limits[False])
+        way[1:, v] = some[:-1] & (left[:-1] != f_left[1:]) & (f_us[1:] - us[:-1] <= wait)
+    way[head] = 0  # a key's first chunk has nothing before it, so a map never reaches into another key
+    step = 1
+    while step < n:
+        way[step:] = np.take_along_axis(way[step:], way[:-step].copy(), axis=1)
+        step *= 2
+    own = way[:, 0]
+    before = np.append(0, own[:-1])
+    pick = lambda k: np.append(0, np.where(before[1:] == 0, ends[0][k][:-1], ends[1][k][:-1]))
+    none = head | (pick(0) == 0)
+    res = table.select(["_gk", "_gc"])
+    for name, k in (("in_us", 1), ("in_left", 2), ("in_seq", 3)):
+        res = res.append_column(name, pa.array(pick(k).astype(np.int64), mask=none))
+    return res.append_column("is_last", pa.array(np.append(head[1:], True).astype(np.int64)))
+
+
+def _slot_rows(table: pa.Table, limits: dict, matched: str, labels: dict) -> pa.Table:
+    """Every chunk's settled rows: those of the row that waited at its beginning, and at a key's end of the one still waiting."""
+    in_us, in_left, in_seq, is_last = (table[c].to_pylist() for c in ("in_us", "in_left", "in_seq", "is_last"))
+    at, status, ls, rs = [], [], [], []
+    for a, rows in _slot_groups(table):
+        def put(x, y):
+            one, two = (x, y) if x[1] else (y, x)
+            at.append(a)
+            status.append(matched if y is not None else labels[x[1]])
+            ls.append(one and one[2])
+            rs.append(two and two[2])
+
+        entry = None if in_us[a] is None else (in_us[a], bool(in_left[a]), in_seq[a])
+        end = _slot_walk(rows, entry, limits, put)
+        if end is not None and is_last[a]:
+            put(end, None)
+    return pa.table({"_keys": table["_keys"].take(pa.array(at, pa.int64())), "status": pa.array(status, pa.string()),
+                     "left_seq": pa.array(ls, pa.int64()), "right_seq": pa.array(rs, pa.int64())})

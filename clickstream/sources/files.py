@@ -10,12 +10,19 @@ NTZ event time derived from epoch seconds (or milliseconds for marketing logs).
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickstream.functions.eventtime import millis_to_ts, seconds_to_ts
+from clickstream.operators.sorted_groups import group_starts
 from clickstream.sources.schemas import CORRUPT, LOG_SCHEMAS
 
+#: Most files whose table of numbers (some 100 bytes a file) is broadcast; beyond, it is joined.
+BROADCAST_FILES = 100_000
 #: Fields that may be empty in a good line.
 OPTIONAL = {"tx_id"}
 
@@ -31,19 +38,42 @@ def read_log(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
     Lines are read as text and parsed by :func:`parse_lines`, the same rule the
     socket and Kafka paths use.  Adds ``seq``: the ingest order (files by path,
-    lines as they stand), used to break ties between events with equal time.
+    lines as they stand), used to break ties between events with equal time.  Lines are
+    numbered where they are read, inside their file block; the text is not moved.
     """
-    lines = spark.read.text(path)
-    # the listing and the file metadata write a scheme's slashes differently
-    names = sorted(re.sub("^([a-zA-Z0-9]+):/+", r"\1:/", p) for p in lines.inputFiles())
-    files = spark.createDataFrame([(p, i) for i, p in enumerate(names)], "_path string, _file long")
-    lines = lines.select("value", F.regexp_replace("_metadata.file_path", "^([a-zA-Z0-9]+):/+", "$1:/").alias("_path"),
-                         F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
-    # blocks are numbered by their first byte, and a block has fewer lines than bytes
-    in_block = F.row_number().over(Window.partitionBy("_path", "_block").orderBy("_at")) - 1
-    lines = lines.withColumn("_row", in_block).join(files, "_path")
-    seq = F.col("_file") * F.lit(1 << 42) + F.col("_block") + F.col("_row")
-    return parse_lines(lines.withColumn("seq", seq), kind, keep=("seq",))
+    plain = lambda p: re.sub("^([a-zA-Z0-9]+):/+", r"\1:/", p)  # noqa: E731  listings and metadata write a scheme's slashes differently
+    # a file's lines have numbers from the bytes of the files before it on: a block has fewer lines than bytes
+    sizes = {plain(r.path): r.length for r in spark.read.format("binaryFile").load(path).select("path", "length").toLocalIterator()}
+    first, at = [], 0
+    for name in sorted(sizes):
+        first.append((unquote(name), at))
+        at += sizes[name] + 1
+    files = spark.createDataFrame(first, "_path string, _base long")
+    lines = spark.read.text(path).select(
+        "value", F.regexp_replace("_metadata.file_path", "^([a-zA-Z0-9]+):/+", "$1:/").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_block"))
+    numbered = lines.mapInArrow(_number_lines, lines.withColumn("_row", F.lit(0).cast("long")).schema)
+    if len(first) <= BROADCAST_FILES:
+        files = F.broadcast(files)
+    found = numbered.withColumn("_path", F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))).join(files, "_path")
+    return parse_lines(found.withColumn("seq", F.col("_base") + F.col("_block") + F.col("_row")), kind, keep=("seq",))
+
+
+def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the lines of each file block: a task reads a block's lines one after the other."""
+    block, seen = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        starts = group_starts(table, ["_path", "_block"])
+        row = np.arange(batch.num_rows) - np.repeat(starts, np.diff(np.append(starts, batch.num_rows)))
+        name = (batch["_path"][0].as_py(), batch["_block"][0].as_py())
+        if name == block:  # the block goes on from the batch before
+            row[:starts[1] if len(starts) > 1 else None] += seen
+        last = int(starts[-1])
+        block, seen = (batch["_path"][last].as_py(), batch["_block"][last].as_py()), int(row[-1]) + 1
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(row, pa.int64())], names=[*batch.schema.names, "_row"])
 
 
 def read_log_stream(spark: SparkSession, path: str, kind: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -283,3 +283,31 @@ def test_scratch_folder_without_a_setting():
         with pytest.raises(RuntimeError):
             checkpoint_dir(session(master, "file"))
     assert len(chosen) == 3
+
+
+@pytest.mark.parametrize("chunk", [5, 7, 60, None])
+def test_one_slot_match_over_chunk_borders(spark, chunk):
+    rnd = random.Random(16)
+    rows = [("hot" if i % 3 else rnd.choice(["a", "b"]), rnd.randrange(700), rnd.random() < 0.5, i) for i in range(400)]
+    frame = lambda left: spark.createDataFrame([(k, T + s * S, i) for k, s, x, i in rows if x == left], "tx string, ts timestamp_ntz, seq long")
+    m = one_slot_match(frame(True), frame(False), "tx", "ts", "ts", "seq", -3, 5, left_only="left", right_only="right", chunk=chunk)
+    got = [(r.tx, r.status, (r.left_seq, r.right_seq) if r.status == "matched" else r.left_seq if r.status == "left" else r.right_seq)
+           for r in m.collect()]
+    want = [(k, *x) for k in ("a", "b", "hot") for x in brute_slots([(s, left, i) for kk, s, left, i in rows if kk == k], -3, 5)]
+    assert sorted(got, key=str) == sorted(want, key=str) and sum(w[1] == "matched" for w in want) > 40
+
+
+def test_line_numbers_do_not_move_the_text(spark, tmp_path, capsys):
+    for name, first in (("b +é%.csv", 3000), ("a.csv", 0), ("c.csv", 6000)):
+        (tmp_path / name).write_text("".join(f"{first + i},1.1.1.1,fail,1558430842\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # several blocks a file, several batches a block
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        df = read_log(spark, str(tmp_path), "login")
+        rows = sorted(df.collect(), key=lambda r: r.seq)
+        df.explain()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r.user_id for r in rows] == list(range(9000)) and len({r.seq for r in rows}) == 9000
+    assert "Exchange hashpartitioning" not in capsys.readouterr().out
