@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from clickstream.functions.eventtime import duration_us, epoch_us, from_epoch_us, is_ntz
 from clickstream.operators.sorted_groups import group_starts, scan_sorted_groups
 from clickstream.operators.windows import floor_div
-from clickstream.session import materialize
+from clickstream.session import materialize, scratch_table
 
 
 def _keys(keys):
@@ -135,24 +135,54 @@ class PaymentResult(NamedTuple):
 
 
 def payment_timeout(creates: DataFrame, pays: DataFrame, key: str, ts: str, within,
-                    keep=("event_id",)) -> PaymentResult:
+                    keep=("event_id",), write_once: bool = False) -> PaymentResult:
     """``create`` followed by ``pay`` (same key) with ``0 <= pay.ts - create.ts < within``.
 
     The reference's order-timeout pattern: a match is a success, a create whose
     window passes is a timeout, a pay without a create yields nothing.  Creates
-    without a key or a time are timeouts.
+    without a key or a time are timeouts.  ``paid`` also has ``pay_ts``, the captured pay's time.
+
+    ``write_once``: both outputs are written by one job, as partitions of one table below
+    the shared scratch folder, and read back from there; otherwise each output that is used
+    runs the plan.
+    """
+    done = payment_outcomes(creates, pays, key, ts, within, keep)
+    if write_once:
+        got = split_outputs(done, "status", "payment")
+        paid, timed = got("success"), got("timeout")
+    else:
+        paid, timed = done.where("status = 'success'"), done.where("status = 'timeout'")
+    plain = [F.col(key), *[F.col(f"`{k}`") for k in keep]]
+    return PaymentResult(paid.select(*plain, "status", "pay_ts"), timed.select(*plain, "status"))
+
+
+def split_outputs(df: DataFrame, col: str, name: str):
+    """Write ``df`` once, partitioned by ``col``; returns a function from a label to that label's rows.
+
+    The named side outputs of one batch job: the plan runs once, and an output reads only its
+    own files.  A label without rows gives an empty DataFrame.
+    """
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_table(spark, name)
+    df.write.mode("overwrite").partitionBy(col).parquet(path)
+    return lambda label: spark.read.schema(schema).parquet(path).where(F.col(col) == label).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def payment_outcomes(creates: DataFrame, pays: DataFrame, key: str, ts: str, within, keep=("event_id",)) -> DataFrame:
+    """``key, <keep>, status, pay_ts`` of every create: ``success`` or ``timeout`` (then ``pay_ts`` is NULL).
 
     Both sides go through one shuffle: rows are tagged, unioned and cut into time
     chunks (the first ``within`` of a chunk is also copied to the end of the one
     before), and each create takes the next pay time of its key, the last one seen
     going back in time.  No create is ever paired with a pay, and a hot key is
-    spread over its chunks.  ``paid`` also has ``pay_ts``, the captured pay's time.
+    spread over its chunks.  Creates without a key or a time are not shuffled.
     """
     span = duration_us(within)
     chunk = max(8 * span, 3_600_000_000)
-    c = creates.select(F.col(key).alias("_k"), F.struct(*keep).alias("_keep"), epoch_us(creates, ts).alias("_us"),
-                       F.lit(False).alias("_pay"))
-    p = (pays.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    c = creates.where(known).select(F.col(key).alias("_k"), F.struct(*keep).alias("_keep"), epoch_us(creates, ts).alias("_us"),
+                                    F.lit(False).alias("_pay"))
+    p = (pays.where(known)
          .select(F.col(key).alias("_k"), F.lit(None).cast(c.schema["_keep"].dataType).alias("_keep"),
                  epoch_us(pays, ts).alias("_us"), F.lit(True).alias("_pay")))
     both = c.unionByName(p)
@@ -163,13 +193,14 @@ def payment_timeout(creates: DataFrame, pays: DataFrame, key: str, ts: str, with
     back = (Window.partitionBy("_k", "_chunk").orderBy(F.col("_us").desc(), F.col("_pay").desc())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     nxt = F.last(F.when(F.col("_pay"), F.col("_us")), ignorenulls=True).over(back)
-    ok = F.coalesce(F.col("_k").isNotNull() & (F.col("_next") < F.col("_us") + F.lit(span)), F.lit(False))
-    done = both.withColumn("_next", nxt).where(~F.col("_pay")).withColumn("_ok", ok)
-    out = [F.col("_k").alias(key), *[F.col(f"_keep.`{k}`") for k in keep]]
-    ntz = is_ntz(pays, ts)
-    paid = done.where("_ok").select(*out, F.lit("success").alias("status"), from_epoch_us(F.col("_next"), ntz).alias("pay_ts"))
-    timed = done.where(~F.col("_ok")).select(*out, F.lit("timeout").alias("status"))
-    return PaymentResult(paid, timed)
+    done = both.withColumn("_next", nxt).where(~F.col("_pay"))
+    ok = F.coalesce(F.col("_next") < F.col("_us") + F.lit(span), F.lit(False))
+    pay_ts = from_epoch_us(F.col("_next"), is_ntz(pays, ts))
+    found = done.select(F.col("_k").alias(key), *[F.col(f"_keep.`{k}`") for k in keep],
+                        F.when(ok, F.lit("success")).otherwise(F.lit("timeout")).alias("status"), F.when(ok, pay_ts).alias("pay_ts"))
+    lone = creates.where(~known).select(F.col(key), *keep, F.lit("timeout").alias("status"),
+                                        F.lit(None).cast(found.schema["pay_ts"].dataType).alias("pay_ts"))
+    return found.unionByName(lone)
 
 
 def one_slot_match(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str, seq: str, lower, upper,

@@ -96,12 +96,18 @@ def materialize(df, name: str):
     statistics.  Costs a fixed write-and-list overhead on tiny inputs.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    _SCRATCH.append(path)
+    path = scratch_table(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """Path of a new table below the shared checkpoint folder, one that :func:`drop_scratch` deletes."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.append(path)
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for one written table."""
     return os.path.join(checkpoint_dir(spark), name)

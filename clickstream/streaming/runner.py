@@ -49,18 +49,22 @@ def run_available(df: DataFrame, name: str, foreach_batch=None) -> DataFrame | N
     return spark.read.schema(df.schema).parquet(path) if foreach_batch is None else None
 
 
-def split_to_sinks(sinks: dict[str, Callable[[DataFrame, int], None]], col: str = "status") -> Callable[[DataFrame, int], None]:
+def split_to_sinks(sinks: dict[str, Callable[[DataFrame, int], None]], col: str = "status",
+                   rest: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that sends each label's rows of ``col`` to its own sink.
 
     The named side outputs of a program: the micro-batch is computed once and kept
-    while its outputs are written, so two outputs do not run the plan twice.  A label
-    without a sink (NULL too) stops the query before anything of its batch is written.
+    while its outputs are written, so two outputs do not run the plan twice.  Rows with
+    another label (NULL too) go to ``rest``; without it they stop the query before
+    anything of their batch is written.
     """
     def run(batch: DataFrame, epoch_id: int) -> None:
         kept = batch.persist()
         try:
-            lost = kept.where(~F.coalesce(F.col(col).isin(*sinks), F.lit(False))).select(col).first()
-            if lost is not None:
+            others = kept.where(~F.coalesce(F.col(col).isin(*sinks), F.lit(False)))
+            if rest is not None:
+                rest(others, epoch_id)
+            elif (lost := others.select(col).first()) is not None:
                 raise ValueError(f"no sink for rows with {col} = {lost[0]!r}")
             for label, sink in sinks.items():
                 sink(kept.where(F.col(col) == label), epoch_id)

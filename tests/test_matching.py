@@ -75,3 +75,17 @@ def test_outer_match_repeated_keys_bucketed_equals_plain(spark):
     bucketed = sorted(tuple(r[c] for c in cols) for r in
                       outer_match(pays, recs, "tx", "ts", "ts", -3, 5, unique_keys=False).collect())
     assert bucketed == plain
+
+
+def test_payment_outputs_of_one_job(spark):
+    rows = [(1, 1, "create", T), (1, 2, "pay", T), (2, 3, "create", T), (None, 4, "create", T), (5, 6, "create", None)]
+    ev = spark.createDataFrame(rows, "order long, event_id long, kind string, ts timestamp_ntz")
+    creates, pays = ev.where("kind = 'create'"), ev.where("kind = 'pay'")
+    for once in (False, True):
+        res = payment_timeout(creates, pays, "order", "ts", "15 minutes", write_once=once)
+        assert [tuple(r) for r in res.paid.collect()] == [(1, 1, "success", T)]
+        assert sorted(r.event_id for r in res.timed_out.collect()) == [3, 4, 6]
+    plan = res.timed_out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "PartitionFilters: [isnotnull(status" in plan  # read back, one partition each
+    empty = payment_timeout(creates.where("false"), pays, "order", "ts", "15 minutes", write_once=True)
+    assert empty.paid.count() == empty.timed_out.count() == 0
