@@ -26,16 +26,16 @@ def sentinel_rows(df: DataFrame, ts: str, **values) -> DataFrame:
     return spark.createDataFrame([tuple(row[f.name] for f in df.schema.fields)], df.schema)
 
 
-def run_available(df: DataFrame, name: str, foreach_batch=None) -> DataFrame | None:
+def run_available(df: DataFrame, name: str, foreach_batch=None, mode: str = "append") -> DataFrame | None:
     """Process everything available (``availableNow``) and return the result table.
 
     The checkpoint and the result live under the session's shared
     ``spark.checkpoint.dir``: appended rows go to a Parquet table there, unless a
     ``foreach_batch`` function is given (then its sink holds the result and None is
-    returned).  Nothing is gathered in the driver.
+    returned; ``mode`` "update" needs one).  Nothing is gathered in the driver.
     """
     spark = df.sparkSession
-    w = (df.writeStream.outputMode("append")
+    w = (df.writeStream.outputMode(mode)
          .option("checkpointLocation", scratch_path(spark, f"stream-{name}"))
          .trigger(availableNow=True))
     path = scratch_path(spark, f"stream-out-{name}-{uuid.uuid4().hex}")

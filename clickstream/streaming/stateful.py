@@ -2,7 +2,7 @@
 
 Rows reach a stateful processor in arrival order, batch by batch.  To give the
 batch answer ("ordered by event time, ties by seq"), each processor buffers a
-key's rows in list state and releases them in ``(ts, seq)`` order once the
+key's rows by time bucket in map state and releases them in ``(ts, seq)`` order once the
 watermark has passed them; an event-time timer at the oldest buffered row
 drives the release.  State per key is the buffer (rows within the watermark
 delay) plus a few values; it is cleared when the key can receive no more rows.
@@ -13,6 +13,7 @@ These processors need the RocksDB state store provider
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,10 +21,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from clickstream.functions.eventtime import duration_us
+from clickstream.operators.matching import _keys, _signed_us, _slot_walk
 from clickstream.session import ship_package
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 86_400_000
+#: Buffered rows of one state entry at most.
+PART_ROWS = 10_000
 
 
 def use_rocksdb(spark) -> None:
@@ -47,17 +51,26 @@ def _prepare_cols(df: DataFrame, ts: str, delay) -> DataFrame:
 
 
 class _Buffered(StatefulProcessor):
-    """Buffer rows; release those at or before the watermark in (us, seq) order.
+    """Buffer rows; release those at or before the watermark in order (``n_order`` leading columns, time first).
 
+    The buffer is map state by time bucket of ``width_us``.  A micro-batch adds its rows of a
+    bucket as new parts, so nothing buffered before is read or written again; an index holds
+    each bucket's number of parts and rows and its oldest time.  A release reads the buckets
+    that the watermark has reached and puts back at most the rest of the last of them.
     ``release`` also runs, with nothing ready, when a timer it armed for clearing idle state expires.
     """
 
     buf_schema: T.StructType
+    width_us = 60_000_000
+    n_order = 2
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", self.buf_schema)
-        self.timer = handle.getValueState("timer", T.StructType([T.StructField("ms", T.LongType())]))
+        longs = lambda *names: T.StructType([T.StructField(n, T.LongType()) for n in names])
+        self.parts = handle.getMapState("parts", longs("bucket", "part"),
+                                        T.StructType([T.StructField("rows", T.ArrayType(self.buf_schema))]))
+        self.index = handle.getMapState("index", longs("bucket"), longs("parts", "rows", "lo"))
+        self.timer = handle.getValueState("timer", longs("ms"))
 
     def _arm(self, ms: int) -> None:
         if self.timer.exists():
@@ -68,30 +81,61 @@ class _Buffered(StatefulProcessor):
         self.handle.registerTimer(ms)
         self.timer.update((ms,))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def _buckets(self) -> list[tuple]:
+        """``(bucket, parts, rows, lo)`` of the buffer, oldest first."""
+        return sorted((k[0], *v) for k, v in self.index.iterator())
+
+    def _add(self, rows: list[tuple]) -> None:
+        new: dict[int, list[tuple]] = {}
+        for r in rows:
+            new.setdefault(r[0] // self.width_us, []).append(r)
+        for b, mine in new.items():
+            lo = min(r[0] for r in mine)
+            parts, n, old = self.index.getValue((b,)) if self.index.containsKey((b,)) else (0, 0, lo)
+            for a in range(0, len(mine), PART_ROWS):
+                self.parts.updateValue((b, parts), (mine[a:a + PART_ROWS],))
+                parts += 1
+            self.index.updateValue((b,), (parts, n + len(mine), min(lo, old)))
+
+    def _drop(self, bucket: int, parts: int) -> None:
+        for p in range(parts):
+            self.parts.removeKey((bucket, p))
+        self.index.removeKey((bucket,))
+
+    def _take(self, bucket: int, parts: int) -> list[tuple]:
+        rows = [tuple(r) for p in range(parts) for r in self.parts.getValue((bucket, p))[0]]
+        self._drop(bucket, parts)
+        return rows
+
+    def _new_rows(self, rows: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         cols = [f.name for f in self.buf_schema.fields]
-        lo = None
         for pdf in rows:
-            part = pdf[cols]
-            self.buf.appendList([self.as_state(r) for r in part.itertuples(index=False, name=None)])
-            m = int(part["cs_us"].min())
-            lo = m if lo is None else min(lo, m)
-        if lo is not None:
-            self._arm(-(-lo // 1000))
+            yield from map(self.as_state, pdf[cols].itertuples(index=False, name=None))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = list(self._new_rows(rows))
+        if new:
+            self._add(new)
+            self._arm(-(-min(r[0] for r in new) // 1000))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = list(self.buf.get())
-        ready = sorted((r for r in rows if r[0] <= wm_us), key=lambda r: (r[0], r[1]))
-        later = [r for r in rows if r[0] > wm_us]
-        if later:
-            self.buf.put(later)
-            self._arm(-(-min(r[0] for r in later) // 1000))
-        else:
-            self.buf.clear()
-        out = self.release(key, ready, timerValues)
+        ready, waiting = [], []
+        for bucket, parts, _, lo in self._buckets():
+            if lo > wm_us:
+                waiting.append(lo)
+                continue
+            rows = self._take(bucket, parts)
+            ready += [r for r in rows if r[0] <= wm_us]
+            later = [r for r in rows if r[0] > wm_us]
+            if later:
+                self._add(later)
+                waiting.append(min(r[0] for r in later))
+        if waiting:
+            self._arm(-(-min(waiting) // 1000))
+        out = self.release(key, sorted(ready, key=lambda r: r[:self.n_order]), timerValues)
         if out is not None and len(out):
             yield out
 
@@ -119,7 +163,12 @@ class _Buffered(StatefulProcessor):
 
 
 class QuotaProcessor(_Buffered):
-    """Per (keys, day): the first ``max_count`` rows pass, the next one warns."""
+    """Per (keys, day): the first ``max_count`` rows pass, the next one warns.
+
+    Only the ``max_count + 1`` smallest positions not yet released can matter, so the buffer
+    holds at most twice that many however often a key clicks; once the warning is out, later
+    rows are not kept at all.
+    """
 
     def __init__(self, key_names, max_count):
         self.key_names = list(key_names)
@@ -130,18 +179,41 @@ class QuotaProcessor(_Buffered):
         super().init(handle)
         self.count = handle.getValueState("count", T.StructType([T.StructField("n", T.LongType())]))
 
+    def _released(self) -> int:
+        return self.count.get()[0] if self.count.exists() else 0
+
+    def handleInputRows(self, key, rows, timerValues):
+        room = self.max_count + 1 - self._released()
+        new = heapq.nsmallest(room, self._new_rows(rows))  # rows come after all released ones
+        if new:
+            self._add(new)
+            self._arm(-(-new[0][0] // 1000))
+            self._trim(room)
+        return iter([])
+
+    def _trim(self, room: int) -> None:
+        held = 0
+        for bucket, parts, n, _ in self._buckets():
+            if held >= room:
+                self._drop(bucket, parts)
+            elif held + n > 2 * room:
+                self._add(sorted(self._take(bucket, parts))[:room - held])
+            held += n
+
     def release(self, key, ready, timerValues):
-        n = self.count.get()[0] if self.count.exists() else 0
+        n = self._released()
         out = []
-        for us, seq in ready:
+        for us, seq in ready[:self.max_count + 1 - n]:
             n += 1
-            if n <= self.max_count:
-                out.append((*key, us, seq, "pass"))
-            elif n == self.max_count + 1:
-                out.append((*key, us, seq, "warn"))
+            out.append((*key, us, seq, "pass" if n <= self.max_count else "warn"))
+        left = self._buckets()
+        if n > self.max_count:
+            for bucket, parts, _, _ in left:
+                self._drop(bucket, parts)
+            left = []
         # the key holds one UTC day: after its end no row can come any more
         day_end_ms = (int(key[-1]) + 1) * DAY_MS
-        if timerValues.getCurrentWatermarkInMs() >= day_end_ms and not list(self.buf.get()):
+        if timerValues.getCurrentWatermarkInMs() >= day_end_ms and not left:
             self.count.clear()
         else:
             self.count.update((n,))
@@ -476,6 +548,78 @@ def stream_payment_timeout(creates: DataFrame, pays: DataFrame, key: str, ts: st
     return out.select(key, F.col("cs_id").cast(creates.schema[id_col].dataType).alias(id_col), "status")
 
 
+class OneSlotProcessor(_Buffered):
+    """One waiting row per key; a row of the other side in time meets it, else it comes out alone.
+
+    The reference keeps a slot per side.  The two never hold a row together (the later one
+    would have met the earlier or found it timed out), so one value with its side is enough,
+    and one event-time timer at the end of its wait.
+    """
+
+    n_order = 3
+
+    def __init__(self, key_names, limits, matched, labels):
+        self.key_names, self.limits, self.matched, self.labels = list(key_names), limits, matched, labels
+        self.buf_schema = T.StructType([T.StructField(c, T.LongType()) for c in ("cs_us", "cs_right", "seq")])
+
+    def init(self, handle):
+        super().init(handle)
+        self.slot = handle.getValueState("slot", T.StructType([
+            T.StructField("us", T.LongType()), T.StructField("left", T.BooleanType()), T.StructField("seq", T.LongType())]))
+
+    def release(self, key, ready, timerValues):
+        out = []
+
+        def put(a, b):
+            one, two = (a, b) if a[1] else (b, a)
+            out.append((*key, self.matched if b is not None else self.labels[a[1]], one and one[2], two and two[2]))
+
+        waiting = tuple(self.slot.get()) if self.slot.exists() else None
+        waiting = _slot_walk([(us, not right, seq) for us, right, seq in ready], waiting, self.limits, put)
+        # rows still to come are later than the watermark
+        if waiting is not None and waiting[0] + self.limits[waiting[1]] <= timerValues.getCurrentWatermarkInMs() * 1000:
+            put(waiting, None)
+            waiting = None
+        if waiting is None:
+            self.slot.clear()
+        else:
+            self.slot.update(waiting)
+            self._arm(-(-(waiting[0] + self.limits[waiting[1]]) // 1000))
+        got = pd.DataFrame(out, columns=[*self.key_names, "status", "left_seq", "right_seq"])
+        return got.astype({"left_seq": "Int64", "right_seq": "Int64"})
+
+
+def stream_one_slot_match(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str, seq: str, lower, upper,
+                          matched: str = "matched", left_only: str = "unmatched_left",
+                          right_only: str = "unmatched_right", delay="0 seconds") -> DataFrame:
+    """Twin of ``one_slot_match``: ``keys..., status, left_seq, right_seq``.
+
+    Both inputs are tagged and unioned; the watermark is the slower one's.  A match comes out
+    when its later row is released, a lone row when it is overwritten or the watermark has
+    passed its wait.  Rows without a key or a time never wait: they come out unmatched at once.
+    """
+    keys = _keys(keys)
+    lo, hi = _signed_us(lower), _signed_us(upper)
+    if lo > 0 or hi < 0:
+        raise ValueError("the band must hold 0: a row waits for the other side")
+    labels = {True: left_only, False: right_only}
+    longs = [T.StructField("left_seq", T.LongType()), T.StructField("right_seq", T.LongType())]
+    sides, lone = [], []
+    for df, ts, is_left in ((left, left_ts, True), (right, right_ts, False)):
+        known = F.least(*[F.col(k).isNotNull() for k in keys], F.col(ts).isNotNull())
+        sides.append(_prepare(df.where(known), ts, delay).select(
+            *keys, "cs_et", "cs_us", F.lit(0 if is_left else 1).cast("long").alias("cs_right"), F.col(seq).cast("long").alias("seq")))
+        own, none = F.col(seq).cast("long"), F.lit(None).cast("long")
+        lone.append(df.where(~known).select(*keys, F.lit(labels[is_left]).alias("status"),
+                                            (own if is_left else none).alias("left_seq"),
+                                            (none if is_left else own).alias("right_seq")))
+    schema = T.StructType([left.schema[k] for k in keys] + [T.StructField("status", T.StringType()), *longs])
+    met = (sides[0].unionByName(sides[1]).groupBy(*keys)
+           .transformWithStateInPandas(OneSlotProcessor(keys, {True: hi, False: -lo}, matched, labels), schema,
+                                       "append", "EventTime"))
+    return met.unionByName(lone[0]).unionByName(lone[1])
+
+
 class RunningVisitorsProcessor(_Buffered):
     """Per window: one row per first visit of a hash position, with the count so far.
 
@@ -504,7 +648,7 @@ class RunningVisitorsProcessor(_Buffered):
                 n += 1
                 out.append((key[0], user, n))
         end_us = int(key[0])
-        if timerValues.getCurrentWatermarkInMs() * 1000 >= end_us and not list(self.buf.get()):
+        if timerValues.getCurrentWatermarkInMs() * 1000 >= end_us and not self._buckets():
             self.seen.clear()
             self.count.clear()
         else:

@@ -283,12 +283,18 @@ def test_idle_state_is_cleared():
         def clear(self):
             self.v = None
 
+    class Map(State):
+        def iterator(self):
+            return iter(list((self.v or {}).items()))
+
     class Handle:
         def __init__(self):
             self.states, self.timers = {}, []
         def getListState(self, name, _):
             return self.states.setdefault(name, State())
-        getValueState = getMapState = getListState
+        def getMapState(self, name, *_):
+            return self.states.setdefault(name, Map())
+        getValueState = getListState
         def registerTimer(self, ms):
             self.timers.append(ms)
         def deleteTimer(self, ms):
@@ -325,3 +331,190 @@ def test_running_visitors_twin(spark, events, stream):
     want = running_visitors(events.where("event_type = 'view'"), "ts", "user_id", "event_id", "1 hour")
     cols = ["window_end", "user_id", "uv_so_far"]
     assert _rows(_before_sentinel(got, "window_end"), cols) == _rows(want, cols)
+
+
+class _Value:
+    def __init__(self):
+        self.v = None
+
+    def get(self):
+        return self.v
+
+    def update(self, v):
+        self.v = v
+
+    def exists(self):
+        return self.v is not None
+
+    def clear(self):
+        self.v = None
+
+
+class _List(_Value):
+    def get(self):
+        return self.v or []
+
+    put = _Value.update
+
+
+class _Map:
+    def __init__(self):
+        self.v, self.read = {}, 0
+
+    def containsKey(self, k):
+        return k in self.v
+
+    def getValue(self, k):
+        self.read += 1
+        return self.v[k]
+
+    def updateValue(self, k, v):
+        self.v[k] = v
+
+    def removeKey(self, k):
+        del self.v[k]
+
+    def iterator(self):
+        return iter(list(self.v.items()))
+
+
+class _Store:
+    """Plain objects in place of the state store."""
+
+    def __init__(self):
+        self.states, self.timers = {}, set()
+
+    def getValueState(self, name, *_):
+        return self.states.setdefault(name, _Value())
+
+    def getListState(self, name, *_):
+        return self.states.setdefault(name, _List())
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, _Map())
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.timers.remove(ms)
+
+    def fire(self, proc, key, wm_ms):
+        """What the timers up to a watermark release."""
+        at, out = _At(wm_ms), []
+        while due := [t for t in self.timers if t <= wm_ms]:
+            self.timers -= set(due)
+            out += [r for f in proc.handleExpiredTimer(key, at, None) for r in f.itertuples(index=False, name=None)]
+        return out
+
+    def rows(self):
+        return sum(len(v[0]) for v in self.states["parts"].v.values())
+
+
+class _At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_quota_state_does_not_grow_with_a_bot():
+    import pandas as pd
+    from clickstream.streaming.stateful import QuotaProcessor
+    rnd = random.Random(4)
+    rows = [(rnd.randrange(3600 * 10**6), i) for i in range(20_000)]
+    proc, store = QuotaProcessor(["k"], 50), _Store()
+    proc.init(store)
+    got, most = [], 0
+    for a in range(0, len(rows), 500):  # all clicks of an hour, in any order, before the watermark passes any
+        proc.handleInputRows(("bot", 0), iter([pd.DataFrame(rows[a:a + 500], columns=["cs_us", "seq"])]), _At(0))
+        most = max(most, store.rows())
+    assert most <= 102
+    first = sorted(rows)[:51]
+    half = first[20][0] // 1000 + 1
+    got += store.fire(proc, ("bot", 0), half)
+    got += store.fire(proc, ("bot", 0), 3_600_000)
+    assert [(r[2], r[3]) for r in got] == first and [r[4] for r in got] == ["pass"] * 50 + ["warn"]
+    late = pd.DataFrame([(3600 * 10**6 + i, 10**6 + i) for i in range(1000)], columns=["cs_us", "seq"])
+    proc.handleInputRows(("bot", 0), iter([late]), _At(3_600_000))
+    assert store.rows() == 0  # the warning is out
+    assert store.fire(proc, ("bot", 0), 86_400_000) == []
+    assert not store.states["count"].exists() and not store.timers and not store.states["index"].v
+
+
+def test_release_reads_only_the_buckets_reached():
+    import pandas as pd
+    from clickstream.streaming.stateful import ConsecutiveProcessor
+    proc, store = ConsecutiveProcessor(["k"], 2, 10**6), _Store()
+    proc.init(store)
+    minute = 60_000_000
+    rows = pd.DataFrame([(m * minute + s * 10**6, 60 * m + s, False) for m in range(100) for s in range(60)],
+                        columns=["cs_us", "seq", "cs_ok"])
+    proc.handleInputRows(("x",), iter([rows]), _At(0))
+    store.states["parts"].read = 0
+    store.fire(proc, ("x",), 30_000)
+    assert store.states["parts"].read == 1 and store.rows() == 6000 - 31
+    store.fire(proc, ("x",), 100 * 60_000 + 60_000)
+    assert not store.states["index"].v and not store.states["parts"].v and not store.timers
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_one_slot_twin(spark, tmp_path, seed):
+    from clickstream.operators.matching import one_slot_match
+    from clickstream.streaming import stream_one_slot_match
+    use_rocksdb(spark)
+    rnd = random.Random(seed)
+    base = dt.datetime(2024, 5, 1)
+    rows = [(rnd.choice(["a", "b", "hot", "hot"]), base + dt.timedelta(seconds=rnd.randrange(600)), rnd.random() < 0.5, i)
+            for i in range(300)]
+    rows += [(None, base, True, 900), ("a", None, False, 901)]
+    schema = "tx string, ts timestamp_ntz, seq long"
+    done = SENTINEL_TS
+
+    def side(left):
+        d = tmp_path / str(left)
+        mine = sorted(((k, t, i) for k, t, x, i in rows if x == left), key=lambda r: (r[1] or base))
+        for n in range(4):
+            part = mine[n * len(mine) // 4:(n + 1) * len(mine) // 4]
+            rnd.shuffle(part)
+            spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(d / f"p{n}"))
+        spark.createDataFrame([("zz", done, 10**6)], schema).coalesce(1).write.parquet(str(d / "p9"))
+        return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+                .parquet(str(d)))
+
+    got = run_available(stream_one_slot_match(side(True), side(False), "tx", "ts", "ts", "seq", "-3 seconds", "5 seconds",
+                                              delay="10 minutes"), _name("slot"))
+    frame = lambda left: spark.createDataFrame([(k, t, i) for k, t, x, i in rows if x == left], schema)
+    want = one_slot_match(frame(True), frame(False), "tx", "ts", "ts", "seq", "-3 seconds", "5 seconds")
+    cols = ["tx", "status", "left_seq", "right_seq"]
+    have = sorted((tuple(r[c] for c in cols) for r in got.where("tx is null or tx != 'zz'").collect()), key=str)
+    assert have == sorted((tuple(r[c] for c in cols) for r in want.collect()), key=str)
+    assert sum(r[1] == "matched" for r in have) > 30
+
+
+def test_early_on_time_and_late_firings(spark, tmp_path):
+    from clickstream.streaming import firings, latest, read_versions, stream_window_changes, write_versions
+    base = dt.datetime(2024, 5, 1, 12)
+    m = lambda x: base + dt.timedelta(minutes=x)
+    batches = [[1, 2], [4, 8], [11, 21], [3, 22], [38, 39], [40], [5, 41]]  # minutes; windows of 10, delay 1, lateness 20
+    d = tmp_path / "in"
+    for n, part in enumerate(batches):
+        spark.createDataFrame([("a", m(x)) for x in part], "k string, ts timestamp_ntz").coalesce(1).write.parquet(str(d / f"p{n}"))
+    src = (spark.readStream.schema("k string, ts timestamp_ntz").option("maxFilesPerTrigger", 1)
+           .option("recursiveFileLookup", "true").parquet(str(d)))
+    changes = stream_window_changes(src, "ts", "10 minutes", keys="k", delay="1 minute", lateness="20 minutes")
+    path = str(tmp_path / "out")
+    write = write_versions(path)
+    twice = lambda df, n: (write(df, n), write(df, n))  # noqa: E731  a micro-batch repeated after a failure
+    run_available(changes, _name("fire"), foreach_batch=twice, mode="update")
+    versions = read_versions(spark, path, changes.schema)
+    minute = lambda t: int((t - base).total_seconds() // 60)
+    got = sorted((minute(r.window_end), r.batch, r.cnt, r.firing) for r in firings(versions, "k", "1 minute").collect())
+    # minute 5 comes when the watermark is at 38, more than 20 past its window's end: dropped
+    assert got == [(10, 0, 2, "early"), (10, 1, 4, "on_time"), (10, 3, 5, "late"),
+                   (20, 2, 1, "on_time"), (30, 2, 1, "early"), (30, 3, 2, "on_time"),
+                   (40, 4, 2, "on_time"), (50, 5, 1, "early"), (50, 6, 2, "early")]
+    state = sorted((minute(r.window_end), r.cnt) for r in latest(versions, "k").collect())
+    assert state == [(10, 5), (20, 1), (30, 2), (40, 2), (50, 2)]
+    assert firings(versions.where("false"), "k", "1 minute").count() == 0 and latest(versions.where("false"), "k").count() == 0
