@@ -77,8 +77,9 @@ common(lang, word) AS (VALUES {_COMMON}),
 found AS (SELECT rid, word, count(*)::DOUBLE AS n FROM (SELECT rid, lower(unnest(w)) AS word FROM split)
           WHERE word IN (SELECT word FROM common) GROUP BY rid, word),
 langs AS (SELECT lang, sum(n_words) AS words, sum(n_chars) AS chars FROM counts
-          WHERE lang IN (SELECT lang FROM common) GROUP BY lang HAVING sum(n_words) > 0),
-ref_class AS (SELECT lang, i, sum(c) / any_value(chars) AS q FROM classes JOIN langs USING (lang) GROUP BY lang, i),
+          WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n_words) > 0),
+large AS (SELECT * FROM langs WHERE chars >= (SELECT sum(n_chars) FROM counts WHERE lang IS NOT NULL) * 0.001::DOUBLE),
+ref_class AS (SELECT lang, i, sum(c) / any_value(chars) AS q FROM classes JOIN large USING (lang) GROUP BY lang, i),
 ref_word AS (SELECT l.lang, f.word, sum(f.n) / any_value(l.words) AS q
              FROM found f JOIN counts USING (rid) JOIN langs l USING (lang) JOIN common m ON m.lang = l.lang AND m.word = f.word
              GROUP BY l.lang, f.word),
@@ -89,12 +90,13 @@ by_word AS (SELECT rid, lang, sqrt(greatest(0, any_value(parts) + {_half('any_va
                          sum(coalesce(f.n, 0) / greatest(c.n_words, 1)) AS ps, sum(r.q) AS qs
                   FROM counts c CROSS JOIN ref_word r LEFT JOIN found f ON f.rid = c.rid AND f.word = r.word GROUP BY c.rid, r.lang)
             GROUP BY rid, lang),
-nearest AS (SELECT rid, min(a.d) AS class_d, min(b.d) AS word_d FROM by_class a JOIN by_word b USING (rid) GROUP BY rid)
+nearest AS (SELECT rid, min(a.d) AS class_d, min(b.d) AS word_d FROM by_class a LEFT JOIN by_word b USING (rid) GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
        n_words < 10 OR 100 * coalesce(r.n, 0) > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * coalesce(r.n, 0) > 20 * n_words)
-         AND NOT ((lang IS NULL OR lang IN (SELECT lang FROM langs))
-                  AND coalesce((n_chars >= 200 AND class_d > 0.25) OR (n_words >= 150 AND word_d > 0.32), false)) AS kept
+         AND NOT coalesce((n_chars >= 200 AND class_d > 0.25)
+                          OR ((lang IS NULL OR lang IN (SELECT lang FROM ref_word))
+                              AND n_words >= 50 AND word_d > 0.22::DOUBLE + 1 / sqrt(n_words)), false) AS kept
 FROM counts LEFT JOIN repeats r USING (rid) LEFT JOIN nearest USING (rid)
 """
 

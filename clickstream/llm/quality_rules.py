@@ -1,10 +1,11 @@
 """Quality rules: word, symbol, line and repetition counts, then distribution divergence.
 
 A document's character-class histogram and its common-word histogram are compared with those
-of each reference language by Jensen-Shannon distance (square root of the divergence in
-bits, 0 to 1).  References are summed over all documents of a language.  A document fails
-when its smallest distance over the languages is too large; short texts are guarded by
-minimum lengths, below which a histogram says too little.
+of each language by Jensen-Shannon distance (square root of the divergence in
+bits, 0 to 1).  References are summed over all documents of a language; those of classes need
+no word list.  A document fails when its smallest distance over the languages is too large;
+short texts have a larger limit, and are guarded by minimum lengths below which a histogram
+says too little.
 
 Everything is DataFrame functions.  One pass over the texts writes a small table of counts;
 references and verdicts come from that table.
@@ -109,22 +110,26 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                        "w.common", (F.col("n_chars") - F.col("n_spaces")).alias("word_chars"))
 
 
-def references(counts: DataFrame) -> dict[str, dict]:
-    """Class and common-word shares per reference language, over all documents with that ``lang``."""
-    langs = list(COMMON_WORDS)
-    mine = counts.where(F.col("lang").isin(langs))
-    sums = mine.groupBy("lang").agg(
+def references(counts: DataFrame, min_share: float = 0.001) -> dict[str, dict]:
+    """Class and common-word shares per language, over all documents with that ``lang``.
+
+    ``classes`` of every language with at least ``min_share`` of the characters of all documents
+    that have a language (so at most ``1 / min_share`` languages), else None; ``words`` of the
+    languages with a word list, else empty.
+    """
+    mine = counts.where(F.col("lang").isNotNull())
+    total = mine.agg(F.sum("n_chars")).first()[0] or 0
+    sums = (mine.groupBy("lang").agg(
         F.sum("n_chars").alias("chars"), F.sum("n_words").alias("words"),
-        *[F.sum(F.get("classes", F.lit(k))).alias(f"c{k}") for k in range(_N_CLASSES)]).collect()
-    words = (mine.select("lang", F.inline("common")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-             .collect())  # at most languages x common words
+        *[F.sum(F.get("classes", F.lit(k))).alias(f"c{k}") for k in range(_N_CLASSES)])
+        .where((F.col("words") > 0) & ((F.col("chars") >= total * min_share) | F.col("lang").isin(list(COMMON_WORDS)))).collect())
+    words = (mine.where(F.col("lang").isin(list(COMMON_WORDS))).select("lang", F.inline("common"))
+             .groupBy("lang", "word").agg(F.sum("n").alias("n")).collect())  # at most languages x common words
     out = {}
     for r in sums:
-        if not r.chars or not r.words:
-            continue
         shares = [r[f"c{k}"] / r.chars for k in range(_N_CLASSES)]
         own = {w.word: w.n / r.words for w in words if w.lang == r.lang and w.word in COMMON_WORDS[r.lang]}
-        out[r.lang] = {"classes": [*shares, max(0.0, 1 - sum(shares))], "words": own}
+        out[r.lang] = {"classes": [*shares, max(0.0, 1 - sum(shares))] if r.chars >= total * min_share else None, "words": own}
     return out
 
 
@@ -170,22 +175,28 @@ def word_distance(ref: dict) -> Column:
                                       + F.greatest(F.lit(0.0), F.lit(sum(words.values())) - acc["q"]) / 2)))
 
 
-def judge(counts: DataFrame, refs: dict[str, dict], max_class: float = 0.25, max_word: float = 0.32,
-          min_chars: int = 200, min_words: int = 150) -> DataFrame:
+def judge(counts: DataFrame, refs: dict[str, dict], max_class: float = 0.25, max_word: float = 0.22,
+          word_noise: float = 1.0, min_chars: int = 200, min_words: int = 50) -> DataFrame:
     """``counts`` with ``base_failed``, ``class_distance``, ``word_distance``, ``kept``.
 
     Distances are the smallest over the reference languages, null without any reference; a
-    text under ``min_chars`` / ``min_words`` is not judged by the histogram concerned, and a
-    ``lang`` without a reference is not judged at all.
+    text under ``min_chars`` / ``min_words`` is not judged by the histogram concerned.  The
+    common words of a good short text are far from the reference by chance, by an amount that
+    falls with the root of the number of words, so the limit of the word distance is
+    ``max_word + word_noise / sqrt(n_words)``.  A ``lang`` without common words is judged by
+    classes only.
     """
     best = lambda ds: (F.least(*ds) if len(ds) > 1 else ds[0] if ds else F.lit(None).cast("double"))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    out = counts.withColumn("base_failed", base).withColumn("class_distance", best([class_distance(r) for r in refs.values()]))
-    out = out.withColumn("word_distance", best([word_distance(r) for r in refs.values()]))
-    judged = F.col("lang").isNull() | F.col("lang").isin(list(refs) or [""])
+    worded = [x for x, r in refs.items() if r["words"]]
+    out = counts.withColumn("base_failed", base).withColumn(
+        "class_distance", best([class_distance(r) for r in refs.values() if r["classes"]]))
+    out = out.withColumn("word_distance", best([word_distance(refs[x]) for x in worded]))
+    by_word = F.col("lang").isNull() | F.col("lang").isin(worded or [""])
+    limit = F.lit(max_word) + F.lit(word_noise) / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     far = (((F.col("n_chars") >= min_chars) & (F.col("class_distance") > max_class))
-           | ((F.col("n_words") >= min_words) & (F.col("word_distance") > max_word)))
-    return out.withColumn("kept", ~F.col("base_failed") & ~(judged & F.coalesce(far, F.lit(False))))
+           | (by_word & (F.col("n_words") >= min_words) & (F.col("word_distance") > limit)))
+    return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",

@@ -77,7 +77,7 @@ def test_distances_match_brute_force(llm):
     docs.append((len(docs), "### $$$ %%% " * 200 + "a b c d e f g h i j", "en"))
     docs.append((len(docs), " ".join(f"zq{k}" for k in range(400)), "en"))
     docs.append((len(docs), " ".join(f"zq{k}" for k in range(400)), "xx"))
-    refs = {}
+    refs, xx = {}, Counter(classes(docs[-1][1]))
     for lang in Q.COMMON_WORDS:
         mine = [t for _, t, x in docs if x == lang]
         c, w = Counter(), Counter()
@@ -89,7 +89,7 @@ def test_distances_match_brute_force(llm):
     for i, t, lang in docs:
         c = classes(t)
         p = {k: v / sum(c.values()) for k, v in c.items()}
-        best_c = min(jsd(p, r[0]) for r in refs.values())
+        best_c = min(jsd(p, r) for r in [r[0] for r in refs.values()] + [{k: v / sum(xx.values()) for k, v in xx.items()}])
         best_w = 9.0
         for x, r in refs.items():
             w = Counter(y.lower() if y.lower() in Q.COMMON_WORDS[x] else None for y in t.split())
@@ -100,6 +100,21 @@ def test_distances_match_brute_force(llm):
     assert sum(got[i].kept for i in range(120)) >= 118
 
 
+def test_other_languages_are_judged_by_classes_and_short_texts_by_a_larger_limit(llm):
+    rnd = random.Random(3)
+    cyrillic = lambda n: " ".join("".join(rnd.choice("абвгдежзик") for _ in range(5)) for _ in range(n))
+    english = lambda n, share: " ".join(rnd.choice(Q.COMMON_WORDS["en"]) if rnd.random() < share else f"w{rnd.randrange(10**6)}"
+                                        for _ in range(n))
+    docs = [(i, cyrillic(100), "ru") for i in range(20)] + [(100 + i, english(300, 0.45), "en") for i in range(20)]
+    docs += [(200, "\u20ac9#|" * 300 + cyrillic(20), "ru"), (201, english(60, 0.0), "en"), (202, english(30, 0.0), "en"),
+             (203, english(60, 0.45), "en"), (204, english(60, 0.0), "ru"), (205, english(60, 0.0), None)]
+    got = {r.doc_id: r.kept for r in Q.quality(llm.createDataFrame(docs, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i] for i in range(20)) and all(got[100 + i] for i in range(20))
+    assert not got[200]  # symbols under a language without a word list
+    assert not got[201] and got[202] and got[203]  # 60 words without a common one; 30 say too little
+    assert got[204] and not got[205]
+
+
 def test_empty_table(llm):
     docs = llm.createDataFrame([], "doc_id long, text string, lang string")
     assert Q.quality(docs).count() == 0
