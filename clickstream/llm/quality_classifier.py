@@ -8,7 +8,9 @@
 3. Shrinkage: a host's rate is pulled towards the global rate, a path's towards its host's,
    with the strength that the spread between sites shows (beta-binomial, method of moments).
    A sparse site therefore says little, a null host nothing, a null path what its host says.
-4. A document's score: its evidence plus the log odds of its path's rate.
+4. A document's score: its evidence plus the log odds of its path's rate.  Its own part is
+   taken out of the sums of its path, its host and all documents first, so neither its label
+   nor its evidence counts for itself: alone on its site it gets the others' global rate.
 
 Sites are aggregated with partial sums before the shuffle; a site's posterior is one row, so
 a hot host costs no more than another.  Texts are read once, into a table of measures.
@@ -141,24 +143,32 @@ def classify(docs: DataFrame, labels: DataFrame, sites: DataFrame, usable: Colum
     measured = materialize(rows.join(lab, "doc_id", "left").join(site, "doc_id", "left"), "quality-measures")
     model = fit(measured, usable, max_fit_rows)
     z = log_odds(F.col("x"), model)
-    scored = measured.select("doc_id", "host", "path", "y", z.alias("z"))
     weight = F.when(F.col("y").isNotNull(), F.lit(1.0)).otherwise(F.lit(soft))
-    mine = (scored.withColumn("n", weight).withColumn("good", F.coalesce("y", _sigmoid(F.col("z"))) * F.col("n"))
-            .groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("good").alias("good")))
+    scored = (measured.select("doc_id", "host", "path", "y", z.alias("z")).withColumn("own_n", weight)
+              .withColumn("own_good", F.coalesce("y", _sigmoid(F.col("z"))) * F.col("own_n")))
+    mine = scored.groupBy("host", "path").agg(F.sum("own_n").alias("n"), F.sum("own_good").alias("good"))
     paths = materialize(mine, "quality-sites")
     total = paths.agg(F.sum("good").alias("g"), F.sum("n").alias("n")).first()
     rate = (total.g + 0.5) / (total.n + 1) if total.n else 0.5
     hosts = paths.where("host is not null").groupBy("host").agg(F.sum("n").alias("hn"), F.sum("good").alias("hg"))
     k_host = strength(hosts, "hg", "hn", F.lit(rate))
-    hosts = hosts.select("host", ((F.col("hg") + k_host * rate) / (F.col("hn") + k_host)).alias("host_rate"))
-    below = paths.where("host is not null and path is not null").join(hosts, "host")
+    rated = hosts.select("host", ((F.col("hg") + k_host * rate) / (F.col("hn") + k_host)).alias("host_rate"))
+    below = paths.where("host is not null and path is not null").join(rated, "host")
     k_path = strength(below, "good", "n", F.col("host_rate"))
-    below = below.select(F.col("host").alias("h"), F.col("path").alias("p"),
-                         ((F.col("good") + k_path * F.col("host_rate")) / (F.col("n") + k_path)).alias("path_rate"))
+    below = below.select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("n").alias("pn"), F.col("good").alias("pg"))
+
+    def others(good: Column, n: Column, k: float, centre: Column) -> Column:
+        """The shrunk rate without the row's own part (sums may be off by rounding)."""
+        return ((F.greatest(good - F.col("own_good"), F.lit(0.0)) + k * centre)
+                / (F.greatest(n - F.col("own_n"), good - F.col("own_good"), F.lit(0.0)) + k))
+
+    # without the row: (sum - own + 0.5) / (n - own + 1)
+    outside = others(F.lit(float(total.g or 0.0)), F.lit(float(total.n or 0.0)), 1.0, F.lit(0.5))
     out = (scored.join(hosts, "host", "left")
            .join(below, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")), "left")
-           .withColumn("host_rate", F.coalesce("host_rate", F.lit(rate)))
-           .withColumn("path_rate", F.coalesce("path_rate", "host_rate")))
+           .withColumn("rate", outside)
+           .withColumn("host_rate", F.coalesce(others(F.col("hg"), F.col("hn"), k_host, F.col("rate")), "rate"))
+           .withColumn("path_rate", F.coalesce(others(F.col("pg"), F.col("pn"), k_path, F.col("host_rate")), "host_rate")))
     prior = F.log(F.col("path_rate") / (1 - F.col("path_rate")))
     evidence = F.col("z") - F.lit(model.base)
     return out.select("doc_id", evidence.alias("evidence"), "host_rate", "path_rate",

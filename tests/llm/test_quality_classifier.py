@@ -58,12 +58,23 @@ def brute_rates(rows, soft=0.25):
         if h is not None:
             hosts[h][0] += a
             hosts[h][1] += b
-    k = strength([(a, b, rate) for a, b in hosts.values()])
-    host = {h: (b + k * rate) / (a + k) for h, (a, b) in hosts.items()}
+    k_host = strength([(a, b, rate) for a, b in hosts.values()])
+    host = {h: (b + k_host * rate) / (a + k_host) for h, (a, b) in hosts.items()}
     below = {(h, p): v for (h, p), v in sums.items() if h is not None and p is not None}
-    k = strength([(a, b, host[h]) for (h, _), (a, b) in below.items()])
-    path = {(h, p): (b + k * host[h]) / (a + k) for (h, p), (a, b) in below.items()}
-    return rate, host, path
+    k_path = strength([(a, b, host[h]) for (h, _), (a, b) in below.items()])
+
+    def of(row):
+        """(host rate, path rate) of a row by all other rows."""
+        h, p, y, z = row
+        own_n = soft if y is None else 1.0
+        own_g = own_n * (1 / (1 + math.exp(-z)) if y is None else y)
+        hr = (g - own_g + 0.5) / (n - own_n + 1)
+        if h is not None:
+            hr = (hosts[h][1] - own_g + k_host * hr) / (hosts[h][0] - own_n + k_host)
+        pr = (below[h, p][1] - own_g + k_path * hr) / (below[h, p][0] - own_n + k_path) if (h, p) in below else hr
+        return hr, pr
+
+    return of
 
 
 def test_rates_match_brute_force_and_held_out_accuracy(llm):
@@ -75,12 +86,12 @@ def test_rates_match_brute_force_and_held_out_accuracy(llm):
     lab = {i: float(y) for i, y in labels if i not in held}
     base = math.log((sum(lab.values()) + 1) / (len(lab) - sum(lab.values()) + 1))
     at = {i: (h, p if h is not None else None) for i, h, p in sites}
-    rate, host, path = brute_rates([(*at[i], lab.get(i), got[i].evidence + base) for i, _ in docs])
+    rows = {i: (*at[i], lab.get(i), got[i].evidence + base) for i, _ in docs}
+    rates = brute_rates(list(rows.values()))
     for i, _ in docs:
-        h, p = at[i]
-        hr = host.get(h, rate)
+        hr, pr = rates(rows[i])
         assert math.isclose(got[i].host_rate, hr, abs_tol=1e-6)
-        assert math.isclose(got[i].path_rate, path.get((h, p), hr), abs_tol=1e-6)
+        assert math.isclose(got[i].path_rate, pr, abs_tol=1e-6)
         z = got[i].evidence + math.log(got[i].path_rate / (1 - got[i].path_rate))
         assert math.isclose(got[i].score, 1 / (1 + math.exp(-z)), abs_tol=1e-6)
     right = sum((got[i].score >= 0.5) == truth[i] for i in held)
@@ -98,6 +109,17 @@ def test_sparse_sites_shrink(llm):
     assert 0.2 < got[i].host_rate < 0.95  # one bad page does not make a bad host
 
 
+def test_own_label_does_not_count_for_itself(llm):
+    docs, labels, sites, _ = make(2, 300)
+    for i in (10_001, 10_002):  # the same text, alone on its site, once good and once bad
+        docs.append((i, docs[0][1]))
+        labels.append((i, i % 2))
+        sites.append((i, f"alone{i}", "x"))
+    got = {r.doc_id: r for r in C.classify(*frames(llm, docs, labels, sites)).collect()}
+    a, b = got[10_001], got[10_002]
+    assert abs(a.path_rate - b.path_rate) < 0.01 and a.path_rate <= b.path_rate  # only the rest of the corpus differs
+
+
 def test_odd_rows_and_empty_tables(llm):
     docs = [(1, None), (1, ""), (2, "a b c"), (None, "x"), (3, "word " * 100_000)]
     labels = [(1, 1), (1, 0), (2, None), (None, 1), (3, 0)]
