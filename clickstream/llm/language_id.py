@@ -36,12 +36,13 @@ MARK = "\x02"
 BACKOFF = 0.5
 #: Added to every count.
 SMOOTH = 0.2
-#: Longer runs of letters are no words of any language and do not vote.
+#: Longer runs of letters are not stored as words; they vote by their n-grams, over the whole run.
 LONGEST = 64
 #: Words whose evidence is counted in full; beyond that the score's evidence is their share of this many.
 FULL_WORDS = 20
 UNDETERMINED = "und"
 MEMORY_WORDS = 400_000
+MEMORY_LETTERS = 1 << 23
 SCAN_CHARS = 1 << 21
 
 
@@ -54,9 +55,9 @@ class LanguageModel(NamedTuple):
     shared: dict[int, list[float]] = {}
 
 
-def grams_of(word: str, n: int) -> list[str]:
+def grams_of(word: str, n: int) -> Iterator[str]:
     padded = MARK + word + MARK
-    return [padded[i:i + n] for i in range(len(padded) - n + 1)]
+    return (padded[i:i + n] for i in range(len(padded) - n + 1))
 
 
 # ------------------------------------------------------------------ fit
@@ -87,10 +88,9 @@ def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", t
             for lang, seen in words.items():
                 grams: Counter = Counter()
                 for w, c in seen.items():
-                    if len(w) <= LONGEST:
-                        for n in ORDERS:
-                            for g in grams_of(w, n):
-                                grams[g] += c
+                    for n in ORDERS:
+                        for g in grams_of(w, n):
+                            grams[g] += c
                 rows += [(lang, 0, w, c) for w, c in seen.items() if len(w) <= LONGEST]
                 rows += [(lang, len(g), g, c) for g, c in grams.items()]
             cols = list(zip(*rows)) or [[], [], [], []]
@@ -101,9 +101,10 @@ def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", t
               .groupBy("lang", "kind", "term").agg(F.sum("n").alias("n")))
     counts = materialize(counts, "language-counts")
     totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("terms"))
-    # one row per language and order; the most frequent languages
-    rows = totals.orderBy(F.desc("n"), "lang", "kind").limit(max_languages * (1 + len(ORDERS))).collect()
-    languages = tuple(sorted({r.lang for r in rows if r.kind == 0}))
+    # the languages with the most letters; all orders of each
+    most = totals.where("kind = 1").orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    languages = tuple(sorted(r.lang for r in most))
+    rows = totals.where(F.col("lang").isin(list(languages) or [""])).collect()  # a row per language and order
     size = {(r.lang, r.kind): (r.n, r.terms) for r in rows}
 
     known = F.col("lang").isin(list(languages) or [""])
@@ -132,16 +133,20 @@ def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", t
 
 def word_vector(word: str, model: LanguageModel) -> list[float]:
     """Log probability of a word in each language."""
-    if len(word) > LONGEST:
-        return model.unseen
     none = [0.0] * len(model.languages)
     got = model.words.get(word)
     if got is not None:
         return [x + y for x, y in zip(got, model.shared.get(0, none))]
     for step, n in enumerate(ORDERS, 1):
+        shared = model.shared.get(n, none)
+        if len(word) > LONGEST:  # each known n-gram once, with its number
+            seen = Counter(g for g in grams_of(word, n) if g in model.grams)
+            if seen:
+                total = np.array(list(seen.values())) @ np.array([model.grams[g] for g in seen]) / seen.total()
+                return (total + np.array(shared) - BACKOFF * step).tolist()
+            continue
         known = [g for g in map(model.grams.get, grams_of(word, n)) if g is not None]
         if known:
-            shared = model.shared.get(n, none)
             return [sum(x) / len(known) + y - BACKOFF * step for x, y in zip(zip(*known), shared)]
     return model.unseen
 
@@ -155,6 +160,7 @@ class Scorer:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.letters = 0
         self.vectors = np.zeros((1 << 14, max(1, len(self.model.languages))))
 
     def totals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -165,10 +171,11 @@ class Scorer:
         cut = [ws if any(map(str.isalpha, ws)) or any(c.isalpha() for w in ws for c in w) else [] for ws in cut]
         every = set().union(*cut) if cut else set()
         new = every - self.number.keys()
-        if len(self.number) + len(new) > MEMORY_WORDS:
+        if len(self.number) + len(new) > MEMORY_WORDS or self.letters > MEMORY_LETTERS:
             self._forget()
             new = every
         if new:
+            self.letters += sum(map(len, new))
             n = len(self.number)
             while n + len(new) > len(self.vectors):
                 self.vectors = np.concatenate((self.vectors, np.zeros_like(self.vectors)))

@@ -64,7 +64,8 @@ def test_backoff_reaches_shorter_grams(llm):
     assert L.word_vector("the", model) == [-1.0, -5.0]
     assert L.word_vector("zhez", model) == [-2.0 - 4 * L.BACKOFF, -3.0 - 4 * L.BACKOFF]
     assert L.word_vector("zxz", model) == [-9.0 - 5 * L.BACKOFF, -1.0 - 5 * L.BACKOFF]
-    assert L.word_vector("qq", model) == [0.0, 0.0] == L.word_vector("x" * 65, model)
+    assert L.word_vector("qq", model) == [0.0, 0.0] == L.word_vector("q" * 65, model)
+    assert L.word_vector("x" * 65, model) == L.word_vector("x" * 5, model) == [-9.0 - 5 * L.BACKOFF, -1.0 - 5 * L.BACKOFF]
 
 
 def test_totals_match_plain_sums():
@@ -102,3 +103,23 @@ def test_language_with_one_short_document_takes_no_other(llm):
         got = (docs.where(held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.col("lang") != "xx"))
                .select("lang", L.predict(F.col("text"), model).alias("g")).collect())
         assert len(got) > 40 and sum(r.g.lang_pred == r.lang for r in got) >= 0.97 * len(got)
+
+
+def test_long_runs_and_many_languages(llm):
+    """Runs beyond the stored words vote by n-grams; a bound on languages keeps whole languages."""
+    rnd = random.Random(12)
+    alphabets = {"aa": "abcdefgh", "bb": "hijklmno", "cc": "opqrstuv"}
+    word = lambda x: "".join(rnd.choice(alphabets[x]) for _ in range(6))
+    docs = [(i, " ".join(word(x) for _ in range(40 if x != "cc" else 10)), x) for i, x in enumerate(["aa", "bb", "cc"] * 30)]
+    d = llm.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = L.fit(d)
+    runs = [(1, "".join(word("bb") for _ in range(200)), "bb"), (2, "".join(word("cc") for _ in range(20_000)), "cc"),
+            (3, "".join(word("aa") for _ in range(11)), "aa")]
+    got = llm.createDataFrame(runs, "doc_id long, text string, lang string").select("lang", L.predict(F.col("text"), model).alias("p")).collect()
+    assert all(r.p.lang_pred == r.lang and r.p.score > 0.5 for r in got)
+    few = L.fit(d, max_languages=2)
+    assert few.languages == ("aa", "bb")
+    assert all(len(v) == 2 for v in few.grams.values()) and {len(g) for g in few.grams} == {1, 2, 3, 4, 5} and 0 in few.shared
+    unspaced = [(i, "".join(word(x) for _ in range(60)), x) for i, x in enumerate(["aa", "bb"] * 20)]
+    alone = L.fit(llm.createDataFrame(unspaced, "doc_id long, text string, lang string"))
+    assert alone.languages == ("aa", "bb") and alone.grams and not alone.words
