@@ -9,28 +9,38 @@ base32, base62, base64; each in its usual order):
 * runs above and below the middle of the alphabet (Wald-Wolfowitz);
 * lag-one serial correlation of the characters' places in the alphabet.
 
-A token is plausible when none of the three rejects randomness at ``alpha`` / 3.  Plausible
-tokens then need evidence against text: the likelihood ratio of random characters of the
-token's encoding to a chain of text characters (letters without case given the letter before,
-changes between letters and digits), learned from the corpus's own words below 20 characters.
-Under text the chance of a ratio of x or more is at most 1 / x, so its inverse, times the
-number of encodings, is a p-value for every encoding and length.  Benjamini-Hochberg at
+A token is plausible when none of the three rejects randomness at ``alpha`` / 3.  Against
+text, each test gives plausible tokens a p-value of its own:
+
+* uniformity: the likelihood-ratio (G) form of chi-squared to uniform letters less that to
+  text's letters;
+* runs: changes between upper case, lower case, digits and symbols;
+* serial: association of each letter with the one before, on the corpus's own letter pairs.
+
+Each has the distribution it has in text of the token's encoding, length and number of letters
+(mean, deviation, skew), for several ways of writing text: one case or capitalised words, with few or many
+digits, with or without separators.  These are measured on strings drawn from a chain of the
+corpus's letter pairs, which all documents count.  The three p-values are combined by their
+normal scores, weighted by how far random tokens lie from text and by the measured
+correlations; the largest p over the ways of writing counts.  Benjamini-Hochberg at
 ``fdr`` within length bands, over the tokens of all documents, keeps the share of text among
 the reported tokens down however many tokens are tested; short bands do not spend the
 allowance of long ones.
 
-DataFrame functions only.  Texts are read once; what is shuffled afterwards are matches.
+DataFrame functions only; the driver draws a fixed number of strings from the at most 37 x 36
+pair counts.  Texts are read twice (spans, words); what is shuffled are matches and distinct words.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickstream.llm.common import bounded_fraction
-from clickstream.llm.native import let, normal_tail
+from clickstream.llm.native import far_tail, let, normal_tail
 from clickstream.session import materialize
 
 KINDS = ("assign", "access", "hex", "random")
@@ -53,8 +63,12 @@ TEXT_TURN = 0.15
 #: Lower ends of the length bands within which discoveries are controlled.
 LENGTH_BANDS = (20, 24, 32, 48, 96)
 _LOG_BINS = 60
-#: Encodings that a token's is chosen from (both cases of hex).
-ENCODINGS = 5
+#: Encodings, and the mean length of words, at most, in text without separators (abbreviations are short).
+ENCODINGS = (HEX, BASE32, BASE62, BASE64)
+WORD_LENGTH = 5.0
+#: The tests whose p-values are combined, and the strings drawn for each way of writing text.
+TESTS = ("uniform", "runs", "serial")
+DRAWN = 4000
 
 
 def _matches(text: Column, kind: str) -> Column:
@@ -165,93 +179,235 @@ def _serial(places: Column, n: Column, k: Column) -> Column:
 
 # ------------------------------------------------------------------ evidence against text
 
-def text_pairs(docs: DataFrame, text_col: str = "text", max_rows: int = 2000) -> dict[str, int]:
-    """Pairs of characters (a blank before the first) in words below 20 characters, of about ``max_rows`` texts.
+def text_pairs(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
+    """Pairs of characters (a blank before the first) in the words below 20 characters of all documents.
 
     Longer runs are what is tested, so no token is its own null.
     """
-    mine = docs.select(F.col(text_col).alias("t"))
-    found = F.regexp_extract_all(F.lower("t"), F.lit("[a-z0-9]+"), F.lit(0))
-    words = (mine.where(bounded_fraction(mine, F.col("t"), max_rows)).select(F.explode(found).alias("w"))
-             .where(F.char_length("w") < LENGTH_BANDS[0]).groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    found = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit("[a-z0-9]+"), F.lit(0))
+    words = (docs.select(F.explode(found).alias("w")).where(F.char_length("w") < LENGTH_BANDS[0])
+             .groupBy("w").agg(F.count(F.lit(1)).alias("n")))
     marked = F.concat(F.lit(" "), "w")
     pairs = F.transform(F.sequence(F.lit(1), F.char_length("w")), lambda i: F.substr(marked, i, F.lit(2)))
     got = words.select("n", F.explode(pairs).alias("pair")).groupBy("pair").agg(F.sum("n").alias("n"))
     return {r.pair: r.n for r in got.collect()}  # at most 37 x 36 rows
 
 
-def _ratios(pairs: dict[str, int], alphabet: str) -> list[float]:
-    """Log ratio of random to text of each character (26 letters, 10 digits, symbol) after each.
-
-    At the start and after a symbol only which letter it is counts; symbols and which digit it is count nothing.
+class TextChain:
+    """Text as a chain: letters given the letter before, changes between letters and digits, ends of words."""
+
+    def __init__(self, pairs: dict[str, int]):
+        single = Counter()
+        for pair, n in pairs.items():
+            single[pair[1]] += n
+        total, fixed = sum(single[c] for c in LETTERS), sum(TEXT_LETTERS.values())
+        prior = np.array([TEXT_LETTERS[c] / fixed for c in LETTERS])
+        alone = (np.array([single[c] for c in LETTERS]) + 200 * prior) / (total + 200)
+        rows = np.array([[pairs.get(a + c, 0) for c in LETTERS] for a in LETTERS], dtype=float)
+        after = (rows + 50 * alone) / (rows.sum(1, keepdims=True) + 50)
+        #: chances of a letter, and of a letter after each letter, flattened: names differ from the corpus
+        self.alone = 0.8 * alone + 0.2 * prior
+        self.after = 0.6 * after + 0.2 * alone + 0.2 * prior
+        words = sum(n for pair, n in pairs.items() if pair[0] == " ")
+        self.end = 1 / min(WORD_LENGTH, max(1.0, sum(pairs.values()) / words if words else WORD_LENGTH))
+
+        def turn(before: str, to: str) -> float:
+            every = sum(n for pair, n in pairs.items() if pair[0] in before)
+            return min(0.5, sum(n for pair, n in pairs.items() if pair[0] in before and pair[1] in to) / max(1, every))
+
+        self.to_digit, self.to_letter = turn(LETTERS, DIGITS), turn(DIGITS, LETTERS)
+
+    def within(self, alphabet: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The alphabet's letters, and their chances alone and after each letter, among themselves."""
+        here = np.array([c in alphabet.lower() for c in LETTERS])
+        return here, *(np.where(here, x, 0) / np.where(here, x, 0).sum(-1, keepdims=True) for x in (self.alone, self.after))
+
+    def scores(self, alphabet: str) -> tuple[np.ndarray, np.ndarray]:
+        """Log ratio to uniform of each letter, and of each pair to its letters (0 outside the alphabet)."""
+        here, alone, after = self.within(alphabet)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            letter = np.where(here, np.log(alone * here.sum()), 0.0)
+            pair = np.where(here[:, None] & here, np.log(after / alone), 0.0)
+        return letter, pair
+
+    def draw(self, alphabet: str, size: int, floor: float, capital: bool, parted: bool, m: int = DRAWN):
+        """``m`` strings as (place of the character, its class): 0-25 letters, 26 digits, 27 symbols."""
+        rnd = np.random.default_rng(5)
+        _, alone, after = self.within(alphabet)
+        table = np.cumsum(np.vstack([after, alone, alone]), axis=1)  # rows: after a letter, a digit, a symbol or word's end
+        to_digit, to_letter = max(floor, self.to_digit), max(floor, self.to_letter)
+        out, kind = np.empty((m, size), int), np.empty((m, size), int)
+        last = np.full(m, 27)
+        for i in range(size):
+            u, v, w = rnd.random((3, m))
+            ends = (last != 27) & (w < self.end) if i else np.zeros(m, bool)
+            start = ends | (last == 27)
+            row = np.where(start, 27, last)
+            letter = np.minimum((table[row] < u[:, None] * table[row][:, -1:]).sum(1), 25)
+            digit = np.where(last == 26, v >= to_letter, v < to_digit)
+            got = np.where(digit, 26, letter)
+            if parted:
+                got = np.where(ends, 27, got)
+            out[:, i] = got
+            kind[:, i] = np.where(got < 26, np.where(start & capital, 1, 0), got)
+            last = got
+        return out, kind
+
+
+def _measures(place: np.ndarray, kind: np.ndarray, letter: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and number of terms of each test for each drawn string."""
+    a, b = place[:, :-1], place[:, 1:]
+    both = (a < 26) & (b < 26)
+    sums = [np.where(place < 26, letter[np.minimum(place, 25)], 0).sum(1), (kind[:, 1:] != kind[:, :-1]).sum(1),
+            np.where(both, pair[np.minimum(a, 25), np.minimum(b, 25)], 0).sum(1)]
+    counts = [(place < 26).sum(1), np.full(len(place), place.shape[1] - 1), both.sum(1)]
+    return np.stack(sums).astype(float), np.stack(counts).astype(float)
+
+
+def _random_means(alphabet: str, letter: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean term of each test for random characters, and its terms per character."""
+    here = np.array([c in alphabet.lower() for c in LETTERS])
+    k = len(alphabet)
+    groups = [sum(c in x for c in alphabet) for x in (LETTERS, LETTERS.upper(), DIGITS, "+/")]
+    share = 1 - sum(c in DIGITS + "+/" for c in alphabet) / k
+    return (np.array([letter[here].mean(), 1 - sum((g / k) ** 2 for g in groups), pair[np.ix_(here, here)].mean()]),
+            np.array([share, 1.0, share * share]))
+
+
+def _normal_score(x, skew):
+    """Normal score of a standardised value of a skewed distribution (Wilson-Hilferty); numpy."""
+    g = np.where(np.abs(skew) < 1e-3, 1e-3, skew)
+    return 6 / g * (np.cbrt(np.maximum(g * x / 2 + 1, 1e-6)) - 1) + g / 6
+
+
+def text_null(pairs: dict[str, int], tests: tuple[str, ...] = TESTS) -> list[dict]:
+    """Per (encoding, length band, way of writing): ``mean``, ``sd`` and ``skew`` of a term and ``weight`` of each test.
+
+    ``sd`` and ``skew`` are those of one term, so that n terms have ``sd * sqrt(n)`` and ``skew / sqrt(n)``.
+    The sign is such that a larger value is more random.  Tests left out weigh nothing.
     """
-    folded = alphabet.lower()
-    here = [c for c in LETTERS if c in folded]
-    n_letters, n_digits = sum(folded.count(c) for c in here), sum(c in folded for c in DIGITS)
-    digit = n_digits / (n_letters + n_digits)
-    single = Counter()
-    for pair, n in pairs.items():
-        single[pair[1]] += n
-    total, fixed = sum(single[c] for c in LETTERS), sum(TEXT_LETTERS.values())
-    prior = {c: TEXT_LETTERS[c] / fixed for c in LETTERS}
-    alone = {c: (single[c] + 200 * prior[c]) / (total + 200) for c in LETTERS}
-
-    def turn(before: str, to: str) -> float:
-        all_after = sum(n for pair, n in pairs.items() if pair[0] in before)
-        return min(0.5, max(TEXT_TURN, sum(n for pair, n in pairs.items() if pair[0] in before and pair[1] in to) / max(1, all_after)))
-
-    to_digit, to_letter = turn(LETTERS, DIGITS), turn(DIGITS, LETTERS)
-    out = []
-    for a in LETTERS + DIGITS + "+":
-        row = sum(pairs.get(a + c, 0) for c in LETTERS)
-        for c in LETTERS + DIGITS + "+":
-            which = 0.0
-            if c in here:
-                after = (pairs.get(a + c, 0) + 50 * alone[c]) / (row + 50) if a in LETTERS else alone[c]
-                which = -math.log(len(here) * (0.6 * after + 0.2 * alone[c] + 0.2 * prior[c]))
-            if c == "+" or a == "+":
-                out.append(which)
-            elif a in LETTERS:
-                out.append(math.log(digit / to_digit) if c in DIGITS else which + math.log((1 - digit) / (1 - to_digit)))
-            else:
-                out.append(math.log(digit / (1 - to_letter)) if c in DIGITS else which + math.log((1 - digit) / to_letter))
+    chain, out = TextChain(pairs), []
+    sign = np.array([-1.0, 1.0, -1.0])
+    used = np.array([t in tests for t in TESTS])
+    for enc, alphabet in enumerate(ENCODINGS):
+        letter, pair = chain.scores(alphabet)
+        cased, symbols = alphabet in (BASE62, BASE64), alphabet == BASE64
+        far, per_char = _random_means(alphabet, letter, pair)
+        for floor in (0.0, TEXT_TURN):
+            for capital in (False, True)[:1 + cased]:
+                for parted in (False, True)[:1 + symbols]:
+                    place, kind = chain.draw(alphabet, LENGTH_BANDS[-1], floor, capital, parted)
+                    for band, n in enumerate(LENGTH_BANDS):
+                        sums, counts = _measures(place[:, :n], kind[:, :n], letter, pair)
+                        mean = sums.sum(1) / np.maximum(counts.sum(1), 1)
+                        root = np.sqrt(np.maximum(counts, 1))
+                        dev = sign[:, None] * (sums - mean[:, None] * counts) / root
+                        sd = np.maximum(dev.std(1), 0.2)
+                        typical = np.sqrt(np.maximum(per_char * n, 1))
+                        skew = np.clip(((dev / sd[:, None]) ** 3).mean(1), -2, 2) * typical
+                        z = _normal_score(dev / sd[:, None], skew[:, None] / root)
+                        corr = np.cov(z)
+                        corr += np.diag(np.maximum(1 - np.diag(corr), 0))  # a test that hardly varies still has a unit score
+                        shift = np.maximum(sign * (far - mean) * typical / sd, 0)
+                        keep = np.ix_(used, used)
+                        weight = np.zeros(3)
+                        weight[used] = np.maximum(np.linalg.solve(corr[keep], shift[used]), 0)
+                        size = math.sqrt(max(weight @ corr @ weight, 1e-12))
+                        at = float(weight @ z.mean(1)) / size
+                        out.append({"enc": enc, "band": band, "mean": mean.tolist(), "sd": sd.tolist(), "skew": skew.tolist(),
+                                    "weight": (weight / size).tolist(), "at": at, "sign": sign.tolist()})
     return out
 
 
-def evidence(token: Column, pairs: dict[str, int]) -> Column:
-    """Log likelihood ratio of random characters of the token's encoding to text."""
-    order, n = LETTERS + DIGITS, len(LETTERS + DIGITS) + 1
-    tables = {a: F.array(*[F.lit(x) for x in _ratios(pairs, a)]) for a in (HEX, BASE32, BASE62)}
+def _sums(token: Column, chain: TextChain) -> Column:
+    """Struct of the sums and numbers of terms of the three tests (as arrays ``sum`` and ``n``) and the encoding ``enc``."""
+    size = 28
+    tables = {}
+    for alphabet in (HEX, BASE32, BASE62):  # base64 has the letters of base62
+        letter, pair = chain.scores(alphabet)
+        full = np.zeros((size, size))
+        full[:26, :26] = pair
+        tables[alphabet] = tuple(F.array(*[F.lit(float(v)) for v in t.ravel()]) for t in (np.append(letter, [0.0, 0.0]), full))
+
+    def split(x: Column) -> Column:
+        folded = F.translate(F.lower(x["t"]), DIGITS + "+/", "~" * 10 + "||")
+        kinds = F.translate(x["t"], LETTERS + LETTERS.upper() + DIGITS + "+/", "l" * 26 + "U" * 26 + "0" * 10 + "++")
+        order = F.lit(LETTERS + "~|")
+        return F.struct(F.transform(F.split(folded, ""), lambda c: F.instr(order, c) - 1).alias("p"), F.split(kinds, "").alias("k"))
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
+
+    def of(alphabet: str, s: Column) -> Column:
+        letter, pair = tables[alphabet]
+        p, k, n = s["p"], s["k"], F.size(s["p"])
+        back = F.slice(p, F.lit(1), n - 1)
+        ahead = F.slice(p, F.lit(2), n - 1)
+        changes = F.zip_with(F.slice(k, F.lit(1), n - 1), F.slice(k, F.lit(2), n - 1),
+                             lambda a, b: F.when(a == b, F.lit(0.0)).otherwise(F.lit(1.0)))
+        both = F.zip_with(back, ahead, lambda a, b: F.when((a < 26) & (b < 26), F.lit(1.0)).otherwise(F.lit(0.0)))
+        return F.struct(
+            F.array(total(F.transform(p, lambda c: F.get(letter, c))), total(changes),
+                    total(F.zip_with(back, ahead, lambda a, b: F.get(pair, a * size + b)))).alias("sum"),
+            F.array(F.size(F.filter(p, lambda c: c < 26)).cast("double"), (n - 1).cast("double"), total(both)).alias("n"))
+
+    def rest(x: Column) -> Column:
+        return let(split(x), lambda s: F.when(F.lower(x["a"]) == HEX, of(HEX, s)).when(x["a"] == BASE32, of(BASE32, s))
+                   .otherwise(of(BASE62, s)))
+
+    enc = lambda a: (F.when(F.lower(a) == HEX, 0).when(a == BASE32, 1).when(a == BASE62, 2).otherwise(3))
+    return let(_core(token), lambda x: F.struct(rest(x).alias("s"), enc(x["a"]).alias("enc")))
+
+
+def _p_value(s: Column, way: Column) -> Column:
+    """p of a token's sums under one way of writing text."""
+    score = F.lit(0.0)
+    for i in range(len(TESTS)):
+        n = F.get(s["n"], F.lit(i))
+        part = lambda name: F.get(way[name], F.lit(i))  # noqa: E731, B023
+        x = part("sign") * (F.get(s["sum"], F.lit(i)) - part("mean") * n) / (part("sd") * F.sqrt(n))
+        skew = part("skew") / F.sqrt(n)
+        g = F.when(F.abs(skew) < 1e-3, F.lit(1e-3)).otherwise(skew)
+        z = F.lit(6.0) / g * (F.cbrt(F.greatest(g * x / 2 + 1, F.lit(1e-6))) - 1) + g / 6
+        score = score + F.when(n > 0, part("weight") * z).otherwise(F.lit(0.0))
+    return far_tail(score - way["at"])
 
-    def places(x: Column) -> Column:  # 0 to 35, a symbol is 36
-        return F.transform(F.split(F.lower(x["t"]), ""), lambda c: F.pmod(F.instr(F.lit(order), c) - 1, F.lit(n)))
 
-    def total(x: Column, table: Column) -> Column:
-        return let(places(x), lambda p: F.aggregate(
-            F.zip_with(F.concat(F.array(F.lit(n - 1)), F.slice(p, F.lit(1), F.size(p) - 1)), p,
-                       lambda a, c: F.get(table, a * n + c)), F.lit(0.0), lambda s, v: s + v))
+def _band(n: Column) -> Column:
+    return sum((F.when(n >= low, 1).otherwise(0) for low in LENGTH_BANDS[1:]), F.lit(0))
 
-    return let(_core(token), lambda x: F.when(F.lower(x["a"]) == HEX, total(x, tables[HEX]))
-               .when(x["a"] == BASE32, total(x, tables[BASE32])).otherwise(total(x, tables[BASE62])))
 
+_NULL = ("array<struct<enc:int,band:int,mean:array<double>,sd:array<double>,skew:array<double>,"
+         "weight:array<double>,at:double,sign:array<double>>>")
 
-def _band(n: Column) -> Column:
-    return sum((F.when(n >= low, 1).otherwise(0) for low in LENGTH_BANDS[1:]), F.lit(0))
+
+def text_p(tokens: DataFrame, pairs: dict[str, int], tests: tuple[str, ...] = TESTS) -> DataFrame:
+    """``tokens`` (column ``m``) with ``band`` (length) and ``p``: the combined p-value of the tests against text.
+
+    The null is a constant of at most encodings x bands rows, held in the plan.
+    """
+    ways = F.from_json(F.lit(json.dumps(text_null(pairs, tests))), _NULL)
+    marked = tokens.withColumn("__s", _sums(F.col("m"), TextChain(pairs))).withColumn(
+        "band", _band(F.get(F.col("__s.s.n"), F.lit(1)) + 1))
+    mine = let(F.struct("__s", "band"), lambda x: F.array_max(F.transform(
+        F.filter(ways, lambda w: (w["enc"] == x["__s"]["enc"]) & (w["band"] == x["band"])),
+        lambda w: _p_value(x["__s"]["s"], w))))
+    return marked.withColumn("p", mine).drop("__s")
 
 
-def accept(candidates: DataFrame, pairs: dict[str, int], fdr: float = 0.01, alpha: float = 0.002) -> DataFrame:
+def accept(candidates: DataFrame, pairs: dict[str, int], fdr: float = 0.01, alpha: float = 0.002,
+           tests: tuple[str, ...] = TESTS) -> DataFrame:
     """The ``random`` candidates that pass the battery and the false-discovery control.
 
-    ``pairs``: see :func:`text_pairs`.  p-values are rounded up to powers of 1/sqrt(2), so the control needs only a count per
-    (length band, power): at most bands x ``_LOG_BINS`` rows, whatever the input.
+    ``pairs``: see :func:`text_pairs`; ``tests``: those whose p-values are combined.  p-values are rounded up to powers of
+    1/sqrt(2), so the control needs only a count per (length band, power): at most bands x ``_LOG_BINS`` rows, whatever the input.
     """
     limit = alpha / 3
     plausible = ((normal_tail(F.col("b.chi")) >= limit) & (normal_tail(F.col("b.runs")) >= limit / 2)
                  & (normal_tail(F.abs(F.col("b.serial"))) >= limit / 2))
-    p = F.lit(float(ENCODINGS)) * F.exp(-evidence(F.col("m"), pairs))
-    power = F.greatest(F.lit(0), F.least(F.lit(_LOG_BINS), F.floor(-2 * F.log2(F.greatest(p, F.lit(1e-12)))))).cast("int")
-    tested = (candidates.withColumn("b", battery(F.col("m"))).withColumn("band", _band(F.col("b.n")))
-              .withColumn("plausible", plausible).withColumn("power", F.when(plausible, power).otherwise(F.lit(0))))
+    power = F.greatest(F.lit(0), F.least(F.lit(_LOG_BINS), F.floor(-2 * F.log2(F.greatest("p", F.lit(1e-12)))))).cast("int")
+    tested = (text_p(candidates, pairs, tests).withColumn("b", battery(F.col("m"))).withColumn("plausible", plausible)
+              .withColumn("power", F.when(F.col("plausible"), power).otherwise(F.lit(0))))
     per = tested.groupBy("band", "power").agg(F.count(F.lit(1)).alias("c"))
     down = Window.partitionBy("band").orderBy(F.desc("power"))
     cut = (per.withColumn("above", F.sum("c").over(down)).withColumn("all", F.sum("c").over(Window.partitionBy("band")))

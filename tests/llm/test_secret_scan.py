@@ -128,3 +128,45 @@ def test_recall_by_encoding_and_length(llm):
     assert not low, low
     wrong = [i for i in found if i < 10_000]
     assert len(wrong) <= 0.01 * len(found) + 3, len(wrong)
+
+
+def _prose_pairs():
+    pairs = {}
+    for w in "the river went down to an old mill where people had been waiting for their bread since early morning".split():
+        for p in zip(" " + w, w):
+            pairs["".join(p)] = pairs.get("".join(p), 0) + 100
+    return pairs
+
+
+def test_every_test_of_the_battery_has_a_say(llm):
+    rnd = random.Random(6)
+    words = "river went down old mill where people had been waiting their bread since early morning".split()
+    rows = [("".join(rnd.choice(a) for _ in range(n)), True) for a in (S.HEX.upper(), S.BASE32, S.BASE62, S.BASE64)
+            for n in (20, 24, 32, 48) for _ in range(20)]
+    rows += [("".join(rnd.choice([str.title, str.upper])(rnd.choice(words)) for _ in range(6))[:48], False) for _ in range(600)]
+    tokens = llm.createDataFrame(rows, "m string, secret boolean").where("length(m) >= 20").cache()
+    found = {t: {r.m for r in S.accept(tokens, _prose_pairs(), tests=t).where("secret").collect()}
+             for t in (S.TESTS, S.TESTS[1:], S.TESTS[::2], S.TESTS[:2])}
+    assert len(found[S.TESTS]) >= 0.85 * 320
+    for left in (S.TESTS[1:], S.TESTS[::2], S.TESTS[:2]):
+        assert found[left] != found[S.TESTS] and len(found[left]) <= len(found[S.TESTS]), left
+    assert S.accept(tokens, _prose_pairs(), tests=()).count() == 0  # without the battery nothing is reported
+
+
+def test_p_values_hold_in_text(llm):
+    import numpy as np
+    pairs = _prose_pairs()
+    chain = S.TextChain(pairs)
+    rows = []
+    for alphabet in S.ENCODINGS:
+        for n in (20, 40):
+            place, kind = chain.draw(alphabet, n, S.TEXT_TURN, alphabet in (S.BASE62, S.BASE64), False, m=400)
+            digit = np.random.default_rng(1).integers(2 if alphabet == S.BASE32 else 0, 8, place.shape)
+            up = alphabet == S.BASE32
+            for p, k, d in zip(place, kind, digit):
+                rows.append(("".join(str(e) if x == 26 else (S.LETTERS[x].upper() if c or up else S.LETTERS[x])
+                                     for x, c, e in zip(p, k, d)),))
+    got = S.text_p(llm.createDataFrame(rows, "m string"), pairs).agg(
+        *[F.avg((F.col("p") <= q).cast("double")).alias(str(q)) for q in (0.1, 0.01, 0.001)]).first()
+    for q in (0.1, 0.01, 0.001):
+        assert got[str(q)] <= 1.5 * q + 0.001, (q, got)
