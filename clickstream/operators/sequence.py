@@ -30,6 +30,7 @@ a match.  Only the candidate intervals reach the greedy selection.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
 import numpy as np
@@ -196,42 +197,103 @@ def _variant_exits(table: pa.Table, chunk_us: int) -> pa.Table:
     return out
 
 
-def _chain(table: pa.Table) -> pa.Table:
-    """Walk a run of chunks in order and fix each chunk's true entry state.
+def _items(table: pa.Table, group: list[str]):
+    """Per group ``(first row, items)``; an item is ``(row, end row, variant starts, exits, exit before -> variant)``.
 
-    Rows are the union of pass-1 runs (``kind = 0``: variant range -> exit) and
-    the variant map (``kind = 1``: an exit of chunk ``j - 1`` -> the variant it
-    selects in chunk ``j``), sorted by (key, run, chunk, kind).  A run starts at a
-    chunk without straddlers (or after a gap), whose entry state does not matter.
+    Rows are ``kind = 0``: variant range -> exit, and ``kind = 1``: an exit of the item before
+    -> the variant it selects, sorted by (group, item, kind, variant).
     """
-    kind, gcs, plo, phi, xu, xq = (table[c].to_pylist() for c in ("kind", "_gc", "p_lo", "p_hi", "x_us", "x_seq"))
-    bounds = group_starts(table, ["_gk", "_run"]).tolist() + [table.num_rows]
-    at, in_us, in_seq = [], [], []
+    at, kind, plo, xu, xq = (table[c].to_pylist() for c in ("_at", "kind", "p_lo", "x_us", "x_seq"))
+    bounds = group_starts(table, group).tolist() + [table.num_rows]
     for a, b in zip(bounds[:-1], bounds[1:]):
-        prev_gc, exit_ = None, None
-        i = a
+        items, i = [], a
         while i < b:
-            gc, j = gcs[i], i
-            while j < b and gcs[j] == gc:
+            j, starts, exits, chosen = i, [], [], {}
+            while j < b and at[j] == at[i]:
+                x = None if xu[j] == _NONE else (xu[j], xq[j])
+                if kind[j] == 0:
+                    starts.append(plo[j])
+                    exits.append(x)
+                else:
+                    chosen[x] = plo[j]
                 j += 1
-            own = [r for r in range(i, j) if kind[r] == 0]
-            pmap = {(xu[r], xq[r]): plo[r] for r in range(i, j) if kind[r] == 1}
-            if own:
-                entry = exit_ if prev_gc == gc - 1 else None
-                p = pmap.get(entry, 0) if entry is not None else 0
-                at.append(own[0])
-                in_us.append(_NONE if entry is None else entry[0])
-                in_seq.append(_NONE if entry is None else entry[1])
-                r = next(r for r in own if plo[r] <= p <= phi[r])
-                exit_ = None if xu[r] == _NONE else (xu[r], xq[r])
-                prev_gc = gc
+            items.append((i, j, starts, exits, chosen))
             i = j
-    out = table.select(["_gk", "_gc"]).take(pa.array(at, pa.int64()))
-    for name, col in (("in_us", in_us), ("in_seq", in_seq)):
+        yield a, items
+
+
+def _exit(item: tuple, entry: tuple | None) -> tuple | None:
+    """An item's exit after the exit ``entry`` of the item before; without one nothing is blocked (variant 0)."""
+    _, _, starts, exits, chosen = item
+    return exits[bisect_right(starts, chosen.get(entry, 0)) - 1]
+
+
+def _compose(table: pa.Table) -> pa.Table:
+    """One item for each block of neighbours: variants of its first item -> exit of its last.
+
+    All exits still possible go through the block together; those that meet stay together.
+    """
+    kind, xu, xq = (table[c].to_pylist() for c in ("kind", "x_us", "x_seq"))
+    at, us, seq = [], [], []
+    for _, items in _items(table, ["_gk", "_run", "_block"]):
+        row, stop, _, exits, _ = items[0]
+        end = {x: x for x in exits}
+        for item in items[1:]:
+            step = {x: _exit(item, x) for x in set(end.values())}
+            end = {x: step[y] for x, y in end.items()}
+        for r in range(row, stop):  # the first item's variants with the block's exits, and what selects them
+            x = (xu[r], xq[r]) if kind[r] else end[exits[r - row]] or (_NONE, _NONE)
+            at.append(r)
+            us.append(int(x[0]))
+            seq.append(int(x[1]))
+    out = table.select(["_gk", "_run", "_block", "kind", "p_lo", "p_hi"]).take(pa.array(at, pa.int64()))
+    out = out.rename_columns(["_gk", "_run", "_at", "kind", "p_lo", "p_hi"])
+    return out.append_column("x_us", pa.array(us, pa.int64())).append_column("x_seq", pa.array(seq, pa.int64()))
+
+
+def _chain(table: pa.Table, group: list[str]) -> pa.Table:
+    """Walk the items of a group in order and fix each one's true entry, from the group's own (``in_us``, ``in_seq``)."""
+    at, us, seq = [], [], []
+    first = [table[c].to_pylist() for c in ("in_us", "in_seq")]
+    for a, items in _items(table, group):
+        entry = None if first[0][a] == _NONE else (first[0][a], first[1][a])
+        for item in items:
+            at.append(item[0])
+            us.append(_NONE if entry is None else entry[0])
+            seq.append(_NONE if entry is None else entry[1])
+            entry = _exit(item, entry)
+    out = table.select(["_gk", "_run", "_at"]).take(pa.array(at, pa.int64()))
+    for name, col in (("in_us", us), ("in_seq", seq)):
         out = out.append_column(name, pa.array(col, pa.int64()))
     return out
 
 
+def _entries(items: DataFrame, longest: int, fan: int) -> DataFrame:
+    """``(_gk, _run, _at, in_us, in_seq)``: the entry of every item, composed in blocks of ``fan``, level by level.
+
+    Up: blocks of neighbours become items of the next level, until a run has at most ``fan``.  Down: the entry of
+    a block goes through its items.  A task holds ``fan`` items of a run at a time, however long the run is.
+    """
+    longs = lambda *names: [T.StructField(n, T.LongType()) for n in names]
+    key = [T.StructField("_gk", T.StringType())]
+    found = T.StructType(key + longs("_run", "_at", "in_us", "in_seq"))
+    shape = T.StructType(key + longs("_run", "_at", "kind", "p_lo", "p_hi", "x_us", "x_seq"))
+    block, order = ["_gk", "_run", "_block"], ["_at", "kind", "p_lo"]
+    levels = []
+    while longest > fan:
+        items = materialize(items, "greedy-level").withColumn("_block", floor_div(F.col("_at"), fan))
+        levels.append(items)
+        items = scan_sorted_groups(items, block, order, _compose, shape)
+        longest = -(-longest // fan)
+    none = F.lit(int(_NONE))
+    out = scan_sorted_groups(items.withColumn("in_us", none).withColumn("in_seq", none), ["_gk", "_run"], order,
+                             lambda t: _chain(t, ["_gk", "_run"]), found)
+    for items in reversed(levels):
+        own = items.join(out.withColumnRenamed("_at", "_block"), block)
+        out = scan_sorted_groups(own, block, order, lambda t: _chain(t, block), found)
+    return out
+
+
 def _final_greedy(table: pa.Table) -> pa.Table:
     """Pass 3 over (key, chunk) groups: the greedy choice from the known entry state."""
     su, sq, eu, eq, iu, iq = (table[c].to_pylist() for c in ("s_us", "s_seq", "e_us", "e_seq", "in_us", "in_seq"))
@@ -246,7 +308,7 @@ def _final_greedy(table: pa.Table) -> pa.Table:
     return table.filter(pa.array(keep, pa.bool_()))
 
 
-def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None) -> DataFrame:
+def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None, fan: int = 256) -> DataFrame:
     """Keep the intervals the skip-past-last-event strategy keeps.
 
     ``iv`` has ``keys`` plus flat ``s_us, s_seq, e_us, e_seq`` (start and end
@@ -256,12 +318,14 @@ def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None) -> DataFrame:
 
     Distributed in three steps so no task holds more than one time chunk of a
     key: (1) per (key, chunk of ends), the exit state for every entry state;
-    (2) per key and run of chunks that intervals tie together, a walk over the
-    chunks' summaries fixes each chunk's entry; (3) per (key, chunk), the choice
-    from that entry.
+    (2) per key and run of chunks that intervals tie together, the chunks' maps
+    are composed in blocks of ``fan`` neighbours (:func:`_entries`), which fixes
+    each chunk's entry; (3) per (key, chunk), the choice from that entry.
     """
     keys = _keys(keys)
     chunk_us = _chunk_us(span_us, chunk)
+    if fan < 2:
+        raise ValueError("fan must be at least 2")
     # one text key that is never NULL: groups and joins treat NULL keys like others
     key = F.to_json(F.struct(*keys)) if keys else F.lit("")
     base = iv.withColumn("_gc", floor_div(F.col("e_us"), chunk_us)).withColumn("_gk", key)
@@ -296,16 +360,18 @@ def greedy_select(iv: DataFrame, keys, span_us: int, chunk=None) -> DataFrame:
             .select(*group, F.lit(1).alias("kind"), F.col("p").cast("long").alias("p_lo"),
                     F.lit(int(_NONE)).alias("p_hi"), F.col("pu").alias("x_us"), F.col("pq").alias("x_seq")))
 
-    # runs of chunks: a chunk without straddlers (one variant) starts a new one; one row per chunk here
+    # runs of chunks, named by their first: a chunk without straddlers (one variant) starts a new one; one row per chunk here
     chunks = runs.groupBy(*group).agg(F.max("p_hi").alias("top"))
     by_key = Window.partitionBy("_gk").orderBy("_gc")
     cut = (F.col("top") == 0) | F.coalesce(F.lag("_gc").over(by_key) != F.col("_gc") - 1, F.lit(True))
-    chunks = (chunks.withColumn("cut", cut.cast("long"))
-              .select(*group, F.sum("cut").over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias("_run")))
-    summary = (runs.select(*group, F.lit(0).alias("kind"), "p_lo", "p_hi", "x_us", "x_seq").unionByName(pmap)
-               .join(chunks, group))
-    entries = scan_sorted_groups(summary, ["_gk", "_run"], ["_gc", "kind"], _chain,
-                                 T.StructType(kfields + longs("in_us", "in_seq")))
+    chunks = (chunks.withColumn("first", F.when(cut, F.col("_gc")))
+              .select(*group, F.max("first").over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias("_run")))
+    longest = chunks.agg(F.max(F.col("_gc") - F.col("_run") + 1)).first()[0] or 0
+    summary = (runs.select(*group, F.lit(0).cast("long").alias("kind"), "p_lo", "p_hi", "x_us", "x_seq")
+               .unionByName(pmap.withColumn("kind", F.col("kind").cast("long"))).join(chunks, group)
+               .select("_gk", "_run", (F.col("_gc") - F.col("_run")).alias("_at"), "kind", "p_lo", "p_hi", "x_us", "x_seq"))
+    entries = _entries(summary, longest, fan).select(
+        "_gk", (F.col("_run") + F.col("_at")).alias("_gc"), "in_us", "in_seq")
 
     joined = base.join(entries, group, "left").fillna(int(_NONE), ["in_us", "in_seq"]).select(
         *base.columns, "in_us", "in_seq")

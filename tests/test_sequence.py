@@ -204,3 +204,31 @@ def test_greedy_select_tolerates_shared_starts(spark):
             last = (e, eq)
     got = sorted((r.s_us, r.s_seq, r.e_us, r.e_seq) for r in greedy_select(df, "k", 30_000_000, chunk=35).collect())
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("fan", [2, 5])
+def test_greedy_select_spreads_a_key_whose_intervals_tie_all_chunks(spark, fan, monkeypatch):
+    from clickstream.operators import sequence as Q
+    rnd = random.Random(3)
+    # a chunk is 20 s; every chunk's start lies inside some interval
+    rows = [(1, s * 1_000_000, i, (s + rnd.randrange(9, 20)) * 1_000_000, 1000 + i)
+            for i, s in enumerate(x for x in range(0, 1400, 2) for _ in range(rnd.randint(1, 2)))]
+    rows += [(2, s * 1_000_000, s, (s + 3) * 1_000_000, s) for s in range(0, 300, 7)]
+    df = spark.createDataFrame(rows, "k long, s_us long, s_seq long, e_us long, e_seq long")
+    want, last = [], {}
+    for k, s, sq, e, eq in sorted(rows, key=lambda r: (r[3], r[4], r[1], r[2])):
+        if last.get(k) is None or (s, sq) > last[k]:
+            want.append((k, s, sq))
+            last[k] = (e, eq)
+    levels, write = [], Q.materialize
+
+    def seen(frame, name):
+        out = write(frame, name)
+        if name == "greedy-level":
+            levels.append(out.groupBy("_gk", "_run").agg(F.countDistinct("_at").alias("n")).agg(F.max("n")).first()[0])
+        return out
+
+    monkeypatch.setattr(Q, "materialize", seen)
+    got = sorted((r.k, r.s_us, r.s_seq) for r in Q.greedy_select(df, "k", 20_000_000, chunk=20, fan=fan).collect())
+    assert got == sorted(want)
+    assert levels[0] >= 65 and all(b == -(-a // fan) for a, b in zip(levels, levels[1:])) and -(-levels[-1] // fan) <= fan
