@@ -1,5 +1,6 @@
 import os
 import random
+import time
 import uuid
 import zlib
 
@@ -119,3 +120,97 @@ def test_added_tokens_get_the_ids_of_the_default_call(llm):
     got = sorted(tuple(r) for r in TF.read_token_files(llm, path).collect())
     starts = np.cumsum([0, *map(len, want)]).tolist()
     assert got == [(i, starts[i], len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(want)]
+
+
+ODD = ["'", "'", "s", "t", "re", "ve", "ll", "m", "d", " ", " ", "  ", "\n", "\t", " ", "　", " ", "\x1c", "\x85", "a", "Z", "é", "漢",
+       "字", "1", "٣", "½", "!", "_", "😀", "́", "𝒳", "﻿", "\0", "<|endoftext|>", "<|endof", "text|>"]
+#: Letters of later Unicode versions than the tokenizer library's.
+LATER = ["\u0558", "\u208f", "\U000107bb"]
+
+
+def odd_texts(seed, n=3000, signs=ODD):
+    rnd = random.Random(seed)
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 14))) if i % 50 else None for i in range(n)]
+    return texts + ["x" * 300 + " " + "漢" * 100 + "'s", *("ab" * 30 + "c" * k for k in range(12)), "'", "'s", " 's", "a 's", "!'s", "\n's", " "]
+
+
+def check_against_the_library(tok, texts):
+    lib = Tokenizer.from_file(PATH)
+    ids, counts = tok.encode(texts, 2)
+    want = [e.ids + [2] for e in lib.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+def test_cuts_by_class_and_by_pattern():
+    by_class = TF.Tokenizer(PATH, public_tokenizers.PATTERN)
+    by_pattern = TF.Tokenizer(PATH, public_tokenizers.PATTERN + "|(?!)")
+    assert by_class.direct and not by_pattern.by_class
+    for seed in range(3):
+        for tok in (by_class, by_pattern):
+            check_against_the_library(tok, odd_texts(seed))
+    check_against_the_library(by_class, odd_texts(7, signs=ODD + 3 * LATER))  # classes are the library's (before: regex's)
+    assert [x.tolist() for x in by_class.encode([], 2)] == [[], []]
+
+
+def test_cuts_of_one_hash_are_told_apart(monkeypatch):
+    for name in ("_MIX1", "_MIX2", "_MIX3"):
+        monkeypatch.setattr(TF, name, np.uint64(0))
+    check_against_the_library(TF.Tokenizer(PATH, public_tokenizers.PATTERN), odd_texts(5, 60))
+
+
+def test_full_memory_begins_anew(monkeypatch):
+    monkeypatch.setattr(TF, "MEMORY_CUTS", 50)
+    tok = TF.Tokenizer(PATH, public_tokenizers.PATTERN)
+    for seed in range(4):
+        check_against_the_library(tok, odd_texts(seed, 200))
+    many = TF.Tokenizer(PATH, public_tokenizers.PATTERN)
+    check_against_the_library(many, [f"w{i * 7919:x}q{i}" + "z" * (i % 40) for i in range(60_000)])  # the table grows
+
+
+def test_bytes_that_are_no_text_raise():
+    tok = TF.Tokenizer(PATH, public_tokenizers.PATTERN)
+    with pytest.raises(UnicodeDecodeError):
+        tok.encode(TF.pa.array([b"abc \xff\xfe"]).view(TF.pa.string()).cast(TF.pa.large_string()), 2)
+
+
+def test_a_worker_remembers_cuts_from_task_to_task():
+    a = TF._tokenizer(PATH, public_tokenizers.PATTERN, False)
+    assert TF._tokenizer(PATH, public_tokenizers.PATTERN, False) is a
+    assert TF._tokenizer(PATH, public_tokenizers.PATTERN, True) is not a
+
+
+def test_known_cuts_cost_less_than_the_pattern():
+    """Texts of known cuts take less CPU time than running the pattern over them (before: the pattern was run over every text)."""
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 9))) for _ in range(5000)]
+    texts = [" ".join(rnd.choices(words, k=500)) for _ in range(600)]
+    tok = TF.Tokenizer(PATH, public_tokenizers.PATTERN)
+    tok.encode(texts, 2)
+
+    def cost(f):
+        took = []
+        for _ in range(3):
+            began = time.process_time()
+            f()
+            took.append(time.process_time() - began)
+        return min(took)
+    assert cost(lambda: tok.encode(texts, 2)) < cost(lambda: [tok.findall(t) for t in texts])
+
+
+def test_counts_still_to_come_cost_less_than_counts_so_far():
+    """A block of ids that all occur once ends with a known id; ids of one block cost about the logarithm of what is left."""
+    rng = np.random.default_rng(1)
+    ids = rng.permutation(np.arange(BLOCK))
+    (payload, check), = encode_blocks([ids])
+    bits = sum(np.log2(np.arange(1, BLOCK + 1)))
+    assert 8 * len(payload) < 1.1 * bits + 8 * 1600 and (decode_blocks([payload], [BLOCK], [check])[0] == ids).all()
+
+
+def test_damaged_blocks_raise():
+    rng = np.random.default_rng(6)
+    ids = np.minimum(rng.zipf(1.3, 2000), 60000)
+    (payload, check), = encode_blocks([ids])
+    for at in range(0, len(payload), 37):
+        for bad in (payload[:at] + bytes([payload[at] ^ 0x55]) + payload[at + 1:], payload[:at]):
+            with pytest.raises(ValueError):
+                decode_blocks([bad], [2000], [check])
